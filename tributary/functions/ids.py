@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tributary.functions.variants import as_text
+from tributary.functions.variants import as_text, text_map
 
 
 def _pairs_text(pairs: Column) -> Column:
@@ -18,13 +18,13 @@ def canonical_text(data: Column) -> Column:
     """``{k1=v1, k2=v2}`` with keys in byte order and JSON null printed ``null``.
 
     Map text in the original job followed a hash-map order, which is no
-    contract; sorted keys make the id stable across engines and runs.
+    contract; sorted keys make the id stable across engines and runs. Keys are
+    unique (parsing keeps the last duplicate), so sorting the entries sorts by
+    key; ``sort_array`` needs no comparator lambda.
     """
-    pairs = F.transform(
-        F.map_entries(data),
-        lambda e: F.struct(e["key"].alias("k"), F.coalesce(as_text(e["value"]), F.lit("null")).alias("v")),
-    )
-    return F.concat(F.lit("{"), _pairs_text(F.array_sort(pairs)), F.lit("}"))
+    entries = F.sort_array(F.map_entries(text_map(data)))
+    pairs = F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))))
+    return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
 
 
 def double_md5(text: Column) -> Column:

@@ -49,6 +49,11 @@ def _dms_reason(value: Column, metadata: Column, data: Column, corrupt: Column)
             .when(F.coalesce(nested, F.lit(False)), F.lit(METADATA_NESTED)))
 
 
+# Columns ``parse_dms`` adds (an input column of the same name is replaced).
+DMS_OUTPUT_COLUMNS = ("parse_error", "metadata", "data", "record_type", "operation",
+                      "partition_key_type", "schema_name", "table_name", "event_time")
+
+
 def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse ``{metadata, data}`` change envelopes.
 
@@ -56,30 +61,41 @@ def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     (map<string,variant>, deduplicated, last value wins, empty when absent) and
     the promoted metadata columns ``record_type``, ``operation``,
     ``partition_key_type``, ``schema_name``, ``table_name``, ``event_time``.
+    A quarantined row keeps only its input columns and ``parse_error``:
+    everything else is NULL, even when part of the envelope could be read.
+
+    The JSON is parsed once, inside a generator (``inline``), and the reason is
+    computed once in a second generator. Filters on the outputs cannot be
+    pushed below a generator, so they never copy the parse or the reason test
+    into the filter; the remaining projections only read generator outputs.
     """
+    keep = [c for c in df.columns if c not in DMS_OUTPUT_COLUMNS + ("_raw_meta", "_raw_data", CORRUPT_COL)]
     value = F.col(value_col)
-    parsed = df.withColumn("_env", F.from_json(value, DMS_ENVELOPE_DDL, STRICT_JSON_OPTIONS))
-    raw_meta, raw_data = F.col("_env.metadata"), F.col("_env.data")
-    reason = _dms_reason(value, raw_meta, raw_data, F.col(f"_env.{CORRUPT_COL}"))
-    metadata = text_map(F.map_from_entries(F.map_entries(raw_meta)))
-    data = F.coalesce(F.map_from_entries(F.map_entries(raw_data)), _empty_data())
-    out = (parsed
-           .withColumn("parse_error", reason)
-           .withColumn("metadata", F.when(F.col("parse_error").isNull(), metadata))
-           .withColumn("data", F.when(F.col("parse_error").isNull(), data))
-           .drop("_env"))
-    return promote_metadata(out)
+    env = F.from_json(value, DMS_ENVELOPE_DDL, STRICT_JSON_OPTIONS)
+    parsed = (df.select(*keep, F.inline(F.array(env)))
+                .withColumnsRenamed({"metadata": "_raw_meta", "data": "_raw_data"}))
+    raw_meta, raw_data, corrupt = F.col("_raw_meta"), F.col("_raw_data"), F.col(CORRUPT_COL)
+    reason = _dms_reason(value, raw_meta, raw_data, corrupt)
+    checked = parsed.select("*", F.inline(F.array(F.struct(reason.alias("parse_error")))))
+    ok = F.col("parse_error").isNull()
+    maps = checked.select(
+        *keep, "parse_error",
+        F.when(ok, text_map(F.map_from_entries(F.map_entries(raw_meta)))).alias("metadata"),
+        F.when(ok, F.coalesce(F.map_from_entries(F.map_entries(raw_data)), _empty_data())).alias("data"))
+    return promote_metadata(maps)
 
 
 def promote_metadata(df: DataFrame) -> DataFrame:
+    """Promoted columns read from the ``metadata`` text map."""
     m = F.col("metadata")
-    return (df
-            .withColumn("record_type", _meta(m, "record-type"))
-            .withColumn("operation", _meta(m, "operation"))
-            .withColumn("partition_key_type", _meta(m, "partition-key-type"))
-            .withColumn("schema_name", _meta(m, "schema-name"))
-            .withColumn("table_name", _meta(m, "table-name"))
-            .withColumn("event_time", _meta(m, "timestamp").try_cast("timestamp")))
+    return df.withColumns({
+        "record_type": _meta(m, "record-type"),
+        "operation": _meta(m, "operation"),
+        "partition_key_type": _meta(m, "partition-key-type"),
+        "schema_name": _meta(m, "schema-name"),
+        "table_name": _meta(m, "table-name"),
+        "event_time": _meta(m, "timestamp").try_cast("timestamp"),
+    })
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:

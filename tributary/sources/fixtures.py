@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.sources.files import spread
+
 # Schema name used for every generated table.
 SOURCE_SCHEMA = "TPCH"
 
@@ -41,7 +43,7 @@ def instant_text(ts: Column) -> Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def default_operation(key: Column) -> Column:
