@@ -22,16 +22,20 @@ STATE_COLUMNS = ("doc", "is_delete", "operation", "event_time", "seq")
 DEFAULT_STATE_BUCKETS = 64
 
 
-def reduce_documents(docs: DataFrame, order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
-    """One row per ``(index_name, doc_id)``: the latest version, tombstones kept."""
+def reduce_documents(docs: DataFrame, order: Sequence[str] = ("event_time", "seq"),
+                     keys: Sequence[str] = ("index_name", "doc_id")) -> DataFrame:
+    """One row per ``(index_name, doc_id)``: the latest version, tombstones kept.
+
+    ``keys`` may add columns that are functions of the document id (the
+    state bucket), so an input already partitioned on them is not shuffled again.
+    """
     versions = F.col("n_versions") if "n_versions" in docs.columns else F.lit(1).cast("long")
     payload = F.struct(*[F.col(c) for c in STATE_COLUMNS])
     ranked = F.struct(*[F.col(c) for c in order], F.col("doc"))
-    return (docs.select("index_name", "doc_id", payload.alias("_p"), ranked.alias("_o"),
-                        versions.alias("_n"))
-                .groupBy("index_name", "doc_id")
+    return (docs.select(*keys, payload.alias("_p"), ranked.alias("_o"), versions.alias("_n"))
+                .groupBy(*keys)
                 .agg(F.max_by("_p", "_o").alias("_w"), F.sum("_n").alias("n_versions"))
-                .select("index_name", "doc_id", "_w.*", "n_versions"))
+                .select(*keys, "_w.*", "n_versions"))
 
 
 def latest_documents(docs: DataFrame, apply_deletes: bool = True,
@@ -51,22 +55,29 @@ def _state_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    if not fs.exists(hpath):
+        return False
+    return any(st.getPath().getName().startswith("index_name=") for st in fs.listStatus(hpath))
 
 
 def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str,
                      buckets: int = DEFAULT_STATE_BUCKETS) -> DataFrame:
     """Upsert a batch of routed documents into the state table at ``state_path``.
 
-    1. reduce the batch to one version per document;
+    1. reduce the batch to one version per document (partial aggregation
+       before the shuffle, so a hot document costs one row per task);
     2. read only the touched ``(index_name, doc_bucket)`` partitions of the
        current state (partition pruning; the touched list is bounded by
        indexes x buckets);
-    3. reduce the union again, cut lineage with ``checkpoint()`` in the
-       shared checkpoint folder, and overwrite just those partitions.
-
-    Replaying the same batch gives the same state (the winner is decided by
-    the version order, not by arrival), so a retried micro-batch is harmless.
+    3. hash-partition the union by ``(index_name, doc_bucket)`` and reduce
+       again: the aggregation reuses that partitioning, so there is one
+       shuffle and one file per bucket;
+    4. cut lineage with ``checkpoint()`` in the shared checkpoint folder and
+       overwrite just the touched partitions (dynamic partition overwrite).
+
+    ``buckets`` should grow with the largest index (about one bucket per GB
+    of its documents). Replaying a batch gives the same state, since the
+    winner is decided by the version order, not by arrival.
     """
     reduced = with_bucket(reduce_documents(batch_docs), buckets)
     if _state_exists(spark, state_path):
@@ -81,10 +92,11 @@ def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str
             c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
             cond = c if cond is None else (cond | c)
         current = spark.read.parquet(state_path).where(cond)
-        merged = with_bucket(reduce_documents(current.unionByName(reduced.select(current.columns))),
-                             buckets)
+        both = current.unionByName(reduced.select(current.columns))
     else:
-        merged = reduced
+        both = reduced
+    clustered = both.repartition("index_name", "doc_bucket")
+    merged = reduce_documents(clustered, keys=("index_name", "doc_bucket", "doc_id"))
     merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("index_name", "doc_bucket").parquet(state_path))

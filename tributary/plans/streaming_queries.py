@@ -1 +1,45 @@
-"""Registered queries that drive the Structured Streaming job (filled in below)."""
+"""Registered queries that drive the Structured Streaming job end to end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tributary.operators import state
+from tributary.plans.queries import _kept, register
+from tributary.session import scratch_path
+from tributary.sources import fixtures as fx
+from tributary.streaming import job
+
+
+def write_envelope_files(spark, envelopes, files: int = 4) -> str:
+    """Envelope text files, the stand-in for the change stream's shards."""
+    path = scratch_path(spark, "stream-input")
+    envelopes.select("value").repartition(files).write.text(path)
+    return path
+
+
+def _orders_state_sql() -> str:
+    k = "o_orderkey"
+    return (f"SELECT 'dms_flink_orders' AS index_name, "
+            f"count(DISTINCT CASE WHEN {k} % 100 = 8 THEN -1 ELSE {k} END) AS n_docs, "
+            f"count(*) FILTER (WHERE {k} % 100 = 10) AS n_deleted FROM orders WHERE {_kept(k)} "
+            f"UNION ALL SELECT '_quarantine', count(*), 0 FROM orders WHERE {k} % 100 IN (1, 4, 5, 6, 7)")
+
+
+@register("stream_fanout", _orders_state_sql())
+def stream_fanout(spark, sf_dir):
+    """Orders envelopes as files -> streaming job (availableNow) -> document
+    state merged per micro-batch + quarantine sink; read back (S1 S3 O1 O13)."""
+    inp = write_envelope_files(spark, fx.orders_envelopes(spark, sf_dir, plant=True))
+    out = scratch_path(spark, "stream-out")
+    opts = {"input_path": inp, "output_documents": f"{out}/state", "output_quarantine": f"{out}/quarantine",
+            "trigger": "available_now", "max_files_per_trigger": 2,
+            "checkpoint_location": f"{out}/_checkpoint"}
+    q = job.run(spark, opts)
+    q.awaitTermination()
+    docs = (state.read_index(spark, f"{out}/state", apply_deletes=False)
+                 .groupBy("index_name")
+                 .agg(F.count("*").alias("n_docs"), F.sum(F.col("is_delete").cast("long")).alias("n_deleted")))
+    bad = spark.read.parquet(f"{out}/quarantine").agg(
+        F.lit("_quarantine").alias("index_name"), F.count("*").alias("n_docs"), F.lit(0).cast("long").alias("n_deleted"))
+    return docs.unionByName(bad)
