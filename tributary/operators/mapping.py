@@ -121,26 +121,22 @@ def apply_profile(types: DataFrame, profile: str | Mapping[str, str]) -> DataFra
 def apply_template(types: DataFrame, spark: SparkSession, templates: list[Mapping]) -> DataFrame:
     """Field overrides from index templates (``index_patterns`` with ``*``).
 
-    Templates are configuration; they are expanded to a small table and
-    joined on the field after a pattern match on the index name.
+    Templates are job configuration, so they become one ``CASE`` expression
+    built on the driver; the first matching template wins.
     """
-    rows = []
+    typ, ign = F.col("es_type"), F.col("ignore_above")
+    rules = []
     for t in templates:
         props = t.get("template", {}).get("mappings", {}).get("properties", {})
         for pattern in t.get("index_patterns", []):
-            for field, spec in props.items():
-                ign = spec.get("fields", {}).get("keyword", {}).get("ignore_above")
-                rows.append((pattern.replace("*", "%"), field, spec.get("type", "object"), ign))
-    if not rows:
-        return types
-    over = spark.createDataFrame(rows, "pattern string, o_field string, o_type string, o_ignore int")
-    joined = types.join(F.broadcast(over),
-                        (F.col("field") == F.col("o_field")) & F.col("index_name").like(F.col("pattern")),
-                        "left")
-    return joined.select("index_name", "field",
-                         F.coalesce("o_type", "es_type").alias("es_type"),
-                         F.when(F.col("o_type").isNotNull(), F.col("o_ignore")).otherwise(F.col("ignore_above"))
-                         .alias("ignore_above")).dropDuplicates(["index_name", "field"])
+            for fld, spec in props.items():
+                rules.append((pattern.replace("*", "%"), fld, spec.get("type", "object"),
+                              spec.get("fields", {}).get("keyword", {}).get("ignore_above")))
+    for pattern, fld, o_type, o_ign in reversed(rules):
+        hit = F.col("index_name").like(pattern) & (F.col("field") == F.lit(fld))
+        typ = F.when(hit, F.lit(o_type)).otherwise(typ)
+        ign = F.when(hit, F.lit(o_ign).cast("int")).otherwise(ign)
+    return types.select("index_name", "field", typ.alias("es_type"), ign.alias("ignore_above"))
 
 
 def mapping_diff(left: DataFrame, right: DataFrame) -> DataFrame:

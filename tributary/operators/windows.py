@@ -47,8 +47,9 @@ def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_t
     """Exact sessions in batch, safe for hot keys.
 
     A new session starts when the time since the previous event of the key is
-    at least ``gap``; a session ends ``gap`` after its last event (the
-    ``session_window`` rule).
+    more than ``gap``; a session ends ``gap`` after its last event. This is
+    the rule of Spark's ``session_window`` (an event exactly ``gap`` after the
+    previous one still extends the session), so batch and stream agree.
 
     One key may hold a large share of all rows, so sessions are not built
     per key in one task. Instead:
@@ -66,7 +67,7 @@ def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_t
     ev = df.select(F.col(key_col).alias("k"), us.alias("t")).where(F.col("t").isNotNull())
     ev = ev.withColumn("slice", F.floor(F.col("t") / F.lit(slice_us)))
     w_slice = Window.partitionBy("k", "slice").orderBy("t")
-    starts = F.coalesce(F.col("t") - F.lag("t").over(w_slice) >= F.lit(gap_us), F.lit(True))
+    starts = F.coalesce(F.col("t") - F.lag("t").over(w_slice) > F.lit(gap_us), F.lit(True))
     ev = ev.withColumn("sub", F.sum(starts.cast("int")).over(w_slice.rowsBetween(Window.unboundedPreceding, 0)))
     subs = (ev.groupBy("k", "slice", "sub")
               .agg(F.min("t").alias("s"), F.max("t").alias("e"), F.count("*").alias("n")))
@@ -76,7 +77,7 @@ def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_t
     inner = subs.where(~F.col("first_sub") & ~F.col("last_sub")).select("k", "s", "e", "n")
     edge = subs.where(F.col("first_sub") | F.col("last_sub")).select("k", "s", "e", "n")
     w_key = Window.partitionBy("k").orderBy("s")
-    new_session = F.coalesce(F.col("s") - F.lag("e").over(w_key) >= F.lit(gap_us), F.lit(True))
+    new_session = F.coalesce(F.col("s") - F.lag("e").over(w_key) > F.lit(gap_us), F.lit(True))
     chained = (edge.withColumn("grp", F.sum(new_session.cast("int"))
                                .over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
                    .groupBy("k", "grp")

@@ -468,7 +468,7 @@ SESSION_GAP = "30 minutes"
 WITH e AS (
   SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev_ts FROM events),
 g AS (
-  SELECT user_id, ts, sum(CASE WHEN prev_ts IS NULL OR ts - prev_ts >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+  SELECT user_id, ts, sum(CASE WHEN prev_ts IS NULL OR ts - prev_ts > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
          OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
   FROM e)
 SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start,
