@@ -13,31 +13,45 @@ def envelope_json(metadata: Column, data: Column) -> Column:
     return F.to_json(F.struct(metadata.alias("metadata"), data.alias("data")), _KEEP_NULLS)
 
 
-def _with_envelope(data: Column, location_value: Column, metadata: Column) -> Column:
-    # map_concat under LAST_WIN: envelope keys win over row columns of the same name.
-    extra = F.create_map(F.lit("location"), location_value,
-                         F.lit("metadata"), F.to_variant_object(metadata))
-    return F.map_concat(F.coalesce(data, F.create_map().cast("map<string,variant>")), extra)
+# Document fields taken from the envelope, not from the row.
+ENVELOPE_FIELDS = ("location", "metadata")
+
+
+def _document(data: Column, location_json: Column, metadata: Column) -> Column:
+    """``{row columns..., "location": ..., "metadata": {...}}`` as JSON text.
+
+    Row columns named like an envelope field are dropped first, so the
+    envelope wins (the map filter only runs for rows that have such a column).
+    The text is spliced from three serialised parts instead of merging maps.
+    """
+    data = F.coalesce(data, F.create_map().cast("map<string,variant>"))
+    clash = F.map_contains_key(data, ENVELOPE_FIELDS[0]) | F.map_contains_key(data, ENVELOPE_FIELDS[1])
+    rows = F.when(clash, F.map_filter(data, lambda k, _v: ~k.isin(*ENVELOPE_FIELDS))).otherwise(data)
+    body = F.to_json(rows, _KEEP_NULLS)
+    tail = F.concat(F.lit('"location":'), F.coalesce(location_json, F.lit("null")),
+                    F.lit(',"metadata":'), F.coalesce(F.to_json(metadata), F.lit("null")), F.lit("}"))
+    return F.when(F.size(rows) == 0, F.concat(F.lit("{"), tail)).otherwise(
+        F.concat(F.left(body, F.length(body) - 1), F.lit(","), tail))
 
 
 def search_document(data: Column, location: Column, metadata: Column) -> Column:
     """Row columns at top level, plus ``location: {lat, lon}`` and ``metadata``."""
-    return F.to_json(_with_envelope(data, F.to_variant_object(location), metadata), _KEEP_NULLS)
+    return _document(data, F.to_json(location), metadata)
 
 
 def search_document_array(data: Column, location: Column, metadata: Column) -> Column:
-    """Variant with ``location`` as ``[lat, lon]`` (null when absent).
+    """Document with ``location`` as ``[lat, lon]`` (null when absent).
 
     A search engine reads a geo-point array as ``[lon, lat]``; prefer
     :func:`search_document`, which writes the object form.
     """
-    pair = F.when(location.isNotNull(), F.array(location["lat"], location["lon"]))
-    return F.to_json(_with_envelope(data, F.to_variant_object(pair), metadata), _KEEP_NULLS)
+    pair = F.when(location.isNotNull(), F.to_json(F.array(location["lat"], location["lon"])))
+    return _document(data, pair, metadata)
 
 
 def search_document_raw(data: Column, raw_location: Column, metadata: Column) -> Column:
     """Document whose location is copied unvalidated from ``LAT``/``LON`` columns."""
-    return F.to_json(_with_envelope(data, F.to_variant_object(raw_location), metadata), _KEEP_NULLS)
+    return _document(data, F.to_json(raw_location, _KEEP_NULLS), metadata)
 
 
 def comma_line(*cols: Column) -> Column:

@@ -36,19 +36,30 @@ def _is_object(v: Column) -> Column:
     return F.coalesce(kind(v).startswith("OBJECT"), F.lit(False))
 
 
+def _is_container(v: Column) -> Column:
+    return (F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+            | F.try_variant_get(v, "$", "array<variant>").isNotNull())
+
+
 def _dms_reason(value: Column, metadata: Column, data: Column, corrupt: Column) -> Column:
-    whole = F.try_parse_json(value)
-    data_node = F.try_variant_get(whole, "$.data", "variant")
-    nested = F.exists(F.map_values(metadata),
-                      lambda v: kind(v).startswith("OBJECT") | kind(v).startswith("ARRAY"))
+    # The re-parse of the text appears once, behind cheap tests: an expression
+    # used twice in the first branch would be hoisted and run for every row.
+    data_kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(value), "$.data", "variant"))
+    nested = F.exists(F.map_values(metadata), _is_container)
     return (F.when(metadata.isNotNull() & data.isNull() & corrupt.isNotNull()
-                   & _is_object(whole) & data_node.isNotNull() & ~_is_object(data_node),
+                   & F.coalesce(~data_kind.startswith("OBJECT"), F.lit(False)),
                    F.lit(DATA_NOT_OBJECT))
             .when(corrupt.isNotNull() | value.isNull() | (F.trim(value) == ""), F.lit(MALFORMED_JSON))
             .when(metadata.isNull() | (F.size(metadata) == 0), F.lit(METADATA_MISSING))
             .when(F.coalesce(nested, F.lit(False)), F.lit(METADATA_NESTED)))
 
 
+def last_wins(m: Column) -> Column:
+    """Map without duplicate keys, the last value kept (rebuilt only when a key repeats)."""
+    return F.when(F.size(F.array_distinct(F.map_keys(m))) < F.size(m),
+                  F.map_from_entries(F.map_entries(m))).otherwise(m)
+
+
 # Columns ``parse_dms`` adds (an input column of the same name is replaced).
 DMS_OUTPUT_COLUMNS = ("parse_error", "metadata", "data", "record_type", "operation",
                       "partition_key_type", "schema_name", "table_name", "event_time")
@@ -64,10 +75,11 @@ def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     A quarantined row keeps only its input columns and ``parse_error``:
     everything else is NULL, even when part of the envelope could be read.
 
-    The JSON is parsed once, inside a generator (``inline``), and the reason is
-    computed once in a second generator. Filters on the outputs cannot be
-    pushed below a generator, so they never copy the parse or the reason test
-    into the filter; the remaining projections only read generator outputs.
+    The JSON is parsed once, inside a generator (``inline``); the reason and
+    the metadata text map are computed once each in two more generators.
+    Filters on the outputs cannot be pushed below a generator, so they never
+    copy the parse, the reason test or the map conversion into the filter, and
+    the row map is only deduplicated for rows that pass.
     """
     keep = [c for c in df.columns if c not in DMS_OUTPUT_COLUMNS + ("_raw_meta", "_raw_data", CORRUPT_COL)]
     value = F.col(value_col)
@@ -78,10 +90,13 @@ def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     reason = _dms_reason(value, raw_meta, raw_data, corrupt)
     checked = parsed.select("*", F.inline(F.array(F.struct(reason.alias("parse_error")))))
     ok = F.col("parse_error").isNull()
-    maps = checked.select(
-        *keep, "parse_error",
-        F.when(ok, text_map(F.map_from_entries(F.map_entries(raw_meta)))).alias("metadata"),
-        F.when(ok, F.coalesce(F.map_from_entries(F.map_entries(raw_data)), _empty_data())).alias("data"))
+    # third generator: the metadata text map, so filters on it or on the
+    # promoted columns read a generator output instead of rebuilding the map
+    texted = checked.select("*", F.inline(F.array(F.struct(
+        F.when(ok, text_map(last_wins(raw_meta))).alias("metadata")))))
+    maps = texted.select(
+        *keep, "parse_error", "metadata",
+        F.when(ok, F.coalesce(last_wins(raw_data), _empty_data())).alias("data"))
     return promote_metadata(maps)
 
 
