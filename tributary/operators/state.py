@@ -93,11 +93,15 @@ def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str
             cond = c if cond is None else (cond | c)
         current = spark.read.parquet(state_path).where(cond)
         both = current.unionByName(reduced.select(current.columns))
+        reads_target = True
     else:
         both = reduced
+        reads_target = False
     clustered = both.repartition("index_name", "doc_bucket")
     merged = reduce_documents(clustered, keys=("index_name", "doc_bucket", "doc_id"))
-    merged = merged.checkpoint(eager=True)
+    if reads_target:
+        # the write replaces files this plan reads: materialise it first
+        merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("index_name", "doc_bucket").parquet(state_path))
     return merged

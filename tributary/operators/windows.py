@@ -119,3 +119,11 @@ def stream_health(df: DataFrame, period: str = "1 minute", window_col: str = "ar
     if stream_col:
         cols.append(F.col(stream_col))
     return out.select(*cols, "records_in", "bytes_in", "records_kept", "max_lag_ms", "sum_lag_ms")
+
+
+def output_volume(docs: DataFrame, period: str = "1 minute", ts_col: str = "written_at",
+                  doc_col: str = "doc", key_col: str = "index_name") -> DataFrame:
+    """Rows and bytes written per period and index (the sink-side volume)."""
+    return (docs.groupBy(F.window(ts_col, period).alias("w"), F.col(key_col))
+                .agg(F.count("*").alias("rows_out"), F.sum(F.length(doc_col).cast("long")).alias("bytes_out"))
+                .select(F.col("w.start").alias("period_start"), F.col(key_col), "rows_out", "bytes_out"))

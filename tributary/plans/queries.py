@@ -19,6 +19,7 @@ from tributary.operators import mapping, routing, state, windows
 from tributary.schemas import ADDRESS_SCHEMA
 from tributary.session import prepare, scratch_path
 from tributary.sources import fixtures as fx
+from tributary.sources.files import start_at
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -382,7 +383,7 @@ def month_layout(spark, sf_dir):
 @register("trip_rows", """
 SELECT lpad(CAST((l_partkey % 265) + 1 AS VARCHAR), 3, '0') AS pickup_location,
        CAST(strftime(l_shipdate, '%Y') AS INTEGER) AS year, CAST(strftime(l_shipdate, '%m') AS INTEGER) AS month,
-       count(*) AS n, sum(l_linenumber) AS passengers, max(l_quantity) AS max_distance
+       count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS passengers, max(l_quantity) AS max_distance
 FROM lineitem GROUP BY ALL""")
 def trip_rows(spark, sf_dir):
     """Trip records parsed with the fixed schema (S8) and laid out by pickup
@@ -488,7 +489,7 @@ SELECT strftime(date_trunc('minute', ts + to_milliseconds(event_id % 5000)), '%Y
        count(*) AS records_in,
        count(*) FILTER (WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7)) AS records_kept,
        max(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7) THEN event_id % 5000 END) AS max_lag_ms,
-       sum(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7) THEN event_id % 5000 END) AS sum_lag_ms
+       CAST(sum(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7) THEN event_id % 5000 END) AS BIGINT) AS sum_lag_ms
 FROM events GROUP BY ALL""")
 def stream_health(spark, sf_dir):
     """Per-minute records in, records kept and delivery lag (M1-M3)."""
@@ -497,3 +498,47 @@ def stream_health(spark, sf_dir):
     h = windows.stream_health(parsed.withColumn("kept", kept), kept_col="kept")
     return h.select(F.date_format("period_start", SECOND_FMT).alias("period_start"), "records_in",
                     "records_kept", "max_lag_ms", "sum_lag_ms")
+
+
+# --- S1 O6 T3: start position, re-stream records, mapping text --------------------------------
+
+START_TIMESTAMP = "2024-01-15 00:00:00"
+
+
+@register("from_position", f"""
+SELECT 'dms_flink_events' AS index_name, count(*) AS n
+FROM events WHERE ts + to_milliseconds(event_id % 5000) >= TIMESTAMP '{START_TIMESTAMP}'""")
+def from_position(spark, sf_dir):
+    """Source read from an ``AT_TIMESTAMP`` start position on arrival time."""
+    recs = start_at(fx.events_envelopes(spark, sf_dir), "AT_TIMESTAMP", START_TIMESTAMP, "arrival_time")
+    return routed(spark, recs).groupBy("index_name").agg(F.count("*").alias("n"))
+
+
+@register("restream_records", f"""
+SELECT '0' AS key, 'orders' AS table_name, {_op('o_orderkey')} AS operation, count(*) AS n
+FROM orders WHERE {_kept('o_orderkey')} GROUP BY ALL""")
+def restream_records(spark, sf_dir):
+    """Re-stream records: fixed partition key, envelope JSON value (O6), read back."""
+    from tributary.streaming import sinks
+    kept = routing.only_data(env.parse_dms(fx.orders_envelopes(spark, sf_dir, plant=True)))
+    recs = sinks.restream_records(kept)
+    again = env.parse_dms(recs)
+    return again.groupBy("key", "table_name", "operation").agg(F.count("*").alias("n"))
+
+
+@register("index_mappings", """
+SELECT 'dms_flink_part' AS index_name, 8 AS n_properties, 6 AS n_metadata, 'geo_point' AS location_type,
+       'float' AS price_type, CASE WHEN max(length(p_name)) <= 256 THEN 256 END AS name_ignore_above
+FROM part""")
+def index_mappings(spark, sf_dir):
+    """Mapping JSON per index (T3), read back field by field."""
+    types = mapping.field_types(routed(spark, fx.part_envelopes(spark, sf_dir)))
+    m = mapping.mapping_json(types).select("index_name", F.parse_json("mapping").alias("m"))
+    props = F.try_variant_get(F.col("m"), "$.properties", "map<string,variant>")
+    meta = F.try_variant_get(F.col("m"), "$.properties.metadata.properties", "map<string,variant>")
+    return m.select(
+        "index_name", F.size(props).alias("n_properties"), F.size(meta).alias("n_metadata"),
+        F.try_variant_get(F.col("m"), "$.properties.location.type", "string").alias("location_type"),
+        F.try_variant_get(F.col("m"), "$.properties.p_retailprice.type", "string").alias("price_type"),
+        F.try_variant_get(F.col("m"), "$.properties.p_name.fields.keyword.ignore_above", "int")
+         .alias("name_ignore_above"))

@@ -29,7 +29,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 START_POSITIONS = ("TRIM_HORIZON", "LATEST", "AT_TIMESTAMP")
 
 
-def _position_filter(df: DataFrame, position: str, timestamp: str | None, ts_col: str) -> DataFrame:
+def start_at(df: DataFrame, position: str, timestamp: str | None, ts_col: str) -> DataFrame:
+    """Keep records at or after a start position, by ``ts_col``.
+
+    ``TRIM_HORIZON`` keeps everything, ``AT_TIMESTAMP`` keeps records from
+    ``timestamp`` on, ``LATEST`` keeps records from the moment of the call.
+    """
     position = position.upper()
     if position not in START_POSITIONS:
         raise ValueError(f"unknown start position {position!r}")
@@ -85,7 +90,7 @@ def open_source(spark: SparkSession, kind: str, options: Mapping[str, str], stre
     else:
         raise ValueError(f"unknown source kind {kind!r}")
     if kind in ("text", "wholetext"):
-        df = _position_filter(df, start_position, timestamp, "arrival_time")
+        df = start_at(df, start_position, timestamp, "arrival_time")
     return df if streaming else spread(df)
 
 

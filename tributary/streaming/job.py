@@ -59,6 +59,8 @@ def source_frame(spark: SparkSession, options: Mapping[str, Any], streaming: boo
         opts = {"path": options["input_path"]}
         if streaming and options.get("max_files_per_trigger"):
             opts["maxFilesPerTrigger"] = str(options["max_files_per_trigger"])
+        if streaming and options.get("max_bytes_per_trigger"):
+            opts["maxBytesPerTrigger"] = str(options["max_bytes_per_trigger"])
         return open_source(spark, options.get("input_kind", "text"), opts, streaming, pos, ts)
     if options.get("input_kafka_topic"):
         opts = {"kafka.bootstrap.servers": options["input_kafka_bootstrap_servers"],
@@ -105,7 +107,7 @@ def fan_out(batch: DataFrame, batch_id: int, options: Mapping[str, Any]) -> None
                                    location_mode=options.get("location_mode", "object"))
             docs = sinks.document_rows(routed)
             if options.get("output_document_log"):
-                (docs.write.mode("overwrite").partitionBy("index_name")
+                (sinks.document_log_rows(routed).write.mode("overwrite").partitionBy("index_name")
                      .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
             if options.get("output_documents"):
                 state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),

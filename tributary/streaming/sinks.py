@@ -75,3 +75,8 @@ def restream_records(df: DataFrame, partition_key: str = "0") -> DataFrame:
 def document_rows(routed: DataFrame) -> DataFrame:
     """What the document sink stores per version."""
     return routed.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "seq")
+
+
+def document_log_rows(routed: DataFrame) -> DataFrame:
+    """Document versions plus the time they were written (for output volume)."""
+    return document_rows(routed).withColumn("written_at", F.current_timestamp())
