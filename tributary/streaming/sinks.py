@@ -9,6 +9,24 @@ from tributary.functions import documents, layout
 
 # Fixed default: rows per output file, the stand-in for a size-based roll.
 DEFAULT_MAX_RECORDS_PER_FILE = 1_000_000
+# Fixed default: how many tasks one layout partition may be spread over.
+DEFAULT_LAYOUT_SALT = 16
+
+
+def cluster_for_layout(df: DataFrame, parts: list[str], salt_col: str | None = None,
+                       salt_buckets: int = DEFAULT_LAYOUT_SALT) -> DataFrame:
+    """Range-cluster rows on the layout columns before a partitioned write.
+
+    Without it every task writes a file into every partition folder it sees
+    (tasks x partitions small files). Range partitioning gives each task a
+    contiguous run of folders; a deterministic hash salt as the last range
+    key lets one hot folder be split over up to ``salt_buckets`` tasks, and a
+    retried task gets the same rows.
+    """
+    keys = [F.col(p) for p in parts]
+    if salt_col:
+        keys.append(F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
+    return df.repartitionByRange(*keys)
 
 
 def envelope_lines(df: DataFrame, ts_col: str = "event_time", zone: str = layout.HOUR_LAYOUT_ZONE) -> DataFrame:
@@ -19,7 +37,8 @@ def envelope_lines(df: DataFrame, ts_col: str = "event_time", zone: str = layout
 
 def write_json_lines(df: DataFrame, path: str, ts_col: str = "event_time",
                      zone: str = layout.HOUR_LAYOUT_ZONE, by_table: bool = False,
-                     mode: str = "append", max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE) -> None:
+                     mode: str = "append", max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                     cluster: bool = True) -> None:
     """Envelope JSON lines under ``[table_name=/]year=/month=/day=/hour=``.
 
     ``ts_col="event_time"`` buckets by event time; pass a processing-time
@@ -32,6 +51,8 @@ def write_json_lines(df: DataFrame, path: str, ts_col: str = "event_time",
         parts = ["table_name"] + parts
     else:
         lines = envelope_lines(df, ts_col, zone)
+    if cluster:
+        lines = cluster_for_layout(lines, parts, "value")
     (lines.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
           .partitionBy(*parts).text(path))
 
@@ -40,17 +61,24 @@ def table_month_columns(df: DataFrame, ts_col: str = "event_time") -> DataFrame:
     return df.withColumns({"year": F.date_format(ts_col, "yyyy"), "month": F.date_format(ts_col, "MM")})
 
 
-def write_table_month_parquet(df: DataFrame, path: str, ts_col: str = "event_time", mode: str = "append") -> None:
+def write_table_month_parquet(df: DataFrame, path: str, ts_col: str = "event_time", mode: str = "append",
+                              cluster: bool = True) -> None:
     """Parquet under ``table_name=/year=/month=`` (Striim layout)."""
     out = table_month_columns(df, ts_col)
+    salt = "value" if "value" in out.columns else None
+    if cluster:
+        out = cluster_for_layout(out, ["table_name", "year", "month"], salt)
     keep = [c for c in out.columns if c not in ("value",)]
     out.select(*keep).write.mode(mode).partitionBy("table_name", "year", "month").parquet(path)
 
 
-def write_trip_parquet(df: DataFrame, path: str, mode: str = "append") -> None:
+def write_trip_parquet(df: DataFrame, path: str, mode: str = "append", cluster: bool = True) -> None:
     """Trips under ``pickup_location=NNN/year=/month=``."""
     out = df.select("*", layout.pickup_location_part(F.col("pickup_location_id")),
                     *layout.month_parts(F.col("pickup_datetime")))
+    if cluster:
+        salt = "trip_id" if "trip_id" in out.columns else None
+        out = cluster_for_layout(out, ["pickup_location", "year", "month"], salt)
     out.write.mode(mode).partitionBy("pickup_location", "year", "month").parquet(path)
 
 
