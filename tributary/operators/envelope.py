@@ -169,7 +169,9 @@ def parse_striim(df: DataFrame, value_col: str = "value",
     """
     value = F.col(value_col)
     e = F.col("_st")
-    parsed = df.withColumn("_st", F.from_json(value, STRIIM_SCHEMA, STRICT_JSON_OPTIONS))
+    # parsed inside a generator so filters on the outputs are not pushed below the parse
+    parsed = df.select("*", F.inline(F.array(F.struct(
+        F.from_json(value, STRIIM_SCHEMA, STRICT_JSON_OPTIONS).alias("_st")))))
     meta = e["metadata"]
     reason = (F.when(e[CORRUPT_COL].isNotNull() | value.isNull() | (F.trim(value) == ""), F.lit(MALFORMED_JSON))
               .when(meta.isNull(), F.lit(METADATA_MISSING))
@@ -206,7 +208,8 @@ def parse_trip(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Typed trip records; epoch-millisecond times become timestamps."""
     t = F.from_json(F.col(value_col), TRIP_WIRE_SCHEMA, STRICT_JSON_OPTIONS)
     cols = [f.name for f in TRIP_WIRE_SCHEMA.fields if f.name != CORRUPT_COL]
-    parsed = df.withColumn("_t", t)
+    # parsed inside a generator so filters on the outputs are not pushed below the parse
+    parsed = df.select("*", F.inline(F.array(F.struct(t.alias("_t")))))
     sel = []
     for c in cols:
         if c in ("pickup_datetime", "dropoff_datetime"):

@@ -21,44 +21,54 @@ METADATA_PREFIX = "metadata."
 
 
 def value_types(routed: DataFrame) -> DataFrame:
-    """``(index_name, field, es_type, text_len)`` for every row value."""
+    """``(index_name, field, t, len)`` for every row value."""
     cell = routed.select("index_name", F.explode("data").alias("field", "v"))
     return cell.select("index_name", "field", es_type(F.col("v")).alias("t"),
                        F.length(F.coalesce(as_text(F.col("v")), F.lit("null"))).alias("len"))
 
 
+def _cells(routed: DataFrame, include_envelope: bool) -> DataFrame:
+    """One row per (document, field): row values plus, optionally, the
+    envelope's metadata keys and location, all from a single pass."""
+    def cell(field, t, length):
+        return F.struct(field.alias("field"), t.alias("t"), length.alias("len"))
+
+    parts = [F.transform(F.map_entries("data"), lambda e: cell(
+        e["key"], es_type(e["value"]), F.length(F.coalesce(as_text(e["value"]), F.lit("null")))))]
+    if include_envelope:
+        parts.append(F.transform(F.map_keys("metadata"), lambda k: cell(
+            F.concat(F.lit(METADATA_PREFIX), k), F.lit("meta"), F.lit(0))))
+        parts.append(F.array(cell(F.lit(LOCATION_FIELD), F.lit("geo"), F.lit(0))))
+    arr = parts[0] if len(parts) == 1 else F.concat(*parts)
+    return routed.select("index_name", F.inline(arr))
+
+
 def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
     """``(index_name, field, es_type, ignore_above)`` per table field.
 
-    ``ignore_above`` (256) is set on ``text`` fields whose values are all at
-    most 256 characters long, as the per-value rule did.
+    Row values are typed one by one (T1) and combined per field with widening;
+    metadata keys are ``text`` with a 256 keyword limit and ``location`` is a
+    ``geo_point``. ``ignore_above`` (256) is set on ``text`` fields whose
+    values are all at most 256 characters long. One pass over the input, one
+    aggregation with map-side partial aggregation.
     """
     t = F.col("t")
-    agg = (value_types(routed)
+    agg = (_cells(routed, include_envelope)
            .groupBy("index_name", "field")
            .agg(F.bool_or(t == "date").alias("d"), F.bool_or(t == "long").alias("l"),
                 F.bool_or(t == "float").alias("f"), F.bool_or(t == "text").alias("x"),
+                F.bool_or(t == "meta").alias("m"), F.bool_or(t == "geo").alias("g"),
                 F.max("len").alias("max_len")))
-    typ = (F.when(F.col("x"), F.lit("text"))
+    typ = (F.when(F.col("g"), F.lit("geo_point"))
+           .when(F.col("m"), F.lit("text"))
+           .when(F.col("x"), F.lit("text"))
            .when(F.col("d") & (F.col("l") | F.col("f")), F.lit("text"))
            .when(F.col("d"), F.lit("date"))
            .when(F.col("f"), F.lit("float"))
            .otherwise(F.lit("long")))
-    data_fields = (agg.select("index_name", "field", typ.alias("es_type"), "max_len")
-                      .select("index_name", "field", "es_type",
-                              F.when((F.col("es_type") == "text") & (F.col("max_len") <= KEYWORD_IGNORE_ABOVE),
-                                     F.lit(KEYWORD_IGNORE_ABOVE)).alias("ignore_above")))
-    if not include_envelope:
-        return data_fields
-    meta_fields = (routed.select("index_name", F.explode(F.map_keys("metadata")).alias("k"))
-                         .groupBy("index_name", "k").agg(F.count("*").alias("_n"))
-                         .select("index_name", F.concat(F.lit(METADATA_PREFIX), F.col("k")).alias("field"),
-                                 F.lit("text").alias("es_type"),
-                                 F.lit(KEYWORD_IGNORE_ABOVE).alias("ignore_above")))
-    loc = (routed.groupBy("index_name").agg(F.count("*").alias("_n"))
-                 .select("index_name", F.lit(LOCATION_FIELD).alias("field"),
-                         F.lit("geo_point").alias("es_type"), F.lit(None).cast("int").alias("ignore_above")))
-    return data_fields.unionByName(meta_fields).unionByName(loc)
+    ignore = (F.when(F.col("m"), F.lit(KEYWORD_IGNORE_ABOVE))
+              .when((typ == "text") & (F.col("max_len") <= KEYWORD_IGNORE_ABOVE), F.lit(KEYWORD_IGNORE_ABOVE)))
+    return agg.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"))
 
 
 def _spec_json(es_type_col, ignore_above_col):

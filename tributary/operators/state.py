@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 STATE_COLUMNS = ("doc", "is_delete", "operation", "event_time", "seq")
 # Fixed default: hash buckets per index in the state table; a merge rewrites
 # only the (index, bucket) partitions its batch touches.
-DEFAULT_STATE_BUCKETS = 64
+DEFAULT_STATE_BUCKETS = 16
 
 
 def reduce_documents(docs: DataFrame, order: Sequence[str] = ("event_time", "seq"),
