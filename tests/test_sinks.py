@@ -56,3 +56,24 @@ def test_trip_layout(spark):
                       .select(F.col("pickup_location").cast("string").alias("pickup_location"), "year", "month")
                       .collect())
     assert got == [("123", 2021, 11), ("7", 2020, 3)]
+
+
+def test_start_positions(spark):
+    import pytest
+    from tributary.sources.files import start_at
+    rows = [(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 20)), (3, dt.datetime(2030, 1, 1))]
+    df = spark.createDataFrame(rows, "k long, arrival_time timestamp")
+    assert start_at(df, "TRIM_HORIZON", None, "arrival_time").count() == 3
+    assert sorted(r["k"] for r in start_at(df, "AT_TIMESTAMP", "2024-01-15 00:00:00", "arrival_time").collect()) == [2, 3]
+    assert [r["k"] for r in start_at(df, "LATEST", None, "arrival_time").collect()] == [3]
+    with pytest.raises(ValueError):
+        start_at(df, "AT_TIMESTAMP", None, "arrival_time")
+
+
+def test_wholetext_source(spark):
+    path = scratch_path(spark, "whole")
+    sinks.write_text(spark.createDataFrame([('{"metadata": {"record-type": "data"},',), ('"data": {"a": 1}}',)],
+                                           "value string").coalesce(1), path)
+    recs = open_source(spark, "wholetext", {"path": path}, streaming=False)
+    parsed = envelope.parse_dms(recs).collect()
+    assert len(parsed) == 1 and parsed[0]["parse_error"] is None and parsed[0]["record_type"] == "data"

@@ -91,3 +91,16 @@ def test_watermark_drops_late_rows(spark):
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   if p.get("stateOperators"))
     assert dropped == 1
+
+
+def test_transform_hooks_and_rules(spark):
+    inp = scratch_path(spark, "hook-in")
+    _write(inp, "f.txt", [_envelope("keep", 1, "2022-01-01T00:00:00Z"), _envelope("skip", 2, "2022-01-01T00:00:00Z"),
+                          _envelope("keep", 3, "2022-01-01T00:00:00Z")])
+    out = scratch_path(spark, "hook-out")
+    rules = [{"rule-type": "selection", "object-locator": {"schema-name": "S", "table-name": "k%"},
+              "rule-action": "include"}]
+    job.run_batch(spark, {"input_path": inp, "output_documents": f"{out}/state", "selection_rules": rules,
+                          "transforms": [lambda df: df.where(F.col("data")["id"].cast("int") != 3)]})
+    docs = state.read_index(spark, f"{out}/state").collect()
+    assert [(d["index_name"], json.loads(d["doc"])["id"]) for d in docs] == [("dms_flink_keep", 1)]

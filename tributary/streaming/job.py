@@ -81,6 +81,9 @@ def parse_stage(records: DataFrame, options: Mapping[str, Any]) -> DataFrame:
     if options.get("unbatch"):
         records = env.unbatch(records)
     parsed = env.parse_dms(records)
+    # user hooks: DataFrame -> DataFrame functions applied to the parsed rows
+    for hook in options.get("transforms", ()):
+        parsed = parsed.transform(hook)
     if options.get("selection_rules"):
         keep = routing.selection_predicate(options["selection_rules"])
         parsed = parsed.where(F.col("parse_error").isNotNull() | keep)
