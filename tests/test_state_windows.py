@@ -89,3 +89,11 @@ def test_window_counts_and_health(spark):
     assert w == {(T0, "t1"): 2, (T0 + dt.timedelta(seconds=1), "t2"): 1}
     h = windows.stream_health(df, kept_col="kept").first()
     assert (h["records_in"], h["bytes_in"], h["records_kept"], h["max_lag_ms"], h["sum_lag_ms"]) == (3, 6, 2, 1500, 1505)
+
+
+def test_output_volume(spark):
+    rows = [("i", "a", "12345", T0), ("i", "b", "12", T0 + dt.timedelta(seconds=30)),
+            ("j", "c", "1", T0 + dt.timedelta(minutes=1))]
+    df = spark.createDataFrame(rows, "index_name string, doc_id string, doc string, written_at timestamp")
+    got = sorted(tuple(r) for r in windows.output_volume(df).collect())
+    assert got == [(T0, "i", 2, 7), (T0 + dt.timedelta(minutes=1), "j", 1, 1)]

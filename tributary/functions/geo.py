@@ -40,11 +40,19 @@ def longitude(data: Column) -> Column:
 
 
 def location(data: Column) -> Column:
-    """``struct<lat float, lon float>``; ``(0, 0)`` when no valid pair is found."""
+    """``struct<lat float, lon float>``; ``(0, 0)`` when no valid pair is found.
+
+    The column names are joined and tested once for both needles; rows that
+    cannot have a pair (most tables) skip the per-column candidate search.
+    """
     lat, lon = latitude(data), longitude(data)
     point = F.struct(lat.alias("lat"), lon.alias("lon"))
     origin = F.struct(F.lit(0.0).cast("float").alias("lat"), F.lit(0.0).cast("float").alias("lon"))
-    return F.when(lat.isNotNull() & lon.isNotNull(), point).otherwise(origin).cast(LOCATION_TYPE)
+    names = F.lower(F.array_join(F.map_keys(data), "\n"))
+    maybe = F.coalesce(names.contains("lat") & names.contains("lon"), F.lit(False))
+    # nested, so the candidate search is not hoisted out of the guarded branch
+    found = F.when(maybe, F.when(lat.isNotNull() & lon.isNotNull(), point))
+    return F.coalesce(found, origin).cast(LOCATION_TYPE)
 
 
 def raw_location(data: Column) -> Column:
