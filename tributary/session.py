@@ -64,6 +64,10 @@ def shared_root(spark: SparkSession) -> str:
         return current
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every executor shares "
+                               "(HDFS or an object store); state merges and side tables are written there")
+        # local runs and tests only: a private folder on this machine
         root = tempfile.mkdtemp(prefix="tributary-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
