@@ -79,32 +79,37 @@ def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str
     of its documents). Replaying a batch gives the same state, since the
     winner is decided by the version order, not by arrival.
     """
-    reduced = with_bucket(reduce_documents(batch_docs), buckets)
-    if _state_exists(spark, state_path):
-        touched = reduced.select("index_name", "doc_bucket").distinct().collect()
-        by_index: dict[str, list[int]] = {}
-        for r in touched:
-            by_index.setdefault(r["index_name"], []).append(r["doc_bucket"])
-        if not by_index:
-            return reduced
-        cond = None
-        for idx, bks in by_index.items():
-            c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
-            cond = c if cond is None else (cond | c)
-        current = spark.read.parquet(state_path).where(cond)
-        both = current.unionByName(reduced.select(current.columns))
-        reads_target = True
-    else:
-        both = reduced
-        reads_target = False
-    clustered = both.repartition("index_name", "doc_bucket")
-    merged = reduce_documents(clustered, keys=("index_name", "doc_bucket", "doc_id"))
-    if reads_target:
-        # the write replaces files this plan reads: materialise it first
-        merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("index_name", "doc_bucket").parquet(state_path))
-    return merged
+    # the reduced batch is read twice (touched buckets, then the merge): keep it in memory;
+    # it holds one text row per document, not the parsed envelopes
+    reduced = with_bucket(reduce_documents(batch_docs), buckets).persist()
+    try:
+        if _state_exists(spark, state_path):
+            touched = reduced.select("index_name", "doc_bucket").distinct().collect()
+            by_index: dict[str, list[int]] = {}
+            for r in touched:
+                by_index.setdefault(r["index_name"], []).append(r["doc_bucket"])
+            if not by_index:
+                return reduced
+            cond = None
+            for idx, bks in by_index.items():
+                c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
+                cond = c if cond is None else (cond | c)
+            current = spark.read.parquet(state_path).where(cond)
+            both = current.unionByName(reduced.select(current.columns))
+            reads_target = True
+        else:
+            both = reduced
+            reads_target = False
+        clustered = both.repartition("index_name", "doc_bucket")
+        merged = reduce_documents(clustered, keys=("index_name", "doc_bucket", "doc_id"))
+        if reads_target:
+            # the write replaces files this plan reads: materialise it first
+            merged = merged.checkpoint(eager=True)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("index_name", "doc_bucket").parquet(state_path))
+        return merged
+    finally:
+        reduced.unpersist()
 
 
 def read_index(spark: SparkSession, state_path: str, index_name: str | None = None,
