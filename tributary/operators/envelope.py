@@ -55,9 +55,17 @@ def _dms_reason(value: Column, metadata: Column, data: Column, corrupt: Column)
 
 
 def last_wins(m: Column) -> Column:
-    """Map without duplicate keys, the last value kept (rebuilt only when a key repeats)."""
+    """Map without duplicate keys, the last value kept.
+
+    Rebuilt only when a key repeats; the earlier occurrences are filtered out
+    first, so the result does not depend on the session's map-key policy.
+    """
+    entries = F.map_entries(m)
+    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)),
+                                  lambda x: x["key"] == e["key"])
+    unique = F.filter(entries, lambda e, i: ~later(e, i))
     return F.when(F.size(F.array_distinct(F.map_keys(m))) < F.size(m),
-                  F.map_from_entries(F.map_entries(m))).otherwise(m)
+                  F.map_from_entries(unique)).otherwise(m)
 
 
 # Columns ``parse_dms`` adds (an input column of the same name is replaced).
