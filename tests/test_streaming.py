@@ -122,3 +122,20 @@ def test_replayed_batch_leaves_no_duplicates(spark):
     assert spark.read.parquet(f"{out}/pq").count() == 10
     assert spark.read.parquet(f"{out}/q").count() == 1
     assert spark.read.text(f"{out}/re").count() == 10
+
+
+def test_striim_envelopes_through_job(spark):
+    inp = scratch_path(spark, "striim-in")
+    ev = lambda k, op: json.dumps({"before": {}, "data": {"ID": str(k), "NAME": f"n{k}"},
+                                   "metadata": {"TableName": "S.T", "OperationName": op, "OperationType": "DML",
+                                                "TimeStamp": "2022-01-01T00:00:00.000-00:00", "DBTimeStamp": 1640995200},
+                                   "__striimmetadata": {"position": f"p{k}"}})
+    ddl = json.dumps({"metadata": {"TableName": "S.T", "OperationName": "ALTER", "OperationType": "DDL"}, "data": {}})
+    _write(inp, "f.txt", [ev(1, "INSERT"), ev(2, "UPDATE"), ev(3, "DELETE"), ddl, "not json"])
+    out = scratch_path(spark, "striim-out")
+    job.run_batch(spark, {"input_path": inp, "envelope": "striim", "output_documents": f"{out}/state",
+                          "output_quarantine": f"{out}/q", "id_mode": "key", "key_columns": ["ID"]})
+    docs = state.read_index(spark, f"{out}/state", apply_deletes=False).collect()
+    assert sorted((json.loads(d["doc"])["ID"], d["is_delete"]) for d in docs) == [("1", False), ("2", False), ("3", True)]
+    assert {d["index_name"] for d in docs} == {"dms_flink_t"}
+    assert spark.read.parquet(f"{out}/q").count() == 1

@@ -212,6 +212,32 @@ def parse_striim(df: DataFrame, value_col: str = "value",
     return out
 
 
+# Striim operation type of row changes.
+STRIIM_ROW_CHANGE = "DML"
+
+
+def striim_as_changes(parsed: DataFrame) -> DataFrame:
+    """Parsed Striim events in the shape routing expects.
+
+    ``metadata`` becomes a text map of the fields present, ``data`` a VARIANT
+    map (values stay text, as Striim sends them), ``record_type`` is ``data``
+    for DML events and ``control`` otherwise, ``operation`` is lower case (so
+    ``DELETE`` is a delete).
+    """
+    ok = F.col("parse_error").isNull()
+    meta = F.from_json(F.to_json(F.col("metadata")), "map<string,string>")
+    kind_col = F.when(F.upper(F.col("operation_type")) == F.lit(STRIIM_ROW_CHANGE), F.lit("data")) \
+                .otherwise(F.lit("control"))
+    return parsed.withColumns({
+        "metadata": F.when(ok, meta),
+        "data": F.when(ok, F.coalesce(F.col("data"), F.create_map().cast("map<string,string>"))
+                       .cast("map<string,variant>")),
+        "record_type": F.when(ok, kind_col),
+        "operation": F.lower(F.col("operation")),
+        "partition_key_type": F.lit(None).cast("string"),
+    })
+
+
 def parse_trip(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Typed trip records; epoch-millisecond times become timestamps."""
     t = F.from_json(F.col(value_col), TRIP_WIRE_SCHEMA, STRICT_JSON_OPTIONS)

@@ -542,3 +542,15 @@ def index_mappings(spark, sf_dir):
         F.try_variant_get(F.col("m"), "$.properties.p_retailprice.type", "string").alias("price_type"),
         F.try_variant_get(F.col("m"), "$.properties.p_name.fields.keyword.ignore_above", "int")
          .alias("name_ignore_above"))
+
+
+@register("striim_documents", """
+SELECT 'dms_flink_supplier' AS index_name, count(*) AS n_docs,
+       count(*) FILTER (WHERE s_suppkey % 3 = 2) AS n_deletes
+FROM supplier""")
+def striim_documents(spark, sf_dir):
+    """Striim events through the same routing as DMS rows (D2): one document per event."""
+    p = env.striim_as_changes(env.parse_striim(fx.striim_envelopes(spark, sf_dir, table="supplier")))
+    docs = routing.route(routing.only_data(p))
+    return docs.groupBy("index_name").agg(F.count("*").alias("n_docs"),
+                                          F.sum(F.col("is_delete").cast("long")).alias("n_deletes"))

@@ -80,7 +80,11 @@ def source_frame(spark: SparkSession, options: Mapping[str, Any], streaming: boo
 def parse_stage(records: DataFrame, options: Mapping[str, Any]) -> DataFrame:
     if options.get("unbatch"):
         records = env.unbatch(records)
-    parsed = env.parse_dms(records)
+    if options.get("envelope", "dms") == "striim":
+        parsed = env.striim_as_changes(env.parse_striim(records,
+                                                        positional_columns=options.get("positional_columns")))
+    else:
+        parsed = env.parse_dms(records)
     # user hooks: DataFrame -> DataFrame functions applied to the parsed rows
     for hook in options.get("transforms", ()):
         parsed = parsed.transform(hook)
