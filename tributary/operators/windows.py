@@ -60,6 +60,10 @@ def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_t
     3. only the first and last sub-session of each slice can join a
        neighbouring slice; those (at most two per slice) are chained per key,
        inner ones are final already.
+
+    The result does not depend on ``split``; a smaller slice bounds the work
+    of one task when a single key is dense in time (the chain step then sees
+    at most two rows per slice of that key).
     """
     gap_us = _interval_seconds(gap) * 1_000_000
     slice_us = _interval_seconds(split) * 1_000_000
