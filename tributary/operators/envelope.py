@@ -152,16 +152,22 @@ def unbatch(df: DataFrame, value_col: str = "value") -> DataFrame:
     A JSON array root ``[e1, e2]`` or an object ``{"data": [e1, e2]}`` without
     ``metadata`` is split into its elements; ``batch_pos`` is the position.
     Every other record passes through unchanged with ``batch_pos`` 0.
+
+    Only records whose text can be a batch (starts with ``[`` or has
+    ``"data"`` followed by ``[``) are parsed for the exact test; the others
+    pass through without a second parse.
     """
-    v = F.try_parse_json(F.col(value_col))
+    value = F.col(value_col)
+    maybe = F.coalesce(F.ltrim(value).startswith("[") | value.rlike(r'"data"\s*:\s*\['), F.lit(False))
+    v = F.try_parse_json(value)
     k = kind(v)
     inner = F.try_variant_get(v, "$.data", "variant")
     elems = (F.when(k.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
              .when(k.startswith("OBJECT") & F.try_variant_get(v, "$.metadata", "variant").isNull()
                    & F.coalesce(kind(inner).startswith("ARRAY"), F.lit(False)),
                    F.try_variant_get(v, "$.data", "array<variant>")))
-    texts = F.when(elems.isNull(), F.array(F.col(value_col))).otherwise(
-        F.transform(elems, lambda e: F.to_json(e)))
+    split = F.when(maybe, F.transform(elems, lambda e: F.to_json(e)))
+    texts = F.coalesce(split, F.array(value))
     others = [c for c in df.columns if c != value_col]
     return df.select(*others, F.posexplode(texts).alias("batch_pos", value_col))
 
