@@ -125,23 +125,36 @@ def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any]) -> No
                                    id_mode=options.get("id_mode", "content"), key_columns=key_columns,
                                    location_mode=options.get("location_mode", "object"))
             docs = sinks.document_rows(routed)
-            if options.get("output_document_log"):
-                (sinks.document_log_rows(routed).write.mode("overwrite").partitionBy("index_name")
-                     .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
-            if options.get("output_documents"):
-                state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),
-                                       buckets=int(options.get("state_buckets", state.DEFAULT_STATE_BUCKETS)))
+            both = options.get("output_documents") and options.get("output_document_log")
+            if both:
+                # two sinks read the routed versions: keep them (text columns only) in memory
+                docs = docs.persist()
+            try:
+                if options.get("output_document_log"):
+                    (docs.withColumn("written_at", F.current_timestamp())
+                         .write.mode("overwrite").partitionBy("index_name")
+                         .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
+                if options.get("output_documents"):
+                    state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),
+                                           buckets=int(options.get("state_buckets", state.DEFAULT_STATE_BUCKETS)))
+            finally:
+                if both:
+                    docs.unpersist()
         if options.get("output_json"):
             ts_col = "event_time"
             src = kept
             if options.get("json_time", "event") == "processing":
                 src, ts_col = kept.withColumn("_now", F.current_timestamp()), "_now"
             sinks.write_json_lines(src, f"{_prefixed(options, 'output_json')}/{tag}", ts_col=ts_col,
-                                   by_table=bool(options.get("json_by_table", False)), mode="overwrite")
+                                   by_table=bool(options.get("json_by_table", False)), mode="overwrite",
+                                   cluster=bool(options.get("cluster_layouts", True)))
         if options.get("output_parquet"):
             out = sinks.table_month_columns(kept.drop("value"))
             out = out.withColumns({"day": F.date_format("event_time", "dd"),
                                    "hour": F.date_format("event_time", "HH")})
+            if options.get("cluster_layouts", True):
+                # salt by event time: varies inside an hour folder and is cheap to hash
+                out = sinks.cluster_for_layout(out, ["table_name", "year", "month", "day", "hour"], "event_time")
             (out.write.mode("overwrite").partitionBy("table_name", "year", "month", "day", "hour")
                 .parquet(f"{_prefixed(options, 'output_parquet')}/{tag}"))
         if options.get("output_restream"):
