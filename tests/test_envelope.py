@@ -103,3 +103,14 @@ def test_striim(spark):
     assert rows[2]["position"] is None and rows[2]["parse_error"] is None
     assert rows[3]["parse_error"] == "metadata_missing"
     assert str(rows[0]["event_time"]) == "2022-01-01 00:00:00"
+
+
+def test_selection_rules_underscore_is_literal(spark):
+    vals = ['{"metadata": {"record-type": "data", "schema-name": "S", "table-name": "%s"}, "data": {}}' % t
+            for t in ("my_table", "myXtable", "other")]
+    df = routing.only_data(envelope.parse_dms(spark.createDataFrame([(v,) for v in vals], "value string")))
+    rules = [{"rule-type": "selection", "object-locator": {"schema-name": "S", "table-name": "my_table"},
+              "rule-action": "include"},
+             {"rule-type": "selection", "object-locator": {"schema-name": "%", "table-name": "oth%"},
+              "rule-action": "include"}]
+    assert sorted(r["table_name"] for r in routing.select_tables(df, rules).collect()) == ["my_table", "other"]

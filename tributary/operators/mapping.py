@@ -140,7 +140,8 @@ def apply_template(types: DataFrame, spark: SparkSession, templates: list[Mappin
         props = t.get("template", {}).get("mappings", {}).get("properties", {})
         for pattern in t.get("index_patterns", []):
             for fld, spec in props.items():
-                rules.append((pattern.replace("*", "%"), fld, spec.get("type", "object"),
+                like = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_").replace("*", "%")
+                rules.append((like, fld, spec.get("type", "object"),
                               spec.get("fields", {}).get("keyword", {}).get("ignore_above")))
     for pattern, fld, o_type, o_ign in reversed(rules):
         hit = F.col("index_name").like(pattern) & (F.col("field") == F.lit(fld))

@@ -37,6 +37,12 @@ def drop_branch(df: DataFrame) -> DataFrame:
          .otherwise(F.lit("data")))
 
 
+def rule_pattern(pattern: str) -> str:
+    """A selection-rule pattern as a LIKE pattern: only ``%`` is a wildcard,
+    so ``_`` (a LIKE wildcard) and the escape character are escaped."""
+    return pattern.replace("\\", "\\\\").replace("_", "\\_")
+
+
 def selection_predicate(rules: Iterable[Mapping]) -> Column:
     """Predicate from selection rules (``object-locator`` with ``%`` wildcards).
 
@@ -49,8 +55,8 @@ def selection_predicate(rules: Iterable[Mapping]) -> Column:
         if rule.get("rule-type", "selection") != "selection":
             continue
         loc = rule.get("object-locator", {})
-        match = (F.coalesce(F.col("schema_name"), F.lit("")).like(loc.get("schema-name", "%"))
-                 & F.coalesce(F.col("table_name"), F.lit("")).like(loc.get("table-name", "%")))
+        match = (F.coalesce(F.col("schema_name"), F.lit("")).like(rule_pattern(loc.get("schema-name", "%")))
+                 & F.coalesce(F.col("table_name"), F.lit("")).like(rule_pattern(loc.get("table-name", "%"))))
         if rule.get("rule-action", "include") == "exclude":
             exclude = exclude | match
         else:
