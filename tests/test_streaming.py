@@ -139,3 +139,30 @@ def test_striim_envelopes_through_job(spark):
     assert sorted((json.loads(d["doc"])["ID"], d["is_delete"]) for d in docs) == [("1", False), ("2", False), ("3", True)]
     assert {d["index_name"] for d in docs} == {"dms_flink_t"}
     assert spark.read.parquet(f"{out}/q").count() == 1
+
+
+def test_stream_rollups_equal_batch(spark):
+    from tributary.operators import envelope, routing, windows
+    from tributary.functions.variants import field
+    inp = scratch_path(spark, "roll-in")
+    lines = []
+    for k in range(60):
+        minute, sec = divmod(k * 7, 60)
+        lines.append(_envelope("t", k % 4, f"2022-01-01T00:{minute:02d}:{sec:02d}Z"))
+    _write(inp, "f.txt", lines + ["bad"])
+    opts = {"input_path": inp}
+    q = job.run_rollup(spark, {**opts, "output_memory": "roll_sessions", "checkpoint_location": scratch_path(spark, "ck1")},
+                       "sessions", "complete", key="id", key_type="bigint", gap="1 minute", watermark="1 hour")
+    q.awaitTermination()
+    q = job.run_rollup(spark, {**opts, "output_memory": "roll_health", "checkpoint_location": scratch_path(spark, "ck2")},
+                       "health", "complete", period="1 minute", watermark="1 hour")
+    q.awaitTermination()
+    parsed = envelope.parse_dms(job.source_frame(spark, opts, streaming=False))
+    kept = routing.only_data(parsed).withColumn("id", field(F.col("data"), "id", "bigint"))
+    want_s = sorted(tuple(r) for r in windows.session_counts(kept, "1 minute", "id").collect())
+    got_s = sorted(tuple(r) for r in spark.sql("select id, session_start, session_end, n from roll_sessions").collect())
+    assert got_s == want_s and len(got_s) >= 4
+    ok = F.col("parse_error").isNull() & F.coalesce(F.col("record_type") == "data", F.lit(False))
+    want_h = sorted(tuple(r) for r in windows.stream_health(parsed.withColumn("kept", ok), kept_col="kept").collect())
+    got_h = sorted(tuple(r) for r in spark.sql("select * from roll_health").collect())
+    assert got_h == want_h and sum(r[1] for r in got_h) == 61

@@ -199,17 +199,37 @@ def run_batch(spark: SparkSession, options: Mapping[str, Any]) -> None:
     fan_out(source_frame(spark, options, streaming=False), 0, options)
 
 
-def run_window_counts(spark: SparkSession, options: Mapping[str, Any], size: str = "1 second",
-                      watermark: str = "100 milliseconds", output_mode: str = "append") -> StreamingQuery:
-    """Event-time counts per table from the stream (watermarked; late rows are
-    dropped and show up in ``numRowsDroppedByWatermark``)."""
+def _rollup_frame(parsed: DataFrame, rollup: str, params: Mapping[str, Any]) -> DataFrame:
+    from tributary.functions.variants import field
     from tributary.operators import windows
+    watermark = params.get("watermark", windows.DEFAULT_WATERMARK)
+    if rollup == "window_counts":
+        return windows.table_window_counts(routing.only_data(parsed), params.get("size", windows.DEFAULT_WINDOW),
+                                           watermark=watermark)
+    if rollup == "sessions":
+        key = params["key"]
+        kept = routing.only_data(parsed).withColumn(key, field(F.col("data"), key, params.get("key_type", "string")))
+        return windows.session_counts_stream(kept, params.get("gap", "30 minutes"), key, watermark=watermark)
+    if rollup == "health":
+        kept = F.col("parse_error").isNull() & F.coalesce(F.col("record_type") == "data", F.lit(False))
+        return windows.stream_health(parsed.withColumn("kept", kept), params.get("period", "1 minute"),
+                                     kept_col="kept", watermark=watermark)
+    raise JobConfigError(f"unknown rollup {rollup!r}")
+
+
+def run_rollup(spark: SparkSession, options: Mapping[str, Any], rollup: str = "window_counts",
+               output_mode: str = "append", **params: Any) -> StreamingQuery:
+    """Event-time rollup of the stream: ``window_counts`` (W2: ``size``),
+    ``sessions`` (W3: ``key``, ``gap``) or ``health`` (M1-M3: ``period``,
+    windowed on arrival time). Watermarked (W1); late rows are dropped and
+    show up in ``numRowsDroppedByWatermark`` (W4). Sinks: ``output_memory``
+    (query name), ``output_parquet`` (append mode) or the console."""
     validate({**options, "output_discarding": True})
     prepare(spark)
     parsed = parse_stage(source_frame(spark, options, streaming=True), options)
-    counts = windows.table_window_counts(routing.only_data(parsed), size, watermark=watermark)
-    checkpoint = options.get("checkpoint_location") or scratch_path(spark, "window-checkpoint")
-    w = counts.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    out = _rollup_frame(parsed, rollup, params)
+    checkpoint = options.get("checkpoint_location") or scratch_path(spark, f"{rollup}-checkpoint")
+    w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if options.get("output_memory"):
         w = w.format("memory").queryName(options["output_memory"])
     elif options.get("output_parquet"):
@@ -219,3 +239,9 @@ def run_window_counts(spark: SparkSession, options: Mapping[str, Any], size: str
     trig = options.get("trigger", "available_now")
     w = w.trigger(availableNow=True) if trig == "available_now" else w.trigger(processingTime=trig)
     return w.start()
+
+
+def run_window_counts(spark: SparkSession, options: Mapping[str, Any], size: str = "1 second",
+                      watermark: str = "100 milliseconds", output_mode: str = "append") -> StreamingQuery:
+    """Tumbling event-time counts per table from the stream (see :func:`run_rollup`)."""
+    return run_rollup(spark, options, "window_counts", output_mode, size=size, watermark=watermark)
