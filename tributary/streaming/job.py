@@ -94,6 +94,30 @@ def parse_stage(records: DataFrame, options: Mapping[str, Any]) -> DataFrame:
     return parsed
 
 
+def _route(df: DataFrame, options: Mapping[str, Any]) -> DataFrame:
+    return routing.route(df, prefix=options.get("index_prefix", routing.INDEX_PREFIX),
+                         id_mode=options.get("id_mode", "content"), key_columns=options.get("key_columns"),
+                         location_mode=options.get("location_mode", "object"))
+
+
+def _document_sinks(spark: SparkSession, docs: DataFrame, options: Mapping[str, Any], tag: str) -> None:
+    both = options.get("output_documents") and options.get("output_document_log")
+    if both:
+        # two sinks read the routed versions: keep them (text columns only) in memory
+        docs = docs.persist()
+    try:
+        if options.get("output_document_log"):
+            (docs.withColumn("written_at", F.current_timestamp())
+                 .write.mode("overwrite").partitionBy("index_name")
+                 .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
+        if options.get("output_documents"):
+            state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),
+                                   buckets=int(options.get("state_buckets", state.DEFAULT_STATE_BUCKETS)))
+    finally:
+        if both:
+            docs.unpersist()
+
+
 def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any]) -> None:
     """Parse one batch of raw records and write it to every chosen sink.
 
@@ -115,31 +139,31 @@ def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any]) -> No
         good, bad = env.split_quarantine(batch)
         kept = routing.only_data(good)
         tag = f"batch_id={batch_id}"
-        if options.get("output_quarantine"):
-            (env.quarantine_view(bad).write.mode("overwrite")
-                .parquet(f"{_prefixed(options, 'output_quarantine')}/{tag}"))
         need_routed = options.get("output_documents") or options.get("output_document_log")
-        if need_routed:
-            key_columns = options.get("key_columns")
-            routed = routing.route(kept, prefix=options.get("index_prefix", routing.INDEX_PREFIX),
-                                   id_mode=options.get("id_mode", "content"), key_columns=key_columns,
-                                   location_mode=options.get("location_mode", "object"))
-            docs = sinks.document_rows(routed)
-            both = options.get("output_documents") and options.get("output_document_log")
-            if both:
-                # two sinks read the routed versions: keep them (text columns only) in memory
-                docs = docs.persist()
+        map_sinks = any(options.get(k) for k in ("output_json", "output_parquet", "output_restream",
+                                                  "output_discarding", "output_console"))
+        if need_routed and options.get("output_quarantine") and not map_sinks:
+            # text-only sinks: route every row once and keep the narrow text rows, so the
+            # quarantine and the document sinks share one parse of the batch
+            is_kept = (F.col("parse_error").isNull() & F.col("metadata").isNotNull()
+                       & F.coalesce(F.col("record_type") == F.lit(routing.DATA_RECORD_TYPE), F.lit(False)))
+            routed_all = _route(batch, options)
+            narrow = routed_all.select(
+                F.when(F.col("parse_error").isNotNull(), F.col("value")).alias("value"), "parse_error",
+                is_kept.alias("_kept"), "index_name", "doc_id", "doc", "is_delete", "operation",
+                "event_time", "seq", *[c for c in ("arrival_time",) if c in batch.columns]).persist()
             try:
-                if options.get("output_document_log"):
-                    (docs.withColumn("written_at", F.current_timestamp())
-                         .write.mode("overwrite").partitionBy("index_name")
-                         .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
-                if options.get("output_documents"):
-                    state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),
-                                           buckets=int(options.get("state_buckets", state.DEFAULT_STATE_BUCKETS)))
+                (env.quarantine_view(narrow.where(F.col("parse_error").isNotNull())).write.mode("overwrite")
+                    .parquet(f"{_prefixed(options, 'output_quarantine')}/{tag}"))
+                _document_sinks(spark, sinks.document_rows(narrow.where(F.col("_kept"))), options, tag)
             finally:
-                if both:
-                    docs.unpersist()
+                narrow.unpersist()
+        else:
+            if options.get("output_quarantine"):
+                (env.quarantine_view(bad).write.mode("overwrite")
+                    .parquet(f"{_prefixed(options, 'output_quarantine')}/{tag}"))
+            if need_routed:
+                _document_sinks(spark, sinks.document_rows(_route(kept, options)), options, tag)
         if options.get("output_json"):
             ts_col = "event_time"
             src = kept
