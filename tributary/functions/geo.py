@@ -58,7 +58,7 @@ def location(data: Column) -> Column:
 def raw_location(data: Column) -> Column:
     """Unvalidated point from upper-case ``LAT``/``LON`` keys, as the raw helper did.
 
-    Values are copied as they are (text of the first matching column), with no
+    Values are copied as they are (the first matching column's JSON value), with no
     numeric or range test; a missing side is null.
     """
     def first(needle: str) -> Column:
