@@ -97,3 +97,14 @@ def test_output_volume(spark):
     df = spark.createDataFrame(rows, "index_name string, doc_id string, doc string, written_at timestamp")
     got = sorted(tuple(r) for r in windows.output_volume(df).collect())
     assert got == [(T0, "i", 2, 7), (T0 + dt.timedelta(minutes=1), "j", 1, 1)]
+
+
+def test_merge_semi_join_pruning(spark, monkeypatch):
+    monkeypatch.setattr(state, "MAX_PRUNING_TERMS", 0)
+    path = scratch_path(spark, "state-semi")
+    b1 = _docs(spark, [("i", "a", "v1", False, "u", T0, 1), ("j", "z", "z1", False, "u", T0, 2)])
+    b2 = _docs(spark, [("i", "a", "v2", False, "u", T0, 3), ("i", "b", "b1", True, "delete", T0, 4)])
+    state.merge_into_state(spark, b1, path, buckets=4)
+    state.merge_into_state(spark, b2, path, buckets=4)
+    got = {(r["index_name"], r["doc_id"]): r["doc"] for r in state.read_index(spark, path).collect()}
+    assert got == {("i", "a"): "v2", ("j", "z"): "z1"}

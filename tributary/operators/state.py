@@ -20,6 +20,8 @@ STATE_COLUMNS = ("doc", "is_delete", "operation", "event_time", "seq")
 # Fixed default: hash buckets per index in the state table; a merge rewrites
 # only the (index, bucket) partitions its batch touches.
 DEFAULT_STATE_BUCKETS = 16
+# Fixed default: above this many touched partitions the merge prunes by semi-join, not by an OR filter.
+MAX_PRUNING_TERMS = 1000
 
 
 def reduce_documents(docs: DataFrame, order: Sequence[str] = ("event_time", "seq"),
@@ -84,17 +86,25 @@ def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str
     reduced = with_bucket(reduce_documents(batch_docs), buckets).persist()
     try:
         if _state_exists(spark, state_path):
-            touched = reduced.select("index_name", "doc_bucket").distinct().collect()
-            by_index: dict[str, list[int]] = {}
-            for r in touched:
-                by_index.setdefault(r["index_name"], []).append(r["doc_bucket"])
-            if not by_index:
+            touched_df = reduced.select("index_name", "doc_bucket").distinct()
+            touched = touched_df.collect()  # bounded by indexes x buckets
+            if not touched:
                 return reduced
-            cond = None
-            for idx, bks in by_index.items():
-                c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
-                cond = c if cond is None else (cond | c)
-            current = spark.read.parquet(state_path).where(cond)
+            if len(touched) <= MAX_PRUNING_TERMS:
+                by_index: dict[str, list[int]] = {}
+                for r in touched:
+                    by_index.setdefault(r["index_name"], []).append(r["doc_bucket"])
+                cond = None
+                for idx, bks in by_index.items():
+                    c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
+                    cond = c if cond is None else (cond | c)
+                current = spark.read.parquet(state_path).where(cond)
+            else:
+                # many touched partitions: a semi-join on the partition columns; the touched list is
+                # bounded by indexes x buckets (configuration, not data), and dynamic partition
+                # pruning still restricts the scan to those partitions
+                current = spark.read.parquet(state_path).join(
+                    F.broadcast(touched_df), ["index_name", "doc_bucket"], "left_semi")
             both = current.unionByName(reduced.select(current.columns))
             reads_target = True
         else:
