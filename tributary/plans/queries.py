@@ -232,6 +232,44 @@ def geo_points(spark, sf_dir):
                        F.col("location.lon").cast("double").alias("lon"))
 
 
+@register("geo_array_points", f"""
+SELECT c_custkey,
+       CAST(CAST(CASE WHEN c_custkey % 10 IN (0, 1, 2, 3, 9) THEN {_LAT} ELSE 0 END AS FLOAT) AS DOUBLE) AS lat,
+       CAST(CAST(CASE WHEN c_custkey % 10 IN (0, 1, 2, 3, 9) THEN {_LON} ELSE 0 END AS FLOAT) AS DOUBLE) AS lon
+FROM customer""")
+def geo_array_points(spark, sf_dir):
+    """Documents with ``location`` as ``[lat, lon]`` (J3), read back from the document text."""
+    docs = routed(spark, fx.geo_envelopes(spark, sf_dir), location_mode="array")
+    d = F.parse_json(F.col("doc"))
+    return docs.select(field(F.col("data"), "c_custkey", "bigint").alias("c_custkey"),
+                       F.try_variant_get(d, "$.location[0]", "double").alias("lat"),
+                       F.try_variant_get(d, "$.location[1]", "double").alias("lon"))
+
+
+@register("geo_raw_points", f"""
+SELECT c_custkey,
+       CASE c_custkey % 10 WHEN 2 THEN NULL WHEN 4 THEN 91.0 WHEN 6 THEN 'NaN'::DOUBLE WHEN 8 THEN 42.0
+            ELSE {_LAT} END AS lat,
+       c_custkey % 10 IN (3, 6) AS lat_quoted,
+       CASE c_custkey % 10 WHEN 2 THEN NULL WHEN 5 THEN 181.0 WHEN 7 THEN NULL WHEN 8 THEN NULL
+            ELSE {_LON} END AS lon,
+       c_custkey % 10 = 3 AS lon_quoted
+FROM customer""")
+def geo_raw_points(spark, sf_dir):
+    """Documents whose location is copied unvalidated from ``LAT``/``LON`` columns
+    (G5, J4): out-of-range and text values pass through, ``PLATE_NO`` counts as ``LAT``."""
+    docs = routed(spark, fx.geo_envelopes(spark, sf_dir), location_mode="raw")
+    d = F.parse_json(F.col("doc"))
+
+    def side(name: str) -> list:
+        v = F.try_variant_get(d, f"$.location.{name}", "variant")
+        return [F.try_variant_get(d, f"$.location.{name}", "double").alias(name),
+                F.startswith(F.to_json(v), F.lit('"')).alias(f"{name}_quoted")]
+
+    return docs.select(field(F.col("data"), "c_custkey", "bigint").alias("c_custkey"),
+                       *side("lat"), *side("lon"))
+
+
 # --- J1 J2: documents ---------------------------------------------------------------------
 
 @register("doc_fields", """
