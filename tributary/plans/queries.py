@@ -538,6 +538,18 @@ def stream_health(spark, sf_dir):
                     "records_kept", "max_lag_ms", "sum_lag_ms")
 
 
+@register("output_volume", """
+SELECT strftime(date_trunc('minute', ts + to_milliseconds(event_id % 5000)), '%Y-%m-%d %H:%M:%S') AS period_start,
+       'dms_flink_events' AS index_name, count(*) AS rows_out
+FROM events WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7) GROUP BY ALL""")
+def output_volume(spark, sf_dir):
+    """Documents written per minute of arrival and index (M4). ``bytes_out`` depends on
+    the exact document text, so only row counts are compared here; bytes are unit-tested."""
+    docs = routed(spark, fx.events_envelopes(spark, sf_dir, plant=True))
+    v = windows.output_volume(docs, ts_col="arrival_time")
+    return v.select(F.date_format("period_start", SECOND_FMT).alias("period_start"), "index_name", "rows_out")
+
+
 # --- S1 O6 T3: start position, re-stream records, mapping text --------------------------------
 
 START_TIMESTAMP = "2024-01-15 00:00:00"
