@@ -98,6 +98,15 @@ def quarantine_reasons(spark, sf_dir):
                   .agg(F.count("*").alias("n")))
 
 
+@register("conformance", """
+SELECT o_orderkey % 100 NOT IN (0, 1, 4, 5, 7, 8) AS conforms, count(*) AS n
+FROM orders GROUP BY ALL""")
+def conformance(spark, sf_dir):
+    """Envelope schema check (P7): ``metadata`` and ``data`` present, both objects."""
+    recs = fx.orders_envelopes(spark, sf_dir, plant=True)
+    return recs.groupBy(env.conforms(F.col("value")).alias("conforms")).agg(F.count("*").alias("n"))
+
+
 @register("control_dropped", """
 SELECT branch, count(*) AS n FROM (
   SELECT CASE WHEN o_orderkey % 100 IN (1, 4, 5, 6, 7) THEN 'quarantined'
