@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.session import scratch_path
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -23,3 +25,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_minhash_near_dedup(spark, sf_dir):
     from tributary.llm.minhash import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_secret_blob_ledger(spark, sf_dir):
+    from tributary.llm.secrets import secrets
+    return secrets(_table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
+
+
+@_query
+def op6_quality_suffix_array(spark, sf_dir):
+    from tributary.llm.quality import quality
+    return quality(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_token_counts(spark, sf_dir):
+    import public_tokenizers
+    from tributary.llm import tokens
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(tokens.MODEL))
