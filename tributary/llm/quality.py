@@ -34,8 +34,8 @@ REPEAT_WINDOW = 3
 SYMBOLS = b"#*$%&|<>"
 # Limits of the suffix-array rule.
 MIN_REPEAT = 12
-MAX_COVERED_PERCENT = 40
-MAX_LONGEST_PERCENT = 30
+MAX_COVERED_PERCENT = 30
+MAX_LONGEST_PERCENT = 20
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True

@@ -44,3 +44,9 @@ def op10_token_counts(spark, sf_dir):
     import public_tokenizers
     from tributary.llm import tokens
     return tokens.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(tokens.MODEL))
+
+
+@_query
+def op3_run_length_index_dedup(spark, sf_dir):
+    from tributary.llm.substrings import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents"))
