@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.session import scratch_path
 
@@ -50,3 +51,103 @@ def op10_token_counts(spark, sf_dir):
 def op3_run_length_index_dedup(spark, sf_dir):
     from tributary.llm.substrings import remove_repeats
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_best_fit_packing(spark, sf_dir):
+    from tributary.llm.packing import pack
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_greedy_string_tiling(spark, sf_dir):
+    from tributary.llm.tiling import contaminated
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """Pages as captures; the fetch day is a function of the page id."""
+    return pages.select("page_id", "url", F.expr("date_add(date'2024-01-01', cast(pmod(page_id * 37, 365) as int))").alias("fetched"))
+
+
+def _list_log(pages: DataFrame) -> DataFrame:
+    """A dated list over all hosts, parent domains and first path segments of the pages: each entry is
+    added, removed and added again on days its hash gives."""
+    from tributary.llm.urls import host
+    h = host(F.col("url"))
+    segment = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)", 1)
+    entries = (pages.where(h.isNotNull()).select(F.explode(F.array(
+        h, F.array_join(F.slice(F.split(h, r"\."), -F.least(F.size(F.split(h, r"\.")), F.lit(3)), 3), "."),
+        F.concat(h, F.lit("/"), segment))).alias("entry")).distinct())
+    n = F.conv(F.substring(F.md5("entry"), 1, 6), 16, 10).cast("bigint")
+    return entries.select("entry", n.alias("n")).selectExpr(
+        "entry", "explode(array("
+        "struct(cast(n % 300 as int) as day, 'add' as action), "
+        "struct(cast(n % 300 + 15 + (n div 300) % 45 as int) as day, 'remove' as action), "
+        "struct(cast(n % 300 + 120 + (n div 7) % 60 as int) as day, 'add' as action))) as e").selectExpr(
+        "entry", "date_add(date'2024-01-01', e.day) as at", "e.action as action")
+
+
+@_query
+def op7_temporal_url_filter(spark, sf_dir):
+    from tributary.llm.urls import blocked
+    pages = _table(spark, sf_dir, "pages")
+    return blocked(_captures(pages), _list_log(pages))
+
+
+ORACLE_SQL["op7_temporal_url_filter"] = r"""
+WITH captures AS (
+  SELECT row_number() OVER () AS rn, page_id, url, DATE '2024-01-01' + CAST((page_id * 37) % 365 AS INTEGER) AS fetched,
+         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.$', ''), '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS segment
+  FROM pages),
+entries AS (
+  SELECT host AS entry FROM captures WHERE host IS NOT NULL
+  UNION SELECT array_to_string(string_split(host, '.')[-3:], '.') FROM captures WHERE host IS NOT NULL
+  UNION SELECT host || '/' || segment FROM captures WHERE host IS NOT NULL),
+numbered AS (SELECT entry, CAST('0x' || substr(md5(entry), 1, 6) AS BIGINT) AS n FROM entries),
+log AS (
+  SELECT entry, n % 300 AS day, 'add' AS action FROM numbered
+  UNION ALL SELECT entry, n % 300 + 15 + (n // 300) % 45, 'remove' FROM numbered
+  UNION ALL SELECT entry, n % 300 + 120 + (n // 7) % 60, 'add' FROM numbered),
+one AS (SELECT entry, DATE '2024-01-01' + CAST(day AS INTEGER) AS day_at, max(action) AS action FROM log GROUP BY entry, day),
+spans AS (SELECT entry, action, day_at AS since, lead(day_at) OVER (PARTITION BY entry ORDER BY day_at) AS until FROM one),
+candidates AS (
+  SELECT rn, fetched, host || '/' || segment AS entry FROM captures WHERE segment <> ''
+  UNION
+  SELECT rn, fetched, array_to_string(string_split(host, '.')[i:], '.')
+  FROM (SELECT rn, fetched, host, unnest(range(1, greatest(len(string_split(host, '.')), 2))) AS i FROM captures)),
+hits AS (
+  SELECT c.rn, count(*) AS n, min(c.entry) AS first_entry
+  FROM candidates c JOIN spans s ON c.entry = s.entry AND s.action = 'add'
+   AND c.fetched >= s.since AND (s.until IS NULL OR c.fetched < s.until) GROUP BY c.rn)
+SELECT c.page_id, c.url, c.fetched, coalesce(h.n, 0) AS n_entries, h.first_entry, coalesce(h.n, 0) > 0 AS blocked
+FROM captures c LEFT JOIN hits h USING (rn)"""
+
+
+@_query
+def op9_line_hash_dedup(spark, sf_dir):
+    from tributary.llm.lines import repeated_units
+    return repeated_units(_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op9_line_hash_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, line, i - 1 AS unit,
+         sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+units AS (
+  SELECT doc_id, unit, start, start + length(line) AS stop,
+         trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t\n\v\f\r ]+', ' ', 'g'), ' ') AS norm
+  FROM lines),
+used AS (SELECT * FROM units WHERE norm <> '' AND len(string_split(norm, ' ')) >= 8),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) AS place FROM used),
+per AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (place > 1) AS n_removed,
+         coalesce(sum(stop - start) FILTER (place > 1), 0) AS removed_chars,
+         coalesce(string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (place > 1), '') AS removed
+  FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+       CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN per USING (doc_id)"""

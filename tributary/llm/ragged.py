@@ -31,6 +31,8 @@ _COEF = np.cumprod(np.full(256, _STEP, np.uint64), dtype=np.uint64)  # word posi
 _SHORT = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 _powers = np.ones(1, np.uint64)
 
 
@@ -112,11 +114,17 @@ def _word_piece(buf: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> tuple[
     return size, h
 
 
-def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False) -> Words:
-    """All words ``[^\\x20\\x09-\\x0D]+`` of a block; a word never crosses texts."""
+def words(buf: np.ndarray, offs: np.ndarray, lower: bool = False, punctuation: bool = True) -> Words:
+    """All words ``[^\\x20\\x09-\\x0D]+`` of a block; a word never crosses texts.
+
+    ``lower`` folds A-Z; without ``punctuation`` every ASCII character but
+    letters and digits separates words too.
+    """
     n_docs = len(offs) - 1
     if lower:
         buf = _LOWER[buf]
+    if not punctuation:
+        buf = _PLAIN[buf]
     if not len(buf):
         z = np.zeros(0, np.int64)
         return Words(z, z, z, np.zeros(0, np.uint64), np.zeros(n_docs + 1, np.int64))
