@@ -63,8 +63,13 @@ def test_only_unseen_pairs_are_scanned(spark, frame):
     assert S.read_ledger(spark, path).where("rule_version = 'rules-2'").count() == 3
 
 
-def test_extra_kinds_and_redaction():
+def test_extra_kinds_and_redaction(spark, frame):
     text = "a gh" + "p_" + "A" * 36 + " b password=hunter2hunter2 c"
     assert [k for k, _, _ in S.find(text)] == ["github", "assign"]
-    assert S.redact(text) == "a [SECRET] b [SECRET] c"
-    assert S.redact("clean") == "clean"
+    assert S.redact("0123456789", "a:1:4,b:3:6,c:8:9") == "0[SECRET]67[SECRET]9"
+    assert S.redact("clean", "") == "clean"
+    df = frame([text, "clean", None, text], [1, 2, None, 1]).selectExpr("'x' as _extra", "*")
+    out = S.redacted(df, scratch_path(spark, "ledger"))
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == sorted(
+        [(1, "a [SECRET] b [SECRET] c"), (2, "clean"), (0, ""), (1, "a [SECRET] b [SECRET] c")])

@@ -170,17 +170,33 @@ def measure(buf: np.ndarray, offs: np.ndarray, min_repeat: int = MIN_REPEAT) ->
             "n_covered_words": covered, "longest_repeat": longest, "n_maximal_repeats": repeats}
 
 
+def _judged(buf: np.ndarray, offs: np.ndarray, min_repeat: int, max_covered_percent: int,
+            max_longest_percent: int) -> dict[str, np.ndarray]:
+    m = measure(buf, offs, min_repeat)
+    n = m["n_words"]
+    m["base_failed"] = (n < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_WORDS_PERCENT * n)
+    m["kept"] = ~(m["base_failed"] | (100 * m["n_covered_words"] > max_covered_percent * n)
+                  | (100 * m["longest_repeat"] > max_longest_percent * n))
+    return m
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_repeat: int = MIN_REPEAT,
             max_covered_percent: int = MAX_COVERED_PERCENT, max_longest_percent: int = MAX_LONGEST_PERCENT) -> DataFrame:
     """Per row: the base counts, base_failed, kept, and the suffix-array measures."""
     def task(batches):
         for part, buf, offs in ragged.blocks(batches, "text"):
-            m = measure(buf, offs, min_repeat)
-            n = m["n_words"]
-            m["base_failed"] = (n < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_WORDS_PERCENT * n)
-            m["kept"] = ~(m["base_failed"] | (100 * m["n_covered_words"] > max_covered_percent * n)
-                          | (100 * m["longest_repeat"] > max_longest_percent * n))
+            m = _judged(buf, offs, min_repeat, max_covered_percent, max_longest_percent)
             names = [f.split()[0] for f in SCHEMA.split(", ")[1:]]
             yield pa.RecordBatch.from_arrays([part.column(0)] + [pa.array(m[c]) for c in names], ["doc_id", *names])
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                 .mapInArrow(task, SCHEMA))
+
+
+def quality_filter(docs: DataFrame, text_col: str = "text", *, min_repeat: int = MIN_REPEAT,
+                   max_covered_percent: int = MAX_COVERED_PERCENT,
+                   max_longest_percent: int = MAX_LONGEST_PERCENT) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns."""
+    def task(batches):
+        for part, buf, offs in ragged.blocks(batches, text_col):
+            yield part.filter(pa.array(_judged(buf, offs, min_repeat, max_covered_percent, max_longest_percent)["kept"]))
+    return docs.mapInArrow(task, docs.schema)

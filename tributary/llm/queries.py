@@ -151,3 +151,9 @@ per AS (
 SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
        CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
 FROM documents d LEFT JOIN per USING (doc_id)"""
+
+
+@_query
+def op8_wrapper_induction(spark, sf_dir):
+    from tributary.llm.html import main_text
+    return main_text(_table(spark, sf_dir, "pages"))

@@ -24,6 +24,7 @@ import hashlib
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,14 +72,15 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def redact(text: str, mark: str = "[SECRET]") -> str:
-    """The text with every found span, overlapping ones united, replaced by ``mark``."""
+def redact(text: str, spans: str, mark: str = "[SECRET]") -> str:
+    """The text with every span of ``kind:start:end,...``, overlapping ones united, replaced by ``mark``."""
     out, at = [], 0
-    for _, a, b in find(text):
+    for span in filter(None, spans.split(",")):
+        a, b = map(int, span.split(":")[1:])
         if a >= at:
             out += [text[at:a], mark]
         at = max(at, b)
-    return "".join(out) + text[at:] if out else text
+    return "".join(out) + text[at:]
 
 
 def _blob(text_col: str) -> F.Column:
@@ -135,3 +137,21 @@ def secrets(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col:
     """Scan what is new, then the findings of every row of ``docs``."""
     scan_new(docs, ledger_path, id_col, text_col, rule_version)
     return findings(docs, ledger_path, id_col, text_col, rule_version)
+
+
+def redacted(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col: str = "text",
+             rule_version: str = RULE_VERSION) -> DataFrame:
+    """All rows of ``docs`` with their columns, secrets of the text replaced by a mark; scans what is new first."""
+    scan_new(docs, ledger_path, id_col, text_col, rule_version)
+    dirty = (read_ledger(docs.sparkSession, ledger_path).where((F.col("rule_version") == rule_version) & (F.col("spans") != ""))
+             .dropDuplicates(["blob"]).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")))
+    rows = docs.join(dirty, _blob(text_col) == F.col("_blob"), "left").drop("_blob")
+
+    def task(batches):
+        for batch in batches:
+            i, spans = batch.schema.get_field_index(text_col), batch.column(batch.num_columns - 1).to_pylist()
+            texts = [t if s is None or t is None else redact(t, s) for t, s in zip(batch.column(i).to_pylist(), spans)]
+            cols = batch.columns[:-1]
+            cols[i] = pa.array(texts, batch.schema.field(i).type)
+            yield pa.RecordBatch.from_arrays(cols, batch.schema.names[:-1])
+    return rows.mapInArrow(task, docs.schema)

@@ -135,22 +135,26 @@ class Seeds:
                 yield doc, item, covered, len(found), max(n for _, _, n in found)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", *, min_match: int = MIN_MATCH,
-                 min_coverage_percent: int = MIN_COVERAGE_PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per text and item it is contaminated by."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+def _seed_blocks(benchmark: DataFrame, item_col: str, text_col: str, min_match: int, block_words: int):
+    """Broadcast seeds of the benchmark, block by block; a block has a bounded number of words."""
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     # half the bytes bound the words of a text
     size = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
     n_blocks = int(size // block_words) + 1
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    results = []
     for b in range(n_blocks):
         rows = items.where(block == b).collect()
-        seeds = spark.sparkContext.broadcast(Seeds([r.item_id for r in rows], [r.text for r in rows], min_match))
+        yield benchmark.sparkSession.sparkContext.broadcast(
+            Seeds([r.item_id for r in rows], [r.text for r in rows], min_match))
+
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text", *, min_match: int = MIN_MATCH,
+                 min_coverage_percent: int = MIN_COVERAGE_PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per text and item it is contaminated by."""
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    results = []
+    for seeds in _seed_blocks(benchmark, item_col, item_text_col, min_match, block_words):
         def task(batches, seeds=seeds):
             s = seeds.value
             for part, buf, offs in ragged.blocks(batches, "text"):
@@ -163,3 +167,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                                                  [f.split()[0] for f in SCHEMA.split(", ")])
         results.append(docs.mapInArrow(task, SCHEMA))
     return reduce(DataFrame.union, results)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                      item_text_col: str = "text", *, min_match: int = MIN_MATCH,
+                      min_coverage_percent: int = MIN_COVERAGE_PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that no item contaminates, with all their columns."""
+    for seeds in _seed_blocks(benchmark, item_col, item_text_col, min_match, block_words):
+        def task(batches, seeds=seeds):
+            for part, buf, offs in ragged.blocks(batches, text_col):
+                keep = np.ones(part.num_rows, bool)
+                w = ragged.words(buf, offs, lower=True, punctuation=False)
+                keep[[d for d, *_ in seeds.value.matches(w, min_coverage_percent)]] = False
+                yield part.filter(pa.array(keep))
+        docs = docs.mapInArrow(task, docs.schema)
+    return docs
