@@ -44,10 +44,17 @@ def test_canonical_text_and_content_id(spark):
 
 def test_key_id(spark):
     rows = _routed(spark, ['{"id": 7, "v": 1}', '{"id": 7, "v": 2}'], id_mode="key", key_columns=["id"])
-    want = hashlib.md5(hashlib.md5(b"S.T{id=7}").digest()).hexdigest()
+    want = hashlib.md5(hashlib.md5(b"1:S.T{id=1:7}").digest()).hexdigest()
     assert rows[0]["doc_id"] == rows[1]["doc_id"] == want
 
 
+def test_key_ids_do_not_collide(spark):
+    rows = _routed(spark, ['{"a": "x, b=y", "b": "z"}', '{"a": "x", "b": "y, b=z"}', '{"v": 1}', '{"a": null, "b": 1}'],
+                   id_mode="key", key_columns=["a", "b"])
+    assert rows[0]["doc_id"] != rows[1]["doc_id"]
+    assert [(r["doc_id"], r["route_error"]) for r in rows[2:]] == [(None, "key_missing")] * 2
+
+
 def test_document_envelope_wins(spark):
     rows = _routed(spark, ['{"location": "row", "metadata": "row", "x": 1}'])
     doc = json.loads(rows[0]["doc"])
@@ -61,6 +68,10 @@ def test_document_forms(spark):
     assert arr["location"] == [1.5, 2.5]
     raw = json.loads(_routed(spark, ['{"LAT": 99, "LON": 2.5}'], location_mode="raw")[0]["doc"])
     assert raw["location"] == {"lat": 99, "lon": 2.5}
+    texts = [r["doc"] for r in _routed(spark, ['{"LAT": 1, "MY_LAT": "q", "X": 3}', "{}"], location_mode="raw")]
+    assert '"location":{"lat":1,"lat":"q"}' in texts[0] and '"location":{}' in texts[1]
+    empty = _routed(spark, ["{}"], location_mode="array")[0]["doc"]
+    assert empty.startswith('{"data":null,"location":[0.0,0.0],"metadata":{')
 
 
 def test_value_types(spark):
@@ -75,6 +86,13 @@ def test_value_types(spark):
                      "t3": "text", "t4": "text"}
 
 
+def test_nulls_do_not_change_a_type(spark):
+    df = _routed_df(spark, ['{"n": null, "d": null, "z": null}', '{"n": 3, "d": "2022-01-01T00:00:00Z", "z": null}',
+                            '{"n": null, "d": null}'])
+    types = {r["field"]: (r["es_type"], r["n"]) for r in mapping.field_types(df, include_envelope=False).collect()}
+    assert types == {"n": ("long", 3), "d": ("date", 3), "z": ("text", 2)}
+
+
 def test_ignore_above(spark):
     df = _routed_df(spark, ['{"a": "' + "x" * 256 + '", "b": "' + "y" * 257 + '"}'])
     ign = {r["field"]: r["ignore_above"] for r in mapping.field_types(df).collect()}
@@ -98,7 +116,7 @@ def test_template_override(spark):
     types = mapping.field_types(_routed_df(spark, ['{"location": 1, "k": 2}']))
     tpl = [{"index_patterns": ["dms_flink_*"], "template": {"mappings": {"properties": {
         "location": {"type": "text", "fields": {"keyword": {"type": "keyword", "ignore_above": 256}}}}}}}]
-    t = {r["field"]: r["es_type"] for r in mapping.apply_template(types, spark, tpl).collect()}
+    t = {r["field"]: r["es_type"] for r in mapping.apply_template(types, tpl).collect()}
     assert t["location"] == "text" and t["k"] == "long"
 
 

@@ -17,7 +17,7 @@ def envelope_json(metadata: Column, data: Column) -> Column:
 ENVELOPE_FIELDS = ("location", "metadata")
 
 
-def _document(data: Column, location_json: Column, metadata: Column) -> Column:
+def _document(data: Column, location_json: Column, metadata: Column, empty: str = "") -> Column:
     """``{row columns..., "location": ..., "metadata": {...}}`` as JSON text.
 
     Row columns named like an envelope field are dropped first, so the
@@ -30,7 +30,7 @@ def _document(data: Column, location_json: Column, metadata: Column) -> Column:
     body = F.to_json(rows, _KEEP_NULLS)
     tail = F.concat(F.lit('"location":'), F.coalesce(location_json, F.lit("null")),
                     F.lit(',"metadata":'), F.coalesce(F.to_json(metadata), F.lit("null")), F.lit("}"))
-    return F.when(F.size(rows) == 0, F.concat(F.lit("{"), tail)).otherwise(
+    return F.when(F.size(rows) == 0, F.concat(F.lit("{" + empty), tail)).otherwise(
         F.concat(F.left(body, F.length(body) - 1), F.lit(","), tail))
 
 
@@ -40,18 +40,18 @@ def search_document(data: Column, location: Column, metadata: Column) -> Column:
 
 
 def search_document_array(data: Column, location: Column, metadata: Column) -> Column:
-    """Document with ``location`` as ``[lat, lon]`` (null when absent).
+    """Document with ``location`` as ``[lat, lon]`` (null when absent); an empty row is ``"data": null``.
 
     A search engine reads a geo-point array as ``[lon, lat]``; prefer
     :func:`search_document`, which writes the object form.
     """
     pair = F.when(location.isNotNull(), F.to_json(F.array(location["lat"], location["lon"])))
-    return _document(data, pair, metadata)
+    return _document(data, pair, metadata, '"data":null,')
 
 
 def search_document_raw(data: Column, raw_location: Column, metadata: Column) -> Column:
-    """Document whose location is copied unvalidated from ``LAT``/``LON`` columns."""
-    return _document(data, F.to_json(raw_location, _KEEP_NULLS), metadata)
+    """Document whose location is JSON text copied unvalidated from ``LAT``/``LON`` columns."""
+    return _document(data, raw_location, metadata)
 
 
 def comma_line(*cols: Column) -> Column:

@@ -56,13 +56,13 @@ def location(data: Column) -> Column:
 
 
 def raw_location(data: Column) -> Column:
-    """Unvalidated point from upper-case ``LAT``/``LON`` keys, as the raw helper did.
+    """Unvalidated ``{"lat": ..., "lon": ...}`` JSON text from upper-case ``LAT``/``LON`` keys.
 
-    Values are copied as they are (the first matching column's JSON value), with no
-    numeric or range test; a missing side is null.
+    Every matching column writes its JSON value, in document order and with no
+    numeric or range test, so two ``LAT`` columns write ``lat`` twice and a
+    side without a column is absent. A name holding both counts as ``LAT``.
     """
-    def first(needle: str) -> Column:
-        hits = F.filter(F.map_entries(data), lambda e: e["key"].contains(needle))
-        return F.try_element_at(F.transform(hits, lambda e: e["value"]), F.lit(1))
-
-    return F.struct(first("LAT").alias("lat"), first("LON").alias("lon"))
+    hits = F.filter(F.map_entries(data), lambda e: e["key"].contains("LAT") | e["key"].contains("LON"))
+    parts = F.transform(hits, lambda e: F.concat(
+        F.when(e["key"].contains("LAT"), F.lit('"lat":')).otherwise(F.lit('"lon":')), F.to_json(e["value"])))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tributary.functions.variants import as_text, text_map
 
 
-def _pairs_text(pairs: Column) -> Column:
-    return F.array_join(F.transform(pairs, lambda p: F.concat(p["k"], F.lit("="), p["v"])), ", ")
+def _sized(text: Column) -> Column:
+    """``length:text``, so that joined parts can be told apart whatever they hold."""
+    return F.concat(F.length(text).cast("string"), F.lit(":"), text)
 
 
 def canonical_text(data: Column) -> Column:
@@ -38,14 +39,16 @@ def content_id(data: Column) -> Column:
 
 
 def key_text(schema_name: Column, table_name: Column, data: Column, key_columns: Sequence[str]) -> Column:
-    """``schema.table{k1=v1, k2=v2}`` over the given key columns, in the given order."""
-    pairs = F.array(*[
-        F.struct(F.lit(k).alias("k"),
-                 F.coalesce(as_text(F.try_element_at(data, F.lit(k))), F.lit("null")).alias("v"))
-        for k in key_columns
-    ])
-    return F.concat(F.coalesce(schema_name, F.lit("")), F.lit("."), table_name,
-                    F.lit("{"), _pairs_text(pairs), F.lit("}"))
+    """``len:schema.table{k1=len:v1, k2=len:v2}`` over the key columns, in the given order.
+
+    Lengths make the text injective: no value can pass for two. Null when a key
+    column is absent or null; such a row has no key.
+    """
+    pairs = [F.concat(F.lit(f"{k}="), _sized(as_text(F.try_element_at(data, F.lit(k))))) for k in key_columns]
+    joined = pairs[0]
+    for p in pairs[1:]:
+        joined = F.concat(joined, F.lit(", "), p)
+    return F.concat(_sized(F.coalesce(schema_name, F.lit(""))), F.lit("."), table_name, F.lit("{"), joined, F.lit("}"))
 
 
 def key_id(schema_name: Column, table_name: Column, data: Column, key_columns: Sequence[str]) -> Column:

@@ -22,6 +22,8 @@ MALFORMED_JSON = "malformed_json"
 METADATA_MISSING = "metadata_missing"
 METADATA_NESTED = "metadata_nested"
 DATA_MISSING = "data_missing"
+TABLE_MISSING = "table_missing"
+TIME_INVALID = "time_invalid"
 
 
 def _empty_data() -> Column:
@@ -32,6 +34,10 @@ def _meta(metadata: Column, key: str) -> Column:
     return F.try_element_at(metadata, F.lit(key))
 
 
+def _meta_text(metadata: Column, key: str) -> Column:
+    return F.try_variant_get(_meta(metadata, key), "$", "string")
+
+
 def _is_object(v: Column) -> Column:
     return F.coalesce(kind(v).startswith("OBJECT"), F.lit(False))
 
@@ -51,7 +57,10 @@ def _dms_reason(value: Column, metadata: Column, data: Column, corrupt: Column)
                    F.lit(DATA_NOT_OBJECT))
             .when(corrupt.isNotNull() | value.isNull() | (F.trim(value) == ""), F.lit(MALFORMED_JSON))
             .when(metadata.isNull() | (F.size(metadata) == 0), F.lit(METADATA_MISSING))
-            .when(F.coalesce(nested, F.lit(False)), F.lit(METADATA_NESTED)))
+            .when(F.coalesce(nested, F.lit(False)), F.lit(METADATA_NESTED))
+            # a row change nobody can route; other record types are dropped later anyway
+            .when(F.coalesce(_meta_text(metadata, "record-type") == F.lit("data"), F.lit(False))
+                  & _meta_text(metadata, "table-name").isNull(), F.lit(TABLE_MISSING)))
 
 
 def last_wins(m: Column) -> Column:
@@ -153,12 +162,10 @@ def unbatch(df: DataFrame, value_col: str = "value") -> DataFrame:
     ``metadata`` is split into its elements; ``batch_pos`` is the position.
     Every other record passes through unchanged with ``batch_pos`` 0.
 
-    Only records whose text can be a batch (starts with ``[`` or has
-    ``"data"`` followed by ``[``) are parsed for the exact test; the others
-    pass through without a second parse.
+    The test is on the parsed value, never on the text, so leading white space
+    and escaped key names make no difference.
     """
     value = F.col(value_col)
-    maybe = F.coalesce(F.ltrim(value).startswith("[") | value.rlike(r'"data"\s*:\s*\['), F.lit(False))
     v = F.try_parse_json(value)
     k = kind(v)
     inner = F.try_variant_get(v, "$.data", "variant")
@@ -166,8 +173,7 @@ def unbatch(df: DataFrame, value_col: str = "value") -> DataFrame:
              .when(k.startswith("OBJECT") & F.try_variant_get(v, "$.metadata", "variant").isNull()
                    & F.coalesce(kind(inner).startswith("ARRAY"), F.lit(False)),
                    F.try_variant_get(v, "$.data", "array<variant>")))
-    split = F.when(maybe, F.transform(elems, lambda e: F.to_json(e)))
-    texts = F.coalesce(split, F.array(value))
+    texts = F.coalesce(F.transform(elems, lambda e: F.to_json(e)), F.array(value))
     others = [c for c in df.columns if c != value_col]
     return df.select(*others, F.posexplode(texts).alias("batch_pos", value_col))
 
@@ -187,18 +193,21 @@ def parse_striim(df: DataFrame, value_col: str = "value",
     parsed = df.select("*", F.inline(F.array(F.struct(
         F.from_json(value, STRIIM_SCHEMA, STRICT_JSON_OPTIONS).alias("_st")))))
     meta = e["metadata"]
+    db_time = seconds_time(meta["DBTimeStamp"])
+    text_time = F.try_to_timestamp(meta["TimeStamp"], F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSXXX"))
     reason = (F.when(e[CORRUPT_COL].isNotNull() | value.isNull() | (F.trim(value) == ""), F.lit(MALFORMED_JSON))
               .when(meta.isNull(), F.lit(METADATA_MISSING))
-              .when(e["data"].isNull(), F.lit(DATA_MISSING)))
+              .when(e["data"].isNull(), F.lit(DATA_MISSING))
+              .when(F.coalesce(meta["TableName"], F.lit("")) == "", F.lit(TABLE_MISSING))
+              .when((meta["DBTimeStamp"].isNotNull() & db_time.isNull())
+                    | (meta["TimeStamp"].isNotNull() & text_time.isNull()), F.lit(TIME_INVALID)))
     table = meta["TableName"]
     data = e["data"]
     if positional_columns:
         names = F.array(*[F.lit(c) for c in positional_columns])
         data = F.transform_keys(
             data, lambda k, _v: F.coalesce(F.try_element_at(names, k.try_cast("int") + F.lit(1)), k))
-    event_time = F.coalesce(F.timestamp_seconds(meta["DBTimeStamp"]),
-                            F.to_timestamp(meta["TimeStamp"], "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"),
-                            F.col("_st.dateTime").try_cast("timestamp"))
+    event_time = F.coalesce(db_time, text_time, F.col("_st.dateTime").try_cast("timestamp"))
     out = parsed.select(
         *[c for c in df.columns],
         reason.alias("parse_error"),
@@ -218,6 +227,21 @@ def parse_striim(df: DataFrame, value_col: str = "value",
     return out
 
 
+# Fixed value: seconds of the first instant after year 9999.
+_END_OF_TIME = 253402300800
+
+
+def seconds_time(seconds: Column) -> Column:
+    """Epoch seconds as a timestamp; null outside the years 1 to 9999, where no error may end the job."""
+    ok = (seconds >= F.lit(-62135596800)) & (seconds < F.lit(_END_OF_TIME))
+    return F.timestamp_seconds(F.when(ok, seconds))
+
+
+def millis_time(millis: Column) -> Column:
+    ok = (millis >= F.lit(-62135596800000)) & (millis < F.lit(_END_OF_TIME * 1000))
+    return F.timestamp_millis(F.when(ok, millis))
+
+
 # Striim operation type of row changes.
 STRIIM_ROW_CHANGE = "DML"
 
@@ -245,7 +269,7 @@ def striim_as_changes(parsed: DataFrame) -> DataFrame:
 
 
 def parse_trip(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Typed trip records; epoch-millisecond times become timestamps."""
+    """Typed trip records; epoch-millisecond times become timestamps, impossible ones a quarantine reason."""
     t = F.from_json(F.col(value_col), TRIP_WIRE_SCHEMA, STRICT_JSON_OPTIONS)
     cols = [f.name for f in TRIP_WIRE_SCHEMA.fields if f.name != CORRUPT_COL]
     # parsed inside a generator so filters on the outputs are not pushed below the parse
@@ -253,8 +277,12 @@ def parse_trip(df: DataFrame, value_col: str = "value") -> DataFrame:
     sel = []
     for c in cols:
         if c in ("pickup_datetime", "dropoff_datetime"):
-            sel.append(F.timestamp_millis(F.col(f"_t.{c}")).alias(c))
+            sel.append(millis_time(F.col(f"_t.{c}")).alias(c))
         else:
             sel.append(F.col(f"_t.{c}").alias(c))
-    reason = F.when(F.col(f"_t.{CORRUPT_COL}").isNotNull() | F.col(value_col).isNull(), F.lit(MALFORMED_JSON))
+    bad_time = F.lit(False)
+    for c in ("pickup_datetime", "dropoff_datetime"):
+        bad_time = bad_time | (F.col(f"_t.{c}").isNotNull() & millis_time(F.col(f"_t.{c}")).isNull())
+    reason = (F.when(F.col(f"_t.{CORRUPT_COL}").isNotNull() | F.col(value_col).isNull(), F.lit(MALFORMED_JSON))
+              .when(bad_time, F.lit(TIME_INVALID)))
     return parsed.select(*[c for c in df.columns], reason.alias("parse_error"), *sel)

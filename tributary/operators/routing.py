@@ -54,6 +54,8 @@ def selection_predicate(rules: Iterable[Mapping]) -> Column:
     for rule in rules:
         if rule.get("rule-type", "selection") != "selection":
             continue
+        if rule.get("filters"):
+            raise ValueError(f"selection rule {rule.get('rule-id', '')}: filters are not supported")
         loc = rule.get("object-locator", {})
         match = (F.coalesce(F.col("schema_name"), F.lit("")).like(rule_pattern(loc.get("schema-name", "%")))
                  & F.coalesce(F.col("table_name"), F.lit("")).like(rule_pattern(loc.get("table-name", "%"))))
@@ -68,12 +70,17 @@ def select_tables(df: DataFrame, rules: Iterable[Mapping]) -> DataFrame:
     return df.where(selection_predicate(rules))
 
 
+# Quarantine reasons of routing.
+AUDIT_INCOMPLETE = "audit_incomplete"
+KEY_MISSING = "key_missing"
+
+
 def audit_line(df: DataFrame) -> DataFrame:
-    """``schema.table|operation|record-type`` (null parts print ``null``)."""
-    def part(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit("null"))
-    return df.withColumn("audit", F.concat(part("schema_name"), F.lit("."), part("table_name"), F.lit("|"),
-                                           part("operation"), F.lit("|"), part("record_type")))
+    """Adds ``audit``, ``schema.table|operation|record-type``, and ``audit_error``: a record that lacks
+    one of the four has no line (the original job failed on it) and a reason to quarantine it."""
+    line = F.concat(F.col("schema_name"), F.lit("."), F.col("table_name"), F.lit("|"), F.col("operation"),
+                    F.lit("|"), F.col("record_type"))
+    return df.withColumn("audit", line).withColumn("audit_error", F.when(line.isNull(), F.lit(AUDIT_INCOMPLETE)))
 
 
 def index_name(table_name: Column, prefix: str = INDEX_PREFIX) -> Column:
@@ -83,12 +90,13 @@ def index_name(table_name: Column, prefix: str = INDEX_PREFIX) -> Column:
 def route(df: DataFrame, prefix: str = INDEX_PREFIX, id_mode: str = "content",
           key_columns: Mapping[str, Sequence[str]] | Sequence[str] | None = None,
           location_mode: str = "object") -> DataFrame:
-    """Adds ``location``, ``index_name``, ``doc_id``, ``is_delete`` and ``doc``.
+    """Adds ``location``, ``index_name``, ``doc_id``, ``route_error``, ``is_delete`` and ``doc``.
 
     ``id_mode="content"`` hashes the whole row (any change gives a new
     document); ``id_mode="key"`` hashes ``key_columns`` (one list for all
     tables, or a mapping table name -> list), so every version of a row maps to
-    one document. ``location_mode`` is ``object`` (validated point), ``array``
+    one document. A row without its key has no id and ``route_error`` says so;
+    split such rows off with :func:`split_routed`. ``location_mode`` is ``object`` (validated point), ``array``
     or ``raw`` (unvalidated upper-case columns).
     """
     data, meta = F.col("data"), F.col("metadata")
@@ -105,8 +113,8 @@ def route(df: DataFrame, prefix: str = INDEX_PREFIX, id_mode: str = "content",
                 doc_id = F.when(F.col("table_name") == F.lit(table),
                                 ids.key_id(F.col("schema_name"), F.col("table_name"), data, cols)
                                 ).otherwise(doc_id)
-            # tables without a configured key fall back to the content id
-            doc_id = F.coalesce(doc_id, ids.content_id(data))
+            # tables without a configured key use the content id
+            doc_id = F.when(F.col("table_name").isin(*key_columns), doc_id).otherwise(ids.content_id(data))
         else:
             doc_id = ids.key_id(F.col("schema_name"), F.col("table_name"), data, list(key_columns))
     else:
@@ -120,15 +128,17 @@ def route(df: DataFrame, prefix: str = INDEX_PREFIX, id_mode: str = "content",
     else:
         raise ValueError(f"unknown location_mode {location_mode!r}")
     return (out.withColumn("doc_id", doc_id)
+               .withColumn("route_error", F.when(F.col("doc_id").isNull(), F.lit(KEY_MISSING)))
                .withColumn("is_delete", F.coalesce(F.lower(F.col("operation")) == F.lit(DELETE_OPERATION),
                                                    F.lit(False)))
                .withColumn("doc", doc))
 
 
-def key_by_table(df: DataFrame, num_partitions: int | None = None, salt_buckets: int = 1) -> DataFrame:
-    """Hash-partition by index; ``salt_buckets > 1`` spreads one hot table over
-    that many tasks (by document id, so a document stays in one task)."""
-    keys = [F.col("index_name")]
-    if salt_buckets > 1:
-        keys.append(F.pmod(F.hash("doc_id"), F.lit(salt_buckets)))
-    return df.repartition(num_partitions, *keys) if num_partitions else df.repartition(*keys)
+def split_routed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` by ``route_error``."""
+    return df.where(F.col("route_error").isNull()), df.where(F.col("route_error").isNotNull())
+
+
+def key_by_table(df: DataFrame) -> DataFrame:
+    """Rows of an index together for per-table sinks. Adaptive execution splits a hot table by its size."""
+    return df.hint("rebalance", F.col("index_name"))
