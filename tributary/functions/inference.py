@@ -25,14 +25,16 @@ def es_type(v: Column) -> Column:
     """``date`` | ``long`` | ``text`` | ``float`` for one row value.
 
     Integers that fit 64 bits are ``long``; fractions (DECIMAL or DOUBLE) are
-    ``float``; integers beyond 64 bits, booleans, nulls and nested values fall
-    back to ``text``, as does anything not recognised.
+    ``float``; integers beyond 64 bits, booleans and nested values fall back to
+    ``text``, as does anything not recognised. A JSON null is ``null``: it says
+    nothing about its field.
     """
     k = kind(v)
     text = as_text(v)
     big_integer = k.rlike(r"^DECIMAL\((19|[2-9][0-9]|[1-9][0-9]{2,}),0\)$")
     return (F.when((k == "STRING") & is_iso_instant(text), F.lit("date"))
             .when(k == "BIGINT", F.lit("long"))
+            .when(k == "VOID", F.lit("null"))
             .when(k == "STRING", F.lit("text"))
             .when(k.startswith("DECIMAL") & ~big_integer, F.lit("float"))
             .when(k.isin("DOUBLE", "FLOAT"), F.lit("float"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.inference import KEYWORD_IGNORE_ABOVE, es_type
@@ -20,13 +20,6 @@ LOCATION_FIELD = "location"
 METADATA_PREFIX = "metadata."
 
 
-def value_types(routed: DataFrame) -> DataFrame:
-    """``(index_name, field, t, len)`` for every row value."""
-    cell = routed.select("index_name", F.explode("data").alias("field", "v"))
-    return cell.select("index_name", "field", es_type(F.col("v")).alias("t"),
-                       F.length(F.coalesce(as_text(F.col("v")), F.lit("null"))).alias("len"))
-
-
 def _cells(routed: DataFrame, include_envelope: bool) -> DataFrame:
     """One row per (document, field): row values plus, optionally, the
     envelope's metadata keys and location, all from a single pass."""
@@ -47,8 +40,10 @@ def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
     """``(index_name, field, es_type, ignore_above)`` per table field.
 
     Row values are typed one by one (T1) and combined per field with widening;
-    metadata keys are ``text`` with a 256 keyword limit and ``location`` is a
-    ``geo_point``. ``ignore_above`` (256) is set on ``text`` fields whose
+    JSON nulls are left out, so a nullable column keeps its type, and a field
+    with nulls only is ``text``. Metadata keys are ``text`` with a 256 keyword
+    limit and ``location`` is a ``geo_point``. ``n`` is the number of documents
+    with the field. ``ignore_above`` (256) is set on ``text`` fields whose
     values are all at most 256 characters long. One pass over the input, one
     aggregation with map-side partial aggregation.
     """
@@ -58,17 +53,19 @@ def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
            .agg(F.bool_or(t == "date").alias("d"), F.bool_or(t == "long").alias("l"),
                 F.bool_or(t == "float").alias("f"), F.bool_or(t == "text").alias("x"),
                 F.bool_or(t == "meta").alias("m"), F.bool_or(t == "geo").alias("g"),
-                F.max("len").alias("max_len")))
+                F.max("len").alias("max_len"), F.count("*").alias("n")))
     typ = (F.when(F.col("g"), F.lit("geo_point"))
            .when(F.col("m"), F.lit("text"))
            .when(F.col("x"), F.lit("text"))
            .when(F.col("d") & (F.col("l") | F.col("f")), F.lit("text"))
            .when(F.col("d"), F.lit("date"))
            .when(F.col("f"), F.lit("float"))
-           .otherwise(F.lit("long")))
+           .when(F.col("l"), F.lit("long"))
+           .otherwise(F.lit("text")))
     ignore = (F.when(F.col("m"), F.lit(KEYWORD_IGNORE_ABOVE))
               .when((typ == "text") & (F.col("max_len") <= KEYWORD_IGNORE_ABOVE), F.lit(KEYWORD_IGNORE_ABOVE)))
-    return agg.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"))
+    return agg.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"),
+                      "n")
 
 
 def _spec_json(es_type_col, ignore_above_col):
@@ -114,8 +111,7 @@ PROFILES: dict[str, dict[str, str]] = {
 _TYPE_NAMES = ("long", "float", "text", "date", "geo_point")
 
 
-def apply_profile(types: DataFrame, profile: str | Mapping[str, str]) -> DataFrame:
-    """Rewrite inferred types to a mapping style; field rules win over type rules."""
+def _profile_type(profile: str | Mapping[str, str]) -> Column:
     rules = PROFILES[profile] if isinstance(profile, str) else dict(profile)
     by_field = {k: v for k, v in rules.items() if k not in _TYPE_NAMES}
     by_type = {k: v for k, v in rules.items() if k in _TYPE_NAMES}
@@ -124,11 +120,24 @@ def apply_profile(types: DataFrame, profile: str | Mapping[str, str]) -> DataFra
         typ = F.when(F.col("es_type") == F.lit(name), F.lit(target)).otherwise(typ)
     for name, target in by_field.items():
         typ = F.when(F.col("field") == F.lit(name), F.lit(target)).otherwise(typ)
+    return typ
+
+
+def apply_profile(types: DataFrame, profile: str | Mapping[str, str]) -> DataFrame:
+    """Rewrite inferred types to a mapping style; field rules win over type rules."""
+    typ = _profile_type(profile)
     ignore = F.when(typ == "text", F.coalesce(F.col("ignore_above"), F.lit(KEYWORD_IGNORE_ABOVE)))
     return types.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"))
 
 
-def apply_template(types: DataFrame, spark: SparkSession, templates: list[Mapping]) -> DataFrame:
+def profile_diff(types: DataFrame, left: str | Mapping[str, str], right: str | Mapping[str, str]) -> DataFrame:
+    """One mapping in two styles, field by field: a projection, no join."""
+    lft, rgt = _profile_type(left), _profile_type(right)
+    return types.select("index_name", "field", lft.alias("left_type"), rgt.alias("right_type"),
+                        F.when(lft == rgt, F.lit("same")).otherwise(F.lit("changed")).alias("status"), "n")
+
+
+def apply_template(types: DataFrame, templates: list[Mapping]) -> DataFrame:
     """Field overrides from index templates (``index_patterns`` with ``*``).
 
     Templates are job configuration, so they become one ``CASE`` expression
