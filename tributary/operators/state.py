@@ -1,47 +1,66 @@
 """Latest document per (index, document id): the index upsert as a table.
 
-Order of versions is ``(event_time, seq)``: the envelope's time, then the
-source offset; the document text breaks any remaining tie so the winner is
-deterministic. The original job ordered by arrival only.
+Versions are ordered by event time, then arrival time, then commit number,
+then source file and position in it. The original job knew arrival only; here
+two versions with one event time fall back to it. The document text breaks
+what is left, so the winner is deterministic.
 
 ``reduce_documents`` is a ``max_by`` aggregation, which Spark runs with a
 map-side partial step, so a document id holding a third of all rows is
 combined inside each input task before the shuffle.
+
+The state table only grows between compactions::
+
+    <path>/data/part=<name>/index_name=<index>/*.parquet   deltas and bases
+    <path>/log/<number>.json                               commits
+
+A batch is reduced and written as a new part of its own size; nothing that
+exists is touched. One new log file then names the parts that make the state
+and the batches in it. Readers use the newest log file, so a run that dies
+before its commit leaves the state as it was, and a replayed batch is known by
+its id and adds nothing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STATE_COLUMNS = ("doc", "is_delete", "operation", "event_time", "seq")
-# Fixed default: hash buckets per index in the state table; a merge rewrites
-# only the (index, bucket) partitions its batch touches.
-DEFAULT_STATE_BUCKETS = 16
-# Fixed default: above this many touched partitions the merge prunes by semi-join, not by an OR filter.
-MAX_PRUNING_TERMS = 1000
+DOCUMENT_COLUMNS = ("doc", "is_delete", "operation", "event_time", "arrival_time", "source", "seq")
+VERSION_ORDER = ("event_time", "arrival_time", "commit_no", "source", "seq")
+PART_SCHEMA = ("doc_id string, doc string, is_delete boolean, operation string, event_time timestamp, "
+               "arrival_time timestamp, source string, seq bigint, commit_no bigint, n_versions bigint, "
+               "part string, index_name string")
+# Deltas after which a commit is followed by a compaction.
+DEFAULT_COMPACT_EVERY = 32
+
 
+def _with_defaults(docs: DataFrame) -> DataFrame:
+    """The version columns, with nulls for those a source does not give."""
+    types = dict(f.strip().split(" ") for f in PART_SCHEMA.split(","))
+    missing = {c: F.lit(None).cast(types[c]) for c in (*DOCUMENT_COLUMNS, "commit_no") if c not in docs.columns}
+    if "n_versions" not in docs.columns:
+        missing["n_versions"] = F.lit(1).cast("long")
+    return docs.withColumns(missing) if missing else docs
 
-def reduce_documents(docs: DataFrame, order: Sequence[str] = ("event_time", "seq"),
-                     keys: Sequence[str] = ("index_name", "doc_id")) -> DataFrame:
-    """One row per ``(index_name, doc_id)``: the latest version, tombstones kept.
 
-    ``keys`` may add columns that are functions of the document id (the
-    state bucket), so an input already partitioned on them is not shuffled again.
-    """
-    versions = F.col("n_versions") if "n_versions" in docs.columns else F.lit(1).cast("long")
-    payload = F.struct(*[F.col(c) for c in STATE_COLUMNS])
-    ranked = F.struct(*[F.col(c) for c in order], F.col("doc"))
-    return (docs.select(*keys, payload.alias("_p"), ranked.alias("_o"), versions.alias("_n"))
-                .groupBy(*keys)
-                .agg(F.max_by("_p", "_o").alias("_w"), F.sum("_n").alias("n_versions"))
-                .select(*keys, "_w.*", "n_versions"))
+def reduce_documents(docs: DataFrame, order: Sequence[str] = VERSION_ORDER) -> DataFrame:
+    """One row per ``(index_name, doc_id)``: the latest version, tombstones kept."""
+    docs = _with_defaults(docs)
+    payload = F.struct(*DOCUMENT_COLUMNS, "commit_no")
+    ranked = F.struct(*order, "doc")
+    return (docs.select("index_name", "doc_id", payload.alias("_p"), ranked.alias("_o"), "n_versions")
+                .groupBy("index_name", "doc_id")
+                .agg(F.max_by("_p", "_o").alias("_w"), F.sum("n_versions").alias("n_versions"))
+                .select("index_name", "doc_id", "_w.*", "n_versions"))
 
 
 def latest_documents(docs: DataFrame, apply_deletes: bool = True,
-                     order: Sequence[str] = ("event_time", "seq")) -> DataFrame:
+                     order: Sequence[str] = VERSION_ORDER) -> DataFrame:
     """Current documents. With ``apply_deletes`` a row whose latest version is a
     delete disappears; without it the delete is indexed like any other
     version (the original behaviour)."""
@@ -49,85 +68,123 @@ def latest_documents(docs: DataFrame, apply_deletes: bool = True,
     return state.where(~F.col("is_delete")) if apply_deletes else state
 
 
-def with_bucket(df: DataFrame, buckets: int = DEFAULT_STATE_BUCKETS) -> DataFrame:
-    return df.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-
-
-def _state_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    return any(st.getPath().getName().startswith("index_name=") for st in fs.listStatus(hpath))
-
-
-def merge_into_state(spark: SparkSession, batch_docs: DataFrame, state_path: str,
-                     buckets: int = DEFAULT_STATE_BUCKETS) -> DataFrame:
-    """Upsert a batch of routed documents into the state table at ``state_path``.
-
-    1. reduce the batch to one version per document (partial aggregation
-       before the shuffle, so a hot document costs one row per task);
-    2. read only the touched ``(index_name, doc_bucket)`` partitions of the
-       current state (partition pruning; the touched list is bounded by
-       indexes x buckets);
-    3. hash-partition the union by ``(index_name, doc_bucket)`` and reduce
-       again: the aggregation reuses that partitioning, so there is one
-       shuffle and one file per bucket;
-    4. cut lineage with ``checkpoint()`` in the shared checkpoint folder and
-       overwrite just the touched partitions (dynamic partition overwrite).
-
-    ``buckets`` should grow with the largest index (about one bucket per GB
-    of its documents). Replaying a batch gives the same state, since the
-    winner is decided by the version order, not by arrival.
-    """
-    # the reduced batch is read twice (touched buckets, then the merge): keep it in memory;
-    # it holds one text row per document, not the parsed envelopes
-    reduced = with_bucket(reduce_documents(batch_docs), buckets).persist()
-    try:
-        if _state_exists(spark, state_path):
-            touched_df = reduced.select("index_name", "doc_bucket").distinct()
-            touched = touched_df.collect()  # bounded by indexes x buckets
-            if not touched:
-                return reduced
-            if len(touched) <= MAX_PRUNING_TERMS:
-                by_index: dict[str, list[int]] = {}
-                for r in touched:
-                    by_index.setdefault(r["index_name"], []).append(r["doc_bucket"])
-                cond = None
-                for idx, bks in by_index.items():
-                    c = (F.col("index_name") == F.lit(idx)) & F.col("doc_bucket").isin(bks)
-                    cond = c if cond is None else (cond | c)
-                current = spark.read.parquet(state_path).where(cond)
-            else:
-                # many touched partitions: a semi-join on the partition columns; the touched list is
-                # bounded by indexes x buckets (configuration, not data), and dynamic partition
-                # pruning still restricts the scan to those partitions
-                current = spark.read.parquet(state_path).join(
-                    F.broadcast(touched_df), ["index_name", "doc_bucket"], "left_semi")
-            both = current.unionByName(reduced.select(current.columns))
-            reads_target = True
-        else:
-            both = reduced
-            reads_target = False
-        clustered = both.repartition("index_name", "doc_bucket")
-        merged = reduce_documents(clustered, keys=("index_name", "doc_bucket", "doc_id"))
-        if reads_target:
-            # the write replaces files this plan reads: materialise it first
-            merged = merged.checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("index_name", "doc_bucket").parquet(state_path))
-        return merged
-    finally:
-        reduced.unpersist()
+class StateStore:
+    """A document state table at ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._jvm = jvm
+
+    # --- commit log ---------------------------------------------------------------------
+
+    def _log_numbers(self) -> list[int]:
+        folder = self._path(f"{self.path}/log")
+        if not self._fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _read_log(self, number: int) -> dict:
+        stream = self._fs.open(self._path(f"{self.path}/log/{number}.json"))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def snapshot(self) -> dict:
+        """Newest commit: ``number``, ``parts``, and per source the last batch in the state."""
+        numbers = self._log_numbers()
+        return self._read_log(numbers[-1]) if numbers else {"number": 0, "parts": [], "batches": {}}
+
+    def _commit(self, entry: dict) -> None:
+        """Publish a log file under its number; fails if another writer took it."""
+        target = f"{self.path}/log/{entry['number']}.json"
+        temporary = self._path(f"{self.path}/log/_{uuid.uuid4().hex}")
+        out = self._fs.create(temporary, False)
+        try:
+            out.write(json.dumps(entry).encode())
+        finally:
+            out.close()
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            temporary.makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory()).toUri(),
+            self.spark.sparkContext._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        qualified = [p.makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory())
+                     for p in (temporary, self._path(target))]
+        context.rename(*qualified, none)  # an atomic move that refuses an existing target
+
+    # --- parts --------------------------------------------------------------------------
+
+    def _write_part(self, reduced: DataFrame, name: str) -> str:
+        part = f"{name}-{uuid.uuid4().hex[:12]}"
+        columns = [f.strip().split(" ")[0] for f in PART_SCHEMA.split(",")][:-2]
+        # few indexes a part, many documents an index: split by what adaptive execution measures
+        (reduced.select("index_name", *columns).hint("rebalance", F.col("index_name"))
+                .write.partitionBy("index_name").parquet(f"{self.path}/data/part={part}"))
+        return part
+
+    def versions(self, snapshot: dict | None = None) -> DataFrame:
+        """All versions the state is made of: one row per document and part."""
+        parts = (snapshot or self.snapshot())["parts"]
+        if not parts:
+            return self.spark.createDataFrame([], PART_SCHEMA).drop("part")
+        return (self.spark.read.schema(PART_SCHEMA).option("basePath", f"{self.path}/data")
+                    .parquet(*[f"{self.path}/data/part={p}" for p in parts]).drop("part"))
+
+    # --- operations ---------------------------------------------------------------------
+
+    def append(self, docs: DataFrame, source: str, batch_id: int, compact_every: int = DEFAULT_COMPACT_EVERY) -> bool:
+        """Add one batch of routed documents; False if it is in the state already.
+
+        Work and bytes written follow the batch, not the state. ``source``
+        names a stream of batches whose ids only rise.
+        """
+        now = self.snapshot()
+        if batch_id <= now["batches"].get(source, -1):
+            return False
+        number = now["number"] + 1
+        reduced = reduce_documents(docs.withColumn("commit_no", F.lit(number).cast("long")))
+        part = self._write_part(reduced, f"delta-{number}")
+        self._commit({"number": number, "parts": now["parts"] + [part],
+                      "batches": {**now["batches"], source: batch_id}})
+        if compact_every and len(now["parts"]) + 1 > compact_every:
+            self.compact()
+        return True
+
+    def compact(self) -> None:
+        """Reduce all parts to one base part; what readers see does not change."""
+        now = self.snapshot()
+        if len(now["parts"]) < 2:
+            return
+        number = now["number"] + 1
+        part = self._write_part(reduce_documents(self.versions(now)), f"base-{number}")
+        self._commit({"number": number, "parts": [part], "batches": now["batches"]})
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete parts that none of the ``keep`` newest commits names. Run it while nothing writes."""
+        numbers = self._log_numbers()[-keep:]
+        used = {p for n in numbers for p in self._read_log(n)["parts"]}
+        folder = self._path(f"{self.path}/data")
+        gone = []
+        for status in self._fs.listStatus(folder) if self._fs.exists(folder) else []:
+            name = status.getPath().getName().removeprefix("part=")
+            if name not in used:
+                self._fs.delete(status.getPath(), True)
+                gone.append(name)
+        return gone
+
+    def read(self, index_name: str | None = None, apply_deletes: bool = True) -> DataFrame:
+        """Documents of one index (all when ``None``): a partition-pruned scan, then one reduction."""
+        df = self.versions()
+        if index_name is not None:
+            df = df.where(F.col("index_name") == F.lit(index_name))
+        return latest_documents(df, apply_deletes)
 
 
 def read_index(spark: SparkSession, state_path: str, index_name: str | None = None,
                apply_deletes: bool = True) -> DataFrame:
-    """Documents of one index (all when ``None``): a partition-pruned scan."""
-    df = spark.read.parquet(state_path)
-    if index_name is not None:
-        df = df.where(F.col("index_name") == F.lit(index_name))
-    if apply_deletes:
-        df = df.where(~F.col("is_delete"))
-    return df
+    """Documents of the state table at ``state_path`` (see :class:`StateStore`)."""
+    return StateStore(spark, state_path).read(index_name, apply_deletes)
