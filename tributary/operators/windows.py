@@ -42,8 +42,7 @@ def _interval_seconds(spec: str) -> int:
     return int(num) * mult
 
 
-def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_time",
-                   split: str = "1 hour") -> DataFrame:
+def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_time") -> DataFrame:
     """Exact sessions in batch, safe for hot keys.
 
     A new session starts when the time since the previous event of the key is
@@ -51,48 +50,24 @@ def session_counts(df: DataFrame, gap: str, key_col: str, ts_col: str = "event_t
     the rule of Spark's ``session_window`` (an event exactly ``gap`` after the
     previous one still extends the session), so batch and stream agree.
 
-    One key may hold a large share of all rows, so sessions are not built
-    per key in one task. Instead:
-
-    1. events are cut into ``(key, time slice)`` groups and sub-sessions are
-       found inside each slice (many tasks even for one hot key);
-    2. sub-sessions are reduced to ``(start, last, n)``;
-    3. only the first and last sub-session of each slice can join a
-       neighbouring slice; those (at most two per slice) are chained per key,
-       inner ones are final already.
-
-    The result does not depend on ``split``; a smaller slice bounds the work
-    of one task when a single key is dense in time (the chain step then sees
-    at most two rows per slice of that key).
+    Events of a key inside one bucket of ``gap`` width always share a session,
+    so a bucket is only ``(first, last, n)``: an aggregation with a map-side
+    step, whatever share of all rows one key holds. The buckets are then
+    chained per key; a key has at most one row per ``gap`` of its time range.
     """
     gap_us = _interval_seconds(gap) * 1_000_000
-    slice_us = _interval_seconds(split) * 1_000_000
-    us = F.unix_micros(F.col(ts_col))
-    ev = df.select(F.col(key_col).alias("k"), us.alias("t")).where(F.col("t").isNotNull())
-    ev = ev.withColumn("slice", F.floor(F.col("t") / F.lit(slice_us)))
-    w_slice = Window.partitionBy("k", "slice").orderBy("t")
-    starts = F.coalesce(F.col("t") - F.lag("t").over(w_slice) > F.lit(gap_us), F.lit(True))
-    ev = ev.withColumn("sub", F.sum(starts.cast("int")).over(w_slice.rowsBetween(Window.unboundedPreceding, 0)))
-    subs = (ev.groupBy("k", "slice", "sub")
-              .agg(F.min("t").alias("s"), F.max("t").alias("e"), F.count("*").alias("n")))
-    w_bounds = Window.partitionBy("k", "slice")
-    subs = subs.withColumn("first_sub", F.col("sub") == F.min("sub").over(w_bounds)) \
-               .withColumn("last_sub", F.col("sub") == F.max("sub").over(w_bounds))
-    inner = subs.where(~F.col("first_sub") & ~F.col("last_sub")).select("k", "s", "e", "n")
-    edge = subs.where(F.col("first_sub") | F.col("last_sub")).select("k", "s", "e", "n")
-    w_key = Window.partitionBy("k").orderBy("s")
-    new_session = F.coalesce(F.col("s") - F.lag("e").over(w_key) > F.lit(gap_us), F.lit(True))
-    chained = (edge.withColumn("grp", F.sum(new_session.cast("int"))
-                               .over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
-                   .groupBy("k", "grp")
+    t = F.unix_micros(F.col(ts_col))
+    buckets = (df.select(F.col(key_col).alias("k"), t.alias("t")).where(F.col("t").isNotNull())
+                 .groupBy("k", F.floor(F.col("t") / F.lit(gap_us)).alias("bucket"))
+                 .agg(F.min("t").alias("s"), F.max("t").alias("e"), F.count("*").alias("n")))
+    w = Window.partitionBy("k").orderBy("s")
+    starts = F.coalesce(F.col("s") - F.lag("e").over(w) > F.lit(gap_us), F.lit(True))
+    session = F.sum(starts.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return (buckets.withColumn("session", session).groupBy("k", "session")
                    .agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
-                   .select("k", "s", "e", "n"))
-    sessions = inner.unionByName(chained)
-    return sessions.select(
-        F.col("k").alias(key_col),
-        F.timestamp_micros(F.col("s")).alias("session_start"),
-        F.timestamp_micros(F.col("e") + F.lit(gap_us)).alias("session_end"),
-        F.col("n").cast("long").alias("n"))
+                   .select(F.col("k").alias(key_col), F.timestamp_micros("s").alias("session_start"),
+                           F.timestamp_micros(F.col("e") + F.lit(gap_us)).alias("session_end"),
+                           F.col("n").cast("long").alias("n")))
 
 
 def stream_health(df: DataFrame, period: str = "1 minute", window_col: str = "arrival_time",
@@ -102,9 +77,9 @@ def stream_health(df: DataFrame, period: str = "1 minute", window_col: str = "ar
     """Per-period records and bytes in, records kept, and delivery lag.
 
     Periods follow ``window_col`` (arrival by default, so records that never
-    parsed are still counted); ``lag_ms`` is ``arrival - event time`` in
-    milliseconds, over records whose event time is known (max and sum; the
-    average is ``sum_lag_ms / records_in``).
+    parsed are still counted); bytes are UTF-8. ``lag_ms`` is ``arrival - event
+    time`` in milliseconds over the ``lag_records`` records whose event time is
+    known: maximum, sum and average.
     """
     if watermark:
         df = df.withWatermark(window_col, watermark)
@@ -112,22 +87,27 @@ def stream_health(df: DataFrame, period: str = "1 minute", window_col: str = "ar
     keys = [F.window(window_col, period).alias("w")]
     if stream_col:
         keys.append(F.col(stream_col))
-    kept = F.col(kept_col).cast("long") if kept_col else F.lit(1).cast("long")
+    kept = F.col(kept_col) if kept_col else F.lit(True)
+    size = F.coalesce(F.octet_length(F.col(value_col)), F.lit(0)).cast("long")
     out = (df.groupBy(*keys)
              .agg(F.count("*").alias("records_in"),
-                  F.sum(F.length(F.col(value_col)).cast("long")).alias("bytes_in"),
-                  F.sum(kept).alias("records_kept"),
+                  F.sum(size).alias("bytes_in"),
+                  F.sum(kept.cast("long")).alias("records_kept"),
+                  F.sum(F.when(kept, size).otherwise(0)).alias("bytes_kept"),
+                  F.count(lag).alias("lag_records"),
                   F.max(lag).alias("max_lag_ms"),
-                  F.sum(lag).alias("sum_lag_ms")))
+                  F.sum(lag).alias("sum_lag_ms"),
+                  F.avg(lag).alias("avg_lag_ms")))
     cols = [F.col("w.start").alias("period_start")]
     if stream_col:
         cols.append(F.col(stream_col))
-    return out.select(*cols, "records_in", "bytes_in", "records_kept", "max_lag_ms", "sum_lag_ms")
+    return out.select(*cols, "records_in", "bytes_in", "records_kept", "bytes_kept", "lag_records", "max_lag_ms",
+                      "sum_lag_ms", "avg_lag_ms")
 
 
 def output_volume(docs: DataFrame, period: str = "1 minute", ts_col: str = "written_at",
                   doc_col: str = "doc", key_col: str = "index_name") -> DataFrame:
-    """Rows and bytes written per period and index (the sink-side volume)."""
+    """Rows and UTF-8 bytes written per period and index (the sink-side volume)."""
     return (docs.groupBy(F.window(ts_col, period).alias("w"), F.col(key_col))
-                .agg(F.count("*").alias("rows_out"), F.sum(F.length(doc_col).cast("long")).alias("bytes_out"))
+                .agg(F.count("*").alias("rows_out"), F.sum(F.octet_length(doc_col).cast("long")).alias("bytes_out"))
                 .select(F.col("w.start").alias("period_start"), F.col(key_col), "rows_out", "bytes_out"))
