@@ -32,6 +32,65 @@ def test_validate():
     with pytest.raises(job.JobConfigError):
         job.validate({"input_path": "x"})
     job.validate({"input_path": "x", "output_discarding": True})
+    with pytest.raises(job.JobConfigError):  # a restart without one would begin again at batch 0
+        job.validate({"input_path": "x", "output_discarding": True}, streaming=True)
+
+
+def test_kafka_start_time_is_epoch_milliseconds():
+    from tributary.sources.files import epoch_millis
+    assert epoch_millis("2024-01-15 00:00:00") == epoch_millis("2024-01-15T01:00:00+01:00") == 1705276800000
+
+
+def test_two_batch_runs_keep_both_outputs(spark):
+    inp = scratch_path(spark, "runs-in")
+    out = scratch_path(spark, "runs-out")
+    for n in (1, 2):
+        _write(f"{inp}{n}", "f.txt", [_envelope("a", k, "2022-01-01T00:00:00Z") for k in range(n)])
+        opts = {"input_path": f"{inp}{n}", "output_json": f"{out}/json", "output_documents": f"{out}/state"}
+        job.run_batch(spark, opts)
+    job.run_batch(spark, opts, run_id="again")
+    job.run_batch(spark, opts, run_id="again")  # a repeated run replaces its own output
+    assert spark.read.text(f"{out}/json").count() == 1 + 2 + 2
+    assert state.read_index(spark, f"{out}/state").agg(F.sum("n_versions")).first()[0] == 1 + 2 + 2
+
+
+def test_latest_keeps_files_written_while_stopped(spark):
+    import time
+    inp, out = scratch_path(spark, "latest-in"), scratch_path(spark, "latest-out")
+    _write(inp, "old.txt", [_envelope("a", 1, "2022-01-01T00:00:00Z")])
+    time.sleep(1.1)
+    opts = {"input_path": inp, "output_restream": f"{out}/re", "start_position": "LATEST", "trigger": "available_now",
+            "checkpoint_location": f"{out}/_ck"}
+    job.run(spark, opts).awaitTermination()
+    _write(inp, "while-stopped.txt", [_envelope("a", 2, "2022-01-01T00:00:00Z")])
+    time.sleep(1.1)
+    job.run(spark, opts).awaitTermination()
+    assert [json.loads(r[0])["data"]["id"] for r in spark.read.text(f"{out}/re").select("value").collect()] == [2]
+
+
+def test_one_parse_feeds_every_sink(spark, capfd):
+    inp, out = scratch_path(spark, "five-in"), scratch_path(spark, "five-out")
+    _write(inp, "f.txt", [_envelope("a", k, "2022-01-01T00:00:00Z") for k in range(40)] + ["bad"])
+    opts = {"input_path": inp, **{f"output_{k}": f"{out}/{k}" for k in ("documents", "json", "parquet", "restream", "quarantine")}}
+    rows = job.batch_rows(job.source_frame(spark, opts, streaming=False), opts)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 3 and plan.count("from_json") == 1  # envelope, reason, metadata text
+    job.run_batch(spark, opts)
+    assert spark.read.parquet(f"{out}/parquet").count() == 40 and spark.read.text(f"{out}/json").count() == 40
+    job.run_batch(spark, {"input_path": inp, "output_console": True})  # every row, not a first screen
+
+
+def test_rows_without_key_or_table_go_to_quarantine(spark):
+    inp, out = scratch_path(spark, "key-in"), scratch_path(spark, "key-out")
+    no_table = json.loads(_envelope("a", 1, "2022-01-01T00:00:00Z"))
+    del no_table["metadata"]["table-name"]
+    no_key = json.loads(_envelope("a", 1, "2022-01-01T00:00:00Z"))
+    del no_key["data"]["id"]
+    _write(inp, "f.txt", [json.dumps(no_table), json.dumps(no_key), _envelope("a", 1, "2022-01-01T00:00:00Z")])
+    job.run_batch(spark, {"input_path": inp, "output_documents": f"{out}/s", "output_quarantine": f"{out}/q",
+                          "id_mode": "key", "key_columns": ["id"]})
+    assert sorted(r["parse_error"] for r in spark.read.parquet(f"{out}/q").collect()) == ["key_missing", "table_missing"]
+    assert state.read_index(spark, f"{out}/s").count() == 1
 
 
 def test_stream_equals_batch_and_restart(spark):

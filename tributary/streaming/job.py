@@ -3,12 +3,14 @@
 ``run(spark, options)`` starts a Structured Streaming query whose every
 micro-batch goes through :func:`fan_out` once (``foreachBatch``), so each
 chosen sink reads the same persisted batch instead of re-reading the source.
-Every sink writes under ``batch_id=<id>`` (or merges idempotently), so a
-batch replayed after a failure replaces its own output.
+Every sink writes under ``batch_id=<id>`` (``run_id=<id>`` in batch runs), so a
+batch replayed after a failure replaces its own output; the document state
+knows the batches it holds and takes each once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from typing import Any
 
@@ -16,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tributary.functions import documents
 from tributary.operators import envelope as env
 from tributary.operators import routing, state
-from tributary.session import prepare, scratch_path
-from tributary.sources.files import open_source
+from tributary.session import prepare
+from tributary.sources.files import epoch_millis, in_line_order, now_text, open_source
 from tributary.streaming import sinks
 
 SOURCE_KEYS = ("input_path", "input_kafka_topic", "input_kinesis_stream")
@@ -27,12 +30,17 @@ OUTPUT_KEYS = ("output_documents", "output_document_log", "output_json", "output
                "output_restream", "output_discarding", "output_console")
 
 
+# Files per micro-batch unless set: a backlog is read in several batches, none of it is skipped.
+DEFAULT_FILES_PER_TRIGGER = 1000
+
+
 class JobConfigError(ValueError):
     pass
 
 
-def validate(options: Mapping[str, Any]) -> None:
-    """Exactly one source and at least one output."""
+def validate(options: Mapping[str, Any], streaming: bool = False) -> None:
+    """Exactly one source and at least one output; a stream names its checkpoint folder, since
+    without one a restart would begin again at batch 0 and write over earlier output."""
     sources = [k for k in SOURCE_KEYS if options.get(k)]
     if len(sources) != 1:
         raise JobConfigError(
@@ -43,6 +51,8 @@ def validate(options: Mapping[str, Any]) -> None:
         raise JobConfigError(f"specify at least one output of {', '.join(OUTPUT_KEYS)}")
     if options.get("start_position", "TRIM_HORIZON").upper() == "AT_TIMESTAMP" and not options.get("start_timestamp"):
         raise JobConfigError("start_position AT_TIMESTAMP needs start_timestamp")
+    if streaming and not options.get("checkpoint_location"):
+        raise JobConfigError("a streaming run needs checkpoint_location")
 
 
 def _prefixed(options: Mapping[str, Any], key: str) -> str | None:
@@ -53,20 +63,42 @@ def _prefixed(options: Mapping[str, Any], key: str) -> str | None:
     return f"{path.rstrip('/')}/{prefix}" if prefix else path
 
 
+def _first_start(spark: SparkSession, checkpoint: str) -> str:
+    """When the stream of this checkpoint first started; written once beside it, read on every restart."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}_started_at")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        try:
+            out.write(now_text().encode())
+        finally:
+            out.close()
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def source_frame(spark: SparkSession, options: Mapping[str, Any], streaming: bool = True) -> DataFrame:
     pos, ts = options.get("start_position", "TRIM_HORIZON"), options.get("start_timestamp")
+    if pos.upper() == "LATEST":
+        # files written while the job was down are still to come, so a restart keeps the first start
+        ts = _first_start(spark, options["checkpoint_location"]) if streaming and options.get("input_path") else None
     if options.get("input_path"):
         opts = {"path": options["input_path"]}
-        if streaming and options.get("max_files_per_trigger"):
-            opts["maxFilesPerTrigger"] = str(options["max_files_per_trigger"])
         if streaming and options.get("max_bytes_per_trigger"):
             opts["maxBytesPerTrigger"] = str(options["max_bytes_per_trigger"])
-        return open_source(spark, options.get("input_kind", "text"), opts, streaming, pos, ts)
+        elif streaming:
+            opts["maxFilesPerTrigger"] = str(options.get("max_files_per_trigger", DEFAULT_FILES_PER_TRIGGER))
+        return open_source(spark, options.get("input_kind", "text"), opts, streaming, pos, ts,
+                           options.get("input_partitions"))
     if options.get("input_kafka_topic"):
         opts = {"kafka.bootstrap.servers": options["input_kafka_bootstrap_servers"],
                 "subscribe": options["input_kafka_topic"]}
         if pos.upper() == "AT_TIMESTAMP":
-            opts["startingTimestamp"] = str(options["start_timestamp"])
+            opts["startingTimestamp"] = str(epoch_millis(str(options["start_timestamp"])))
         elif pos.upper() == "LATEST":
             opts["startingOffsets"] = "latest"
         return open_source(spark, "kafka", opts, streaming, pos, ts)
@@ -100,115 +132,104 @@ def _route(df: DataFrame, options: Mapping[str, Any]) -> DataFrame:
                          location_mode=options.get("location_mode", "object"))
 
 
-def _document_sinks(spark: SparkSession, docs: DataFrame, options: Mapping[str, Any], tag: str) -> None:
-    both = options.get("output_documents") and options.get("output_document_log")
-    if both:
-        # two sinks read the routed versions: keep them (text columns only) in memory
-        docs = docs.persist()
-    try:
-        if options.get("output_document_log"):
-            (docs.withColumn("written_at", F.current_timestamp())
-                 .write.mode("overwrite").partitionBy("index_name")
-                 .parquet(f"{_prefixed(options, 'output_document_log')}/{tag}"))
-        if options.get("output_documents"):
-            state.merge_into_state(spark, docs, _prefixed(options, "output_documents"),
-                                   buckets=int(options.get("state_buckets", state.DEFAULT_STATE_BUCKETS)))
-    finally:
-        if both:
-            docs.unpersist()
-
-
-def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any]) -> None:
-    """Parse one batch of raw records and write it to every chosen sink.
+def batch_rows(records: DataFrame, options: Mapping[str, Any]) -> DataFrame:
+    """One parse of a batch: the narrow rows every sink is fed from.
 
-    ``options['batch_cache']``: ``raw`` (default) keeps the batch's input
-    records in memory and each sink parses from them; ``parsed`` caches the
-    parsed rows instead; ``none`` re-reads the source per sink. Caching parsed
-    rows serialises the VARIANT maps, which costs more than parsing again.
+    ``reason`` says why a row goes to quarantine (parse or routing), ``kept``
+    whether it is a row change. Text columns a sink does not need are left out.
+    """
+    batch = parse_stage(records, options)
+    routed = _route(batch, options)
+    is_data = F.col("parse_error").isNull() & F.coalesce(F.col("record_type") == routing.DATA_RECORD_TYPE, F.lit(False))
+    needs_document = options.get("output_documents") or options.get("output_document_log")
+    # a missing key only matters where there are documents to name
+    reason = F.coalesce("parse_error", F.when(is_data, F.col("route_error")) if needs_document else F.lit(None))
+    columns = [F.when(reason.isNotNull(), F.col("value")).alias("value"), reason.alias("reason"),
+               (is_data & reason.isNull()).alias("kept"), "event_time", "schema_name", "table_name", "operation",
+               "record_type", *[c for c in ("arrival_time", "source", "seq") if c in batch.columns]]
+    if needs_document or options.get("restream_key", "0") is None:
+        columns += ["index_name", "doc_id", "is_delete"]
+    if needs_document:
+        columns.append("doc")
+    if options.get("output_json") or options.get("output_restream"):
+        columns.append(documents.envelope_json(F.col("metadata"), F.col("data")).alias("line"))
+    if options.get("output_parquet"):
+        columns += ["metadata", "partition_key_type", F.to_json("data").alias("data")]
+    return routed.select(*columns)
+
+
+def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any], source: str | None = None,
+            tag: str | None = None) -> None:
+    """Parse one batch of raw records once and write it to every chosen sink.
+
+    With more than one sink the narrow rows (text, no parsed maps) are kept in
+    memory for the batch, so neither the source nor the parse runs twice.
     """
     spark = records.sparkSession
     prepare(spark)
-    mode = options.get("batch_cache", "raw")
-    cached = None
-    if mode == "raw":
-        records = cached = records.persist()
-    batch = parse_stage(records, options)
-    if mode == "parsed":
-        batch = cached = batch.persist()
+    tag = tag or f"batch_id={batch_id}"
+    rows = batch_rows(records, options)
+    sinks_chosen = [k for k in (*OUTPUT_KEYS, "output_quarantine") if options.get(k)]
+    shared = len(sinks_chosen) > 1
+    if shared:
+        rows = rows.persist()
+    cluster = bool(options.get("cluster_layouts", True))
+
+    def target(key: str) -> str:
+        return f"{_prefixed(options, key)}/{tag}"
     try:
-        good, bad = env.split_quarantine(batch)
-        kept = routing.only_data(good)
-        tag = f"batch_id={batch_id}"
-        need_routed = options.get("output_documents") or options.get("output_document_log")
-        map_sinks = any(options.get(k) for k in ("output_json", "output_parquet", "output_restream",
-                                                  "output_discarding", "output_console"))
-        if need_routed and options.get("output_quarantine") and not map_sinks:
-            # text-only sinks: route every row once and keep the narrow text rows, so the
-            # quarantine and the document sinks share one parse of the batch
-            is_kept = (F.col("parse_error").isNull() & F.col("metadata").isNotNull()
-                       & F.coalesce(F.col("record_type") == F.lit(routing.DATA_RECORD_TYPE), F.lit(False)))
-            routed_all = _route(batch, options)
-            narrow = routed_all.select(
-                F.when(F.col("parse_error").isNotNull(), F.col("value")).alias("value"), "parse_error",
-                is_kept.alias("_kept"), "index_name", "doc_id", "doc", "is_delete", "operation",
-                "event_time", "seq", *[c for c in ("arrival_time",) if c in batch.columns]).persist()
-            try:
-                (env.quarantine_view(narrow.where(F.col("parse_error").isNotNull())).write.mode("overwrite")
-                    .parquet(f"{_prefixed(options, 'output_quarantine')}/{tag}"))
-                _document_sinks(spark, sinks.document_rows(narrow.where(F.col("_kept"))), options, tag)
-            finally:
-                narrow.unpersist()
-        else:
-            if options.get("output_quarantine"):
-                (env.quarantine_view(bad).write.mode("overwrite")
-                    .parquet(f"{_prefixed(options, 'output_quarantine')}/{tag}"))
-            if need_routed:
-                _document_sinks(spark, sinks.document_rows(_route(kept, options)), options, tag)
+        kept = rows.where("kept")
+        if options.get("output_quarantine"):
+            bad = rows.where(F.col("reason").isNotNull()).withColumnRenamed("reason", "parse_error")
+            env.quarantine_view(bad).write.mode("overwrite").parquet(target("output_quarantine"))
+        if options.get("output_document_log"):
+            (sinks.document_rows(kept).withColumn("written_at", F.current_timestamp())
+                  .write.mode("overwrite").partitionBy("index_name").parquet(target("output_document_log")))
+        if options.get("output_documents"):
+            store = state.StateStore(spark, _prefixed(options, "output_documents"))
+            store.append(sinks.document_rows(kept), source or str(options.get("query_name") or "stream"), batch_id,
+                         int(options.get("state_compact_every", state.DEFAULT_COMPACT_EVERY)))
         if options.get("output_json"):
-            ts_col = "event_time"
-            src = kept
-            if options.get("json_time", "event") == "processing":
-                src, ts_col = kept.withColumn("_now", F.current_timestamp()), "_now"
-            sinks.write_json_lines(src, f"{_prefixed(options, 'output_json')}/{tag}", ts_col=ts_col,
-                                   by_table=bool(options.get("json_by_table", False)), mode="overwrite",
-                                   cluster=bool(options.get("cluster_layouts", True)))
+            processing = options.get("json_time", "event") == "processing"
+            src = kept.withColumn("event_time", F.current_timestamp()) if processing else kept
+            sinks.write_lines(src, target("output_json"), by_table=bool(options.get("json_by_table", False)),
+                              mode="overwrite", cluster=cluster)
         if options.get("output_parquet"):
-            out = sinks.table_month_columns(kept.drop("value"))
-            out = out.withColumns({"day": F.date_format("event_time", "dd"),
-                                   "hour": F.date_format("event_time", "HH")})
-            if options.get("cluster_layouts", True):
-                # salt by event time: varies inside an hour folder and is cheap to hash
-                out = sinks.cluster_for_layout(out, ["table_name", "year", "month", "day", "hour"], "event_time")
+            out = sinks.table_month_columns(kept.drop("value", "reason", "kept", "line", "doc", "doc_id", "index_name",
+                                                      "is_delete"))
+            out = out.withColumns({"day": F.date_format("event_time", "dd"), "hour": F.date_format("event_time", "HH")})
+            if cluster:
+                out = sinks.cluster_for_layout(out, ["table_name", "year", "month", "day", "hour"])
             (out.write.mode("overwrite").partitionBy("table_name", "year", "month", "day", "hour")
-                .parquet(f"{_prefixed(options, 'output_parquet')}/{tag}"))
+                .parquet(target("output_parquet")))
         if options.get("output_restream"):
-            target = options["output_restream"]
-            recs = sinks.restream_records(kept)
+            key = options.get("restream_key", "0")
+            recs = kept.select((F.lit(key) if key is not None else F.col("doc_id")).alias("key"), F.col("line").alias("value"))
             if options.get("output_kafka_bootstrap_servers"):
                 (recs.write.format("kafka")
                      .option("kafka.bootstrap.servers", options["output_kafka_bootstrap_servers"])
-                     .option("topic", target).save())
+                     .option("topic", options["output_restream"]).save())
             else:
-                sinks.write_text(recs, f"{_prefixed(options, 'output_restream')}/{tag}", mode="overwrite")
+                sinks.write_text(recs, target("output_restream"), mode="overwrite")
         if options.get("output_discarding"):
-            batch.write.format("noop").mode("overwrite").save()
+            rows.write.format("noop").mode("overwrite").save()
         if options.get("output_console"):
-            kept.select("table_name", "operation", "record_type").show(20, truncate=False)
+            sinks.print_rows(kept.select("table_name", "operation", "record_type"))
     finally:
-        if cached is not None:
-            cached.unpersist()
+        if shared:
+            rows.unpersist()
 
 
 def run(spark: SparkSession, options: Mapping[str, Any]) -> StreamingQuery:
     """Start the job. ``trigger``: ``"available_now"`` or an interval such as
     ``"60 seconds"`` (the checkpoint cadence of the original deployment)."""
-    validate(options)
+    validate(options, streaming=True)
     prepare(spark)
     records = source_frame(spark, options, streaming=True)
-    checkpoint = options.get("checkpoint_location") or scratch_path(spark, "job-checkpoint")
+    from_files = bool(options.get("input_path"))
     writer = (records.writeStream
-                    .foreachBatch(lambda df, bid: fan_out(df, bid, options))
-                    .option("checkpointLocation", checkpoint))
+                    .foreachBatch(lambda df, bid: fan_out(in_line_order(df) if from_files else df, bid, options))
+                    .option("checkpointLocation", options["checkpoint_location"]))
     trig = options.get("trigger", "60 seconds")
     writer = writer.trigger(availableNow=True) if trig == "available_now" else writer.trigger(processingTime=trig)
     if options.get("query_name"):
@@ -216,11 +237,13 @@ def run(spark: SparkSession, options: Mapping[str, Any]) -> StreamingQuery:
     return writer.start()
 
 
-def run_batch(spark: SparkSession, options: Mapping[str, Any]) -> None:
-    """The same pipeline over a bounded input, as batch 0."""
+def run_batch(spark: SparkSession, options: Mapping[str, Any], run_id: str | None = None) -> None:
+    """The same pipeline over a bounded input. A run writes under ``run_id=<id>``: give the id of a
+    failed run to repeat it, else each call is a run of its own."""
     validate(options)
     prepare(spark)
-    fan_out(source_frame(spark, options, streaming=False), 0, options)
+    run_id = run_id or options.get("run_id") or uuid.uuid4().hex
+    fan_out(source_frame(spark, options, streaming=False), 0, options, source=f"run {run_id}", tag=f"run_id={run_id}")
 
 
 def _rollup_frame(parsed: DataFrame, rollup: str, params: Mapping[str, Any]) -> DataFrame:
@@ -248,12 +271,13 @@ def run_rollup(spark: SparkSession, options: Mapping[str, Any], rollup: str = "w
     windowed on arrival time). Watermarked (W1); late rows are dropped and
     show up in ``numRowsDroppedByWatermark`` (W4). Sinks: ``output_memory``
     (query name), ``output_parquet`` (append mode) or the console."""
-    validate({**options, "output_discarding": True})
+    validate({**options, "output_discarding": True}, streaming=True)
     prepare(spark)
+    # a key's rows become one row per task and session before they are shuffled
+    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     parsed = parse_stage(source_frame(spark, options, streaming=True), options)
     out = _rollup_frame(parsed, rollup, params)
-    checkpoint = options.get("checkpoint_location") or scratch_path(spark, f"{rollup}-checkpoint")
-    w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+    w = out.writeStream.outputMode(output_mode).option("checkpointLocation", options["checkpoint_location"])
     if options.get("output_memory"):
         w = w.format("memory").queryName(options["output_memory"])
     elif options.get("output_parquet"):

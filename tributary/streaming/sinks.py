@@ -9,30 +9,17 @@ from tributary.functions import documents, layout
 
 # Fixed default: rows per output file, the stand-in for a size-based roll.
 DEFAULT_MAX_RECORDS_PER_FILE = 1_000_000
-# Fixed default: how many tasks one layout partition may be spread over.
-DEFAULT_LAYOUT_SALT = 16
 
 
-def cluster_for_layout(df: DataFrame, parts: list[str], salt_col: str | None = None,
-                       salt_buckets: int = DEFAULT_LAYOUT_SALT) -> DataFrame:
-    """Range-cluster rows on the layout columns before a partitioned write.
+def cluster_for_layout(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Bring the rows of a layout folder together before a partitioned write.
 
-    Without it every task writes a file into every partition folder it sees
-    (tasks x partitions small files). Range partitioning gives each task a
-    contiguous run of folders; a deterministic hash salt as the last range
-    key lets one hot folder be split over up to ``salt_buckets`` tasks, and a
-    retried task gets the same rows.
+    Without it every task writes a file into every folder it sees (tasks x
+    folders small files). The rebalance hint shuffles once by the layout
+    columns, without sampling the input, and adaptive execution splits a hot
+    folder over as many tasks as its measured size asks for.
     """
-    keys = [F.col(p) for p in parts]
-    if salt_col:
-        keys.append(F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets)))
-    return df.repartitionByRange(*keys)
-
-
-def envelope_lines(df: DataFrame, ts_col: str = "event_time", zone: str = layout.HOUR_LAYOUT_ZONE) -> DataFrame:
-    """``value`` = envelope JSON line, plus ``year/month/day/hour`` of ``ts_col`` in ``zone``."""
-    return df.select(documents.envelope_json(F.col("metadata"), F.col("data")).alias("value"),
-                     *layout.hour_parts(F.col(ts_col), zone))
+    return df.hint("rebalance", *[F.col(p) for p in parts])
 
 
 def write_json_lines(df: DataFrame, path: str, ts_col: str = "event_time",
@@ -44,15 +31,18 @@ def write_json_lines(df: DataFrame, path: str, ts_col: str = "event_time",
     ``ts_col="event_time"`` buckets by event time; pass a processing-time
     column (``current_timestamp()``) for the original processing-time layout.
     """
-    parts = ["year", "month", "day", "hour"]
-    if by_table:
-        lines = df.select(documents.envelope_json(F.col("metadata"), F.col("data")).alias("value"),
-                          F.col("table_name"), *layout.hour_parts(F.col(ts_col), zone))
-        parts = ["table_name"] + parts
-    else:
-        lines = envelope_lines(df, ts_col, zone)
+    lines = df.withColumn("line", documents.envelope_json(F.col("metadata"), F.col("data")))
+    write_lines(lines, path, ts_col, zone, by_table, mode, max_records_per_file, cluster)
+
+
+def write_lines(df: DataFrame, path: str, ts_col: str = "event_time", zone: str = layout.HOUR_LAYOUT_ZONE,
+                by_table: bool = False, mode: str = "append", max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+                cluster: bool = True) -> None:
+    """Ready lines (column ``line``) in the same folders."""
+    parts = (["table_name"] if by_table else []) + ["year", "month", "day", "hour"]
+    lines = df.select(F.col("line").alias("value"), *parts[:-4], *layout.hour_parts(F.col(ts_col), zone))
     if cluster:
-        lines = cluster_for_layout(lines, parts, "value")
+        lines = cluster_for_layout(lines, parts)
     (lines.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
           .partitionBy(*parts).text(path))
 
@@ -65,9 +55,8 @@ def write_table_month_parquet(df: DataFrame, path: str, ts_col: str = "event_tim
                               cluster: bool = True) -> None:
     """Parquet under ``table_name=/year=/month=`` (Striim layout)."""
     out = table_month_columns(df, ts_col)
-    salt = "value" if "value" in out.columns else None
     if cluster:
-        out = cluster_for_layout(out, ["table_name", "year", "month"], salt)
+        out = cluster_for_layout(out, ["table_name", "year", "month"])
     keep = [c for c in out.columns if c not in ("value",)]
     out.select(*keep).write.mode(mode).partitionBy("table_name", "year", "month").parquet(path)
 
@@ -77,8 +66,7 @@ def write_trip_parquet(df: DataFrame, path: str, mode: str = "append", cluster:
     out = df.select("*", layout.pickup_location_part(F.col("pickup_location_id")),
                     *layout.month_parts(F.col("pickup_datetime")))
     if cluster:
-        salt = "trip_id" if "trip_id" in out.columns else None
-        out = cluster_for_layout(out, ["pickup_location", "year", "month"], salt)
+        out = cluster_for_layout(out, ["pickup_location", "year", "month"])
     out.write.mode(mode).partitionBy("pickup_location", "year", "month").parquet(path)
 
 
@@ -94,17 +82,23 @@ def write_text(df: DataFrame, path: str, col: str = "value", mode: str = "append
     df.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def restream_records(df: DataFrame, partition_key: str = "0") -> DataFrame:
-    """``(key, value)`` rows for a message-bus sink: fixed key, envelope JSON value."""
-    return df.select(F.lit(partition_key).alias("key"),
+def print_rows(df: DataFrame) -> None:
+    """Every row as one line on the standard output of the task that holds it."""
+    def show(rows):
+        for row in rows:
+            print("|".join("null" if v is None else str(v) for v in row))
+    df.foreachPartition(show)
+
+
+def restream_records(df: DataFrame, partition_key: str | None = "0") -> DataFrame:
+    """``(key, value)`` rows for a message-bus sink: envelope JSON value under a fixed key (all rows
+    in one bus partition, in order), or under the document's id when ``partition_key`` is None."""
+    key = F.lit(partition_key) if partition_key is not None else F.col("doc_id")
+    return df.select(key.alias("key"),
                      documents.envelope_json(F.col("metadata"), F.col("data")).alias("value"))
 
 
 def document_rows(routed: DataFrame) -> DataFrame:
     """What the document sink stores per version."""
-    return routed.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "seq")
-
-
-def document_log_rows(routed: DataFrame) -> DataFrame:
-    """Document versions plus the time they were written (for output volume)."""
-    return document_rows(routed).withColumn("written_at", F.current_timestamp())
+    source = [c for c in ("arrival_time", "source", "seq") if c in routed.columns]
+    return routed.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", *source)
