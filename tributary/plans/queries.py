@@ -19,7 +19,7 @@ from tributary.operators import mapping, routing, state, windows
 from tributary.schemas import ADDRESS_SCHEMA
 from tributary.session import prepare, scratch_path
 from tributary.sources import fixtures as fx
-from tributary.sources.files import start_at
+from tributary.sources.files import open_source, start_at
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -49,7 +49,7 @@ def routed(spark: SparkSession, envelopes: DataFrame, **route_opts) -> DataFrame
 # --- SQL pieces repeating the planted-case arithmetic (fixtures.PLANT_*) ----------------
 
 def _kept(key: str) -> str:
-    return f"{key} % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7)"
+    return f"{key} % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 11)"
 
 
 def _op(key: str) -> str:
@@ -88,6 +88,7 @@ SELECT reason, count(*) AS n FROM (
               WHEN event_id % 100 = 4 THEN 'data_not_object'
               WHEN event_id % 100 = 5 THEN 'metadata_missing'
               WHEN event_id % 100 = 6 THEN 'metadata_nested'
+              WHEN event_id % 100 = 11 THEN 'table_missing'
               ELSE 'kept' END AS reason
   FROM events) t
 GROUP BY reason""")
@@ -109,7 +110,7 @@ def conformance(spark, sf_dir):
 
 @register("control_dropped", """
 SELECT branch, count(*) AS n FROM (
-  SELECT CASE WHEN o_orderkey % 100 IN (1, 4, 5, 6, 7) THEN 'quarantined'
+  SELECT CASE WHEN o_orderkey % 100 IN (1, 4, 5, 6, 7, 11) THEN 'quarantined'
               WHEN o_orderkey % 100 = 3 THEN 'no_record_type'
               WHEN o_orderkey % 100 IN (0, 2) THEN 'not_data'
               ELSE 'data' END AS branch
@@ -179,7 +180,7 @@ def content_doc_id(spark, sf_dir):
     return docs.select("index_name", key.alias("row_key"), "doc_id")
 
 
-_EVENTS_KEY_ID = "md5(unhex(md5('TPCH.events{user_id=' || user_id || '}')))"
+_EVENTS_KEY_ID = "md5(unhex(md5('4:TPCH.events{user_id=' || length(CAST(user_id AS VARCHAR)) || ':' || user_id || '}')))"
 
 
 @register("key_doc_id", f"""
@@ -259,10 +260,10 @@ def geo_array_points(spark, sf_dir):
 SELECT c_custkey,
        CASE c_custkey % 10 WHEN 2 THEN NULL WHEN 4 THEN 91.0 WHEN 6 THEN 'NaN'::DOUBLE WHEN 8 THEN 42.0
             ELSE {_LAT} END AS lat,
-       c_custkey % 10 IN (3, 6) AS lat_quoted,
+       CASE WHEN c_custkey % 10 <> 2 THEN c_custkey % 10 IN (3, 6) END AS lat_quoted,
        CASE c_custkey % 10 WHEN 2 THEN NULL WHEN 5 THEN 181.0 WHEN 7 THEN NULL WHEN 8 THEN NULL
             ELSE {_LON} END AS lon,
-       c_custkey % 10 = 3 AS lon_quoted
+       CASE WHEN c_custkey % 10 NOT IN (2, 7, 8) THEN c_custkey % 10 = 3 END AS lon_quoted
 FROM customer""")
 def geo_raw_points(spark, sf_dir):
     """Documents whose location is copied unvalidated from ``LAT``/``LON`` columns
@@ -335,7 +336,9 @@ _FIELD_TYPES_SQL = " UNION ALL ".join(
                                          ("o_totalprice", "float"), ("o_orderdate", "date")])
     + _envelope_fields("dms_flink_orders")
     + [_text_field("dms_flink_events", c, "events") for c in ("event_type", "props")]
-    + _fixed_fields("dms_flink_events", [("event_id", "long"), ("user_id", "long"), ("value", "float")])
+    + _fixed_fields("dms_flink_events", [("event_id", "long"), ("user_id", "long"), ("value", "float"),
+                                         ("parent_id", "long")])
+    + ["SELECT 'dms_flink_events', 'note', 'text', 256"]
     + ["SELECT 'dms_flink_events', 'client_ts', CASE WHEN bool_or(event_id % 1000 = 999) THEN 'text' "
        "ELSE 'date' END, CASE WHEN bool_or(event_id % 1000 = 999) THEN 256 END FROM events"]
     + _envelope_fields("dms_flink_events"))
@@ -353,7 +356,7 @@ def field_types(spark, sf_dir):
     """Field types per table inferred from every value (T1-T3): instants are
     ``date``, 64-bit integers ``long``, fractions ``float``, the rest ``text``;
     mixed fields widen; ``ignore_above`` when all values fit 256 characters."""
-    return mapping.field_types(_mapping_input(spark, sf_dir))
+    return mapping.field_types(_mapping_input(spark, sf_dir)).drop("n")
 
 
 _V1 = {"long": "long", "float": "float", "date": "date", "text": "text"}
@@ -380,13 +383,38 @@ _MAPPING_DIFF_SQL = " UNION ALL ".join(
 def mapping_diff(spark, sf_dir):
     """Mapping inferred over all orders, rendered in the two sample styles and
     compared field by field (T4, full outer join)."""
-    docs = routed(spark, fx.orders_envelopes(spark, sf_dir, plant=False))
-    types = mapping.field_types(docs)
-    diff = mapping.mapping_diff(mapping.apply_profile(types, "v1"), mapping.apply_profile(types, "v2"))
-    n = docs.agg(F.count("*").cast("string").alias("n"))
-    checked = n.select(F.lit("dms_flink_orders").alias("index_name"), F.lit("rows_checked").alias("field"),
-                       F.col("n").alias("left_type"), F.col("n").alias("right_type"), F.lit("same").alias("status"))
-    return diff.unionByName(checked)
+    types = mapping.field_types(routed(spark, fx.orders_envelopes(spark, sf_dir, plant=False)))
+    diff = mapping.profile_diff(types, "v1", "v2")
+    # every document has a location, so its count is the number of rows checked
+    n = F.col("n").cast("string")
+    row = F.struct("index_name", "field", "left_type", "right_type", "status")
+    checked = F.struct("index_name", F.lit("rows_checked").alias("field"), n.alias("left_type"), n.alias("right_type"),
+                       F.lit("same").alias("status"))
+    both = F.when(F.col("field") == mapping.LOCATION_FIELD, F.array(row, checked)).otherwise(F.array(row))
+    return diff.select(F.inline(both))
+
+
+# An index template with the field overrides of a deployment.
+TEMPLATES = [{"index_patterns": ["dms_flink_ord*", "other-*"],
+              "template": {"mappings": {"properties": {
+                  "o_custkey": {"type": "integer"}, "metadata.timestamp": {"type": "date"},
+                  "o_orderstatus": {"type": "text", "fields": {"keyword": {"type": "keyword", "ignore_above": 16}}}}}}}]
+
+
+@register("template_types", " UNION ALL ".join(
+    f"SELECT 'dms_flink_orders' AS index_name, '{f}' AS field, '{t}' AS es_type, CAST({i} AS INTEGER) AS ignore_above, "
+    "(SELECT count(*) FROM orders) AS n"
+    for f, t, i in [("o_orderkey", "long", "NULL"), ("o_custkey", "integer", "NULL"), ("o_orderstatus", "text", "16"),
+                    ("o_totalprice", "float", "NULL"), ("o_orderdate", "date", "NULL"), ("o_orderpriority", "text", "256"),
+                    ("metadata.timestamp", "date", "NULL"), ("metadata.record-type", "text", "256"),
+                    ("metadata.operation", "text", "256"), ("metadata.partition-key-type", "text", "256"),
+                    ("metadata.schema-name", "text", "256"), ("metadata.table-name", "text", "256"),
+                    ("location", "geo_point", "NULL")]))
+def template_types(spark, sf_dir):
+    """Index template overrides by index pattern and field on the inferred mapping (T4)."""
+    types = mapping.field_types(routed(spark, fx.orders_envelopes(spark, sf_dir, plant=False)))
+    return mapping.apply_template(types.drop("n"), TEMPLATES).join(types.select("index_name", "field", "n"),
+                                                                   ["index_name", "field"])
 
 
 # --- O4 O5 O10 O11 S5: layouts and file sinks ---------------------------------------------
@@ -458,11 +486,14 @@ def parquet_roundtrip(spark, sf_dir):
 @register("comma_lines", """
 SELECT p_partkey || ',' || p_name || ',null' AS line FROM part""")
 def comma_lines(spark, sf_dir):
-    """``id,name,description`` text lines, null printed as ``null``."""
+    """``id,name,description`` text lines, null printed as ``null``, written and read back."""
+    from tributary.streaming import sinks
     kept = routing.only_data(env.parse_dms(fx.part_envelopes(spark, sf_dir)))
     d = F.col("data")
-    return kept.select(documents.comma_line(field(d, "p_partkey"), field(d, "p_name"),
-                                            field(d, "p_description")).alias("line"))
+    path = scratch_path(spark, "comma-lines")
+    sinks.write_text(kept.select(documents.comma_line(field(d, "p_partkey"), field(d, "p_name"),
+                                                      field(d, "p_description")).alias("line")), path, col="line")
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 # --- P6: Striim ---------------------------------------------------------------------------
@@ -474,7 +505,7 @@ SELECT 'TPCH' AS schema_name, 'SUPPLIER' AS table_name,
        CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name || '-old' END AS before_name,
        'pos-' || s_suppkey AS position, 'U' || (s_suppkey % 7) AS txn_user_id,
        strftime(TIMESTAMP '2022-01-01 00:00:00' + to_seconds(s_suppkey), '%Y-%m-%d %H:%M:%S') AS event_time
-FROM supplier""")
+FROM supplier WHERE s_suppkey % 50 NOT IN (47, 48, 49)""")
 def striim_rows(spark, sf_dir):
     """Striim change events: ``SCHEMA.TABLE`` split, ``before`` image, position."""
     p = env.parse_striim(fx.striim_envelopes(spark, sf_dir, table="supplier"))
@@ -534,9 +565,10 @@ def session_counts(spark, sf_dir):
 @register("stream_health", """
 SELECT strftime(date_trunc('minute', ts + to_milliseconds(event_id % 5000)), '%Y-%m-%d %H:%M:%S') AS period_start,
        count(*) AS records_in,
-       count(*) FILTER (WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7)) AS records_kept,
-       max(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7) THEN event_id % 5000 END) AS max_lag_ms,
-       CAST(sum(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7) THEN event_id % 5000 END) AS BIGINT) AS sum_lag_ms
+       count(*) FILTER (WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 11)) AS records_kept,
+       count(*) FILTER (WHERE event_id % 100 NOT IN (1, 4, 5, 6, 7, 11)) AS lag_records,
+       max(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7, 11) THEN event_id % 5000 END) AS max_lag_ms,
+       CAST(sum(CASE WHEN event_id % 100 NOT IN (1, 4, 5, 6, 7, 11) THEN event_id % 5000 END) AS BIGINT) AS sum_lag_ms
 FROM events GROUP BY ALL""")
 def stream_health(spark, sf_dir):
     """Per-minute records in, records kept and delivery lag (M1-M3)."""
@@ -544,13 +576,13 @@ def stream_health(spark, sf_dir):
     kept = F.col("parse_error").isNull() & F.coalesce(F.col("record_type") == "data", F.lit(False))
     h = windows.stream_health(parsed.withColumn("kept", kept), kept_col="kept")
     return h.select(F.date_format("period_start", SECOND_FMT).alias("period_start"), "records_in",
-                    "records_kept", "max_lag_ms", "sum_lag_ms")
+                    "records_kept", "lag_records", "max_lag_ms", "sum_lag_ms")
 
 
 @register("output_volume", """
 SELECT strftime(date_trunc('minute', ts + to_milliseconds(event_id % 5000)), '%Y-%m-%d %H:%M:%S') AS period_start,
        'dms_flink_events' AS index_name, count(*) AS rows_out
-FROM events WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7) GROUP BY ALL""")
+FROM events WHERE event_id % 100 NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 11) GROUP BY ALL""")
 def output_volume(spark, sf_dir):
     """Documents written per minute of arrival and index (M4). ``bytes_out`` depends on
     the exact document text, so only row counts are compared here; bytes are unit-tested."""
@@ -606,10 +638,156 @@ def index_mappings(spark, sf_dir):
 @register("striim_documents", """
 SELECT 'dms_flink_supplier' AS index_name, count(*) AS n_docs,
        count(*) FILTER (WHERE s_suppkey % 3 = 2) AS n_deletes
-FROM supplier""")
+FROM supplier WHERE s_suppkey % 50 NOT IN (47, 48, 49)""")
 def striim_documents(spark, sf_dir):
     """Striim events through the same routing as DMS rows (D2): one document per event."""
     p = env.striim_as_changes(env.parse_striim(fx.striim_envelopes(spark, sf_dir, table="supplier")))
     docs = routing.route(routing.only_data(p))
     return docs.groupBy("index_name").agg(F.count("*").alias("n_docs"),
                                           F.sum(F.col("is_delete").cast("long")).alias("n_deletes"))
+
+
+# --- S3 S8 O11 K1 P6 P8 H2 M1 M3 M4: forms with their own read-back -----------------------------
+
+@register("whole_file_rows", """
+SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation""")
+def whole_file_rows(spark, sf_dir):
+    """One event per file, spread over several lines, read whole (S3)."""
+    path = scratch_path(spark, "whole-files")
+    envs = fx.nation_region_envelopes(spark, sf_dir).where(F.col("value").contains("n_nationkey"))
+    (envs.select(F.regexp_replace("value", r',"', ',\n  "').alias("value"), F.col("seq").alias("file"))
+         .write.partitionBy("file").text(path))
+    recs = open_source(spark, "wholetext", {"path": path}, streaming=False)
+    d = F.col("data")
+    return routing.only_data(env.parse_dms(recs)).select(field(d, "n_nationkey", "bigint").alias("n_nationkey"),
+                                                         field(d, "n_name").alias("n_name"))
+
+
+@register("trip_layout", """
+SELECT lpad(CAST(((l_partkey % 265) + 1) % 3 + 5 AS VARCHAR), 3, '0') AS pickup_location, strftime(l_shipdate, '%Y') AS year,
+       strftime(l_shipdate, '%m') AS month, count(*) AS n
+FROM lineitem GROUP BY ALL""")
+def trip_layout(spark, sf_dir):
+    """Trips written under ``pickup_location=NNN/year=/month=`` and read back with a declared
+    schema, so folder names keep their zeros (S8, O11). Locations are merged into three zones:
+    a folder for each of 265 locations and every month would be 22,000 files of a few rows."""
+    from tributary.streaming import sinks
+    trips = env.parse_trip(fx.trip_records(spark, sf_dir)).withColumn(
+        "pickup_location_id", F.pmod("pickup_location_id", F.lit(3)) + 5)
+    path = scratch_path(spark, "trips")
+    sinks.write_trip_parquet(trips.where(F.col("parse_error").isNull()).drop("value"), path)
+    back = spark.read.schema("trip_id bigint, pickup_location string, year string, month string").parquet(path)
+    return back.groupBy("pickup_location", "year", "month").agg(F.count("*").alias("n"))
+
+
+@register("keyed_rows", " UNION ALL ".join(
+    f"SELECT 'dms_flink_{t}' AS index_name, count(*) AS n FROM {t} WHERE {_kept(k)}"
+    for t, k in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey"))))
+def keyed_rows(spark, sf_dir):
+    """Rows brought together by index for per-table sinks (K1), a hot table split by its size."""
+    docs = routed(spark, fx.three_table_envelopes(spark, sf_dir, plant=True))
+    keyed = routing.key_by_table(docs.select("index_name", "doc_id"))
+    return keyed.groupBy("index_name").agg(F.count("*").alias("n"))
+
+
+@register("striim_quarantine", """
+SELECT CASE s_suppkey % 50 WHEN 47 THEN 'table_missing' WHEN 48 THEN 'time_invalid' WHEN 49 THEN 'time_invalid'
+       ELSE 'kept' END AS reason, count(*) AS n
+FROM supplier GROUP BY ALL""")
+def striim_quarantine(spark, sf_dir):
+    """Striim events without a table or with an impossible time are quarantined, not fatal."""
+    p = env.parse_striim(fx.striim_envelopes(spark, sf_dir, table="supplier"))
+    return p.groupBy(F.coalesce("parse_error", F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@register("route_quarantine", f"""
+SELECT CASE WHEN c_custkey % 100 = 8 THEN 'key_missing' ELSE 'routed' END AS reason, count(*) AS n,
+       count(DISTINCT CASE WHEN c_custkey % 100 <> 8 THEN c_custkey END) AS n_ids
+FROM customer WHERE {_kept('c_custkey')} GROUP BY ALL""")
+def route_quarantine(spark, sf_dir):
+    """Rows without their key columns get a reason, not a shared id (H2)."""
+    docs = routed(spark, fx.customer_envelopes(spark, sf_dir, plant=True), id_mode="key", key_columns=["c_custkey"])
+    return (docs.groupBy(F.coalesce("route_error", F.lit("routed")).alias("reason"))
+                .agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_ids")))
+
+
+@register("audit_quarantine", """
+SELECT CASE WHEN c_custkey % 100 IN (0, 2, 3, 8, 9, 10) OR c_custkey % 100 > 11 THEN
+            CASE WHEN c_custkey % 100 = 3 THEN 'audit_incomplete' ELSE 'line' END END AS reason, count(*) AS n
+FROM customer WHERE c_custkey % 100 NOT IN (1, 4, 5, 6, 7, 11) GROUP BY ALL""")
+def audit_quarantine(spark, sf_dir):
+    """Parsed records without all four audit keys have no line and a reason."""
+    parsed = env.parse_dms(fx.customer_envelopes(spark, sf_dir, plant=True))
+    lines = routing.audit_line(parsed.where(F.col("parse_error").isNull()))
+    return lines.groupBy(F.coalesce("audit_error", F.lit("line")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@register("text_volume", """
+SELECT strftime(date_trunc('minute', TIMESTAMP '2022-01-01' + to_seconds(doc_id)), '%Y-%m-%d %H:%M:%S') AS period_start,
+       count(*) AS records_in, CAST(sum(strlen(text)) AS BIGINT) AS bytes_in,
+       count(*) FILTER (doc_id % 5 <> 0) AS records_kept,
+       CAST(sum(CASE WHEN doc_id % 5 <> 0 THEN strlen(text) ELSE 0 END) AS BIGINT) AS bytes_kept,
+       count(*) FILTER (doc_id % 7 <> 0) AS lag_records,
+       CAST(avg(CASE WHEN doc_id % 7 <> 0 THEN doc_id % 1000 END) AS DECIMAL(18, 3)) AS avg_lag_ms
+FROM documents GROUP BY ALL""")
+def text_volume(spark, sf_dir):
+    """Bytes in and kept, and the average lag of records with an event time, over texts in four
+    languages (M1-M3)."""
+    d = fx.read_table(spark, sf_dir, "documents")
+    arrival = F.timestamp_seconds(F.lit(1640995200) + F.col("doc_id"))
+    lag = F.pmod("doc_id", F.lit(1000))
+    recs = d.select(F.col("text").alias("value"), arrival.alias("arrival_time"),
+                    F.when(F.pmod("doc_id", F.lit(7)) != 0,
+                           F.timestamp_millis(F.unix_millis(arrival) - lag)).alias("event_time"),
+                    (F.pmod("doc_id", F.lit(5)) != 0).alias("kept"))
+    h = windows.stream_health(recs, kept_col="kept")
+    return h.select(F.date_format("period_start", SECOND_FMT).alias("period_start"), "records_in", "bytes_in",
+                    "records_kept", "bytes_kept", "lag_records", F.col("avg_lag_ms").cast("decimal(18,3)").alias("avg_lag_ms"))
+
+
+@register("output_bytes", """
+SELECT strftime(date_trunc('minute', TIMESTAMP '2022-01-01' + to_seconds(doc_id)), '%Y-%m-%d %H:%M:%S') AS period_start,
+       lang AS index_name, count(*) AS rows_out, CAST(sum(strlen(text)) AS BIGINT) AS bytes_out
+FROM documents GROUP BY ALL""")
+def output_bytes(spark, sf_dir):
+    """UTF-8 bytes written per minute and index (M4)."""
+    d = fx.read_table(spark, sf_dir, "documents")
+    docs = d.select(F.col("lang").alias("index_name"), F.col("text").alias("doc"),
+                    F.timestamp_seconds(F.lit(1640995200) + F.col("doc_id")).alias("written_at"))
+    v = windows.output_volume(docs)
+    return v.select(F.date_format("period_start", SECOND_FMT).alias("period_start"), "index_name", "rows_out", "bytes_out")
+
+
+# --- O1 S7: the state table ---------------------------------------------------------------------
+
+@register("state_replay", _LATEST_SQL)
+def state_replay(spark, sf_dir):
+    """Two batches into the state table, the second replayed, a restart that replays it again, and a
+    compaction: versions are counted once and the latest wins (O1)."""
+    docs = routed(spark, fx.events_envelopes(spark, sf_dir), id_mode="key", key_columns=["user_id"])
+    rows = docs.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "arrival_time", "seq")
+    path = scratch_path(spark, "state-replay")
+    late = F.pmod("seq", F.lit(2)) == 0
+    store = state.StateStore(spark, path)
+    store.append(rows.where(late), "events", 0)
+    store.append(rows.where(~late), "events", 1)
+    store.append(rows.where(~late), "events", 1)
+    again = state.StateStore(spark, path)
+    again.append(rows.where(~late), "events", 1)
+    again.compact()
+    latest = again.read(apply_deletes=False)
+    return latest.select("index_name", "doc_id", F.col("seq").alias("latest_event_id"),
+                         F.get_json_object("doc", "$.event_type").alias("latest_event_type"), "operation", "n_versions")
+
+
+@register("index_documents", f"""
+SELECT DISTINCT 'dms_flink_customer' AS index_name, CASE WHEN c_custkey % 100 = 8 THEN NULL ELSE c_custkey END AS c_custkey
+FROM customer WHERE {_kept('c_custkey')}""")
+def index_documents(spark, sf_dir):
+    """All documents of one index, read from the state of three."""
+    docs = routed(spark, fx.three_table_envelopes(spark, sf_dir, plant=True))
+    path = scratch_path(spark, "state-index")
+    state.StateStore(spark, path).append(
+        docs.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "seq"), "all", 0)
+    back = state.read_index(spark, path, "dms_flink_customer", apply_deletes=False)
+    return back.select("index_name", F.get_json_object("doc", "$.c_custkey").cast("bigint").alias("c_custkey"))

@@ -23,7 +23,7 @@ def _orders_state_sql() -> str:
     return (f"SELECT 'dms_flink_orders' AS index_name, "
             f"count(DISTINCT CASE WHEN {k} % 100 = 8 THEN -1 ELSE {k} END) AS n_docs, "
             f"count(*) FILTER (WHERE {k} % 100 = 10) AS n_deleted FROM orders WHERE {_kept(k)} "
-            f"UNION ALL SELECT '_quarantine', count(*), 0 FROM orders WHERE {k} % 100 IN (1, 4, 5, 6, 7)")
+            f"UNION ALL SELECT '_quarantine', count(*), 0 FROM orders WHERE {k} % 100 IN (1, 4, 5, 6, 7, 11)")
 
 
 @register("stream_fanout", _orders_state_sql())
@@ -43,3 +43,95 @@ def stream_fanout(spark, sf_dir):
     bad = spark.read.parquet(f"{out}/quarantine").agg(
         F.lit("_quarantine").alias("index_name"), F.count("*").alias("n_docs"), F.lit(0).cast("long").alias("n_deleted"))
     return docs.unionByName(bad)
+
+
+@register("latest_from_files", """
+SELECT 'dms_flink_supplier' AS index_name, CAST(s_suppkey AS BIGINT) AS s_suppkey,
+       CASE WHEN s_suppkey % 3 = 0 THEN 'delete' ELSE 'update' END AS operation, 3 AS version, 3 AS n_versions
+FROM supplier""")
+def latest_from_files(spark, sf_dir):
+    """Three versions of every row with one event time, in two files: the later file wins, and in it
+    the later line, without a sequence number from the source (O1, S1)."""
+    s = fx.read_table(spark, sf_dir, "supplier")
+    op = F.when((F.col("version") == 3) & (F.pmod("s_suppkey", F.lit(3)) == 0), F.lit("delete")).otherwise(F.lit("update"))
+    rows = s.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    envs = fx.dms_envelopes(rows, table="supplier", key="s_suppkey", columns=[F.col("s_suppkey"), F.col("version")],
+                            event_time=F.lit("2022-01-01").cast("timestamp"), operation=op, passthrough=["version"])
+    path, out = scratch_path(spark, "versions"), scratch_path(spark, "versions-out")
+    for wanted in (F.col("version") == 1, F.col("version") > 1):
+        (envs.where(wanted).repartition(1).sortWithinPartitions("version").select("value")
+             .write.mode("append").text(path))
+    job.run_batch(spark, {"input_path": path, "output_documents": out, "id_mode": "key", "key_columns": ["s_suppkey"]})
+    docs = state.read_index(spark, out, apply_deletes=False)
+    return docs.select("index_name", F.get_json_object("doc", "$.s_suppkey").cast("bigint").alias("s_suppkey"), "operation",
+                       F.get_json_object("doc", "$.version").cast("int").alias("version"),
+                       F.col("n_versions").cast("int").alias("n_versions"))
+
+
+@register("fan_out_sinks", f"""
+SELECT sink, count(*) AS n FROM customer, (VALUES ('documents'), ('document_log'), ('json'), ('parquet'), ('restream')) s(sink)
+WHERE {_kept('c_custkey')} GROUP BY sink
+UNION ALL SELECT 'quarantine', count(*) FROM customer WHERE c_custkey % 100 IN (1, 4, 5, 6, 7, 11)""")
+def fan_out_sinks(spark, sf_dir):
+    """One parse, six sinks: state, document log, JSON lines, Parquet, re-stream and quarantine beside a
+    discarding one (O1, O4, O5, O6, O8, O13), each read back."""
+    inp = write_envelope_files(spark, fx.customer_envelopes(spark, sf_dir, plant=True))
+    out = scratch_path(spark, "fan-out")
+    keys = ("documents", "document_log", "json", "parquet", "restream", "quarantine")
+    opts = {f"output_{k}": f"{out}/{k}" for k in keys}
+    job.run_batch(spark, {"input_path": inp, "output_discarding": True, **opts}, run_id="one")
+    counts = [state.read_index(spark, f"{out}/documents", apply_deletes=False).agg(F.sum("n_versions").alias("n"))]
+    counts += [spark.read.parquet(f"{out}/{k}").agg(F.count("*").alias("n")) for k in ("document_log", "parquet", "quarantine")]
+    counts += [spark.read.text(f"{out}/{k}").agg(F.count("*").alias("n")) for k in ("json", "restream")]
+    names = ("documents", "document_log", "parquet", "quarantine", "json", "restream")
+    rows = [c.select(F.lit(k).alias("sink"), "n") for k, c in zip(names, counts)]
+    every = rows[0]
+    for r in rows[1:]:
+        every = every.unionByName(r)
+    return every
+
+
+_EVENTS_END = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 100 MILLISECOND FROM events)"
+
+
+def _event_files(spark, sf_dir, **kwargs):
+    """All events in one file, a file without events, then the same events in 1999: late by then.
+
+    A batch drops what is behind the watermark the batch before it began with,
+    so late rows come two batches after the rows that make them late."""
+    path = scratch_path(spark, "event-files")
+    envs = fx.events_envelopes(spark, sf_dir, **kwargs).select("value")
+    envs.repartition(1).write.text(path)
+    spark.range(1).select(F.lit("{}").alias("value")).write.mode("append").text(path)
+    late = F.regexp_replace("value", r'"timestamp":"(\d{4})', '"timestamp":"1999')
+    envs.select(late.alias("value")).repartition(1).write.mode("append").text(path)
+    return path
+
+
+def _rollup(spark, path, rollup, **params):
+    out = scratch_path(spark, rollup)
+    job.run_rollup(spark, {"input_path": path, "max_files_per_trigger": 1, "output_parquet": f"{out}/rows",
+                           "checkpoint_location": f"{out}/_checkpoint"}, rollup, **params).awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+@register("stream_windows", f"""
+SELECT strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type AS table_name, count(*) AS n
+FROM events WHERE date_trunc('second', ts) + INTERVAL 1 SECOND <= {_EVENTS_END} GROUP BY ALL""")
+def stream_windows(spark, sf_dir):
+    """Tumbling counts of a stream with a watermark: a second file of late rows adds nothing, windows
+    the watermark has passed are final (W1, W2, W4)."""
+    rows = _rollup(spark, _event_files(spark, sf_dir, table_by_event_type=True), "window_counts")
+    return rows.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "table_name", "n")
+
+
+@register("stream_sessions", f"""
+WITH e AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events),
+g AS (SELECT user_id, ts, sum(CASE WHEN p IS NULL OR ts - p > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, count(*) AS n
+FROM g GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {_EVENTS_END}""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of a stream, closed by the watermark; late rows add nothing."""
+    rows = _rollup(spark, _event_files(spark, sf_dir), "sessions", key="user_id", key_type="bigint")
+    return rows.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("session_start"), "n")

@@ -31,9 +31,9 @@ SOURCE_SCHEMA = "TPCH"
 #   8 no data                                     -> kept, empty row
 #   9 object followed by text                     -> kept
 #  10 operation "delete"                          -> kept
+#  11 no table name                               -> quarantined table_missing
 PLANT_MODULUS = 100
-KEPT_PLANTS = (8, 9, 10)
-DROPPED_PLANTS = (0, 1, 2, 3, 4, 5, 6, 7)
+DROPPED_PLANTS = (0, 1, 2, 3, 4, 5, 6, 7, 11)
 
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -43,7 +43,9 @@ def instant_text(ts: Column) -> Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    # a base table may be one file with one row group: local runs can ask for more tasks
+    partitions = spark.conf.get("spark.tributary.inputPartitions", None)
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), int(partitions) if partitions else None)
 
 
 def default_operation(key: Column) -> Column:
@@ -68,12 +70,12 @@ def dms_envelopes(df: DataFrame, *, table: Column | str, key: Column | str,
     meta = F.to_json(F.struct(
         ts_text.alias("timestamp"), record_type.alias("record-type"), op.alias("operation"),
         F.lit("primary-key").alias("partition-key-type"), F.lit(schema).alias("schema-name"),
-        table.alias("table-name")))
+        F.when(p == 11, F.lit(None)).otherwise(table).alias("table-name")))
     control = F.to_json(F.struct(
         ts_text.alias("timestamp"), F.lit("control").alias("record-type"),
         F.lit("create-table").alias("operation"), F.lit("task-id").alias("partition-key-type"),
         F.lit(schema).alias("schema-name"), table.alias("table-name")))
-    data = F.to_json(F.struct(*columns))
+    data = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     seq = seq if seq is not None else key.cast("long")
     arrival_time = arrival_time if arrival_time is not None else event_time.cast("timestamp")
     staged = df.select(*passthrough, meta.alias("_meta"), control.alias("_ctrl"), data.alias("_data"),
@@ -142,7 +144,8 @@ def events_envelopes(spark: SparkSession, sf_dir: str, plant: bool = False,
     """Events as row changes of table ``events`` keyed by ``user_id``.
 
     ``error`` events are deletes. ``client_ts`` is an ISO instant except for
-    planted plain dates. ``arrival_time`` trails the event time by
+    planted plain dates. ``parent_id`` is a JSON null in every other row and
+    ``note`` in all rows. ``arrival_time`` trails the event time by
     ``event_id % 5000`` ms.
     """
     e = read_table(spark, sf_dir, "events")
@@ -150,7 +153,9 @@ def events_envelopes(spark: SparkSession, sf_dir: str, plant: bool = False,
     client_ts = F.when(F.pmod(F.col("event_id"), F.lit(CLIENT_TS_BAD_MODULUS)) == CLIENT_TS_BAD_REMAINDER,
                        F.date_format(ts, "yyyy-MM-dd")).otherwise(instant_text(ts))
     cols = [F.col("event_id"), F.col("user_id"), F.col("event_type"), F.col("value"), F.col("props"),
-            client_ts.alias("client_ts")]
+            client_ts.alias("client_ts"),
+            F.when(F.pmod("event_id", F.lit(2)) == 0, F.col("event_id")).alias("parent_id"),
+            F.lit(None).cast("string").alias("note")]
     op = F.when(F.col("event_type") == "error", F.lit("delete")).otherwise(F.lit("update"))
     table = F.col("event_type") if table_by_event_type else F.lit("events")
     arrival = F.timestamp_millis(F.unix_millis(ts) + F.pmod(F.col("event_id"), F.lit(ARRIVAL_DELAY_MODULUS)))
@@ -186,7 +191,6 @@ def nation_region_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   3 numbers as text                   8 PLATE_NO number only
 #   4 latitude 91                       9 HOME_LAT, HOME_LON
 GEO_MODULUS = 10
-GEO_VALID = (0, 1, 2, 3, 9)
 
 
 def geo_lat(key: Column) -> Column:
@@ -263,13 +267,16 @@ def striim_envelopes(spark: SparkSession, sf_dir: str, table: str = "supplier")
         raise ValueError(table)
     op_i = F.pmod(key, F.lit(3))
     op = F.element_at(F.array(*[F.lit(o) for o in STRIIM_OPERATIONS]), (op_i + 1).cast("int"))
+    # planted in supplier rows by key % 50: 47 no table, 48 a time without its shape, 49 microseconds
+    bad = F.pmod(key, F.lit(50)) if table == "supplier" else F.lit(-1)
     meta = F.struct(
-        F.lit(f"{SOURCE_SCHEMA}.{table.upper()}").alias("TableName"),
+        F.when(bad != 47, F.lit(f"{SOURCE_SCHEMA}.{table.upper()}")).alias("TableName"),
         F.lit("USERS").alias("TableSpace"),
         F.concat(F.lit("U"), F.pmod(key, F.lit(7)).cast("string")).alias("TxnUserID"),
         op.alias("OperationName"), F.lit("DML").alias("OperationType"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'-00:00'").alias("TimeStamp"),
-        F.unix_seconds(ts).alias("DBTimeStamp"),
+        F.when(bad == 48, F.lit("yesterday")).otherwise(
+            F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'-00:00'")).alias("TimeStamp"),
+        F.when(bad == 49, F.unix_micros(ts)).otherwise(F.unix_seconds(ts)).alias("DBTimeStamp"),
         F.concat(F.lit("txn-"), (key / 10).cast("long").cast("string")).alias("TxnID"))
     before_col = F.when(op_i == 0, F.to_json(F.struct())).otherwise(F.to_json(before))
     value = F.concat(
@@ -331,4 +338,9 @@ def batched_envelopes(spark: SparkSession, sf_dir: str, batch_size: int = 16) ->
     value = F.when(F.pmod(F.col("batch_id"), F.lit(2)) == 0,
                    F.concat(F.lit('{"data":['), F.col("items"), F.lit("]}"))
                    ).otherwise(F.concat(F.lit("["), F.col("items"), F.lit("]")))
+    # leading white space and an escaped key name are legal JSON
+    lead = F.element_at(F.array(*[F.lit(x) for x in ("", " ", "\n", "\t", "\r\n")]),
+                        (F.pmod("batch_id", F.lit(5)) + 1).cast("int"))
+    value = F.concat(lead, F.when(F.pmod("batch_id", F.lit(6)) == 0, F.regexp_replace(value, '^."data"', '{"d\\\\u0061ta"'))
+                     .otherwise(value))
     return grouped.select(value.alias("value"), F.col("batch_id").alias("seq"))
