@@ -1,6 +1,7 @@
 """Substring dedup by line or paragraph hashing (operator 9).
 
-A text is cut into units at a separator. Units are normalised (A-Z folded,
+A text is cut into units: its lines, and inside a line its sentences, so that a
+passage spliced into a longer line is found too. Units are normalised (A-Z folded,
 white space runs as one space, ends trimmed) and hashed to 128 bits. Digests
 are grouped over all texts; the occurrence of smallest rank ``(doc_id, unit)``
 stays and all others go. Units of fewer than ``MIN_WORDS`` words are always
@@ -26,30 +27,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import ragged
+from tributary.llm.store import written
 
 MIN_WORDS = 8
+# A unit ends at a newline, or at the space after a full stop.
 SEPARATOR = "\n"
+SENTENCE_END = ". "
 
 _UNITS = "doc_id bigint, n_units bigint, units array<struct<digest:binary,unit:int,start:bigint,end:bigint>>"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def units(text: str, separator: str = SEPARATOR, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int, int]]:
+def units(text: str, sentences: bool = True, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int, int]]:
     """``(digest, unit, start, end)`` of the units that take part."""
     out, at = [], 0
-    for i, unit in enumerate(text.split(separator)):
+    if sentences:  # same length, so offsets hold
+        text = text.replace(SENTENCE_END, SENTENCE_END[0] + SEPARATOR)
+    for i, unit in enumerate(text.split(SEPARATOR)):
         words = unit.encode().translate(_FOLD).split()
         if len(words) >= min_words:
             out.append((hashlib.blake2b(b" ".join(words), digest_size=16).digest(), i, at, at + len(unit)))
-        at += len(unit) + len(separator)
+        at += len(unit) + 1
     return out
 
 
-def _cut(docs: DataFrame, separator: str, min_words: int) -> DataFrame:
+def _cut(docs: DataFrame, sentences: bool, min_words: int) -> DataFrame:
     def task(batches):
         for batch in batches:
             texts = ragged.texts_of(batch.column(1)).to_pylist()
-            found = [units(t, separator, min_words) for t in texts]
+            found = [units(t, sentences, min_words) for t in texts]
             flat = list(zip(*(u for f in found for u in f))) or [[]] * 4
             struct = pa.StructArray.from_arrays([pa.array(flat[0], pa.binary()), pa.array(flat[1], pa.int32()),
                                                  pa.array(flat[2], pa.int64()), pa.array(flat[3], pa.int64())],
@@ -60,12 +66,11 @@ def _cut(docs: DataFrame, separator: str, min_words: int) -> DataFrame:
     return docs.mapInArrow(task, _UNITS)
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, separator: str = SEPARATOR,
+def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sentences: bool = True,
                    min_words: int = MIN_WORDS) -> DataFrame:
     """Per distinct id: n_units, n_removed, removed_chars, removed (``start:end`` by start, comma-joined)."""
-    from tributary.llm.store import written
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = written(_cut(docs, separator, min_words), "units")
+    cut = written(_cut(docs, sentences, min_words), "units")
     flat = cut.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.*")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "unit")
     first = flat.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("keep")).where("n > 1")

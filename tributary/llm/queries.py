@@ -135,8 +135,8 @@ ORACLE_SQL["op9_line_hash_dedup"] = r"""
 WITH lines AS (
   SELECT doc_id, line, i - 1 AS unit,
          sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-               generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+        FROM (SELECT doc_id, string_split(replace(text, '. ', '.' || chr(10)), chr(10)) AS parts FROM documents))),
 units AS (
   SELECT doc_id, unit, start, start + length(line) AS stop,
          trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t\n\v\f\r ]+', ' ', 'g'), ' ') AS norm
