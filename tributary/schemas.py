@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The six DMS metadata keys, in the order the envelope documents them.
-DMS_METADATA_KEYS = ["timestamp", "record-type", "operation", "partition-key-type",
-                     "schema-name", "table-name"]
-
 # Column holding the raw text of a record that did not parse.
 CORRUPT_COL = "_corrupt"
 
@@ -61,7 +57,7 @@ STRIIM_SCHEMA = T.StructType([
     T.StructField(CORRUPT_COL, T.StringType()),
 ])
 
-# Trip records as they travel: timestamps are epoch milliseconds.
+# Trip record fields as they travel; timestamps are epoch milliseconds.
 TRIP_WIRE_SCHEMA = T.StructType([
     T.StructField("vendor_id", T.IntegerType()),
     T.StructField("pickup_datetime", T.LongType()),

@@ -16,8 +16,6 @@ RUNTIME_CONF = {
     # Envelope keys must win over row columns of the same name in documents,
     # and duplicate JSON keys keep the last value.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Merges overwrite only the (index, bucket) partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -66,7 +64,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every executor shares "
-                               "(HDFS or an object store); state merges and side tables are written there")
+                               "(HDFS or an object store); lineage cuts and side tables are written there")
         # local runs and tests only: a private folder on this machine
         root = tempfile.mkdtemp(prefix="tributary-ckpt-")
     sc.setCheckpointDir(root)

@@ -33,7 +33,6 @@ SOURCE_SCHEMA = "TPCH"
 #  10 operation "delete"                          -> kept
 #  11 no table name                               -> quarantined table_missing
 PLANT_MODULUS = 100
-DROPPED_PLANTS = (0, 1, 2, 3, 4, 5, 6, 7, 11)
 
 INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
