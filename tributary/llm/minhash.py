@@ -7,10 +7,12 @@
 2. Texts with equal shingle sets form a class (128-bit digest of the sorted
    set), reduced map-side to one representative, so a group of copies holding
    a third of all rows is one row from here on.
-3. Bands of the signature are grouped. A band group of few members gives its
-   pairs; a larger one is worked in rounds: a few members, twice as many each
-   round, lead and are compared with every member outside their component,
-   then leave. A round's pairs grow with the group, not with its square, and
+3. Bands of the signature are grouped. Shingles that no other member has can
+   be in no intersection, and histograms of shingle hashes bound how far two
+   sets differ: pairs and members below the threshold are ruled out exactly. A band group
+   of few members gives its pairs; a larger one is worked in rounds: first the
+   least edited member, then many times as many each round, lead and are
+   compared with every member outside their component, then leave. A round's pairs grow with the group, not with its square, and
    after the last round every pair of a group has been compared or is known
    to be connected already, so no link between components is lost.
 4. Each pair is confirmed on the full shingle sets:
@@ -44,7 +46,12 @@ BANDS = 25
 ROWS = 5
 PERCENT = 85
 # Band groups up to this size are compared at once, larger ones in rounds of leaders.
-SMALL_GROUP = 8
+SMALL_GROUP = 32
+# Classes of the shingle histograms that bound the difference of two sets.
+HISTOGRAM = 128
+# Leaders of a larger band group in its second round (the first has one), and how many times as many in later ones.
+LEADERS = 256
+GROWTH = 8
 
 _SIG_SCHEMA = "doc_id bigint, n_shingles bigint, fp binary, bands array<bigint>"
 
@@ -131,7 +138,8 @@ def sign(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """``(fp, shingles)`` of the wanted representatives, from their texts."""
+    """``(fp, shingles, hist)`` of the wanted representatives, from their texts; hist counts the
+    shingles by ``HISTOGRAM`` classes of their hash."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     w = wanted.select(F.col("rep").alias("_rep"), "fp")
     rows = rows.join(w, rows["doc_id"].eqNullSafe(w["_rep"])).select("fp", "text")
@@ -142,14 +150,44 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, k: int
             found = [(fp, s) for fp, s in zip(fps, _shingles(buf, offs, k)) if len(s) and _fingerprint(s) == fp]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f for f, _ in found], pa.binary()),
-                 pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], ["fp", "shingles"])
-    return rows.mapInArrow(task, "fp binary, shingles array<bigint>")
+                 pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64())),
+                 pa.array([np.bincount((s % np.uint64(HISTOGRAM)).astype(np.int64), minlength=HISTOGRAM).astype(np.int32)
+                           for _, s in found], pa.list_(pa.int32()))], ["fp", "shingles", "hist"])
+    return rows.mapInArrow(task, "fp binary, shingles array<bigint>, hist array<int>")
+
+
+def _first() -> F.Column:
+    return F.min(F.struct((F.col("n") - F.col("m")).alias("edits"), "fp")).alias("first")
+
+
+def _bound(n: str, m: str, n2: str, m2: str, percent: int) -> str:
+    """SQL test that two sets can be similar: their intersection is at most the smaller ``m``, the
+    shingles a set shares with any other. It rules out pairs exactly, before any set moves."""
+    return f"100 * least({m}, {m2}) >= {percent} * ({n} + {n2} - least({m}, {m2}))"
+
+
+def _near(hist: str, hist2: str, n: str, n2: str, percent: int) -> str:
+    """SQL test that two sets can be similar: they differ in at least the sum of the differences of their
+    histograms. Exact like the other bound, and tighter for members edited in different places."""
+    apart = f"aggregate(zip_with({hist}, {hist2}, (x, y) -> abs(x - y)), 0, (s, d) -> s + d)"
+    return f"{100 - percent} * ({n} + {n2}) >= {100 + percent} * {apart}"
+
+
+def _feasible(slots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Band group members ``(h, fp, n, m, c, first)`` that can have a partner; m counts the shingles
+    that are not a member's alone, c the members of the group, first is its least edited one."""
+    alone = (sets.select("fp", F.explode("shingles").alias("s")).groupBy("s")
+                 .agg(F.count(F.lit(1)).alias("df"), F.min("fp").alias("fp")).where("df = 1")
+                 .groupBy("fp").agg(F.count(F.lit(1)).alias("alone")))
+    members = (slots.join(alone, "fp", "left").withColumn("m", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+                    .where(100 * F.col("m") >= percent * F.col("n")))
+    per = members.groupBy("h").agg(F.count(F.lit(1)).alias("c"), _first()).where("c > 1")
+    return members.join(per, "h")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets meet the threshold; sizes are tested before sets move."""
-    lo, hi = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    pairs = pairs.where(100 * lo >= percent * hi).select("a", "b").distinct()
+    """Pairs whose full sets meet the threshold."""
+    pairs = pairs.distinct()
     a = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(b, "b").join(a, "a")
@@ -166,17 +204,17 @@ def connected_components(links: DataFrame) -> DataFrame:
     is how many labels changed.
     """
     edges = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-                    "edges")
+                    "edges", True)
     labels = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")) \
                   .select("node", F.least("node", "m").alias("label"))
-    labels = written(labels, "labels")
+    labels = written(labels, "labels", True)
     while True:
         near = (edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
                      .agg(F.min("label").alias("m")))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
         step = step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label"))
-        step = written(step, "labels")
+        step = written(step, "labels", True)
         changed = step.where(F.col("old") != F.col("label")).limit(1).count()
         labels = step.select("node", "label")
         if not changed:
@@ -190,46 +228,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = written(sign(docs, id_col, text_col, shingle_words, bands, rows), "minhash")
     reps = (signed.where("fp is not null").groupBy("fp")
                   .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
-    reps = written(reps, "classes")
+    reps = written(reps, "classes", True)
     slots = reps.select("fp", "n", F.explode("bands").alias("h"))
-    shared = slots.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    groups = written(slots.join(shared, "h"), "band-groups")
-
-    members = groups.select("fp").distinct()
-    sets = written(_sets(docs, reps.join(members, "fp", "left_semi"), id_col, text_col, shingle_words), "sets")
-
-    m = F.sort_array("members")
-    small = (groups.where(F.col("c") <= small_group).groupBy("h")
-                   .agg(F.collect_list(F.struct("fp", "n")).alias("members")).select(m.alias("members"))
-                   .distinct()
+    shared = slots.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    slots = written(slots.join(shared, "h"), "band-groups", True)
+    sets = written(_sets(docs, reps.join(slots.select("fp").distinct(), "fp", "left_semi"), id_col, text_col,
+                         shingle_words), "sets")
+    groups = written(_feasible(slots, sets, percent), "open-groups", True)
+
+    # small band groups: their pairs
+    pairs = (groups.where(F.col("c") <= small_group).groupBy("h")
+                   .agg(F.sort_array(F.collect_list(F.struct("fp", "n", "m"))).alias("members")).select("members").distinct()
                    .select(F.explode(F.expr(
-                       "flatten(transform(members, (x, i) -> transform(slice(members, i + 2, size(members)), "
-                       "y -> struct(x.fp as a, x.n as n_a, y.fp as b, y.n as n_b))))")).alias("p")).select("p.*"))
-    links = written(_confirmed(small, sets, percent), "links")
-    labels = connected_components(links)
-
-    # large band groups: rounds of leaders, twice as many each round
-    left = groups.where(F.col("c") > small_group).select("h", "fp", "n")
-    share = 1
+                       "flatten(transform(members, (x, i) -> transform(filter(slice(members, i + 2, size(members)), "
+                       f"y -> {_bound('x.n', 'x.m', 'y.n', 'y.m', percent)}), "
+                       "y -> struct(x.fp as a, y.fp as b))))")).alias("p")).select("p.*"))
+    # larger ones: rounds of leaders, the least edited member first, then many times as many each round
+    left = groups.where(F.col("c") > small_group).withColumn("label", F.col("fp")) \
+                 .join(reps.select("fp", "bands"), "fp").join(sets.select("fp", "hist").dropDuplicates(["fp"]), "fp")
+    share, links, labels = 0, None, None
     while True:
-        now = left.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
-                  .select("h", "fp", "n", F.coalesce("label", "fp").alias("label"))
-        per = now.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("first"),
-                                   F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        now = written(now.join(per.drop("lo", "hi"), "h"), "open-groups")
-        if not now.limit(1).count():
-            break
-        # a member leads if its hash falls in the first share/size of the range, or it is the smallest
         draw = F.pmod(F.xxhash64("fp", F.lit(share)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        is_leader = (F.col("fp") == F.col("first")) | (draw * F.col("size") < share)
-        lead = now.where(is_leader).select("h", F.col("fp").alias("a"), F.col("n").alias("n_a"),
-                                           F.col("label").alias("label_a"))
-        pairs = (now.join(lead, "h").where("label <> label_a")
-                    .select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b"), "n_a", F.col("n").alias("n_b")))
-        links = written(links.union(_confirmed(pairs, sets, percent)).distinct(), "links")
-        labels = connected_components(links)
-        left = now.where(~is_leader).select("h", "fp", "n")
-        share *= 2
+        is_leader = (F.col("fp") == F.col("first.fp")) | (draw * F.col("c") < share)
+        lead = left.where(is_leader).select("h", F.col("fp").alias("a"), F.col("n").alias("n_a"), F.col("m").alias("m_a"),
+                                            F.col("label").alias("label_a"), F.col("bands").alias("bands_a"),
+                                            F.col("hist").alias("hist_a"))
+        # a pair that meets in several band groups is compared in the first one only
+        led = (left.join(lead, "h").where("label <> label_a").where(_bound("n", "m", "n_a", "m_a", percent))
+                   .where("element_at(array_intersect(bands, bands_a), 1) = h")
+                   .where(_near("hist", "hist_a", "n", "n_a", percent))
+                   .select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b")))
+        found = written(_confirmed(pairs.union(led) if links is None else led, sets, percent), "links", True)
+        if links is None or found.limit(1).count():
+            links = found if links is None else links.union(found)
+            labels = connected_components(links)
+        now = (left.where(~is_leader).drop("label", "c", "first").join(labels.withColumnRenamed("node", "fp"), "fp", "left")
+                   .withColumn("label", F.coalesce("label", "fp")))
+        per = (now.groupBy("h").agg(F.count(F.lit(1)).alias("c"), _first(), F.min("label").alias("lo"),
+                                    F.max("label").alias("hi")).where("lo <> hi").drop("lo", "hi"))
+        left = written(now.join(per, "h"), "open-groups", True)
+        if not left.limit(1).count():
+            break
+        share = share * GROWTH or LEADERS
 
     top = reps.join(labels.withColumnRenamed("node", "fp"), "fp", "left") \
               .select("fp", "rep", F.coalesce("label", "fp").alias("label"))
