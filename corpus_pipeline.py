@@ -14,7 +14,7 @@ from tributary.llm.minhash import near_duplicates
 from tributary.llm.packing import pack
 from tributary.llm.quality import quality_filter
 from tributary.llm.secrets import redacted
-from tributary.llm.store import written
+from tributary.llm.store import fresh_name, written
 from tributary.llm.tiling import drop_contaminated
 from tributary.session import scratch_path
 
@@ -26,8 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of smallest id, of each group of near-duplicates (operator 1)."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    name = fresh_name("kept_id", docs)
+    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,11 @@ def test_null_and_repeated_rows(spark):
     two = P.near_dedup(spark, one, bench)
     assert sorted(str(r.doc_id) for r in two.collect()) == ["1", "1", "None", "None"]
     assert P.near_dedup(spark, docs.limit(0), bench).count() == 0
+    clash = two.selectExpr("*", "1 as kept_id", "2 as blob", "'x' as spans", "3 as component_id", "4 as bin_id", "5 as place")
+    again = P.decontamination(spark, P.near_dedup(spark, P.quality_rules(spark, clash, bench), bench), bench)
+    again = P.secret_scan(spark, again, bench)
+    assert again.columns == clash.columns and again.count() == 4
+    assert P.best_fit_packing(spark, again, bench).count() == 4
     four = P.secret_scan(spark, two, bench).collect()
     assert sum("[SECRET]" in r.text for r in four) == 1
     assert P.best_fit_packing(spark, docs.limit(0), bench).count() == 0

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.llm.store import fresh_name
+
 # Base kinds in the contract's order, then the kinds this operator adds.
 BASE_KINDS = ("assign", "access", "hex")
 EXTRA_KINDS = ("pem", "jwt", "github", "slack", "google")
@@ -143,9 +145,10 @@ def redacted(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col
              rule_version: str = RULE_VERSION) -> DataFrame:
     """All rows of ``docs`` with their columns, secrets of the text replaced by a mark; scans what is new first."""
     scan_new(docs, ledger_path, id_col, text_col, rule_version)
+    key, found = fresh_name("blob", docs), fresh_name("spans", docs)
     dirty = (read_ledger(docs.sparkSession, ledger_path).where((F.col("rule_version") == rule_version) & (F.col("spans") != ""))
-             .dropDuplicates(["blob"]).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")))
-    rows = docs.join(dirty, _blob(text_col) == F.col("_blob"), "left").drop("_blob")
+             .dropDuplicates(["blob"]).select(F.col("blob").alias(key), F.col("spans").alias(found)))
+    rows = docs.join(dirty, _blob(text_col) == F.col(key), "left").drop(key)
 
     def task(batches):
         for batch in batches:

@@ -26,3 +26,11 @@ def written(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh_name(name: str, df: DataFrame) -> str:
+    """The name, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
