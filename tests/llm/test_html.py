@@ -67,11 +67,15 @@ BROKEN = [
     ("<p hidden>no<p>yes", "yes"), ("", ""), (None, ""), ("just text\n  here", "just text here"), ("<!DOCTYPE html>", ""),
     ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>", "deep"),
     ("<article>" + "<p>w " * 20000 + "</article>", "\n".join(["w"] * 20000)),
+    ("<article>" + "<h2>a</h2><p>b" * 5000 + "</article>", "\n".join(["a", "b"] * 5000)),
+    ("<article>" + "".join(f"<div class=x{'abcdefghij'[i % 10] * (i // 10 + 1)}>q</div>" for i in range(900)) + "</article>",
+     "\n".join(["q"] * 900)),
 ]
 
 
 def test_broken_pages_and_edge_rows(spark):
-    rows = [(i, f"http://h{i}.example/", h) for i, (h, _) in enumerate(BROKEN)] + [(None, None, BROKEN[0][0]), (0, "http://h0.example/", BROKEN[0][0])]
+    hosts = [f"http://h{min(i, 13)}.example/" for i in range(len(BROKEN))]  # the last ones share a host
+    rows = [(i, hosts[i], h) for i, (h, _) in enumerate(BROKEN)] + [(None, None, BROKEN[0][0]), (0, "http://h0.example/", BROKEN[0][0])]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as root", "3 as text")
     got = H.main_text(df).collect()
     assert sorted(((r.page_id, r.text) for r in got), key=str) == sorted(

@@ -59,6 +59,8 @@ BOILERPLATE_WORDS = frozenset((
     "breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments respond disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login widget pagination pager skip").split())
+# Children of a node in a skeleton before like ones are folded that do not follow each other.
+MAX_SIBLINGS = 48
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
@@ -218,7 +220,8 @@ class Skeleton:
 
 
 def skeleton(top: Node) -> Skeleton:
-    """Fold runs of siblings of one label into one node holding all their children and texts."""
+    """Fold runs of siblings of one label into one node holding all their children and texts; where a
+    node keeps many children, fold all of one label, and then all of one element."""
     sk = Skeleton([], [], [], [])
     stack = [([top], -1)]
     while stack:
@@ -235,6 +238,13 @@ def skeleton(top: Node) -> Skeleton:
                 runs[-1].append(c)
             else:
                 runs.append([c])
+        # matching takes time by the product of two child lists: long ones are folded further
+        for kind in (lambda n: (n.label, n.dropped), lambda n: (n.tag, n.dropped)):
+            if len(runs) > MAX_SIBLINGS:
+                merged: dict[tuple, list[Node]] = {}
+                for r in runs:
+                    merged.setdefault(kind(r[0]), []).extend(r)
+                runs = list(merged.values())
         if not nodes[0].dropped:  # what lies in boilerplate is no slot
             stack += [(r, me) for r in reversed(runs)]
     return sk
