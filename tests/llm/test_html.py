@@ -87,3 +87,9 @@ def test_copies_on_one_host_keep_their_text(spark):
     page = "<html><body><div id=a><p>same words on every page</div></body></html>"
     df = spark.createDataFrame([(i, "http://c.example/", page) for i in range(5)], "page_id long, url string, html string")
     assert {r.text for r in H.main_text(df).collect()} == {"same words on every page"}
+
+
+def test_constant_parts_of_an_article_stay(spark):
+    page = "<body><nav>a</nav><article><h1>Weekly notes</h1><div><p>text {}</p><p>more {}</p></div></article></body>"
+    df = spark.createDataFrame([(i, "http://w.example/", page.format(i, i)) for i in range(6)], "page_id long, url string, html string")
+    assert sorted(r.text for r in H.main_text(df).collect()) == [f"Weekly notes\ntext {i}\nmore {i}" for i in range(6)]

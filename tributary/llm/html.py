@@ -355,6 +355,10 @@ def wrapper(ref: Skeleton, votes: dict[int, tuple[int, int, int, bool]]) -> tupl
         if len(set(level)) > 1:
             break
         shared.append(level[0])
+    tags = [label.split(" ")[0] for label in shared]
+    named = [i for i, tag in enumerate(tags) if tag in ROOTS]
+    if named:  # never deeper than an article: parts of it that do not vary belong to it too
+        del shared[named[0] + 1:]
     while shared and shared[-1].split(" ")[0] not in CONTAINERS:
         shared.pop()
     constant = ["\t".join(path(i)) for i, (lo, hi, n, extra) in votes.items()
