@@ -4,6 +4,8 @@ import html as stdlib
 import random
 import re
 
+import pytest
+
 from tributary.llm import html as H
 
 
@@ -93,3 +95,29 @@ def test_constant_parts_of_an_article_stay(spark):
     page = "<body><nav>a</nav><article><h1>Weekly notes</h1><div><p>text {}</p><p>more {}</p></div></article></body>"
     df = spark.createDataFrame([(i, "http://w.example/", page.format(i, i)) for i in range(6)], "page_id long, url string, html string")
     assert sorted(r.text for r in H.main_text(df).collect()) == [f"Weekly notes\ntext {i}\nmore {i}" for i in range(6)]
+
+
+@pytest.mark.parametrize("n", [47, 48, 60, 300])
+def test_many_differently_named_parts_are_all_content(spark, n):
+    names = [f"part-{'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(n)]
+    rows = []
+    for k in range(5):
+        parts = "".join(f"<div id={x}><p>{x} of page {k}</p></div>" for x in names[1:])
+        rows.append((k, "http://parts.example/", f"<body><div id={names[0]}><p>{names[0]} of page {k}</p></div>"
+                     f"<div id=legal><p>All rights reserved</p></div>{parts}</body>", "\n".join(f"{x} of page {k}" for x in names)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    for r in H.main_text(df).join(df.select("page_id", "want"), "page_id").collect():
+        assert r.text == r.want
+
+
+def test_long_child_lists_match_as_short_ones_do(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = (H.skeleton(H.parse("<body>" + "".join(f"<div class={rng.choice('abcdefgh')}><p>x<ul><li>y</ul></div>" if rng.random() < .5
+                else f"<div class={rng.choice('abcdefgh')}>x</div>" for _ in range(rng.randrange(1, 40))))) for _ in range(2))
+        monkeypatch.setattr(H, "MAX_SIBLINGS", 48)
+        dense = H.tree_match(a, b)
+        monkeypatch.setattr(H, "MAX_SIBLINGS", 0)
+        sparse = H.tree_match(a, b)
+        assert len(dense) == len(sparse) == len({x for x, _ in sparse}) == len({y for _, y in sparse})
+        assert sorted(y for _, y in sparse) == [y for _, y in sorted(sparse)]

@@ -59,7 +59,7 @@ BOILERPLATE_WORDS = frozenset((
     "breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments respond disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login widget pagination pager skip").split())
-# Children of a node in a skeleton before like ones are folded that do not follow each other.
+# Children of a node in a skeleton before those of one label are folded that do not follow each other.
 MAX_SIBLINGS = 48
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
@@ -221,7 +221,7 @@ class Skeleton:
 
 def skeleton(top: Node) -> Skeleton:
     """Fold runs of siblings of one label into one node holding all their children and texts; where a
-    node keeps many children, fold all of one label, and then all of one element."""
+    node keeps many children, fold all of one label. Nodes of different labels are never folded."""
     sk = Skeleton([], [], [], [])
     stack = [([top], -1)]
     while stack:
@@ -238,23 +238,50 @@ def skeleton(top: Node) -> Skeleton:
                 runs[-1].append(c)
             else:
                 runs.append([c])
-        # matching takes time by the product of two child lists: long ones are folded further
-        for kind in (lambda n: (n.label, n.dropped), lambda n: (n.tag, n.dropped)):
-            if len(runs) > MAX_SIBLINGS:
-                merged: dict[tuple, list[Node]] = {}
-                for r in runs:
-                    merged.setdefault(kind(r[0]), []).extend(r)
-                runs = list(merged.values())
+        # matching takes time by the number of pairs of one label: long lists keep each label once
+        if len(runs) > MAX_SIBLINGS:
+            merged: dict[tuple, list[Node]] = {}
+            for r in runs:
+                merged.setdefault((r[0].label, r[0].dropped), []).extend(r)
+            runs = list(merged.values())
         if not nodes[0].dropped:  # what lies in boilerplate is no slot
             stack += [(r, me) for r in reversed(runs)]
     return sk
 
 
+def _heaviest_chain(pairs: list[tuple[int, int, int]], width: int) -> tuple[int, list[tuple[int, int]]]:
+    """Weight and places of the heaviest pairs ``(p, q, weight)`` with p and q both rising, q below width:
+    the match of two long child lists, in time by their pairs instead of the product of their lengths."""
+    best = [(0, -1)] * (width + 1)  # Fenwick tree of the heaviest chain that ends before a place, and its last pair
+    pairs = sorted(pairs, key=lambda x: (x[0], -x[1]))
+    before = []
+    for k, (_, q, weight) in enumerate(pairs):
+        top, i = (0, -1), q
+        while i > 0:
+            top = max(top, best[i])
+            i -= i & -i
+        before.append(top[1])
+        here, i = (top[0] + weight, k), q + 1
+        while i <= width:
+            best[i] = max(best[i], here)
+            i += i & -i
+    top, i = (0, -1), width
+    while i > 0:
+        top = max(top, best[i])
+        i -= i & -i
+    chain, k = [], top[1]
+    while k >= 0:
+        chain.append(pairs[k][:2])
+        k = before[k]
+    return top[0], chain
+
+
 def tree_match(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
     """Simple tree matching of two skeletons: pairs of matched nodes, order and ancestors kept."""
     ca, cb = a.children(), b.children()
     size: dict[tuple[int, int], int] = {}
     tables: dict[tuple[int, int], list[list[int]]] = {}
+    chains: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
     def fill(i, j):
         """Size of the best match of subtrees i and j, children first."""
@@ -266,11 +293,20 @@ def tree_match(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
             if a.label[x] != b.label[y]:
                 size[x, y] = 0
                 continue
-            kids = [(p, q) for p in ca[x] for q in cb[y] if a.label[p] == b.label[q]]
+            named: dict[str, list[int]] = {}
+            for q in cb[y]:
+                named.setdefault(b.label[q], []).append(q)
+            kids = [(p, q) for p in ca[x] for q in named.get(a.label[p], ())]
             if not ready:
                 todo.append((x, y, True))
                 todo += [(p, q, False) for p, q in kids if (p, q) not in size]
                 continue
+            if max(len(ca[x]), len(cb[y])) > MAX_SIBLINGS:
+                at_a, at_b = {p: k for k, p in enumerate(ca[x])}, {q: k for k, q in enumerate(cb[y])}
+                weight, chain = _heaviest_chain([(at_a[p], at_b[q], size[p, q]) for p, q in kids if size[p, q]], len(cb[y]))
+                chains[x, y] = [(ca[x][p], cb[y][q]) for p, q in chain]
+                size[x, y] = weight + 1
+                continue
             m = [[0] * (len(cb[y]) + 1) for _ in range(len(ca[x]) + 1)]
             for p in range(1, len(ca[x]) + 1):
                 for q in range(1, len(cb[y]) + 1):
@@ -283,6 +319,9 @@ def tree_match(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
     while todo:
         x, y = todo.pop()
         out.append((x, y))
+        if (x, y) in chains:
+            todo += chains[x, y]
+            continue
         m, p, q = tables[x, y], len(ca[x]), len(cb[y])
         while p and q:
             if m[p][q] == m[p - 1][q]:
