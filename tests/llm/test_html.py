@@ -121,3 +121,36 @@ def test_long_child_lists_match_as_short_ones_do(monkeypatch):
         sparse = H.tree_match(a, b)
         assert len(dense) == len(sparse) == len({x for x, _ in sparse}) == len({y for _, y in sparse})
         assert sorted(y for _, y in sparse) == [y for _, y in sorted(sparse)]
+
+
+def text(source):
+    return H.extract(source, None, frozenset())
+
+
+def test_names_do_not_drop_articles_mains_and_what_holds_them():
+    for page in ("<article class='post has-comments'><p>x</p></article>", "<div id='content' class='no-sidebar'><p>x</p></div>",
+                 "<div class='wrapper header-fixed'><article><p>x</p></article></div>", "<main class='related-layout'><p>x</p></main>",
+                 "<main class=related><p>x</p></main>", "<div class=banner><div id=header><main><p>x</p></main></div></div>",
+                 "<div class=banner><article><p>x</p></article></div>", "<article class=notice><p>x</p></article>",
+                 "<a class=promo><article><p>x</p></article></a>", "<div data-id='related'><p>x</p></div>",
+                 "<div title='the hidden river' data-class=ad data-hidden><p>x</p></div>"):
+        assert text(f"<body>{page}</body>") == "x", page
+        assert text(f"<body>{page}<div class='cookie-notice'>no</div><div class='ad x'>no</div><p hidden>no</body>") == "x", page
+    # boilerplate articles beside or in the page's own one
+    assert text("<article><p>x</p><article class=comment>no</article></article><div id=comments><article>no</article></div>") == "x"
+    assert text("<div><p>x</p></div><div id=comments><article class=comment><p>no</p></article></div>") == "x"
+    # no text beside an article of boilerplate name is lost
+    assert text("<div><p>x</p></div><div class=related><article><p>y</p></article></div>") == "x\ny"
+    assert text("<main><p>x</p><div class='banner'><article><p>y</p></article></div></main>") == "x\ny"
+
+
+@pytest.mark.parametrize("name", ["class=widget", "id=notice"])
+def test_varying_slots_outweigh_names(spark, name):
+    page = "<body><div id=top>Site name</div><div class=wrap><div {}><h2>title {}</h2><p>text {}</p></div></div></body>"
+    rows = [(i, "http://n.example/", page.format(name, i, i)) for i in range(6)]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(f"title {i}\ntext {i}" in got[i] for i in range(6))
+    # beside other slots a name still marks boilerplate
+    more = [(i, u, h.replace("</body>", f"<div id=text><p>story {i}</p></div></body>")) for i, u, h in rows]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(more, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"story {i}" for i in range(6)}

@@ -6,6 +6,8 @@
    tree matching, the largest order-preserving match of equal nodes. A node
    whose text is the same on all aligned pages is template, one that varies is
    a slot; nodes only the other page has count as a slot of their parent.
+   Nodes marked by a boilerplate class or id are aligned too: where nothing
+   varies but in them, names mark nothing on pages of that host without an article.
 3. The wrapper of a host is the path of its content root: the deepest block
    container over all slots outside navigation, forms, adverts, comments and
    the like; and the paths of constant nodes in it.
@@ -14,6 +16,11 @@
    constant is cut. A page without a node at that path, or of a host with
    nothing to compare (one page, or only copies), is narrowed the same way.
 
+A class or id marks a node if all words of one of its names are boilerplate words.
+It never drops a ``main`` or what holds one, nor the outermost ``article``
+elements of a page whose articles all lie in marked nodes or are marked; such
+articles stay, and nothing is narrowed to them.
+
 Skeletons are small and only they are shuffled, in groups combined map-side
 per host and node; the html is read twice and stays where it lies. Wrappers
 are one small row per host; Spark broadcasts that table only if its written
@@ -64,7 +71,9 @@ MAX_SIBLINGS = 48
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/>]|$)""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_USED = frozenset("class id role hidden aria-hidden".split())
+_HOLDS_ROOT = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -75,23 +84,73 @@ class Node:
     label: str = ""           # tag with its id and class, digits left out
     dropped: bool = False     # navigation, form, advert, ... by element, role or name
     children: list = field(default_factory=list)  # nodes and texts, in page order
+    named: bool = False       # its class or id is that of boilerplate
+    weak: bool = False        # an article no page is narrowed to
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw)}
+    return {name: m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(raw) if (name := m[1].lower()) in _USED}
 
 
 def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in DROPPED or attrs.get("role", "").lower() in BOILERPLATE_ROLES or attrs.get("aria-hidden", "").lower() == "true" \
-            or "hidden" in attrs:
-        return True
-    if tag in ("html", "body"):
-        return False
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-    return any(w in BOILERPLATE_WORDS for w in _WORDS.findall(names))
+    return tag in DROPPED or attrs.get("role", "").lower() in BOILERPLATE_ROLES or attrs.get("aria-hidden", "").lower() == "true" \
+        or "hidden" in attrs
 
 
-def parse(source: str) -> Node:
+def _is_named(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether some class or the id consists of boilerplate words alone."""
+    if tag in ("html", "body"):
+        return False
+    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split()
+    return any(words and all(w in BOILERPLATE_WORDS for w in words) for words in map(_WORDS.findall, names))
+
+
+def _resolve(top: Node, lift: bool) -> None:
+    """Decide which named nodes are boilerplate, and mark them dropped; with ``lift`` none is on a page
+    without an unmarked article."""
+    def clear(chain):
+        while chain and id(chain[0]) not in cleared:
+            chain[0].named = False
+            cleared.add(id(chain[0]))
+            chain = chain[1]
+    cleared, mains, named = set(), [], []
+    stack = [(top, None)]
+    while stack:
+        node, above = stack.pop()
+        if node.tag == "main":
+            mains.append((node, above))
+        if node.named:
+            named.append(node)
+        stack += [(c, (node, above)) for c in node.children if not isinstance(c, str) and not c.dropped]
+    if not named:
+        return
+    for chain in mains:
+        clear(chain)
+    clean, outermost, articles = False, [], []
+    stack = [(top, None, False, False)]
+    while stack:
+        node, above, in_named, in_article = stack.pop()
+        if node.tag == "article":
+            articles.append(node)
+            clean |= not in_named and not node.named
+            if not in_article and not (node.named and in_named):
+                outermost.append((node, above))
+        below = (node, above), in_named or node.named, in_article or node.tag == "article"
+        stack += [(c, *below) for c in node.children if not isinstance(c, str) and not c.dropped]
+    if not clean:
+        for chain in outermost:
+            chain[0].weak = True
+            clear(chain)
+        if lift:
+            for node in articles:
+                node.weak = True
+            for node in named:
+                node.named = False
+    for node in named:
+        node.dropped = node.named
+
+
+def parse(source: str, lift: bool = False) -> Node:
     """Element tree of block elements; inline elements are read through, all text is kept undecoded."""
     top = Node("#root")
     stack = [top]
@@ -127,10 +186,12 @@ def parse(source: str) -> Node:
         if tag == "br":
             stack[-1].children.append(" ")
         if tag in INLINE:
-            if tag not in VOID and (_attr := _attributes(m[3])) and _is_boilerplate(tag, _attr):
+            if tag not in VOID and (_attr := _attributes(m[3])) and ((sure := _is_boilerplate(tag, _attr)) or _is_named(tag, _attr)):
+                done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+                if not sure and _HOLDS_ROOT.search(source, at, done.end() if done else at):
+                    continue
                 node = Node(tag, tag, True)  # an inline advert or share button: a subtree of its own
                 stack[-1].children.append(node)
-                done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 at = done.end() if done else at
             continue
         attrs = _attributes(m[3]) if m[3].strip() else {}
@@ -139,13 +200,15 @@ def parse(source: str) -> Node:
         if tag in SIBLINGS:
             close(*SIBLINGS[tag])
         names = _DIGITS.sub("", f"{attrs.get('id', '')} {attrs.get('class', '')}")  # numbered ids are one kind of node
-        node = Node(tag, " ".join([tag, *names.split()]), _is_boilerplate(tag, attrs))
+        sure = _is_boilerplate(tag, attrs)
+        node = Node(tag, " ".join([tag, *names.split()]), sure, named=not sure and _is_named(tag, attrs))
         stack[-1].children.append(node)
         if tag in RAW:
             done = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = done.end() if done else len(source)
         elif tag not in VOID:  # a slash at its end does not close an HTML element
             stack.append(node)
+    _resolve(top, lift)
     return top
 
 
@@ -198,7 +261,7 @@ def roots(top: Node, root: str | None) -> list[tuple[Node, tuple]]:
     found = _outermost(top, (), lambda n, p: "\t".join(p) == root) if root is not None else []
     out = []
     for node, path in found or [(top, ())]:
-        out += (_outermost(node, path, lambda n, p: n.tag == "article") or _outermost(node, path, lambda n, p: n.tag == "main")
+        out += (_outermost(node, path, lambda n, p: n.tag == "article" and not n.weak) or _outermost(node, path, lambda n, p: n.tag == "main")
                 or [(node, path)])
     return out
 
@@ -209,6 +272,7 @@ class Skeleton:
     parent: list[int]
     label: list[str]
     dropped: list[bool]
+    named: list[bool]  # dropped, or in a dropped node, by name alone
     digest: list[int]  # of a node's own text over all folded siblings; 0 without text
 
     def children(self) -> list[list[int]]:
@@ -222,19 +286,24 @@ class Skeleton:
 def skeleton(top: Node) -> Skeleton:
     """Fold runs of siblings of one label into one node holding all their children and texts; where a
     node keeps many children, fold all of one label. Nodes of different labels are never folded."""
-    sk = Skeleton([], [], [], [])
+    def kind(n):
+        return n.label, n.dropped, n.named
+    sk = Skeleton([], [], [], [], [])
     stack = [([top], -1)]
     while stack:
         nodes, parent = stack.pop()
         me = len(sk.parent)
+        inside = parent >= 0 and sk.named[parent]
+        named = (inside and not nodes[0].dropped) or nodes[0].named
         own = _clean([c if isinstance(c, str) else " " for n in nodes for c in n.children])
         sk.parent.append(parent)
         sk.label.append(nodes[0].label)
-        sk.dropped.append(nodes[0].dropped)
+        sk.dropped.append(nodes[0].dropped or inside)
+        sk.named.append(named)
         sk.digest.append(int.from_bytes(hashlib.blake2b(own.encode(), digest_size=7).digest(), "big") + 1 if own else 0)
         runs: list[list[Node]] = []
         for c in (c for n in nodes for c in n.children if not isinstance(c, str) and c.tag not in INLINE):
-            if runs and runs[-1][0].label == c.label and runs[-1][0].dropped == c.dropped:
+            if runs and kind(runs[-1][0]) == kind(c):
                 runs[-1].append(c)
             else:
                 runs.append([c])
@@ -242,9 +311,9 @@ def skeleton(top: Node) -> Skeleton:
         if len(runs) > MAX_SIBLINGS:
             merged: dict[tuple, list[Node]] = {}
             for r in runs:
-                merged.setdefault((r[0].label, r[0].dropped), []).extend(r)
+                merged.setdefault(kind(r[0]), []).extend(r)
             runs = list(merged.values())
-        if not nodes[0].dropped:  # what lies in boilerplate is no slot
+        if named or not nodes[0].dropped:  # what lies in boilerplate is no slot
             stack += [(r, me) for r in reversed(runs)]
     return sk
 
@@ -334,8 +403,12 @@ def tree_match(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
     return out
 
 
-_SKELETON = "host string, page bigint, parent array<int>, label array<string>, dropped array<boolean>, digest array<bigint>"
-_VOTES = "host string, node int, digest_lo bigint, digest_hi bigint, n bigint, extra boolean"
+_SKELETON = "host string, page bigint, parent array<int>, label array<string>, dropped array<boolean>, named array<boolean>, digest array<bigint>"
+_VOTES = "host string, node int, digest_lo bigint, digest_hi bigint, n bigint, extra boolean, in_named boolean"
+
+
+def _skeleton_of(row: dict) -> Skeleton:
+    return Skeleton(row["parent"], row["label"], row["dropped"], row["named"], row["digest"])
 
 
 def _skeletons(pages: DataFrame) -> DataFrame:
@@ -345,7 +418,7 @@ def _skeletons(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([s.parent for s in sks], pa.list_(pa.int32())),
                  pa.array([s.label for s in sks], pa.list_(pa.string())), pa.array([s.dropped for s in sks], pa.list_(pa.bool_())),
-                 pa.array([s.digest for s in sks], pa.list_(pa.int64()))], [f.split()[0] for f in _SKELETON.split(", ")])
+                 pa.array([s.named for s in sks], pa.list_(pa.bool_())), pa.array([s.digest for s in sks], pa.list_(pa.int64()))], [f.split()[0] for f in _SKELETON.split(", ")])
     return pages.select("host", "page_id", "html").mapInArrow(task, _SKELETON)
 
 
@@ -357,23 +430,23 @@ def _votes(skeletons: DataFrame, refs: DataFrame) -> DataFrame:
             rows = batch.to_pylist()
             got: dict[tuple[str, int], list] = {}
             for r in rows:
-                page = Skeleton(r["parent"], r["label"], r["dropped"], r["digest"])
-                ref = Skeleton(r["ref"]["parent"], r["ref"]["label"], r["ref"]["dropped"], r["ref"]["digest"])
+                page, ref = _skeleton_of(r), _skeleton_of(r["ref"])
                 pairs = tree_match(ref, page)
                 to_ref = {y: x for x, y in pairs}
                 for x, y in pairs:
-                    v = got.setdefault((r["host"], x), [page.digest[y], page.digest[y], 0, False])
+                    v = got.setdefault((r["host"], x), [page.digest[y], page.digest[y], 0, False, False])
                     v[0], v[1], v[2] = min(v[0], page.digest[y]), max(v[1], page.digest[y]), v[2] + 1
                 for y, p in enumerate(page.parent):
-                    if y not in to_ref and p in to_ref and not page.dropped[y]:
-                        got[r["host"], to_ref[p]][3] = True
-            cols = list(zip(*((h, n, *v) for (h, n), v in got.items()))) or [[]] * 6
-            types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+                    if y not in to_ref and p in to_ref and (page.named[y] or not page.dropped[y]):
+                        got[r["host"], to_ref[p]][4 if page.named[y] else 3] = True
+            cols = list(zip(*((h, n, *v) for (h, n), v in got.items()))) or [[]] * 7
+            types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              [f.split()[0] for f in _VOTES.split(", ")])
     votes = skeletons.join(refs, "host").mapInArrow(task, _VOTES)
     return votes.groupBy("host", "node").agg(F.min("digest_lo").alias("lo"), F.max("digest_hi").alias("hi"),
-                                             F.sum("n").alias("n"), F.max("extra").alias("extra"))
+                                             F.sum("n").alias("n"), F.max("extra").alias("extra"),
+                                             F.max("in_named").alias("in_named"))
 
 
 def wrapper(ref: Skeleton, votes: dict[int, tuple[int, int, int, bool]]) -> tuple[str | None, list[str]]:
@@ -408,24 +481,29 @@ def wrapper(ref: Skeleton, votes: dict[int, tuple[int, int, int, bool]]) -> tupl
 
 def _wrappers(votes: DataFrame, refs: DataFrame) -> DataFrame:
     """One row per host; a host has as many votes as its reference page has nodes."""
-    per = votes.groupBy("host").agg(F.collect_list(F.struct("node", "lo", "hi", "n", "extra")).alias("votes"))
+    per = votes.groupBy("host").agg(F.collect_list(F.struct("node", "lo", "hi", "n", "extra", "in_named")).alias("votes"))
 
     def task(batches):
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                ref = Skeleton(r["ref"]["parent"], r["ref"]["label"], r["ref"]["dropped"], r["ref"]["digest"])
-                out.append((r["host"], *wrapper(ref, {v["node"]: (v["lo"], v["hi"], v["n"], v["extra"]) for v in r["votes"]})))
-            cols = list(zip(*out)) or [[]] * 3
+                ref, votes = _skeleton_of(r["ref"]), {v["node"]: (v["lo"], v["hi"], v["n"], v["extra"]) for v in r["votes"]}
+                root, constant = wrapper(ref, votes)
+                # nothing varies but in nodes marked by name: there the names say nothing
+                lift = root is None and any(v["in_named"] or (ref.named[v["node"]] and (v["lo"] != v["hi"] or v["extra"]))
+                                            for v in r["votes"])
+                out.append((r["host"], root, constant, lift))
+            cols = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-                                              pa.array(cols[2], pa.list_(pa.string()))], ["host", "root", "constant"])
-    return per.join(refs, "host").mapInArrow(task, "host string, root string, constant array<string>")
+                                              pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], pa.bool_())],
+                                             ["host", "root", "constant", "lift"])
+    return per.join(refs, "host").mapInArrow(task, "host string, root string, constant array<string>, lift boolean")
 
 
-def extract(source: str, root: str | None, constant: frozenset[str]) -> str:
+def extract(source: str, root: str | None, constant: frozenset[str], lift: bool = False) -> str:
     """Main text of one page under its host's wrapper."""
     out: list[str] = []
-    for node, path in roots(parse(source), root):
+    for node, path in roots(parse(source, lift), root):
         named = node.tag in ROOTS
         out += blocks(node, (lambda p: False) if named else (lambda p: "\t".join(p) in constant), path)
     return "\n".join(out)
@@ -438,7 +516,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                          F.col(html_col).cast("string").alias("html"))
     pages = pages.withColumn("host", F.coalesce(host(F.col("url")), F.lit("")))
     sk = written(_skeletons(pages), "skeletons")
-    tree = F.struct("parent", "label", "dropped", "digest")
+    tree = F.struct("parent", "label", "dropped", "named", "digest")
     # the reference page of a host: smallest id, then smallest skeleton, so repeated runs agree
     refs = written(sk.groupBy("host").agg(F.min(F.struct(F.coalesce("page", F.lit(2 ** 62)).alias("page"), tree.alias("ref"))).alias("r"))
                      .select("host", "r.ref"), "references")
@@ -447,10 +525,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     def task(batches):
         for batch in batches:
             texts = []
-            for source, root, constant in zip(*(batch.column(c).to_pylist() for c in ("html", "root", "constant"))):
-                texts.append(extract(source or "", root, frozenset(constant or ())))
+            for source, root, constant, lift in zip(*(batch.column(c).to_pylist() for c in ("html", "root", "constant", "lift"))):
+                texts.append(extract(source or "", root, frozenset(constant or ()), bool(lift)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])
-    return (pages.join(wrappers, "host", "left").select("page_id", "url", "html", "root", "constant")
+    return (pages.join(wrappers, "host", "left").select("page_id", "url", "html", "root", "constant", "lift")
                  .mapInArrow(task, "page_id bigint, url string, text string, n_chars bigint"))
