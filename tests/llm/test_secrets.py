@@ -73,3 +73,22 @@ def test_extra_kinds_and_redaction(spark, frame):
     assert out.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == sorted(
         [(1, "a [SECRET] b [SECRET] c"), (2, "clean"), (0, ""), (1, "a [SECRET] b [SECRET] c")])
+
+
+def test_private_keys_are_redacted_whole(spark, frame):
+    lines = ["MIIEow" + "aB3+/" * 11 + "xyz", "Zq9" * 21 + "k", "Zg7+Q=="]
+    for kind in ("", "RSA ", "EC ", "OPENSSH "):
+        begin, end = f"-----BEGIN {kind}PRIVATE KEY-----", f"-----END {kind}PRIVATE KEY-----"
+        for key in (lines, ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", "", *lines]):
+            for sep in ("\n", "\r\n", "\n    ", "\\n"):
+                body = sep.join(["", *key]) + sep
+                for whole in (begin + body + end, begin + sep.join(["", *key])):
+                    text = f"a text\n{whole}\nand prose after it. Some more"
+                    out = S.redact(text, S.joined(S.find(text)))
+                    assert out == "a text\n[SECRET]\nand prose after it. Some more", (text, out)
+    both = f"x {begin}\n{lines[0]}\n{begin}\n{lines[1]}\n{end} y {begin} z"
+    assert S.redact(both, S.joined(S.find(both))) == "x [SECRET]\n[SECRET] y [SECRET] z"
+    many = "-----BEGIN PRIVATE KEY-----\n" * 20000
+    assert len(S.find(many)) == 20000
+    df = frame([f"a {begin}\n{lines[0]}\n{lines[2]}\n{end} b", None])
+    assert sorted(r.text or "" for r in S.redacted(df, scratch_path(spark, "ledger")).collect()) == ["", "a [SECRET] b"]

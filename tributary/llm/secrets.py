@@ -35,7 +35,7 @@ BASE_KINDS = ("assign", "access", "hex")
 EXTRA_KINDS = ("pem", "jwt", "github", "slack", "google")
 KINDS = BASE_KINDS + EXTRA_KINDS
 # Name of the rule set; a change of any rule needs a new name, which rescans all blobs.
-RULE_VERSION = "rules-1"
+RULE_VERSION = "rules-3"
 
 LEDGER_SCHEMA = ("blob string, rule_version string, n_assign bigint, n_access bigint, n_hex bigint, "
                  "base_sha256 string, spans string")
@@ -43,12 +43,19 @@ LEDGER_SCHEMA = ("blob string, rule_version string, n_assign bigint, n_access bi
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.ASCII | re.IGNORECASE)
 _ASSIGN_WORDS = ("passw", "secret", "token", "api")
+# A private key from its BEGIN line to the END line of its kind (none in between begins another key); without
+# one, to the end of the key lines that follow: base64 alone on a line, long base64 runs, cipher headers. Line
+# breaks may be written as \n.
+_PEM = (r"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+        r"|(?:(?:\s|\\[rn])*+(?:[A-Za-z0-9+/]{40,}+={0,2}|(?:Proc-Type|DEK-Info):[^\n\\]*+)"
+        r"|(?:\\[rn])++[A-Za-z0-9+/]++={0,2}"
+        r"|[ \t\r]*+\n\s*+[A-Za-z0-9+/]++={0,2}[ \t\r]*+(?=\n|\Z))*+)")
 # A run of hex digits, or AKIA and its run, always ends where the run ends, so
 # asking for the least length in the pattern finds the same spans as dropping short ones.
 _PATTERNS = {
     "access": re.compile(r"AKIA[A-Z0-9]{12,}"),
     "hex": re.compile(r"[0-9a-f]{32,}"),
-    "pem": re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    "pem": re.compile(_PEM),
     "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     "github": re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"),
     "slack": re.compile(r"xox[abprs]-[A-Za-z0-9-]{10,}"),
