@@ -157,3 +157,11 @@ FROM documents d LEFT JOIN per USING (doc_id)"""
 def op8_wrapper_induction(spark, sf_dir):
     from tributary.llm.html import main_text
     return main_text(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op12_lockstep_alignment(spark, sf_dir):
+    import public_tokenizers
+    from tributary.llm import alignment
+    return alignment.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path(alignment.TOKENIZER_A),
+                               public_tokenizers.path(alignment.TOKENIZER_B))
