@@ -165,3 +165,37 @@ def op12_lockstep_alignment(spark, sf_dir):
     from tributary.llm import alignment
     return alignment.alignment(_table(spark, sf_dir, "documents"), public_tokenizers.path(alignment.TOKENIZER_A),
                                public_tokenizers.path(alignment.TOKENIZER_B))
+
+
+@_query
+def op11_stripes_collocations(spark, sf_dir):
+    from tributary.llm.phrases import collocations
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_stripes_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split_regex(low, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents)),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS words FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY lang),
+counts AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM worded, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (
+  SELECT c.* FROM counts c WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM counts o WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.a >= 100 * c.a
+      AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, t.n,
+         CAST((CAST(1000 AS HUGEINT) * c.a * t.n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS j FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:j], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[j + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
