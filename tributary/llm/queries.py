@@ -199,3 +199,9 @@ cuts AS (
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
 SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+
+@_query
+def op13_balanced_label_propagation(spark, sf_dir):
+    from tributary.llm.sharding import shard_documents
+    return shard_documents(_table(spark, sf_dir, "documents"))
