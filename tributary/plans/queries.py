@@ -791,3 +791,27 @@ def index_documents(spark, sf_dir):
         docs.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "seq"), "all", 0)
     back = state.read_index(spark, path, "dms_flink_customer", apply_deletes=False)
     return back.select("index_name", F.get_json_object("doc", "$.c_custkey").cast("bigint").alias("c_custkey"))
+
+
+@register("state_levels", f"""
+WITH latest AS ({_LATEST_SQL})
+SELECT 'read' AS via, * FROM latest
+UNION ALL
+SELECT 'lookup', * FROM latest QUALIFY row_number() OVER (PARTITION BY substr(doc_id, 1, 1) ORDER BY doc_id) = 1""")
+def state_levels(spark, sf_dir):
+    """The state after 100 appended batches, merged level by level on the way: read as a whole, and the first
+    document of each leading digit looked up in the few runs that can hold it (O1 S7)."""
+    docs = routed(spark, fx.events_envelopes(spark, sf_dir), id_mode="key", key_columns=["user_id"])
+    rows = docs.select("index_name", "doc_id", "doc", "is_delete", "operation", "event_time", "arrival_time", "seq",
+                       F.pmod("seq", F.lit(100)).cast("int").alias("batch"))
+    batches, path = scratch_path(spark, "state-batches"), scratch_path(spark, "state-levels")
+    rows.hint("rebalance", F.col("batch")).write.partitionBy("batch").parquet(batches)
+    store = state.StateStore(spark, path, buckets=4)
+    for n in range(100):
+        store.append(spark.read.schema(rows.drop("batch").schema).parquet(f"{batches}/batch={n}"), "events", n)
+    latest = store.read(apply_deletes=False)
+    wanted = [r["id"] for r in latest.groupBy(F.substring("doc_id", 1, 1)).agg(F.min("doc_id").alias("id")).collect()]
+    found = state.read_index(spark, path, "dms_flink_events", apply_deletes=False, doc_ids=wanted)
+    columns = ["index_name", "doc_id", F.col("seq").alias("latest_event_id"),
+               F.get_json_object("doc", "$.event_type").alias("latest_event_type"), "operation", "n_versions"]
+    return latest.select(F.lit("read").alias("via"), *columns).union(found.select(F.lit("lookup").alias("via"), *columns))

@@ -186,7 +186,8 @@ def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any], sourc
             (sinks.document_rows(kept).withColumn("written_at", F.current_timestamp())
                   .write.mode("overwrite").partitionBy("index_name").parquet(target("output_document_log")))
         if options.get("output_documents"):
-            store = state.StateStore(spark, _prefixed(options, "output_documents"))
+            store = state.StateStore(spark, _prefixed(options, "output_documents"),
+                                     int(options.get("state_buckets", state.DEFAULT_BUCKETS)))
             store.append(sinks.document_rows(kept), source or str(options.get("query_name") or "stream"), batch_id,
                          int(options.get("state_compact_every", state.DEFAULT_COMPACT_EVERY)))
         if options.get("output_json"):
