@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import documents, geo, ids
+from tributary.operators import rules as rules_of
 
 # Index name prefix and the record type that becomes documents.
 INDEX_PREFIX = "dms_flink_"
@@ -47,18 +48,20 @@ def selection_predicate(rules: Iterable[Mapping]) -> Column:
     """Predicate from selection rules (``object-locator`` with ``%`` wildcards).
 
     A record is kept when an ``include`` rule matches and no ``exclude`` rule
-    does. Rules are job configuration, so the predicate is built once on the
+    does; a rule with ``filters`` matches the rows that meet them (see :mod:`rules`). Rules are job configuration, so the predicate is built once on the
     driver and evaluated in generated code: no join is needed.
     """
     include, exclude = F.lit(False), F.lit(False)
     for rule in rules:
         if rule.get("rule-type", "selection") != "selection":
             continue
-        if rule.get("filters"):
-            raise ValueError(f"selection rule {rule.get('rule-id', '')}: filters are not supported")
         loc = rule.get("object-locator", {})
         match = (F.coalesce(F.col("schema_name"), F.lit("")).like(rule_pattern(loc.get("schema-name", "%")))
                  & F.coalesce(F.col("table_name"), F.lit("")).like(rule_pattern(loc.get("table-name", "%"))))
+        try:
+            match = match & rules_of.filters_predicate(rule.get("filters") or ())
+        except rules_of.RuleError as e:
+            raise rules_of.RuleError(f"selection rule {rule.get('rule-id', '')}: {e}") from e
         if rule.get("rule-action", "include") == "exclude":
             exclude = exclude | match
         else:

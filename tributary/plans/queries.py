@@ -108,6 +108,41 @@ def conformance(spark, sf_dir):
     return recs.groupBy(env.conforms(F.col("value")).alias("conforms")).agg(F.count("*").alias("n"))
 
 
+# Schema used by the ``schema_violations`` query.
+ORDER_SCHEMA = {
+    "type": "object", "required": ["metadata", "data"],
+    "properties": {
+        "metadata": {"type": "object", "required": ["record-type", "table-name"], "additionalProperties": False, "properties": {
+            "timestamp": {"type": "string", "pattern": "^[0-9]{4}-"}, "record-type": {"enum": ["data", "control"]},
+            "operation": {"type": "string"}, "partition-key-type": {"type": "string"}, "schema-name": {"const": "TPCH"},
+            "table-name": {"type": "string", "minLength": 1}}},
+        "data": {"type": "object", "required": ["o_orderkey"], "properties": {
+            "o_orderkey": {"type": "integer", "minimum": 1}, "o_totalprice": {"type": "number", "maximum": 300000},
+            "o_orderstatus": {"enum": ["O", "F"]}}}}}
+
+
+@register("schema_violations", """
+SELECT violation, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey % 100 IN (1, 7) THEN '$: not_json'
+              WHEN o_orderkey % 100 = 5 THEN '$: required metadata'
+              WHEN o_orderkey % 100 IN (0, 8) THEN '$: required data'
+              WHEN o_orderkey % 100 = 3 THEN '$.metadata: required record-type'
+              WHEN o_orderkey % 100 = 11 THEN '$.metadata: required table-name'
+              WHEN o_orderkey % 100 = 6 THEN '$.metadata: additionalProperties'
+              WHEN o_orderkey % 100 = 2 THEN '$.metadata.record-type: enum'
+              WHEN o_orderkey % 100 = 4 THEN '$.data: type'
+              WHEN o_totalprice > 300000 THEN '$.data.o_totalprice: maximum'
+              WHEN o_orderstatus NOT IN ('O', 'F') THEN '$.data.o_orderstatus: enum'
+              ELSE 'conforms' END AS violation
+  FROM orders) t
+GROUP BY violation""")
+def schema_violations(spark, sf_dir):
+    """Records by the first violation of a JSON schema, with its place."""
+    from tributary.operators.jsonschema import check_schema
+    checked = check_schema(fx.orders_envelopes(spark, sf_dir, plant=True), ORDER_SCHEMA)
+    return checked.groupBy(F.coalesce("violation", F.lit("conforms")).alias("violation")).agg(F.count("*").alias("n"))
+
+
 @register("control_dropped", """
 SELECT branch, count(*) AS n FROM (
   SELECT CASE WHEN o_orderkey % 100 IN (1, 4, 5, 6, 7, 11) THEN 'quarantined'
@@ -144,6 +179,43 @@ def selected_tables(spark, sf_dir):
     return sel.groupBy("schema_name", "table_name").agg(F.count("*").alias("n"))
 
 
+# Rules with filters used by the ``filtered_rows`` query.
+FILTER_RULES = [
+    {"rule-type": "selection", "rule-id": "1", "rule-action": "include",
+     "object-locator": {"schema-name": "TPCH", "table-name": "orders"},
+     "filters": [{"filter-type": "source", "column-name": "o_totalprice", "filter-conditions": [
+                     {"filter-operator": "ste", "value": "30000.5"}, {"filter-operator": "between", "start-value": "100000", "end-value": "1.5e5"}]},
+                 {"filter-type": "source", "column-name": "o_orderdate", "filter-conditions": [
+                     {"filter-operator": "gte", "value": "1995-06-17"}]},
+                 {"filter-type": "source", "column-name": "o_orderstatus", "filter-conditions": [
+                     {"filter-operator": "noteq", "value": "F"}, {"filter-operator": "null"}]}]},
+    {"rule-type": "selection", "rule-id": "2", "rule-action": "include",
+     "object-locator": {"schema-name": "TPCH", "table-name": "customer"},
+     "filters": [{"column-name": "c_mktsegment", "filter-conditions": [
+                     {"filter-operator": "eq", "value": "BUILDING"}, {"filter-operator": "between", "start-value": "F", "end-value": "I"}]}]},
+    {"rule-type": "selection", "rule-id": "3", "rule-action": "exclude",
+     "object-locator": {"schema-name": "TPCH", "table-name": "%"},
+     "filters": [{"column-name": "c_acctbal", "filter-conditions": [{"filter-operator": "notbetween", "start-value": "-500", "end-value": "9000"}]}]},
+]
+
+
+@register("filtered_rows", f"""
+SELECT 'orders' AS table_name, CAST(o_orderkey AS BIGINT) AS key FROM orders
+WHERE {_kept('o_orderkey')} AND o_orderkey % 100 <> 8 AND (o_totalprice <= 30000.5 OR o_totalprice BETWEEN 100000 AND 150000)
+  AND o_orderdate >= TIMESTAMP '1995-06-17' AND o_orderstatus <> 'F'
+UNION ALL
+SELECT 'customer', c_custkey FROM customer
+WHERE {_kept('c_custkey')} AND c_custkey % 100 <> 8 AND (c_mktsegment = 'BUILDING' OR c_mktsegment BETWEEN 'F' AND 'I')
+  AND c_acctbal BETWEEN -500 AND 9000""")
+def filtered_rows(spark, sf_dir):
+    """Selection rules with filters: conditions of a column are alternatives, filters of a rule all hold; numbers,
+    dates and text are compared as what they are (F4)."""
+    kept = routing.only_data(env.parse_dms(fx.three_table_envelopes(spark, sf_dir, plant=True)))
+    sel = routing.select_tables(kept, FILTER_RULES)
+    key = F.coalesce(field(F.col("data"), "o_orderkey", "bigint"), field(F.col("data"), "c_custkey", "bigint"))
+    return sel.select("table_name", key.alias("key"))
+
+
 @register("audit_line", f"""
 SELECT CASE WHEN c_custkey % 100 = 8 THEN NULL ELSE c_custkey END AS c_custkey,
        'TPCH.customer|' || {_op('c_custkey')} || '|data' AS audit
