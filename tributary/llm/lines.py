@@ -1,25 +1,32 @@
 """Substring dedup by line or paragraph hashing (operator 9).
 
-A text is cut into units: its lines, and inside a line its sentences, so that a
-passage spliced into a longer line is found too. Units are normalised (A-Z folded,
+A text is cut into units: its lines, and inside a line its sentences (a
+sentence ends at ``.``, ``!`` or ``?`` before white space), so that a passage
+spliced into a longer line is found too. Units are normalised (A-Z folded,
 white space runs as one space, ends trimmed) and hashed to 128 bits. Digests
-are grouped over all texts; the occurrence of smallest rank ``(doc_id, unit)``
-stays and all others go. Units of fewer than ``MIN_WORDS`` words are always
-kept, so headings and chance repeats stay. Results carry the removed units'
-original offsets in code points.
+are grouped over all texts; the occurrence of smallest rank (doc_id, text,
+place) stays and all others go. Results carry the removed units' original
+offsets in code points.
+
+Every non-empty unit takes part. A unit of ``MIN_WORDS`` words or more is held
+by itself. A shorter one ("Yes, of course.") is no sign of copying alone, so it
+is held with its neighbours: with as many following units as make ``MIN_WORDS``
+words, and with as many preceding ones. It goes if either of these passages
+occurred before. A text that has fewer words in all is one passage.
 
 Digests meet in a map-side combined minimum, and only digests seen twice are
 joined back; a line that a third of all texts hold is one row per task there,
 and its occurrences are narrow rows that adaptive execution can split.
 
-Defined results: null and empty texts have no units; a null id ranks after all
-others; repeated rows with one id rank alike, and each keeps what the other
-keeps; an empty table gives no rows; other columns are not read.
+Defined results: one row per input row; null and empty texts have no units; a
+null id ranks after all others; equal rows rank alike, and each keeps what the
+other keeps; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from itertools import accumulate
 
 import pyarrow as pa
@@ -30,55 +37,79 @@ from tributary.llm import ragged
 from tributary.llm.store import written
 
 MIN_WORDS = 8
-# A unit ends at a newline, or at the space after a full stop.
+# A unit ends at a newline, or at the white space after the end of a sentence.
 SEPARATOR = "\n"
-SENTENCE_END = ". "
+SENTENCE_END = re.compile(r"([.!?])[ \t\x0b\x0c\r]")
 
-_UNITS = "doc_id bigint, n_units bigint, units array<struct<digest:binary,unit:int,start:bigint,end:bigint>>"
+_UNITS = ("doc_id bigint, text_md5 string, n_units bigint, "
+          "units array<struct<digest:binary,first:int,start:bigint,end:bigint>>")
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def units(text: str, sentences: bool = True, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int, int]]:
-    """``(digest, unit, start, end)`` of the units that take part."""
-    out, at = [], 0
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def units(text: str, sentences: bool = True, min_words: int = MIN_WORDS) -> tuple[int, list[tuple[bytes, int, int, int]]]:
+    """How many units are not empty, and for each passage that decides about a unit ``(digest, first, start, end)``:
+    the passage's first unit and the unit's place."""
+    found, at = [], 0
     if sentences:  # same length, so offsets hold
-        text = text.replace(SENTENCE_END, SENTENCE_END[0] + SEPARATOR)
+        text = SENTENCE_END.sub(r"\1\n", text)
     for i, unit in enumerate(text.split(SEPARATOR)):
         words = unit.encode().translate(_FOLD).split()
-        if len(words) >= min_words:
-            out.append((hashlib.blake2b(b" ".join(words), digest_size=16).digest(), i, at, at + len(unit)))
+        if words:
+            found.append((words, i, at, at + len(unit)))
         at += len(unit) + 1
-    return out
+    before = [0, *accumulate(len(w) for w, *_ in found)]
+    out = []
+    for n, (words, i, start, end) in enumerate(found):
+        if len(words) >= min_words:
+            passages = [(i, words)]
+        elif before[-1] < min_words:
+            passages = [(found[0][1], [w for u, *_ in found for w in u])]
+        else:
+            passages = []
+            for step in (1, -1):  # with what follows, with what precedes
+                run, m, first = list(words), n + step, i
+                while len(run) < min_words and 0 <= m < len(found):
+                    run = run + found[m][0] if step == 1 else found[m][0] + run
+                    first = min(first, found[m][1])
+                    m += step
+                if len(run) >= min_words:
+                    passages.append((first, run))
+        out += [(_digest(p), first, start, end) for first, p in passages]
+    return len(found), out
 
 
 def _cut(docs: DataFrame, sentences: bool, min_words: int) -> DataFrame:
     def task(batches):
         for batch in batches:
             texts = ragged.texts_of(batch.column(1)).to_pylist()
-            found = [units(t, sentences, min_words) for t in texts]
+            counts, found = zip(*(units(t, sentences, min_words) for t in texts)) if texts else ((), ())
             flat = list(zip(*(u for f in found for u in f))) or [[]] * 4
             struct = pa.StructArray.from_arrays([pa.array(flat[0], pa.binary()), pa.array(flat[1], pa.int32()),
                                                  pa.array(flat[2], pa.int64()), pa.array(flat[3], pa.int64())],
-                                                ["digest", "unit", "start", "end"])
+                                                ["digest", "first", "start", "end"])
             offsets = pa.array([0, *accumulate(len(f) for f in found)], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int64()),
-                                              pa.ListArray.from_arrays(offsets, struct)], ["doc_id", "n_units", "units"])
+            md5 = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(md5, pa.string()), pa.array(counts, pa.int64()),
+                                              pa.ListArray.from_arrays(offsets, struct)], ["doc_id", "text_md5", "n_units", "units"])
     return docs.mapInArrow(task, _UNITS)
 
 
 def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, sentences: bool = True,
                    min_words: int = MIN_WORDS) -> DataFrame:
-    """Per distinct id: n_units, n_removed, removed_chars, removed (``start:end`` by start, comma-joined)."""
+    """Per row: doc_id, n_units, n_removed, removed_chars, removed (``start:end`` by start, comma-joined)."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    cut = written(_cut(docs, sentences, min_words), "units")
-    flat = cut.select("doc_id", F.explode("units").alias("u")).select("doc_id", "u.*")
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "unit")
+    # written once: a row keeps its number from here on
+    cut = written(_cut(docs, sentences, min_words).withColumn("row", F.monotonically_increasing_id()), "units")
+    flat = cut.select("row", "doc_id", "text_md5", F.explode("units").alias("u")).select("row", "doc_id", "text_md5", "u.*")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5", "first")
     first = flat.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("keep")).where("n > 1")
     gone = flat.join(first, "digest").where(rank > F.col("keep"))
     spans = F.array_sort(F.collect_set(F.struct("start", "end")))
-    per = gone.groupBy("doc_id").agg(spans.alias("spans")).withColumnRenamed("doc_id", "_id")
-    rows = cut.groupBy("doc_id").agg(F.sum("n_units").alias("n_units")) \
-              .join(per, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    rows = cut.select("row", "doc_id", "n_units").join(gone.groupBy("row").agg(spans.alias("spans")), "row", "left")
     return rows.select(
         "doc_id", "n_units", F.coalesce(F.size("spans"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.expr("coalesce(aggregate(spans, 0L, (a, s) -> a + s.end - s.start), 0L)").alias("removed_chars"),

@@ -7,13 +7,13 @@ elementwise, and the merged structure answers everything: an entry is a
 phrase's frequency, the entry of the shorter stripe is its prefix total, and the
 largest entries on either side of a phrase decide subsumption.
 
-1. Words per language; entries of ``least`` occurrences or more stay.
-2. Stripes of one word, only over words that stay; then stripes of two to four
-   words, only where every word pair in them stays. A phrase of ``least``
-   occurrences consists of such words and pairs, so none is lost. Tasks know
-   them by a bitmap of fixed size (``BITS``) over their hashes: a false hit
-   only counts a phrase that is dropped afterwards, so results are exact at
-   any size and what is collected and broadcast is bounded.
+1. What can be frequent is found first, by 64-bit hashes only: words, then
+   pairs of such words, then triples of such pairs. A phrase of ``least``
+   occurrences consists of such words, pairs and triples, so none is lost.
+   Tasks know them by bitmaps of fixed size (``BITS``): what is collected and
+   broadcast is bounded, and a false hit only counts a phrase in vain.
+2. Stripes with their words, for what is left. Only these counts decide, so
+   results are exact at any size of the bitmaps.
 3. Every cut of a candidate looks up both parts; the lowest score stays. The
    products are DECIMAL(38, 0): exact while 1000 * a * n is under 10^38.
 4. A phrase lies inside a longer candidate of (almost) its frequency only if a
@@ -48,10 +48,12 @@ LEAST = 100
 TOP = 2000
 LONGEST = 5
 UNKNOWN = "und"
-# Bits of the bitmaps that name words and word pairs worth counting, 8 MB: fixed, so broadcasts are too.
+# Bits of each bitmap (a power of two), 8 MB: fixed, so broadcasts are too.
 BITS = 1 << 26
 # Bytes of text whose stripes a task fills before it hands them on.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+# Hashes a task sums before it hands them on.
+MERGE_ENTRIES = 4 << 20
 # Parts of a language whose first phrases are found apart, at most.
 PARTS = 256
 
@@ -64,7 +66,7 @@ _FOLD[[ord(c) for c in ".,;:!?\x0A\x0B\x0C\x0D"]] = 0x0A
 SCORE = ("(cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) "
          "div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
 
-_STRIPES = "lang string, prefix string, nexts array<string>, counts array<bigint>, hashes array<bigint>"
+_STRIPES = "lang string, prefix string, nexts array<string>, counts array<bigint>"
 
 
 class Block:
@@ -103,26 +105,91 @@ class Block:
         return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
 
 
-def _bit(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (ragged.mix64(hashes) % np.uint64(bits)).astype(np.int64)
-
-
 def _hit(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = _bit(hashes, 8 * len(bitmap))
-    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+    bit = hashes & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _salt(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
-def _stripes_of(block: Block, langs: pa.Array, k: int, keep: np.ndarray | None) -> pa.RecordBatch:
-    """Stripes of the block's phrases of k words (those whose first word ``keep`` marks)."""
+def _blocks(batches):
+    """Blocks of a partition with the language of each of their texts."""
+    for part, buf, offs in ragged.blocks(batches, "text", BLOCK_BYTES):
+        langs = part.column(1).cast(pa.string())
+        names = langs.dictionary_encode()
+        of = np.array([_salt(x) for x in names.dictionary.to_pylist()], np.uint64)
+        block = Block(buf, offs, of[names.indices.to_numpy(zero_copy_only=False)])
+        if block.n:
+            yield block, langs
+
+
+def _known(block: Block, bitmaps: list) -> list[np.ndarray]:
+    """Per level k from 1 on: which words start k words all of whose parts the bitmaps of words, pairs ... know."""
+    levels = []
+    for k, bitmap in enumerate(bitmaps, 1):
+        h, at = block.windows(k)
+        if levels:
+            some = levels[-1][at] & levels[-1][at + 1]
+            h, at = h[some], at[some]
+        known = np.zeros(block.n, bool)
+        known[at[_hit(bitmap.value, h)]] = True
+        levels.append(known)
+    return levels
+
+
+def _possible(block: Block, levels: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(hash, first word)`` of the phrases of k words all of whose parts are known."""
     h, at = block.windows(k)
-    if keep is not None:
-        some = keep[at]
+    if levels:
+        step = min(k, len(levels))
+        some = np.logical_and.reduce([levels[step - 1][at + j] for j in range(k - step + 1)])
         h, at = h[some], at[some]
-    distinct, first, count = np.unique(h, return_index=True, return_counts=True)
+    return h, at
+
+
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    h, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    return h[heads], np.add.reduceat(n, heads)
+
+
+def _frequent(docs: DataFrame, k: int, bitmaps: list, least: int, bits: int):
+    """Broadcast bitmap of the hashes of all phrases of k words with ``least`` occurrences or more."""
+    def task(batches):
+        parts, size = [], 0
+
+        def batch(h, n):
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+        for block, _ in _blocks(batches):
+            h, _ = _possible(block, _known(block, bitmaps), k)
+            if len(h):
+                parts.append(np.unique(h, return_counts=True))
+                size += len(parts[-1][0])
+            if size > MERGE_ENTRIES:  # summed in the task as long as that saves entries
+                parts = [_merge(parts)]
+                size = len(parts[0][0])
+                if size > MERGE_ENTRIES // 2:
+                    yield batch(*parts[0])
+                    parts, size = [], 0
+        if parts:
+            yield batch(*_merge(parts))
+    counts = docs.mapInArrow(task, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = (counts.select((F.col("h").bitwiseAND(F.lit(bits - 1)) + 1).alias("bit"))
+                  .groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
+                  .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))).toArrow()
+    out = np.zeros(bits // 8, np.uint8)  # 4,096 bytes of it a row
+    for bucket, piece in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
+        out[(bucket - 1) * 4096:bucket * 4096] = np.frombuffer(piece, np.uint8)
+    return docs.sparkSession.sparkContext.broadcast(out)
+
+
+def _stripes_of(block: Block, langs: pa.Array, h: np.ndarray, at: np.ndarray, k: int) -> pa.RecordBatch:
+    """Stripes of the block's phrases of k words with hashes ``h`` and first words ``at``."""
+    _, first, count = np.unique(h, return_index=True, return_counts=True)
     at = at[first]
     if k == 1:  # one stripe a language
         key = block.salt[block.doc[at]]
@@ -132,68 +199,34 @@ def _stripes_of(block: Block, langs: pa.Array, k: int, keep: np.ndarray | None)
         where[starts] = np.arange(len(starts))
         key = prefix[where[at]]
     order = np.argsort(key, kind="stable")
-    key, at, count, distinct = key[order], at[order], count[order], distinct[order]
+    key, at, count = key[order], at[order], count[order]
     heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     offsets = pa.array(np.append(heads, len(key)), pa.int32())
     return pa.RecordBatch.from_arrays(
         [langs.take(pa.array(block.doc[at[heads]])), block.phrases(at[heads], k - 1),
-         *(pa.ListArray.from_arrays(offsets, x) for x in (block.phrases(at + k - 1, 1), pa.array(count),
-                                                          pa.array(distinct.view(np.int64))))],
-        ["lang", "prefix", "nexts", "counts", "hashes"])
+         *(pa.ListArray.from_arrays(offsets, x) for x in (block.phrases(at + k - 1, 1), pa.array(count)))],
+        ["lang", "prefix", "nexts", "counts"])
 
 
-def _stripes(docs: DataFrame, orders: range, words=None, pairs=None) -> DataFrame:
-    """Stripes of phrases of the given lengths, merged per block; ``words`` and ``pairs`` are broadcast bitmaps."""
+def _stripes(docs: DataFrame, longest: int, bitmaps: list) -> DataFrame:
+    """Stripes of all phrases that can be frequent, merged per block; a null prefix counts all words."""
     def task(batches):
-        for part, buf, offs in ragged.blocks(batches, "text", BLOCK_BYTES):
-            langs = part.column(1).cast(pa.string())
-            names = langs.dictionary_encode()
-            of = np.array([_salt(x) for x in names.dictionary.to_pylist()], np.uint64)
-            block = Block(buf, offs, of[names.indices.to_numpy(zero_copy_only=False)])
-            if not block.n:
-                continue
-            good = _hit(words.value, block.words.hash) if words else None
-            if pairs:  # by the first word of each pair
-                h, at = block.windows(2)
-                paired = np.zeros(block.n, bool)
-                paired[at] = good[at] & good[at + 1] & _hit(pairs.value, h)
-            for k in orders:
-                if k == 1:
-                    keep = None
-                else:
-                    steps = paired if pairs else good
-                    keep = np.zeros(block.n, bool)
-                    n = block.n - k + 1
-                    if n > 0:
-                        keep[:n] = np.logical_and.reduce([steps[j:j + n] for j in range(k - 1 if pairs else k)])
-                batch = _stripes_of(block, langs, k, keep)
+        for block, langs in _blocks(batches):
+            levels = _known(block, bitmaps)
+            for k in range(1, longest + 1):
+                batch = _stripes_of(block, langs, *_possible(block, levels, k), k)
                 if batch.num_rows:
                     yield batch
+            words = np.bincount(block.doc, minlength=len(langs))
+            salts, first, of = np.unique(block.salt, return_index=True, return_inverse=True)
+            n = len(salts)
+            yield pa.RecordBatch.from_arrays(
+                [langs.take(pa.array(first)), pa.nulls(n, pa.string()), pa.array([[""]] * n, pa.list_(pa.string())),
+                 pa.array([[int(x)] for x in np.bincount(of, words).tolist()], pa.list_(pa.int64()))],
+                ["lang", "prefix", "nexts", "counts"])
     return docs.mapInArrow(task, _STRIPES)
 
 
-def _merged(stripes: DataFrame) -> DataFrame:
-    """Entries ``(lang, prefix, next, n, h)`` of all stripes, summed elementwise."""
-    return (stripes.select("lang", "prefix", F.explode(F.arrays_zip("nexts", "counts", "hashes")).alias("e"))
-                   .groupBy("lang", "prefix", F.col("e.nexts").alias("next"))
-                   .agg(F.sum("e.counts").alias("n"), F.min("e.hashes").alias("h")))
-
-
-def _bitmap(entries: DataFrame, bits: int):
-    """Broadcast bitmap over the hashes of the entries: ``bits`` / 8 bytes, however many entries there are."""
-    def task(batches):
-        for batch in batches:
-            bit = _bit(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
-    places = entries.select("h").mapInArrow(task, "bit bigint").select((F.col("bit") + 1).alias("bit"))
-    rows = (places.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
-                  .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("bits"))).toArrow()
-    out = np.zeros(-(-bits // 32768) * 4096, np.uint8)
-    for bucket, piece in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
-        out[(bucket - 1) * 4096:bucket * 4096] = np.frombuffer(piece, np.uint8)
-    return entries.sparkSession.sparkContext.broadcast(out[:bits // 8])
-
-
 def _first_of(phrases: DataFrame, top: int, parts: int) -> DataFrame:
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
@@ -210,17 +243,19 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     or more, and ``(lang, n)``, the words of each language."""
     docs = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    single = written(_merged(_stripes(docs, range(1, 2))), "stripes-words")
-    totals = single.groupBy("lang").agg(F.sum("n").alias("n"))
-    single = single.where(F.col("n") >= least)
-    words = _bitmap(single, bits)
-    double = written(_merged(_stripes(docs, range(2, 3), words)).where(F.col("n") >= least), "stripes-pairs", True)
-    pairs = _bitmap(double, bits)
-    longer = written(_merged(_stripes(docs, range(3, longest + 1), words, pairs)).where(F.col("n") >= least),
-                     "stripes-phrases", True)
+    bitmaps = []
+    for k in range(1, min(3, longest) + 1):
+        bitmaps.append(_frequent(docs, k, bitmaps, least, bits))
+    # stripes of one prefix summed elementwise
+    entries = (_stripes(docs, longest, bitmaps)
+               .select("lang", "prefix", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
+               .groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
+               .where((F.col("n") >= least) | F.col("prefix").isNull()))
+    entries = written(entries, "stripes")
+    totals = entries.where("prefix is null").select("lang", "n")
     k = F.when(F.col("prefix") == "", F.lit(1)).otherwise(F.size(F.split("prefix", " ")) + 1)
     phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    return (single.union(double).union(longer).select("lang", k.alias("k"), phrase.alias("phrase"), "prefix", "next",
+    return (entries.where("prefix is not null").select("lang", k.alias("k"), phrase.alias("phrase"), "prefix", "next",
                                                       F.col("n").alias("a")), totals)
 
 

@@ -132,25 +132,45 @@ def op9_line_hash_dedup(spark, sf_dir):
 
 
 ORACLE_SQL["op9_line_hash_dedup"] = r"""
-WITH lines AS (
-  SELECT doc_id, line, i - 1 AS unit,
-         sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start
-  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
-        FROM (SELECT doc_id, string_split(replace(text, '. ', '.' || chr(10)), chr(10)) AS parts FROM documents))),
+WITH docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS digest FROM documents),
+lines AS (
+  SELECT rn, doc_id, digest, line, i AS unit,
+         sum(length(line) + 1) OVER (PARTITION BY rn ORDER BY i) - length(line) - 1 AS start
+  FROM (SELECT rn, doc_id, digest, unnest(parts) AS line, generate_subscripts(parts, 1) AS i
+        FROM (SELECT rn, doc_id, digest,
+                     string_split(regexp_replace(text, '([.!?])[ \t\v\f\r]', '\1' || chr(10), 'g'), chr(10)) AS parts FROM docs))),
 units AS (
-  SELECT doc_id, unit, start, start + length(line) AS stop,
+  SELECT rn, doc_id, digest, unit, start, start + length(line) AS stop,
          trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t\n\v\f\r ]+', ' ', 'g'), ' ') AS norm
   FROM lines),
-used AS (SELECT * FROM units WHERE norm <> '' AND len(string_split(norm, ' ')) >= 8),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) AS place FROM used),
-per AS (
-  SELECT doc_id, count(*) AS n_units, count(*) FILTER (place > 1) AS n_removed,
-         coalesce(sum(stop - start) FILTER (place > 1), 0) AS removed_chars,
-         coalesce(string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (place > 1), '') AS removed
-  FROM ranked GROUP BY doc_id)
+counted AS (SELECT *, len(string_split(norm, ' ')) AS words FROM units WHERE norm <> ''),
+summed AS (SELECT *, sum(words) OVER w AS upto, sum(words) OVER (PARTITION BY rn) AS total
+           FROM counted WINDOW w AS (PARTITION BY rn ORDER BY unit)),
+around AS (  -- a unit has a word at least, so eight units are enough on either side
+  SELECT *, list({'upto': upto, 'words': words, 'norm': norm, 'unit': unit}) OVER (PARTITION BY rn ORDER BY unit ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS after,
+         list({'upto': upto, 'words': words, 'norm': norm, 'unit': unit}) OVER (PARTITION BY rn ORDER BY unit ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS prior,
+         list(norm) OVER (PARTITION BY rn ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS every
+  FROM summed),
+passages AS (
+  SELECT rn, doc_id, digest, unit AS place, start, stop, norm AS passage FROM around WHERE words >= 8
+  UNION ALL
+  SELECT rn, doc_id, digest, min(unit) OVER (PARTITION BY rn), start, stop, array_to_string(every, ' ') FROM around WHERE words < 8 AND total < 8
+  UNION ALL
+  SELECT rn, doc_id, digest, unit, start, stop, array_to_string([x.norm FOR x IN after IF x.upto - x.words < upto - words + 8], ' ')
+  FROM around WHERE words < 8 AND total - upto + words >= 8
+  UNION ALL
+  SELECT rn, doc_id, digest, list_min([x.unit FOR x IN prior IF x.upto > upto - 8]), start, stop,
+         array_to_string([x.norm FOR x IN prior IF x.upto > upto - 8], ' ')
+  FROM around WHERE words < 8 AND upto >= 8),
+ranked AS (
+  SELECT *, rank() OVER (PARTITION BY passage ORDER BY doc_id NULLS LAST, digest, place) AS nth FROM passages),
+gone AS (SELECT DISTINCT rn, start, stop FROM ranked WHERE nth > 1),
+per AS (SELECT rn, count(*) AS n_removed, sum(stop - start) AS removed_chars,
+               string_agg(start || ':' || stop, ',' ORDER BY start) AS removed FROM gone GROUP BY rn),
+sizes AS (SELECT rn, count(*) AS n_units FROM counted GROUP BY rn)
 SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
        CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
-FROM documents d LEFT JOIN per USING (doc_id)"""
+FROM docs d LEFT JOIN sizes USING (rn) LEFT JOIN per USING (rn)"""
 
 
 @_query
