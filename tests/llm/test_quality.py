@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,18 @@ def test_repeats_equal_brute_force():
         assert list(zip(m["n_covered_words"].tolist(), m["longest_repeat"].tolist())) == [repeats(t, k) for t in texts]
 
 
+def test_repetitive_texts_cost_no_more():
+    """A million equal words, and periods: linear in the text, with the exact results."""
+    buf, offs = ragged.utf8(pa.array(["la " * 1_000_000, "a b c " * 50_000, "x"], pa.large_string()))
+    began = time.perf_counter()
+    m = quality.measure(buf, offs)
+    assert time.perf_counter() - began < 60  # alone on a core: under 10 s
+    assert m["n_covered_words"].tolist() == [1_000_000, 150_000, 0]
+    assert m["longest_repeat"].tolist() == [999_999, 149_997, 0]
+    small = quality.measure(*ragged.utf8(pa.array(["la " * 60, "a b c " * 20], pa.large_string())))
+    assert list(zip(small["n_covered_words"].tolist(), small["longest_repeat"].tolist())) == [repeats("la " * 60, 12), repeats("a b c " * 20, 12)]
+
+
 def test_intervals_are_maximal_repeats():
     text = "x a b c y a b c z a b q"
     buf, offs = ragged.utf8(pa.array([text], pa.large_string()))

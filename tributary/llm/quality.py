@@ -97,10 +97,11 @@ def suffix_array(w: ragged.Words, k: int) -> SuffixArray:
         j = where[np.minimum(nxt, total - 1)]
         known = (nxt < total) & (j >= 0)
         second = np.where(known & (w.doc[use] == w.doc[use[j]]), rank[j], n + np.arange(n))
-        order = np.lexsort((second, rank))
-        r, s = rank[order], second[order]
+        key = rank * (2 * n) + second
+        order = np.argsort(key, kind="stable")  # runs that are in order already cost little
+        key = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum((r[1:] != r[:-1]) | (s[1:] != s[:-1]))])
+        rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
         if rank[order[-1]] == n - 1:
             break
         levels.append(rank)
@@ -154,15 +155,13 @@ def measure(buf: np.ndarray, offs: np.ndarray, min_repeat: int = MIN_REPEAT) ->
     repeats = np.zeros(n_docs, np.int64)
     covered = np.zeros(n_docs, np.int64)
     if len(sa.order):
-        span = np.zeros(len(w.hash) + 1, np.int64)
-        for size, lo, hi in lcp_intervals(sa, w):
-            pos = sa.order[lo:hi]
-            d = w.doc[pos[0]]
-            longest[d] = max(longest[d], size)
-            repeats[d] += 1
-            span[pos] = np.maximum(span[pos], size)
-        head = np.flatnonzero(span)
-        covered = _sums(_covered(head, span[head], len(w.hash)), w.first)
+        # the longest repeat from each suffix on is shared with a neighbour; a repeat that is always preceded by
+        # one same word lies inside the repeat that has that word too, so these spans have the union of all
+        reach = np.maximum(sa.lcp, np.append(sa.lcp[1:], 0))
+        covered = _sums(_covered(sa.order, reach, len(w.hash)), w.first)
+        np.maximum.at(longest, w.doc[sa.order], reach)
+        heads = np.array([lo for _, lo, _ in lcp_intervals(sa, w)], np.int64)
+        repeats = np.bincount(w.doc[sa.order[heads]], minlength=n_docs)
     return {"n_words": w.count(), "word_chars": _sums(((buf & 0xC0) != 0x80) & ~ragged.SEPARATORS[buf], offs),
             "n_symbols": _sums(_SYMBOL[buf], offs),
             "n_dup_lines": np.array([_line_repeats(raw[a:b]) for a, b in zip(offs[:-1], offs[1:])], np.int64),
