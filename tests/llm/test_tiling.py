@@ -2,10 +2,12 @@
 
 import random
 import re
+import time
+import tracemalloc
 
-import numpy as np
+import pyarrow as pa
 
-from tributary.llm import tiling
+from tributary.llm import ragged, tiling
 
 
 def words(text):
@@ -88,8 +90,50 @@ def test_table_equals_brute_force_on_seeded_pairs(spark, sf, docs):
 
 def test_tiles_do_not_overlap():
     # item a b c d e f, text holds "a b c d" and "c d e f": the second tile is cut to what is left
-    p, q = np.array([0, 1, 2, 2, 3, 4]), np.array([0, 1, 2, 10, 11, 12])
-    assert sorted(n for _, _, n in tiling.tiles(p, q, 2)) == [2, 4]
+    assert sorted(n for _, _, n in tiling.tiles([(0, 0, 4), (2, 10, 4)], 6, 14, 2)) == [2, 4]
+
+
+def _block(texts):
+    return ragged.words(*ragged.utf8(pa.array(texts, pa.large_string())), lower=True, punctuation=False)
+
+
+def test_matches_of_repetitive_texts_equal_plain_tiling():
+    rng = random.Random(11)
+    items = ["a " * 30, "a b " * 12, "a b c d e f g", "x " * 9 + "y " * 9, "a b a b a c a b a b a c a b"]
+    texts = ["a " * 70, "b a " * 40, "a b c d e f g " * 3, "x " * 20, "y " * 7 + "x " * 7, "a b a b a c " * 6 + "q"]
+    texts += [" ".join(rng.choice("ab") for _ in range(60)) for _ in range(25)]
+    items += [" ".join(rng.choice("ab") for _ in range(25)) for _ in range(6)]
+    for k, percent in ((3, 1), (5, 50)):
+        found = tiling.Seeds(list(range(len(items))), items, k).matches(_block(texts), percent)
+        want = []
+        for d, t in enumerate(texts):
+            for i, x in enumerate(items):
+                n = plain_tiles(words(x), words(t), min(k, len(words(x))))
+                if n and 100 * n >= percent * len(words(x)):
+                    want.append((d, i, n))
+        assert sorted((d, i, n) for d, i, n, _, _ in found) == want
+
+
+def test_a_phrase_that_all_share_costs_little():
+    rng = random.Random(3)
+
+    def noise(n):
+        return " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(n))
+    phrase = "the same five common words"
+    items = [f"{noise(20)} {phrase} {noise(20)}" for _ in range(500)]
+    texts = [f"{noise(40)} {phrase} {noise(40)}" for _ in range(2000)] + [items[7], f"{noise(9)} {items[9]}"]
+    began = time.perf_counter()
+    found = list(tiling.Seeds(list(range(500)), items, 5).matches(_block(texts), 50))
+    assert time.perf_counter() - began < 30  # alone on a core: under 5 s
+    assert sorted((d, i, n) for d, i, n, _, _ in found) == [(2000, 7, 45), (2001, 9, 45)]
+
+
+def test_equal_words_over_and_over_stay_small():
+    tracemalloc.start()
+    found = list(tiling.Seeds([1], ["la " * 800], 5).matches(_block(["la " * 200_000, "la " * 399]), 50))
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    assert found == [(0, 0, 800, 1, 800)]
 
 
 def test_empty_tables(frame):

@@ -2,8 +2,9 @@
 
 Words are compared lower-cased and without punctuation. Shared seeds (windows
 of ``MIN_MATCH`` words, compared by running hashes) join texts to benchmark
-items; for each joined pair the longest non-overlapping matches are marked
-again and again until none of ``MIN_MATCH`` words is left. A text is
+items; a pair whose distinct seeds could not cover enough of the item is ruled
+out before any match is formed. For each pair left the longest non-overlapping
+matches are marked again and again until none of ``MIN_MATCH`` words is left. A text is
 contaminated by an item if its tiles cover ``MIN_COVERAGE_PERCENT`` of the
 item's words, in whatever order they come, so reordered passages count.
 
@@ -34,45 +35,88 @@ MIN_COVERAGE_PERCENT = 50
 # Words of benchmark text per block; a block and its seeds are about 40 bytes a word.
 BLOCK_WORDS = 1_000_000
 
+# Postings of seeds looked at together.
+PORTION = 1 << 21
+
 SCHEMA = ("doc_id bigint, item_id bigint, item_words bigint, covered_words bigint, coverage_percent bigint, "
           "n_tiles bigint, longest_tile bigint, doc_words bigint")
 
 
-def tiles(in_item: np.ndarray, in_text: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """Greedy tiling from seed hits: windows ``(start in item, start in text)`` of k equal words.
+def tiles(runs: list[tuple[int, int, int]], item_words: int, text_words: int, k: int) -> list[tuple[int, int, int]]:
+    """Greedy tiling from maximal matches ``(start in item, start in text, size)``.
 
-    Returns tiles ``(start in item, start in text, size)``, none overlapping another on either side.
+    Returns tiles, none overlapping another on either side: the longest match first (then the first in item
+    and text); a match that is partly marked by then goes on as its free stretches.
     """
-    order = np.lexsort((in_item, in_text - in_item))
-    p, q = in_item[order], in_text[order]
-    cut = np.flatnonzero((np.diff(q - p) != 0) | (np.diff(p) != 1)) + 1
-    lo = np.concatenate([[0], cut])
-    size = np.diff(np.append(lo, len(p))) + k - 1
-    heap = [(-n, a, b) for n, a, b in zip(size.tolist(), p[lo].tolist(), q[lo].tolist())]
+    heap = [(-n, a, b) for a, b, n in runs]
     heapq.heapify(heap)
-    item: set[int] = set()
-    text: set[int] = set()
-    out = []
-    while heap:
+    item, text = np.zeros(item_words, bool), np.zeros(text_words, bool)
+    free, out = item_words, []
+    while heap and free >= k:
         n, a, b = heapq.heappop(heap)
         n = -n
-        free = [a + i not in item and b + i not in text for i in range(n)]
-        if all(free):
-            item.update(range(a, a + n))
-            text.update(range(b, b + n))
+        marked = item[a:a + n] | text[b:b + n]
+        if not marked.any():
+            item[a:a + n] = text[b:b + n] = True
+            free -= n
             out.append((a, b, n))
             continue
-        i = 0  # partly marked since: its free stretches are matches of their own
-        while i < n:
-            j = i
-            while j < n and free[j]:
-                j += 1
+        edges = np.flatnonzero(np.diff(np.concatenate([[1], marked.view(np.int8), [1]])))
+        for i, j in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if j - i >= k:
                 heapq.heappush(heap, (i - j, a + i, b + i))
-            i = j + 1
     return out
 
 
+def _prefix(words: np.ndarray) -> np.ndarray:
+    """Sums ``H`` so that ``(H[i+n] - H[i]) * base^j == (G[j+n] - G[j]) * base^i`` for n equal words."""
+    p = ragged.powers(len(words) + 1)
+    return np.concatenate([[np.uint64(0)], np.cumsum(ragged.mix64(words) * p[:len(words)], dtype=np.uint64)])
+
+
+def maximal_matches(item: np.ndarray, text: np.ndarray, item_seeds: np.ndarray, text_seeds: np.ndarray,
+                    at: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """All matches of k words or more that cannot be extended: ``(start in item, start in text, size)``.
+
+    ``item`` and ``text`` are word hashes, ``item_seeds`` the window hashes of the item, ``text_seeds`` those of
+    the text at ``at``. Only windows whose preceding words differ are paired, so a text and an item that repeat
+    one phrase over and over give a match per start of a run, not one per pair of places.
+    """
+    none = np.uint64(0)
+    before_item = np.concatenate([[none], ragged.mix64(item[:len(item_seeds) - 1]) | np.uint64(1)])
+    before_text = np.where(at > 0, ragged.mix64(text[np.maximum(at, 1) - 1]) | np.uint64(1), none)
+    order = np.lexsort((before_text, text_seeds))
+    seeds, before, at = text_seeds[order], before_text[order], at[order]
+    # one number for a seed and the word before it
+    both, item_both = ragged.mix64(seeds) + before, ragged.mix64(item_seeds) + before_item
+    lo, hi = np.searchsorted(seeds, item_seeds), np.searchsorted(seeds, item_seeds, "right")
+    some = np.flatnonzero(hi > lo)
+    starts, heads = [], []
+    for a, x, y in zip(some.tolist(), lo[some].tolist(), hi[some].tolist()):
+        if before_item[a] == none:  # nothing before it in the item: every place in the text is a start
+            starts.append(at[x:y])
+        else:
+            same = both[x:y] == item_both[a]
+            if same.all():
+                continue
+            starts.append(at[x:y][~same])
+        heads.append(np.full(len(starts[-1]), a))
+    if not starts:
+        return []
+    a, b = np.concatenate(heads), np.concatenate(starts)
+    room = np.minimum(len(item) - a, len(text) - b)
+    h, g, p = _prefix(item), _prefix(text), ragged.powers(max(len(item), len(text)) + 1)
+    size = np.full(len(a), k, np.int64)
+    step = 1 << max(int(room.max()).bit_length() - 1, 0)
+    while step:
+        ok = size + step <= room
+        i, j, n = a[ok], b[ok], size[ok] + step
+        ok[ok] = (h[i + n] - h[i]) * p[j] == (g[j + n] - g[j]) * p[i]
+        size += np.where(ok, step, 0)
+        step >>= 1
+    return list(zip(a.tolist(), b.tolist(), size.tolist()))
+
+
 class Seeds:
     """Seed windows of a benchmark block, sorted by hash."""
 
@@ -88,51 +132,71 @@ class Seeds:
             own = np.flatnonzero(count[w.doc[first]] == c)
             by = np.argsort(hs[own], kind="stable")
             self.short.append((c, hs[own][by], w.doc[first][own][by]))
+        # items as they stand: word hashes and window hashes, by item
+        self.word, self.first = w.hash, w.first
+        self.window, self.first_window = h, np.searchsorted(at, w.first)
         order = np.argsort(h, kind="stable")
         self.hash, self.item, self.at = h[order], w.doc[at][order], (at - w.first[w.doc[at]])[order]
         self.ids, self.words, self.k = ids, count, k
         self.distinct = np.unique(self.hash)
 
-    def pairs(self, w: ragged.Words):
-        """Per text and item with shared seeds: ``(text, item, starts in item, starts in text)``."""
+    def hopeful(self, doc: np.ndarray, h: np.ndarray, least_percent: int):
+        """Pairs ``(text, item)`` whose shared seeds could cover enough of the item.
+
+        ``(doc, h)`` are the distinct seeds of each text, sorted. The seeds' windows in the item, united, bound
+        what tiles can cover, so pairs are ruled out exactly and before any place in a text is looked at. Texts
+        are taken in portions of bounded postings.
+        """
+        lo, hi = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
+        load = np.concatenate([[0], np.cumsum(hi - lo)])
+        heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        ends = np.append(heads[1:], len(doc))
+        t = 0
+        while t < len(heads):
+            u = max(int(np.searchsorted(load[ends], load[heads[t]] + PORTION, "right")), t + 1)
+            x, y = heads[t], ends[u - 1]
+            n = hi[x:y] - lo[x:y]
+            seed = np.repeat(lo[x:y] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            d, item, at = np.repeat(doc[x:y], n), self.item[seed], self.at[seed]
+            order = np.lexsort((at, item, d))
+            d, item, at = d[order], item[order], at[order]
+            new = np.concatenate([[True], (d[1:] != d[:-1]) | (item[1:] != item[:-1])])
+            reach = np.append(np.where(new[1:], self.k, np.minimum(at[1:] - at[:-1], self.k)), self.k)
+            first = np.flatnonzero(new)
+            bound = np.add.reduceat(reach, first)
+            good = first[100 * bound >= least_percent * self.words[item[first]]]
+            yield from zip(d[good].tolist(), item[good].tolist())
+            t = u
+
+    def matches(self, w: ragged.Words, least_percent: int):
+        """``(text, item, covered, tiles, longest)`` of the pairs that reach the coverage."""
         h, at = ragged.windows(w, self.k)
         if len(self.distinct) and len(h):
             i = np.minimum(np.searchsorted(self.distinct, h), len(self.distinct) - 1)
             hit = np.flatnonzero(self.distinct[i] == h)
             h, at = h[hit], at[hit]
-            lo, hi = np.searchsorted(self.hash, h), np.searchsorted(self.hash, h, "right")
-            n = hi - lo
-            seed = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-            word = np.repeat(at, n)
-            doc, item = w.doc[word], self.item[seed]
-            order = np.lexsort((item, doc))
-            seed, word, doc, item = seed[order], word[order], doc[order], item[order]
-            cut = np.concatenate([[0], np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1, [len(doc)]])
-            for a, b in zip(cut[:-1], cut[1:]):
-                if b > a:
-                    yield int(doc[a]), int(item[a]), self.at[seed[a:b]], word[a:b] - w.first[doc[a]]
+            doc = w.doc[at]
+            if len(doc):
+                order = np.lexsort((h, doc))
+                sd, sh = doc[order], h[order]
+                once = np.concatenate([[True], (sd[1:] != sd[:-1]) | (sh[1:] != sh[:-1])])
+                for d, item in self.hopeful(sd[once], sh[once], least_percent):
+                    x, y = np.searchsorted(doc, d), np.searchsorted(doc, d, "right")
+                    text = w.hash[w.first[d]:w.first[d + 1]]
+                    words = self.word[self.first[item]:self.first[item + 1]]
+                    runs = maximal_matches(words, text, self.window[self.first_window[item]:self.first_window[item + 1]],
+                                           h[x:y], at[x:y] - w.first[d], self.k)
+                    found = tiles(runs, len(words), len(text), self.k)
+                    covered = sum(n for _, _, n in found)
+                    if 100 * covered >= least_percent * len(words):
+                        yield d, item, covered, len(found), max(n for _, _, n in found)
         for c, short, items in self.short:
             h, at = ragged.windows(w, c)
             i = np.minimum(np.searchsorted(short, h), len(short) - 1)
             hit = np.flatnonzero(short[i] == h)
-            for x, word in zip(h[hit], at[hit].tolist()):
-                for item in items[np.searchsorted(short, x):np.searchsorted(short, x, "right")].tolist():
-                    yield int(w.doc[word]), item, None, None
-
-    def matches(self, w: ragged.Words, least_percent: int):
-        """``(text, item, covered, tiles, longest)`` of the pairs that reach the coverage."""
-        seen = set()
-        for doc, item, starts, ends in self.pairs(w):
-            size = int(self.words[item])
-            if starts is None:
-                if (doc, item) not in seen:
-                    seen.add((doc, item))
-                    yield doc, item, size, 1, size
-                continue
-            found = tiles(starts, ends, self.k)
-            covered = sum(n for _, _, n in found)
-            if 100 * covered >= least_percent * size:
-                yield doc, item, covered, len(found), max(n for _, _, n in found)
+            for d, x in sorted(set(zip(w.doc[at[hit]].tolist(), h[hit].tolist()))):
+                for item in items[np.searchsorted(short, np.uint64(x)):np.searchsorted(short, np.uint64(x), "right")].tolist():
+                    yield d, item, c, 1, c
 
 
 def _seed_blocks(benchmark: DataFrame, item_col: str, text_col: str, min_match: int, block_words: int):
