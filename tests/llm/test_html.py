@@ -3,6 +3,7 @@
 import html as stdlib
 import random
 import re
+import time
 
 import pytest
 
@@ -110,17 +111,58 @@ def test_many_differently_named_parts_are_all_content(spark, n):
         assert r.text == r.want
 
 
-def test_long_child_lists_match_as_short_ones_do(monkeypatch):
+def plain_match(a, b):
+    """Size of the largest match by the textbook recursion."""
+    ca, cb = a.children(), b.children()
+
+    def size(x, y):
+        if a.label[x] != b.label[y]:
+            return 0
+        m = [[0] * (len(cb[y]) + 1) for _ in range(len(ca[x]) + 1)]
+        for p in range(len(ca[x])):
+            for q in range(len(cb[y])):
+                m[p + 1][q + 1] = max(m[p][q + 1], m[p + 1][q], m[p][q] + size(ca[x][p], cb[y][q]))
+        return m[-1][-1] + 1
+    return size(0, 0)
+
+
+def test_matches_are_largest_whole_or_in_halves(monkeypatch):
     rng = random.Random(8)
+    cells = H.TABLE_CELLS
     for _ in range(60):
-        a, b = (H.skeleton(H.parse("<body>" + "".join(f"<div class={rng.choice('abcdefgh')}><p>x<ul><li>y</ul></div>" if rng.random() < .5
-                else f"<div class={rng.choice('abcdefgh')}>x</div>" for _ in range(rng.randrange(1, 40))))) for _ in range(2))
-        monkeypatch.setattr(H, "MAX_SIBLINGS", 48)
-        dense = H.tree_match(a, b)
-        monkeypatch.setattr(H, "MAX_SIBLINGS", 0)
-        sparse = H.tree_match(a, b)
-        assert len(dense) == len(sparse) == len({x for x, _ in sparse}) == len({y for _, y in sparse})
-        assert sorted(y for _, y in sparse) == [y for _, y in sorted(sparse)]
+        a, b = (H.skeleton(H.parse("<body>" + "".join(f"<div class={rng.choice('abcd')}><p>x<ul><li>y</ul></div>" if rng.random() < .5
+                else f"<div class={rng.choice('abcd')}>x</div>" for _ in range(rng.randrange(1, 30))))) for _ in range(2))
+        for limit in (cells, 0):
+            monkeypatch.setattr(H, "TABLE_CELLS", limit)
+            pairs = H.tree_match(a, b)
+            assert len(pairs) == plain_match(a, b) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+            assert sorted(y for _, y in pairs) == [y for _, y in sorted(pairs)]
+            assert all(a.label[x] == b.label[y] and (not x or (a.parent[x], b.parent[y]) in set(pairs)) for x, y in pairs)
+
+
+@pytest.mark.parametrize("n", [20, 47, 60, 400])
+def test_a_constant_line_is_cut_however_many_paragraphs(spark, n):
+    """A line that all pages have between their paragraphs is template at any length of the page."""
+    rows = []
+    for k in range(5):
+        parts = [f"<p>paragraph {i} of page {k}</p><div class=tip>Read more here</div>" for i in range(n // 2 + k)]
+        rows.append((k, "http://tips.example/", f"<body><div id=text><h2>title {k}</h2>{''.join(parts)}<p>end {k}</p></div></body>",
+                     "\n".join([f"title {k}"] + [f"paragraph {i} of page {k}" for i in range(n // 2 + k)] + [f"end {k}"])))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    for r in H.main_text(df).join(df.select("page_id", "want"), "page_id").collect():
+        assert r.text == r.want
+
+
+def test_deep_pages_take_no_longer():
+    began = time.perf_counter()
+    assert text("<body>" + "<div class=x>a" * 20000) == "\n".join(["a"] * 20000)
+    sk = H.skeleton(H.parse("<body>" + "<div class=x>a" * 20000))
+    other = H.skeleton(H.parse("<body>" + "<div class=x>b" * 19000))
+    assert len(H.tree_match(sk, other)) == 19002
+    votes = {i: (1, 2 if i > 5000 else 1, 3, False) for i in range(20002)}
+    root, constant = H.wrapper(sk, votes)
+    assert root is not None and len(constant) == 5001
+    assert time.perf_counter() - began < 10  # alone on a core: about a second
 
 
 def text(source):
@@ -144,6 +186,27 @@ def test_names_do_not_drop_articles_mains_and_what_holds_them():
     assert text("<main><p>x</p><div class='banner'><article><p>y</p></article></div></main>") == "x\ny"
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<p class="x"">one</p><p>two</p>', "one\ntwo"), ("<p title=it's>one</p><p>two's</p>", "one\ntwo's"),
+    ("<!--><p>one</p><!---><p>two</p><!-- x --!><p>three</p>", "one\ntwo\nthree"), ("<p a=\"1\"b='2'c=3>one", "one"),
+    ('<p "">one</p><p =x="y>z">two</p><a href=/a/b>three</a>', "one\ntwo\nthree"), ("<p\nclass\n=\n'ad'\n>no</p>yes", "yes"),
+    ("one</ p></>two</3>", "onetwo"), ("<br/><p/>one<p / class=ad>no", "one"), ("<p data-x='a > b'>one", "one"),
+    ("<img alt=\"it's 5 > 3\">one", "one"), ('<p class="x>one</p>', ""),
+])
+def test_tags_are_read_as_the_standard_reads_them(page, want):
+    assert text(f"<body>{page}") == want
+
+
+def test_forms_that_frame_the_page_are_read_through():
+    assert text("<body><form id=aspnetForm><div><h1>T</h1><p>text of the page</p></div><form><input>Search now</form></form>") == "T\ntext of the page"
+    assert text("<body><form><main><p>x</p></main></form>") == "x"
+    assert text("<body><form><nav>menu of many words here</nav><article>x</article></form>") == "x"
+    # a form that is a part of the page goes, also with a paragraph in it
+    assert text("<body><p>a text that is longer than the form</p><form><p>Search</p><input></form>") == "a text that is longer than the form"
+    assert text("<body><form>Search the site</form><p>x</p>") == "x"
+    assert text("<article><p>a text that is longer than the form</p><form><p>Subscribe</p></form></article>") == "a text that is longer than the form"
+
+
 @pytest.mark.parametrize("name", ["class=widget", "id=notice"])
 def test_varying_slots_outweigh_names(spark, name):
     page = "<body><div id=top>Site name</div><div class=wrap><div {}><h2>title {}</h2><p>text {}</p></div></div></body>"

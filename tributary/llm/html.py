@@ -38,7 +38,9 @@ import html
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +55,7 @@ INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em f
 DROPPED = frozenset(("head nav header footer aside form script style noscript template iframe object embed select option "
                      "button textarea input svg canvas audio video map menu dialog title").split())
 ROOTS = frozenset(("article", "main"))
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li".split())
 CONTAINERS = frozenset("html body div section article main td center".split())
 CLOSES_P = frozenset(("address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 "
                       "h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul").split())
@@ -66,12 +69,20 @@ BOILERPLATE_WORDS = frozenset((
     "breadcrumb breadcrumbs sidebar aside footer header masthead topbar toolbar cookie cookies consent gdpr notice notices alert "
     "popup modal overlay comment comments respond disqus reply replies share sharing social related recommended newsletter "
     "subscribe subscription signup login widget pagination pager skip").split())
-# Children of a node in a skeleton before those of one label are folded that do not follow each other.
-MAX_SIBLINGS = 48
+# Pairs of shapes a task remembers before it starts afresh.
+REMEMBER = 1 << 18
+# Cells of a matching table that is kept whole; larger ones are matched in halves.
+TABLE_CELLS = 1 << 24
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# Tags as the standard reads them: a value is quoted only right after "=", else it ends at white space or ">", and
+# a stray quote is part of a name. Possessive, so no text takes more than one pass.
+_VALUE = r"""(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>"'][^\s>]*+))"""
+_NAME = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+_ATTRIBUTE = rf"{_NAME}(?:\s*+=\s*+{_VALUE}?+)?+"
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+                    rf"(?P<attrs>(?:[\s/]++|{_ATTRIBUTE})*+)(?P<end>>|\Z)|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*(?:>|\Z)", re.S)
+_ATTR = re.compile(rf"({_NAME})(?:\s*+=\s*+{_VALUE}?+)?+", re.S)
 _USED = frozenset("class id role hidden aria-hidden".split())
 _HOLDS_ROOT = re.compile(r"<(?:article|main)[\s/>]", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -105,6 +116,39 @@ def _is_named(tag: str, attrs: dict[str, str]) -> bool:
     return any(words and all(w in BOILERPLATE_WORDS for w in words) for words in map(_WORDS.findall, names))
 
 
+def _read_through(top: Node) -> None:
+    """Forms that are the page's frame instead of a part of it: they hold an article or main element, or
+    paragraphs or headings with more than half of the page's text."""
+    order, stack = [], [(top, None, False)]  # nodes with the form around them, parents first
+    while stack:
+        node, form, gone = stack.pop()
+        if node.dropped and node.tag != "form" or gone:
+            continue
+        order.append((node, form))
+        inner = node if node.tag == "form" else form
+        stack += [(c, inner, False) for c in node.children if not isinstance(c, str) and c.tag not in INLINE]
+    forms = [n for n, _ in order if n.tag == "form" and n.dropped]
+    if not forms:
+        return
+    held, prose = {id(f): 0 for f in forms}, set()
+    total = 0
+    around = {id(n): f for n, f in order}
+    for node, form in order:
+        inner = node if node.tag == "form" else form
+        size = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        total += size
+        while inner is not None and id(inner) in held:
+            held[id(inner)] += size
+            if node.tag in ROOTS:
+                inner.dropped = False
+            if node.tag in PROSE:
+                prose.add(id(inner))
+            inner = around[id(inner)]
+    for f in forms:
+        if id(f) in prose and 2 * held[id(f)] > total:
+            f.dropped = False
+
+
 def _resolve(top: Node, lift: bool) -> None:
     """Decide which named nodes are boilerplate, and mark them dropped; with ``lift`` none is on a page
     without an unmarked article."""
@@ -172,12 +216,12 @@ def parse(source: str, lift: bool = False) -> Node:
         if not m:
             break
         at = m.end()
-        tag = (m[2] or "").lower()
+        tag = (m["tag"] or "").lower()
         if not tag:
             continue
-        if not m[4]:
+        if not m["end"]:
             break  # a tag cut off by the end of the page
-        if m[1]:
+        if m["close"]:
             if tag not in INLINE:
                 close({tag})
             elif tag == "br":
@@ -186,7 +230,7 @@ def parse(source: str, lift: bool = False) -> Node:
         if tag == "br":
             stack[-1].children.append(" ")
         if tag in INLINE:
-            if tag not in VOID and (_attr := _attributes(m[3])) and ((sure := _is_boilerplate(tag, _attr)) or _is_named(tag, _attr)):
+            if tag not in VOID and (_attr := _attributes(m["attrs"])) and ((sure := _is_boilerplate(tag, _attr)) or _is_named(tag, _attr)):
                 done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 if not sure and _HOLDS_ROOT.search(source, at, done.end() if done else at):
                     continue
@@ -194,7 +238,7 @@ def parse(source: str, lift: bool = False) -> Node:
                 stack[-1].children.append(node)
                 at = done.end() if done else at
             continue
-        attrs = _attributes(m[3]) if m[3].strip() else {}
+        attrs = _attributes(m["attrs"]) if m["attrs"].strip() else {}
         if tag in CLOSES_P:
             close({"p"}, {"table", "td", "button", "div", "article", "section", "body"} if tag != "p" else CONTAINERS)
         if tag in SIBLINGS:
@@ -208,6 +252,7 @@ def parse(source: str, lift: bool = False) -> Node:
             at = done.end() if done else len(source)
         elif tag not in VOID:  # a slash at its end does not close an HTML element
             stack.append(node)
+    _read_through(top)
     _resolve(top, lift)
     return top
 
@@ -216,17 +261,32 @@ def _clean(pieces: list[str]) -> str:
     return " ".join(html.unescape("".join(pieces)).split())
 
 
-def blocks(node: Node, skip=lambda path: False, path: tuple = ()) -> list[str]:
-    """Texts of the blocks under a node in page order, without boilerplate and skipped paths."""
+TOP_KEY = 0
+
+
+@lru_cache(maxsize=1 << 16)
+def _label_key(label: str) -> int:
+    return int.from_bytes(hashlib.blake2b(label.encode(), digest_size=8).digest(), "big")
+
+
+def step(key: int, label: str) -> int:
+    """Key of the path one label below another path's: 63 bits, the same in every task."""
+    x = (key * 0x9E3779B97F4A7C15 + _label_key(label) + 1) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    return (x ^ x >> 27) >> 1
+
+
+def blocks(node: Node, skip: frozenset[int] = frozenset(), key: int = TOP_KEY) -> list[str]:
+    """Texts of the blocks under a node in page order, without boilerplate and the paths in ``skip``."""
     out, run = [], []
-    stack = [(node, path, iter(node.children))]
+    stack = [(node, key, iter(node.children))]
 
     def flush():
         if run and (t := _clean(run)):
             out.append(t)
         run.clear()
     while stack:
-        node, path, it = stack[-1]
+        node, key, it = stack[-1]
         child = next(it, None)
         if child is None:
             stack.pop()
@@ -237,32 +297,32 @@ def blocks(node: Node, skip=lambda path: False, path: tuple = ()) -> list[str]:
             run.append(" ")
         else:
             flush()
-            if not child.dropped and not skip(p := (*path, child.label)):
-                stack.append((child, p, iter(child.children)))
+            if not child.dropped and (below := step(key, child.label)) not in skip:
+                stack.append((child, below, iter(child.children)))
     return out
 
 
-def _outermost(node: Node, path: tuple, wanted) -> list[tuple[Node, tuple]]:
+def _outermost(node: Node, key: int, wanted) -> list[tuple[Node, int]]:
     """Outermost nodes under (or at) a node that are wanted, in page order, not looking into boilerplate."""
-    found, stack = [], [(node, path)]
+    found, stack = [], [(node, key)]
     while stack:
-        node, path = stack.pop()
-        if wanted(node, path):
-            found.append((node, path))
+        node, key = stack.pop()
+        if wanted(node, key):
+            found.append((node, key))
         else:
-            stack += [(c, (*path, c.label)) for c in reversed(node.children)
+            stack += [(c, step(key, c.label)) for c in reversed(node.children)
                       if not isinstance(c, str) and not c.dropped and c.tag not in INLINE]
     return found
 
 
-def roots(top: Node, root: str | None) -> list[tuple[Node, tuple]]:
+def roots(top: Node, root: int | None) -> list[tuple[Node, int]]:
     """Content roots in page order: the nodes at the wrapper's root path (the page without one),
     narrowed to the articles, else the main elements, they hold."""
-    found = _outermost(top, (), lambda n, p: "\t".join(p) == root) if root is not None else []
+    found = _outermost(top, TOP_KEY, lambda n, k: k == root) if root is not None else []
     out = []
-    for node, path in found or [(top, ())]:
-        out += (_outermost(node, path, lambda n, p: n.tag == "article" and not n.weak) or _outermost(node, path, lambda n, p: n.tag == "main")
-                or [(node, path)])
+    for node, key in found or [(top, TOP_KEY)]:
+        out += (_outermost(node, key, lambda n, k: n.tag == "article" and not n.weak) or _outermost(node, key, lambda n, k: n.tag == "main")
+                or [(node, key)])
     return out
 
 
@@ -284,8 +344,8 @@ class Skeleton:
 
 
 def skeleton(top: Node) -> Skeleton:
-    """Fold runs of siblings of one label into one node holding all their children and texts; where a
-    node keeps many children, fold all of one label. Nodes of different labels are never folded."""
+    """Fold runs of siblings of one label into one node holding all their children and texts. Nodes of
+    different labels, and nodes that do not follow each other, are never folded."""
     def kind(n):
         return n.label, n.dropped, n.named
     sk = Skeleton([], [], [], [], [])
@@ -307,99 +367,137 @@ def skeleton(top: Node) -> Skeleton:
                 runs[-1].append(c)
             else:
                 runs.append([c])
-        # matching takes time by the number of pairs of one label: long lists keep each label once
-        if len(runs) > MAX_SIBLINGS:
-            merged: dict[tuple, list[Node]] = {}
-            for r in runs:
-                merged.setdefault(kind(r[0]), []).extend(r)
-            runs = list(merged.values())
         if named or not nodes[0].dropped:  # what lies in boilerplate is no slot
             stack += [(r, me) for r in reversed(runs)]
     return sk
 
 
-def _heaviest_chain(pairs: list[tuple[int, int, int]], width: int) -> tuple[int, list[tuple[int, int]]]:
-    """Weight and places of the heaviest pairs ``(p, q, weight)`` with p and q both rising, q below width:
-    the match of two long child lists, in time by their pairs instead of the product of their lengths."""
-    best = [(0, -1)] * (width + 1)  # Fenwick tree of the heaviest chain that ends before a place, and its last pair
-    pairs = sorted(pairs, key=lambda x: (x[0], -x[1]))
-    before = []
-    for k, (_, q, weight) in enumerate(pairs):
-        top, i = (0, -1), q
-        while i > 0:
-            top = max(top, best[i])
-            i -= i & -i
-        before.append(top[1])
-        here, i = (top[0] + weight, k), q + 1
-        while i <= width:
-            best[i] = max(best[i], here)
-            i += i & -i
-    top, i = (0, -1), width
-    while i > 0:
-        top = max(top, best[i])
-        i -= i & -i
-    chain, k = [], top[1]
-    while k >= 0:
-        chain.append(pairs[k][:2])
-        k = before[k]
-    return top[0], chain
-
-
-def tree_match(a: Skeleton, b: Skeleton) -> list[tuple[int, int]]:
-    """Simple tree matching of two skeletons: pairs of matched nodes, order and ancestors kept."""
-    ca, cb = a.children(), b.children()
-    size: dict[tuple[int, int], int] = {}
-    tables: dict[tuple[int, int], list[list[int]]] = {}
-    chains: dict[tuple[int, int], list[tuple[int, int]]] = {}
+class Shapes:
+    """Subtrees of several skeletons by their shape: equal shapes have equal labels throughout."""
+
+    def __init__(self):
+        self.ids: dict[tuple, int] = {}
+        self.label: list[str] = []
+        self.kids: list[tuple[int, ...]] = []
+        self.size: list[int] = []
+        self.found: dict[tuple[int, int], int] = {}
+
+    def of(self, sk: Skeleton, children: list[list[int]]) -> list[int]:
+        out = [0] * len(sk.parent)
+        for i in range(len(sk.parent) - 1, -1, -1):  # children come after their parent
+            key = (sk.label[i], *(out[c] for c in children[i]))
+            if key not in self.ids:
+                self.ids[key] = len(self.label)
+                self.label.append(sk.label[i])
+                self.kids.append(key[1:])
+                self.size.append(1 + sum(self.size[c] for c in key[1:]))
+            out[i] = self.ids[key]
+        return out
 
-    def fill(i, j):
-        """Size of the best match of subtrees i and j, children first."""
-        todo = [(i, j, False)]
+    def match(self, x: int, y: int) -> int:
+        """Size of the largest ordered match of two shapes that pairs their tops (0 if their labels differ)."""
+        todo = [(x, y, False)]
         while todo:
             x, y, ready = todo.pop()
-            if (x, y) in size:
+            if (x, y) in self.found:
                 continue
-            if a.label[x] != b.label[y]:
-                size[x, y] = 0
-                continue
-            named: dict[str, list[int]] = {}
-            for q in cb[y]:
-                named.setdefault(b.label[q], []).append(q)
-            kids = [(p, q) for p in ca[x] for q in named.get(a.label[p], ())]
-            if not ready:
+            if x == y:
+                self.found[x, y] = self.size[x]
+            elif self.label[x] != self.label[y]:
+                self.found[x, y] = 0
+            elif ready:
+                self.found[x, y] = 1 + sum(self.size[c] for c in self._ends(x, y)[2]) + int(self._last_row(*self._ends(x, y)[:2])[-1])
+            else:
                 todo.append((x, y, True))
-                todo += [(p, q, False) for p, q in kids if (p, q) not in size]
+                a, b, _ = self._ends(x, y)
+                todo += [(p, q, False) for p in set(a) for q in set(b)]
+        return self.found[x, y]
+
+    def _ends(self, x: int, y: int) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]:
+        """Child lists without what both begin and end with; an ordered match never does better than to pair that."""
+        a, b = self.kids[x], self.kids[y]
+        i = 0
+        while i < min(len(a), len(b)) and a[i] == b[i]:
+            i += 1
+        j = 0
+        while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
+            j += 1
+        return a[i:len(a) - j], b[i:len(b) - j], (*a[:i], *a[len(a) - j:])
+
+    def _weights(self, p: int, b: np.ndarray, known: np.ndarray) -> np.ndarray:
+        return np.array([self.found[p, q] for q in known.tolist()], np.int64)[b]
+
+    def _rows(self, a, b):
+        """Rows of the matching table of two child lists, the first one all zero."""
+        known, of = np.unique(np.array(b, np.int64), return_inverse=True) if b else (np.zeros(0, np.int64),) * 2
+        cache: dict[int, np.ndarray] = {}
+        row = np.zeros(len(b) + 1, np.int64)
+        yield row
+        for p in a:
+            if p not in cache:
+                cache[p] = self._weights(p, of, known) if b else np.zeros(0, np.int64)
+            new = row.copy()
+            np.maximum(new[1:], row[:-1] + cache[p], out=new[1:])
+            row = np.maximum.accumulate(new)
+            yield row
+
+    def _last_row(self, a, b) -> np.ndarray:
+        row = None
+        for row in self._rows(a, b):
+            pass
+        return row
+
+    def pairs(self, a, b) -> list[tuple[int, int]]:
+        """Places of the children paired by a largest match, both rising."""
+        out, todo = [], [(0, len(a), 0, len(b))]
+        while todo:
+            i, j, k, m = todo.pop()
+            while i < j and k < m and a[i] == b[k]:
+                out.append((i, k))
+                i, k = i + 1, k + 1
+            while i < j and k < m and a[j - 1] == b[m - 1]:
+                j, m = j - 1, m - 1
+                out.append((j, m))
+            if i == j or k == m:
                 continue
-            if max(len(ca[x]), len(cb[y])) > MAX_SIBLINGS:
-                at_a, at_b = {p: k for k, p in enumerate(ca[x])}, {q: k for k, q in enumerate(cb[y])}
-                weight, chain = _heaviest_chain([(at_a[p], at_b[q], size[p, q]) for p, q in kids if size[p, q]], len(cb[y]))
-                chains[x, y] = [(ca[x][p], cb[y][q]) for p, q in chain]
-                size[x, y] = weight + 1
+            if (j - i + 1) * (m - k + 1) > TABLE_CELLS and j - i > 1:
+                half = (i + j) // 2  # the best split of b for the two halves of a
+                up = self._last_row(a[i:half], b[k:m])
+                down = self._last_row(a[half:j][::-1], b[k:m][::-1])[::-1]
+                cut = k + int(np.argmax(up + down))
+                todo += [(i, half, k, cut), (half, j, cut, m)]
                 continue
-            m = [[0] * (len(cb[y]) + 1) for _ in range(len(ca[x]) + 1)]
-            for p in range(1, len(ca[x]) + 1):
-                for q in range(1, len(cb[y]) + 1):
-                    pair = size.get((ca[x][p - 1], cb[y][q - 1]), 0)
-                    m[p][q] = max(m[p - 1][q], m[p][q - 1], m[p - 1][q - 1] + pair)
-            tables[x, y] = m
-            size[x, y] = m[-1][-1] + 1
-    fill(0, 0)
-    out, todo = [], [(0, 0)] if size[0, 0] else []
+            table = np.stack(list(self._rows(a[i:j], b[k:m])))
+            p, q = j - i, m - k
+            while p and q:
+                if table[p, q] == table[p - 1, q]:
+                    p -= 1
+                elif table[p, q] == table[p, q - 1]:
+                    q -= 1
+                else:
+                    p, q = p - 1, q - 1
+                    out.append((i + p, k + q))
+        return out
+
+
+def tree_match(a: Skeleton, b: Skeleton, shapes: Shapes | None = None) -> list[tuple[int, int]]:
+    """Simple tree matching of two skeletons: pairs of matched nodes, order and ancestors kept.
+
+    Subtrees are matched by shape, each pair of shapes once; equal ones match node by node. Child lists are
+    matched row by row over whole arrays, whatever their length.
+    """
+    shapes = Shapes() if shapes is None else shapes
+    ca, cb = a.children(), b.children()
+    sa, sb = shapes.of(a, ca), shapes.of(b, cb)
+    out, todo = [], [(0, 0)] if shapes.match(sa[0], sb[0]) else []
     while todo:
         x, y = todo.pop()
-        out.append((x, y))
-        if (x, y) in chains:
-            todo += chains[x, y]
+        if sa[x] == sb[y]:  # subtrees are runs of the preorder
+            out += [(x + n, y + n) for n in range(shapes.size[sa[x]])]
             continue
-        m, p, q = tables[x, y], len(ca[x]), len(cb[y])
-        while p and q:
-            if m[p][q] == m[p - 1][q]:
-                p -= 1
-            elif m[p][q] == m[p][q - 1]:
-                q -= 1
-            else:
-                p, q = p - 1, q - 1
-                todo.append((ca[x][p], cb[y][q]))
+        out.append((x, y))
+        la, lb = [sa[c] for c in ca[x]], [sb[c] for c in cb[y]]
+        todo += [(ca[x][p], cb[y][q]) for p, q in shapes.pairs(la, lb) if shapes.match(la[p], lb[q])]
     return out
 
 
@@ -426,12 +524,15 @@ def _votes(skeletons: DataFrame, refs: DataFrame) -> DataFrame:
     """Per host and reference node: range of its text digests over aligned pages, their number, and
     whether some page has nodes there that the reference lacks."""
     def task(batches):
+        shapes = Shapes()
         for batch in batches:
             rows = batch.to_pylist()
             got: dict[tuple[str, int], list] = {}
             for r in rows:
                 page, ref = _skeleton_of(r), _skeleton_of(r["ref"])
-                pairs = tree_match(ref, page)
+                if len(shapes.found) > REMEMBER:
+                    shapes = Shapes()
+                pairs = tree_match(ref, page, shapes)
                 to_ref = {y: x for x, y in pairs}
                 for x, y in pairs:
                     v = got.setdefault((r["host"], x), [page.digest[y], page.digest[y], 0, False, False])
@@ -449,34 +550,42 @@ def _votes(skeletons: DataFrame, refs: DataFrame) -> DataFrame:
                                              F.max("in_named").alias("in_named"))
 
 
-def wrapper(ref: Skeleton, votes: dict[int, tuple[int, int, int, bool]]) -> tuple[str | None, list[str]]:
-    """Content root path and constant paths of one host; paths are labels from the top, tab-joined."""
-    def path(i):
-        out = []
-        while ref.parent[i] >= 0:
-            out.append(ref.label[i])
-            i = ref.parent[i]
-        return out[::-1]
-    free = [not ref.dropped[i] for i in range(len(ref.parent))]
-    slots = [i for i, (lo, hi, n, extra) in votes.items() if free[i] and (lo != hi or extra)]
+def wrapper(ref: Skeleton, votes: dict[int, tuple[int, int, int, bool]]) -> tuple[int | None, list[int]]:
+    """Keys of the content root path and of the constant paths of one host."""
+    n = len(ref.parent)
+    free = [not d for d in ref.dropped]
+    slots = [i for i, (lo, hi, _, extra) in votes.items() if free[i] and (lo != hi or extra)]
     if not slots:
         return None, []
-    paths = [path(i) for i in slots]
-    shared = []
-    for level in zip(*paths):
-        if len(set(level)) > 1:
-            break
-        shared.append(level[0])
+    key, held = [TOP_KEY] * n, [0] * n
+    for i in range(1, n):
+        key[i] = step(key[ref.parent[i]], ref.label[i])
+    for i in slots:
+        held[i] += 1
+    for i in range(n - 1, 0, -1):
+        held[ref.parent[i]] += held[i]
+    # the longest path that all slots lie under, over all nodes of a path
+    under: dict[int, int] = {}
+    below: dict[int, dict[int, str]] = {}
+    for i in range(1, n):
+        under[key[i]] = under.get(key[i], 0) + held[i]
+        below.setdefault(key[ref.parent[i]], {})[key[i]] = ref.label[i]
+    shared, at = [], TOP_KEY
+    while down := next(((k, label) for k, label in below.get(at, {}).items() if under[k] == len(slots)), None):
+        at = down[0]
+        shared.append(down[1])
     tags = [label.split(" ")[0] for label in shared]
     named = [i for i, tag in enumerate(tags) if tag in ROOTS]
     if named:  # never deeper than an article: parts of it that do not vary belong to it too
         del shared[named[0] + 1:]
     while shared and shared[-1].split(" ")[0] not in CONTAINERS:
         shared.pop()
-    constant = ["\t".join(path(i)) for i, (lo, hi, n, extra) in votes.items()
-                if free[i] and lo == hi and lo and n > 2 and not extra]
-    varying = {"\t".join(p) for p in paths}
-    return "\t".join(shared), sorted(set(constant) - varying)
+    root = TOP_KEY
+    for label in shared:
+        root = step(root, label)
+    constant = {key[i] for i, (lo, hi, count, extra) in votes.items()
+                if free[i] and lo == hi and lo and count > 2 and not extra}
+    return root, sorted(constant - {key[i] for i in slots})
 
 
 def _wrappers(votes: DataFrame, refs: DataFrame) -> DataFrame:
@@ -494,18 +603,17 @@ def _wrappers(votes: DataFrame, refs: DataFrame) -> DataFrame:
                                             for v in r["votes"])
                 out.append((r["host"], root, constant, lift))
             cols = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-                                              pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], pa.bool_())],
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()),
+                                              pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.bool_())],
                                              ["host", "root", "constant", "lift"])
-    return per.join(refs, "host").mapInArrow(task, "host string, root string, constant array<string>, lift boolean")
+    return per.join(refs, "host").mapInArrow(task, "host string, root bigint, constant array<bigint>, lift boolean")
 
 
-def extract(source: str, root: str | None, constant: frozenset[str], lift: bool = False) -> str:
+def extract(source: str, root: int | None, constant: frozenset[int], lift: bool = False) -> str:
     """Main text of one page under its host's wrapper."""
     out: list[str] = []
-    for node, path in roots(parse(source, lift), root):
-        named = node.tag in ROOTS
-        out += blocks(node, (lambda p: False) if named else (lambda p: "\t".join(p) in constant), path)
+    for node, key in roots(parse(source, lift), root):
+        out += blocks(node, frozenset() if node.tag in ROOTS else constant, key)
     return "\n".join(out)
 
 
