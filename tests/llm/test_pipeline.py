@@ -16,7 +16,7 @@ def test_stages_equal_brute_force(spark, sf, docs):
     kept = {}
     for d, r in rows.items():
         base = test_quality.base(r.text)
-        covered, longest = (0, 0) if base[5] or base[0] > 900 else test_quality.repeats(r.text, quality.MIN_REPEAT)
+        covered, longest = (0, 0) if base[5] else test_quality.repeats(r.text, quality.MIN_REPEAT)
         if not base[5] and 100 * covered <= quality.MAX_COVERED_PERCENT * base[0] \
                 and 100 * longest <= quality.MAX_LONGEST_PERCENT * base[0]:
             kept[d] = r
@@ -24,7 +24,7 @@ def test_stages_equal_brute_force(spark, sf, docs):
 
     out = P.near_dedup(spark, spark.createDataFrame(list(kept.values()), docs.schema), sf)
     assert out.columns == docs.columns
-    kept = {d: kept[d] for d, _, _, k in test_minhash.brute([(d, r.text) for d, r in kept.items()]) if k}
+    kept = {d: kept[d] for d, _, _, k in test_minhash.brute([(d, r.text) for d, r in kept.items()], 80) if k}
     assert {r.doc_id: r for r in out.collect()} == kept
 
     out = P.decontamination(spark, spark.createDataFrame(list(kept.values()), docs.schema), sf)

@@ -28,8 +28,35 @@ def base(text):
     return (n, sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(hit), n < 50 or 100 * len(hit) > 50 * n)
 
 
+def windows_again(w, k):
+    """First words of the k-word windows that occur more than once."""
+    at = {}
+    for i in range(len(w) - k + 1):
+        at.setdefault(tuple(w[i:i + k]), []).append(i)
+    return sorted(i for p in at.values() if len(p) > 1 for i in p)
+
+
 def repeats(text, k):
-    """Words covered by repeats of k words or more, and the longest repeat."""
+    """Words covered by repeats of k words or more, and the longest repeat: a repeat of n words is a repeat of
+    every window in it, so longer and longer windows are tried while one occurs again."""
+    w = WORD.findall(text or "")
+    again = windows_again(w, k)
+    covered = {i + j for i in again for j in range(k)}
+    if not again:
+        return 0, 0
+    run = best = 1  # windows in a row bound the longest repeat
+    for a, b in zip(again, again[1:]):
+        run = run + 1 if b == a + 1 else 1
+        best = max(best, run)
+    lo, hi = k, k + best - 1
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if windows_again(w, mid) else (lo, mid - 1)
+    return len(covered), lo
+
+
+def all_pairs(text, k):
+    """The same by comparing every pair of places."""
     w = WORD.findall(text or "")
     covered, longest = set(), 0
     for i in range(len(w)):
@@ -62,7 +89,8 @@ def test_repeats_equal_brute_force():
     buf, offs = ragged.utf8(pa.array(texts, pa.large_string()))
     for k in (2, 5):
         m = quality.measure(buf, offs, k)
-        assert list(zip(m["n_covered_words"].tolist(), m["longest_repeat"].tolist())) == [repeats(t, k) for t in texts]
+        assert list(zip(m["n_covered_words"].tolist(), m["longest_repeat"].tolist())) == [all_pairs(t, k) for t in texts] \
+            == [repeats(t, k) for t in texts]
 
 
 def test_repetitive_texts_cost_no_more():

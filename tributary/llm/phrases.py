@@ -8,8 +8,8 @@ phrase's frequency, the entry of the shorter stripe is its prefix total, and the
 largest entries on either side of a phrase decide subsumption.
 
 1. What can be frequent is found first, by 64-bit hashes only: words, then
-   pairs of such words, then triples of such pairs. A phrase of ``least``
-   occurrences consists of such words, pairs and triples, so none is lost.
+   pairs of such words, then triples of such pairs, and so on. A phrase of
+   ``least`` occurrences consists of such shorter ones, so none is lost.
    Tasks know them by bitmaps of fixed size (``BITS``): what is collected and
    broadcast is bounded, and a false hit only counts a phrase in vain.
 2. Stripes with their words, for what is left. Only these counts decide, so
@@ -52,8 +52,8 @@ UNKNOWN = "und"
 BITS = 1 << 26
 # Bytes of text whose stripes a task fills before it hands them on.
 BLOCK_BYTES = 2 << 20
-# Hashes a task sums before it hands them on.
-MERGE_ENTRIES = 4 << 20
+# Entries a task sums before it hands them on.
+MERGE_ENTRIES = 1 << 20
 # Parts of a language whose first phrases are found apart, at most.
 PARTS = 256
 
@@ -187,43 +187,74 @@ def _frequent(docs: DataFrame, k: int, bitmaps: list, least: int, bits: int):
     return docs.sparkSession.sparkContext.broadcast(out)
 
 
-def _stripes_of(block: Block, langs: pa.Array, h: np.ndarray, at: np.ndarray, k: int) -> pa.RecordBatch:
-    """Stripes of the block's phrases of k words with hashes ``h`` and first words ``at``."""
-    _, first, count = np.unique(h, return_index=True, return_counts=True)
-    at = at[first]
-    if k == 1:  # one stripe a language
-        key = block.salt[block.doc[at]]
-    else:
-        prefix, starts = block.windows(k - 1)
-        where = np.full(block.n, -1, np.int64)
-        where[starts] = np.arange(len(starts))
-        key = prefix[where[at]]
-    order = np.argsort(key, kind="stable")
-    key, at, count = key[order], at[order], count[order]
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    offsets = pa.array(np.append(heads, len(key)), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [langs.take(pa.array(block.doc[at[heads]])), block.phrases(at[heads], k - 1),
-         *(pa.ListArray.from_arrays(offsets, x) for x in (block.phrases(at + k - 1, 1), pa.array(count)))],
-        ["lang", "prefix", "nexts", "counts"])
+class Stripes:
+    """Stripes a task fills: entries by phrase hash, with their words."""
+
+    def __init__(self):
+        self.parts, self.size = [], 0
+
+    def add(self, block: Block, langs: pa.Array, h: np.ndarray, at: np.ndarray, k: int) -> None:
+        """The block's phrases of k words with hashes ``h`` and first words ``at``."""
+        h, first, n = np.unique(h, return_index=True, return_counts=True)
+        at = at[first]
+        if k == 1:  # one stripe a language
+            key = block.salt[block.doc[at]]
+        else:
+            prefix, starts = block.windows(k - 1)
+            where = np.full(block.n, -1, np.int64)
+            where[starts] = np.arange(len(starts))
+            key = prefix[where[at]]
+        self._put(h, key, n, langs.take(pa.array(block.doc[at])), block.phrases(at, k - 1), block.phrases(at + k - 1, 1))
+
+    def add_totals(self, block: Block, langs: pa.Array) -> None:
+        """All words of each language, under a null prefix."""
+        salts, first, of = np.unique(block.salt, return_index=True, return_inverse=True)
+        n = np.bincount(of[block.doc], minlength=len(salts))
+        h = ragged.mix64(salts + np.uint64(1))
+        self._put(h, h, n, langs.take(pa.array(first)), pa.nulls(len(salts), pa.string()), pa.array([""] * len(salts)))
+
+    def _put(self, h, key, n, *words) -> None:
+        if len(h):
+            self.parts.append((h, key, n, *words))
+            self.size += len(h)
+
+    def merge(self) -> None:
+        """Sum what has been added elementwise."""
+        h, key, n = (np.concatenate(x) for x in list(zip(*self.parts))[:3])
+        words = [pa.concat_arrays(x) for x in list(zip(*self.parts))[3:]]
+        h, first, of = np.unique(h, return_index=True, return_inverse=True)
+        n = np.bincount(of, n).astype(np.int64)  # exact: a task has fewer than 2^53 words
+        self.parts = [(h, key[first], n, *(w.take(pa.array(first)) for w in words))]
+        self.size = len(h)
+
+    def take(self) -> pa.RecordBatch:
+        """One row per stripe; empties the task's stripes."""
+        self.merge()
+        (_, key, n, lang, prefix, word), self.parts, self.size = self.parts[0], [], 0
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        offsets, at = pa.array(np.append(heads, len(key)), pa.int32()), pa.array(order[heads])
+        return pa.RecordBatch.from_arrays(
+            [lang.take(at), prefix.take(at), pa.ListArray.from_arrays(offsets, word.take(pa.array(order))),
+             pa.ListArray.from_arrays(offsets, pa.array(n[order]))], ["lang", "prefix", "nexts", "counts"])
 
 
 def _stripes(docs: DataFrame, longest: int, bitmaps: list) -> DataFrame:
-    """Stripes of all phrases that can be frequent, merged per block; a null prefix counts all words."""
+    """Stripes of all phrases that can be frequent, merged per task; a null prefix counts all words."""
     def task(batches):
+        own = Stripes()
         for block, langs in _blocks(batches):
             levels = _known(block, bitmaps)
             for k in range(1, longest + 1):
-                batch = _stripes_of(block, langs, *_possible(block, levels, k), k)
-                if batch.num_rows:
-                    yield batch
-            words = np.bincount(block.doc, minlength=len(langs))
-            salts, first, of = np.unique(block.salt, return_index=True, return_inverse=True)
-            n = len(salts)
-            yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(first)), pa.nulls(n, pa.string()), pa.array([[""]] * n, pa.list_(pa.string())),
-                 pa.array([[int(x)] for x in np.bincount(of, words).tolist()], pa.list_(pa.int64()))],
-                ["lang", "prefix", "nexts", "counts"])
+                own.add(block, langs, *_possible(block, levels, k), k)
+            own.add_totals(block, langs)
+            if own.size > MERGE_ENTRIES:
+                own.merge()
+                if own.size > MERGE_ENTRIES // 2:
+                    yield own.take()
+        if own.parts:
+            yield own.take()
     return docs.mapInArrow(task, _STRIPES)
 
 
@@ -244,7 +275,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     docs = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
     bitmaps = []
-    for k in range(1, min(3, longest) + 1):
+    for k in range(1, max(longest, 2)):
         bitmaps.append(_frequent(docs, k, bitmaps, least, bits))
     # stripes of one prefix summed elementwise
     entries = (_stripes(docs, longest, bitmaps)
