@@ -24,10 +24,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_filter(docs)
 
 
+# Similarity, in percent, from which the stage holds documents for near-duplicates.
+NEAR_PERCENT = 80
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of smallest id, of each group of near-duplicates (operator 1)."""
     name = fresh_name("kept_id", docs)
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias(name)).distinct()
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
