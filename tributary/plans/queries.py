@@ -887,3 +887,37 @@ def state_levels(spark, sf_dir):
     columns = ["index_name", "doc_id", F.col("seq").alias("latest_event_id"),
                F.get_json_object("doc", "$.event_type").alias("latest_event_type"), "operation", "n_versions"]
     return latest.select(F.lit("read").alias("via"), *columns).union(found.select(F.lit("lookup").alias("via"), *columns))
+
+
+# Limits and shards of the ``bulk_requests`` query.
+BULK_BYTES, BULK_ACTIONS, BULK_SHARDS = 6000, 40, 8
+
+
+@register("bulk_requests", f"""
+WITH RECURSIVE docs AS (
+  SELECT CAST(user_id % {BULK_SHARDS} AS INTEGER) AS shard, event_id,
+         length('{{"index":{{"_index":"events","_id":"' || event_id || '"}}}}') + 1
+         + length('{{"event_id":' || event_id || ',"event_type":"' || event_type || '"}}') + 1 AS size FROM events),
+lined AS (
+  SELECT *, row_number() OVER w AS rn, sum(size) OVER w AS upto FROM docs WINDOW w AS (PARTITION BY shard ORDER BY event_id)),
+reach AS (  -- the last document of a request that starts at each one
+  SELECT d.shard, d.rn, least(greatest(max(e.rn), d.rn), d.rn + {BULK_ACTIONS - 1}) AS last
+  FROM lined d JOIN lined e ON e.shard = d.shard AND e.rn BETWEEN d.rn AND d.rn + {BULK_ACTIONS - 1}
+   AND (e.upto <= d.upto - d.size + {BULK_BYTES} OR e.rn = d.rn) GROUP BY d.shard, d.rn),
+requests AS (
+  SELECT shard, 0 AS request, rn AS first, last FROM reach WHERE rn = 1
+  UNION ALL
+  SELECT r.shard, q.request + 1, r.rn, r.last FROM requests q JOIN reach r ON r.shard = q.shard AND r.rn = q.last + 1)
+SELECT q.shard, CAST(request AS BIGINT) AS request, count(*) AS n_actions, CAST(sum(size) AS BIGINT) AS n_bytes,
+       min(event_id) AS first_id, max(event_id) AS last_id
+FROM requests q JOIN lined l ON l.shard = q.shard AND l.rn BETWEEN q.first AND q.last GROUP BY q.shard, request""")
+def bulk_requests(spark, sf_dir):
+    """Documents packed into bulk requests by bytes and actions, shard by shard (O2)."""
+    from tributary.operators import bulk
+    e = fx.read_table(spark, sf_dir, "events")
+    docs = e.select(F.lit("events").alias("index_name"), F.col("event_id").cast("string").alias("doc_id"),
+                    F.to_json(F.struct("event_id", "event_type")).alias("doc"), F.lit(False).alias("is_delete"),
+                    F.col("event_id").alias("seq"), F.pmod("user_id", F.lit(BULK_SHARDS)).cast("int").alias("_user_shard"))
+    requests = bulk.bulk_requests(docs, BULK_BYTES, BULK_ACTIONS, shard=F.col("_user_shard"), order=["seq"])
+    ids = F.transform(F.regexp_extract_all("body", F.lit('"_id":"([0-9]+)"')), lambda x: x.cast("bigint"))
+    return requests.select("shard", "request", "n_actions", "n_bytes", F.array_min(ids).alias("first_id"), F.array_max(ids).alias("last_id"))

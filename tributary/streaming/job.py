@@ -21,15 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary.functions import documents
+from tributary.operators import bulk, routing, state
 from tributary.operators import envelope as env
-from tributary.operators import routing, state
 from tributary.session import prepare
 from tributary.sources.files import epoch_millis, in_line_order, now_text, open_source
 from tributary.streaming import sinks
 
 SOURCE_KEYS = ("input_path", "input_kafka_topic", "input_kinesis_stream")
 OUTPUT_KEYS = ("output_documents", "output_document_log", "output_json", "output_parquet",
-               "output_restream", "output_discarding", "output_console", "output_sinks")
+               "output_restream", "output_discarding", "output_console", "output_sinks", "output_bulk")
 
 # Fixed value: quarantine reason of rows behind the watermark.
 LATE = "late"
@@ -193,7 +193,7 @@ def batch_rows(records: DataFrame, options: Mapping[str, Any], watermark: int |
     batch = parse_stage(records, options)
     routed = _route(batch, options)
     is_data = F.col("parse_error").isNull() & F.coalesce(F.col("record_type") == routing.DATA_RECORD_TYPE, F.lit(False))
-    needs_document = options.get("output_documents") or options.get("output_document_log")
+    needs_document = options.get("output_documents") or options.get("output_document_log") or options.get("output_bulk")
     # a missing key only matters where there are documents to name
     reason = F.coalesce("parse_error", F.when(is_data, F.col("route_error")) if needs_document else F.lit(None).cast("string"))
     if watermark is not None:
@@ -330,7 +330,14 @@ def fan_out(records: DataFrame, batch_id: int, options: Mapping[str, Any], sourc
         else:
             sinks.write_text(recs, target("output_restream"), mode="overwrite")
 
-    own = {"output_quarantine": quarantine, "output_metrics": metrics, "output_document_log": document_log,
+    def bulk_bodies():
+        requests = bulk.bulk_requests(sinks.document_rows(kept), int(options.get("bulk_max_bytes", bulk.MAX_BYTES)),
+                                      int(options.get("bulk_max_actions", bulk.MAX_ACTIONS)),
+                                      shards=int(options.get("bulk_shards", bulk.DEFAULT_SHARDS)),
+                                      order=("event_time", *[c for c in ("arrival_time", "source", "seq") if c in kept.columns]))
+        requests.write.mode("overwrite").parquet(target("output_bulk"))
+
+    own = {"output_quarantine": quarantine, "output_bulk": bulk_bodies, "output_metrics": metrics, "output_document_log": document_log,
            "output_documents": documents_state, "output_json": json_lines, "output_parquet": parquet,
            "output_restream": restream,
            "output_discarding": lambda: rows.write.format("noop").mode("overwrite").save(),
