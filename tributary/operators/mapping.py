@@ -7,9 +7,10 @@ are combined, widening ``long -> float -> text`` and ``date -> text``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from fnmatch import fnmatchcase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.inference import KEYWORD_IGNORE_ABOVE, es_type
@@ -47,25 +48,111 @@ def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
     values are all at most 256 characters long. One pass over the input, one
     aggregation with map-side partial aggregation.
     """
+    return types_of(field_flags(routed, include_envelope))
+
+
+# What has been seen of a field. Two such rows merge into one (or, or, ..., max, sum), in any order.
+FLAGS = ("d", "l", "f", "x", "m", "g")
+
+
+def field_flags(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
+    """``(index_name, field, d, l, f, x, m, g, max_len, n)``: whether a date, long, float, text, metadata or location
+    value has been seen, the longest text and the number of documents with the field."""
     t = F.col("t")
-    agg = (_cells(routed, include_envelope)
-           .groupBy("index_name", "field")
-           .agg(F.bool_or(t == "date").alias("d"), F.bool_or(t == "long").alias("l"),
-                F.bool_or(t == "float").alias("f"), F.bool_or(t == "text").alias("x"),
-                F.bool_or(t == "meta").alias("m"), F.bool_or(t == "geo").alias("g"),
-                F.max("len").alias("max_len"), F.count("*").alias("n")))
-    typ = (F.when(F.col("g"), F.lit("geo_point"))
-           .when(F.col("m"), F.lit("text"))
-           .when(F.col("x"), F.lit("text"))
-           .when(F.col("d") & (F.col("l") | F.col("f")), F.lit("text"))
-           .when(F.col("d"), F.lit("date"))
-           .when(F.col("f"), F.lit("float"))
-           .when(F.col("l"), F.lit("long"))
-           .otherwise(F.lit("text")))
+    kinds = zip(FLAGS, ("date", "long", "float", "text", "meta", "geo"))
+    return (_cells(routed, include_envelope).groupBy("index_name", "field")
+            .agg(*[F.bool_or(t == k).alias(c) for c, k in kinds], F.max("len").alias("max_len"), F.count("*").alias("n")))
+
+
+def _type_of(unknown: str) -> Column:
+    return (F.when(F.col("g"), F.lit("geo_point"))
+            .when(F.col("m"), F.lit("text"))
+            .when(F.col("x"), F.lit("text"))
+            .when(F.col("d") & (F.col("l") | F.col("f")), F.lit("text"))
+            .when(F.col("d"), F.lit("date"))
+            .when(F.col("f"), F.lit("float"))
+            .when(F.col("l"), F.lit("long"))
+            .otherwise(F.lit(unknown)))
+
+
+def types_of(flags: DataFrame) -> DataFrame:
+    """The mapping that what has been seen asks for."""
+    typ = _type_of("text")
     ignore = (F.when(F.col("m"), F.lit(KEYWORD_IGNORE_ABOVE))
               .when((typ == "text") & (F.col("max_len") <= KEYWORD_IGNORE_ABOVE), F.lit(KEYWORD_IGNORE_ABOVE)))
-    return agg.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"),
-                      "n")
+    return flags.select("index_name", "field", typ.alias("es_type"), ignore.cast("int").alias("ignore_above"), "n")
+
+
+class MappingStore:
+    """A mapping that grows with the batches of a stream.
+
+    Each batch leaves what it has seen per field, a few rows under
+    ``<path>/batch_id=<id>``; a replayed batch replaces its own. The mapping is the
+    merge of all of them: types only widen, and any order of batches gives the
+    mapping of the whole table. :meth:`versions` says in which batch a field
+    first had a type and when it changed, i.e. where an index would have to be
+    rebuilt. Rows grow with fields and batches, not with documents;
+    :meth:`fold` merges old batches into the oldest.
+    """
+
+    SCHEMA = ("index_name string, field string, " + ", ".join(f"{c} boolean" for c in FLAGS)
+              + ", max_len int, n bigint, since bigint, batch_id bigint")
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def append(self, routed: DataFrame, batch_id: int, include_envelope: bool = True) -> None:
+        flags = field_flags(routed, include_envelope).withColumn("since", F.lit(batch_id).cast("bigint"))
+        flags.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")  # a row per field
+
+    def flags(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path)
+
+    def mapping(self) -> DataFrame:
+        """``(index_name, field, es_type, ignore_above, n)`` after all batches."""
+        return types_of(self.flags().groupBy("index_name", "field").agg(
+            *[F.bool_or(c).alias(c) for c in FLAGS], F.max("max_len").alias("max_len"), F.sum("n").alias("n")))
+
+    def versions(self) -> DataFrame:
+        """``(index_name, field, batch_id, previous_type, es_type)``: the batches in which a field got a type or a wider
+        one. Fields that have had nulls only have none yet."""
+        upto = Window.partitionBy("index_name", "field").orderBy("since").rowsBetween(Window.unboundedPreceding, 0)
+        seen = self.flags().select("index_name", "field", "since", *[F.bool_or(c).over(upto).alias(c) for c in FLAGS])
+        typed = seen.select("index_name", "field", F.col("since").alias("batch_id"), _type_of("unknown").alias("es_type")) \
+                    .where("es_type <> 'unknown'")
+        before = F.lag("es_type").over(Window.partitionBy("index_name", "field").orderBy("batch_id"))
+        return (typed.withColumn("previous_type", before).where("previous_type is null or previous_type <> es_type")
+                     .select("index_name", "field", "batch_id", "previous_type", "es_type"))
+
+    def drift(self) -> DataFrame:
+        """The versions that changed a type."""
+        return self.versions().where("previous_type is not null")
+
+    def fold(self, before: int) -> None:
+        """Merge the batches below ``before`` into one whose rows keep the batches in which something new was seen."""
+        upto = Window.partitionBy("index_name", "field").orderBy("since").rowsBetween(Window.unboundedPreceding, 0)
+        last = Window.partitionBy("index_name", "field").orderBy("since")
+        old = self.flags().where(F.col("batch_id") < before)
+        ids = [r.batch_id for r in old.select("batch_id").distinct().collect()]  # folders, not rows
+        if len(ids) < 2:
+            return
+        seen = old.select("index_name", "field", "since", "max_len", "n", *[F.bool_or(c).over(upto).alias(c) for c in FLAGS])
+        now = F.struct(*FLAGS)
+        marked = seen.withColumn("new", ~now.eqNullSafe(F.lag(now).over(last)))
+        kept = (marked.withColumn("step", F.sum(F.col("new").cast("int")).over(upto))
+                      .groupBy("index_name", "field", "step", *FLAGS)
+                      .agg(F.max("max_len").alias("max_len"), F.sum("n").alias("n"), F.min("since").alias("since")).drop("step"))
+        rows = kept.collect()  # a row per field and type it has had
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        # the merged rows replace the newest of the old batches in one overwrite; until the others are gone their
+        # flags are there twice, which changes no type, only counts
+        schema = ", ".join(f for f in self.SCHEMA.split(", ") if not f.startswith("batch_id"))
+        names = [f.split()[0] for f in schema.split(", ")]
+        (self.spark.createDataFrame([tuple(r[c] for c in names) for r in rows], schema).coalesce(1)
+             .write.mode("overwrite").parquet(f"{self.path}/batch_id={max(ids)}"))
+        for i in sorted(ids)[:-1]:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id={i}")
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def _spec_json(es_type_col, ignore_above_col):
@@ -159,6 +246,93 @@ def apply_template(types: DataFrame, templates: list[Mapping]) -> DataFrame:
     return types.select("index_name", "field", typ.alias("es_type"), ign.alias("ignore_above"))
 
 
+def merged_templates(templates: Iterable[Mapping], index_name: str) -> dict:
+    """The template an index gets from several, as plain data.
+
+    Templates whose patterns match are merged deeply, in rising order of their
+    ``order`` (``priority``), then of the length of the longest matching pattern
+    (a more special one wins), then as given; a later value replaces an earlier one
+    but for objects, which are merged key by key. ``dynamic_templates`` are lists:
+    those of a later template come first.
+    """
+    found = []
+    for place, t in enumerate(templates):
+        sizes = [len(p) for p in t.get("index_patterns", []) if fnmatchcase(index_name, _glob(p))]
+        if sizes:
+            found.append((t.get("order", t.get("priority", 0)), max(sizes), place, t.get("template", t)))
+
+    def merge(low, high):
+        if isinstance(low, Mapping) and isinstance(high, Mapping):
+            return {k: merge(low[k], high[k]) if k in low and k in high else high.get(k, low.get(k)) for k in {**low, **high}}
+        return high
+    out: dict = {}
+    for _, _, _, body in sorted(found, key=lambda x: x[:3]):
+        rules = body.get("mappings", {}).get("dynamic_templates", []) + out.get("mappings", {}).get("dynamic_templates", [])
+        out = merge(out, body)
+        if rules:
+            out = merge(out, {"mappings": {"dynamic_templates": rules}})
+    return out
+
+
+def _glob(pattern: str) -> str:
+    """An index pattern, in which only ``*`` is a wildcard, for the standard matcher."""
+    return "".join(f"[{c}]" if c in "?[" else c for c in pattern)
+
+
+def _flat(properties: Mapping, prefix: str = "") -> dict[str, Mapping]:
+    """Leaf fields of nested ``properties`` by their dotted names."""
+    out: dict[str, Mapping] = {}
+    for name, spec in properties.items():
+        if "properties" in spec and "type" not in spec:
+            out |= _flat(spec["properties"], f"{prefix}{name}.")
+        else:
+            out[prefix + name] = spec
+    return out
+
+
+# The value type a dynamic rule names, by inferred type.
+DYNAMIC_TYPES = {"string": "text", "long": "long", "double": "float", "date": "date"}
+
+
+def apply_ordered_templates(types: DataFrame, templates: Iterable[Mapping]) -> DataFrame:
+    """Inferred types under templates merged by precedence (see :func:`merged_templates`).
+
+    A field the merged template names has its type; another one has that of the first dynamic rule whose
+    ``match`` pattern (on the field), ``unmatch`` and ``match_mapping_type`` (on the inferred type) fit, else its
+    inferred type. Templates are configuration: which of them meet in an index depends on the set of those
+    whose patterns match, so there is one merged template per such set, and the rows pick theirs in one
+    expression.
+    """
+    templates = list(templates)
+    sets = {r.index_name: merged_templates(templates, r.index_name)
+            for r in types.select("index_name").distinct().collect()}  # a row per table
+    typ, ign = F.col("es_type"), F.col("ignore_above")
+    for index, body in sets.items():
+        here = F.col("index_name") == F.lit(index)
+        mappings = body.get("mappings", {})
+        for rule in reversed([r for t in mappings.get("dynamic_templates", []) for r in t.values()]):
+            hit = here
+            if "match_mapping_type" in rule and rule["match_mapping_type"] != "*":
+                hit = hit & (F.col("es_type") == F.lit(DYNAMIC_TYPES.get(rule["match_mapping_type"], rule["match_mapping_type"])))
+            for key, wanted in (("match", True), ("unmatch", False)):
+                if key in rule:
+                    like = F.col("field").like(_like(rule[key]))
+                    hit = hit & (like if wanted else ~like)
+            typ, ign = _override(typ, ign, hit, rule.get("mapping", {}))
+        for field, spec in _flat(mappings.get("properties", {})).items():
+            typ, ign = _override(typ, ign, here & (F.col("field") == F.lit(field)), spec)
+    return types.select("index_name", "field", typ.alias("es_type"), ign.cast("int").alias("ignore_above"))
+
+
+def _override(typ: Column, ign: Column, hit: Column, spec: Mapping) -> tuple[Column, Column]:
+    keyword = spec.get("fields", {}).get("keyword", {}).get("ignore_above", spec.get("ignore_above"))
+    return (F.when(hit, F.lit(spec.get("type", "object"))).otherwise(typ), F.when(hit, F.lit(keyword).cast("int")).otherwise(ign))
+
+
+def _like(pattern: str) -> str:
+    return pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_").replace("*", "%")
+
+
 def mapping_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Full outer join of two mappings on ``(index_name, field)``."""
     lft = left.select("index_name", "field", F.col("es_type").alias("left_type"))

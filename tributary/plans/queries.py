@@ -466,6 +466,59 @@ def mapping_diff(spark, sf_dir):
     return diff.select(F.inline(both))
 
 
+# Batches of the ``mapping_versions`` query; plain dates among the instants come in batch 3 first.
+_MAPPING_BATCH = "CASE WHEN event_id % 1000 = 999 THEN 3 ELSE event_id % 7 END"
+_EVENT_FIELDS = [("event_id", "long"), ("user_id", "long"), ("event_type", "text"), ("value", "float"), ("props", "text"),
+                 ("parent_id", "long"), ("client_ts", "date"), ("location", "geo_point"),
+                 *[(f"metadata.{k}", "text") for k in ("timestamp", "record-type", "operation", "partition-key-type", "schema-name", "table-name")]]
+
+
+@register("mapping_versions", "SELECT 'dms_flink_events' AS index_name, field, min(batch) AS batch_id, CAST(NULL AS VARCHAR) AS previous_type, es_type "
+          f"FROM (SELECT {_MAPPING_BATCH} AS batch FROM events), (VALUES " + ", ".join(f"('{f}', '{t}')" for f, t in _EVENT_FIELDS)
+          + f""") f(field, es_type) GROUP BY ALL
+UNION ALL SELECT 'dms_flink_events', 'client_ts', min({_MAPPING_BATCH}), 'date', 'text' FROM events WHERE event_id % 1000 = 999
+HAVING count(*) > 0""")
+def mapping_versions(spark, sf_dir):
+    """A mapping that grows batch by batch, the batches in no order and one of them replayed: when each field got
+    its type, and the one that widened (T3)."""
+    docs = routed(spark, fx.events_envelopes(spark, sf_dir)).select("index_name", "data", "metadata", "seq")
+    store = mapping.MappingStore(spark, scratch_path(spark, "mapping"))
+    batch = F.when(F.pmod("seq", F.lit(1000)) == 999, F.lit(3)).otherwise(F.pmod("seq", F.lit(7)))
+    for n in (2, 0, 1, 6, 3, 5, 4, 3):
+        store.append(docs.where(batch == n), n)
+    return store.versions()
+
+
+# Overlapping templates of the ``ordered_templates`` query.
+ORDERED_TEMPLATES = [
+    {"index_patterns": ["dms_flink_*"], "order": 0, "template": {"mappings": {
+        "dynamic_templates": [{"numbers": {"match_mapping_type": "double", "mapping": {"type": "double"}}},
+                              {"codes": {"match": "*_id", "match_mapping_type": "long", "mapping": {"type": "keyword"}}}],
+        "properties": {"location": {"properties": {"lat": {"type": "float"}, "lon": {"type": "float"}}},
+                       "props": {"type": "text", "fields": {"keyword": {"type": "keyword", "ignore_above": 64}}},
+                       "event_type": {"type": "keyword"}}}}},
+    {"index_patterns": ["dms_flink_e*", "other"], "order": 5, "template": {"mappings": {
+        "dynamic_templates": [{"users": {"match": "user*", "unmatch": "*name", "mapping": {"type": "integer"}}}],
+        "properties": {"props": {"fields": {"keyword": {"ignore_above": 32}}}, "client_ts": {"type": "date"}}}}},
+    {"index_patterns": ["dms_flink_events"], "order": 5, "template": {"mappings": {"properties": {
+        "event_type": {"type": "text", "fields": {"keyword": {"type": "keyword", "ignore_above": 16}}}}}}}]
+
+
+@register("ordered_templates", """
+SELECT 'dms_flink_events' AS index_name, field, es_type, ignore_above, count(*) AS n_rows FROM events, (VALUES
+  ('event_id', 'keyword', NULL), ('user_id', 'integer', NULL), ('event_type', 'text', 16), ('value', 'double', NULL), ('props', 'text', 32),
+  ('client_ts', 'date', NULL), ('parent_id', 'keyword', NULL), ('note', 'text', 256), ('location', 'geo_point', NULL),
+  ('metadata.timestamp', 'text', 256), ('metadata.record-type', 'text', 256), ('metadata.operation', 'text', 256),
+  ('metadata.partition-key-type', 'text', 256), ('metadata.schema-name', 'text', 256), ('metadata.table-name', 'text', 256))
+  f(field, es_type, ignore_above) GROUP BY ALL""")
+def ordered_templates(spark, sf_dir):
+    """Three overlapping templates: merged by order and by how special their pattern is, properties merged deeply,
+    dynamic rules by field and inferred type (T4)."""
+    types = mapping.field_types(routed(spark, fx.events_envelopes(spark, sf_dir)))
+    return mapping.apply_ordered_templates(types, ORDERED_TEMPLATES).join(types.select("index_name", "field", F.col("n").alias("n_rows")),
+                                                                          ["index_name", "field"])
+
+
 # An index template with the field overrides of a deployment.
 TEMPLATES = [{"index_patterns": ["dms_flink_ord*", "other-*"],
               "template": {"mappings": {"properties": {
