@@ -44,7 +44,7 @@ def brute(rows, k=8):
             if w := line.encode().translate(fold).split():
                 found.append((w, i, at, at + len(line)))
             at += len(line) + 1
-        rank = (d is None, d or 0, hashlib.md5((t or "").encode()).hexdigest())
+        rank = (d is None, d or 0, int(hashlib.md5((t or "").encode()).hexdigest()[:15], 16))
         passages = []
         for n, (w, i, _, _) in enumerate(found):
             if len(w) >= k:
@@ -76,7 +76,7 @@ def test_line_dedup(frame):
     rows = [(3, f"{line}\nunique one two three four five six seven\n{line.upper()}"), (1, f"  A  b c d e f g\th \nshort\nshort"),
             (2, "short\nshort"), (5, None), (6, ""), (None, line), (4, "é" * 9 + f"\n{line}\n\n{line}"), (7, "x" * 100000 + "\n" + line),
             (8, f"Own words. Some. 1 2 3 4 5 6 7 8 9. {line}. More"), (9, f"Other. 1 2 3 4 5 6 7 8 9. {line}. . ")]
-    df = frame([t for _, t in rows], [d for d, _ in rows]).selectExpr("*", "1 as units", "2 as digest", "3 as removed", "4 as row")
+    df = frame([t for _, t in rows], [d for d, _ in rows]).selectExpr("*", "1 as units", "2 as digest", "3 as removed", "4 as row", "5 as text_key", "6 as d1")
     out = lines.repeated_units(df)
     assert found_in(out) == brute(rows)
     assert lines.without(rows[0][1], next(r.removed for r in out.collect() if r.doc_id == 3)) \
@@ -111,7 +111,8 @@ def test_random_short_units(frame):
     pool = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(1, 12))) for _ in range(40)]
     rows = [(i // 2, "".join(rng.choice(pool) + rng.choice(["\n", ". ", "! ", "?\t", ".\r", "\n\n", ".", " . "])
                              for _ in range(rng.randrange(0, 14)))) for i in range(120)]
-    assert found_in(lines.repeated_units(frame([t for _, t in rows], [d for d, _ in rows]))) == brute(rows)
+    df = frame([t for _, t in rows], [d for d, _ in rows])
+    assert found_in(lines.repeated_units(df)) == found_in(lines.repeated_units(df, bits=1 << 15)) == brute(rows)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))

@@ -132,7 +132,7 @@ def op9_line_hash_dedup(spark, sf_dir):
 
 
 ORACLE_SQL["op9_line_hash_dedup"] = r"""
-WITH docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS digest FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS text, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS digest FROM documents),
 lines AS (
   SELECT rn, doc_id, digest, line, i AS unit,
          sum(length(line) + 1) OVER (PARTITION BY rn ORDER BY i) - length(line) - 1 AS start
