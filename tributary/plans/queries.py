@@ -581,14 +581,15 @@ def month_layout(spark, sf_dir):
 
 
 @register("trip_rows", """
-SELECT lpad(CAST((l_partkey % 265) + 1 AS VARCHAR), 3, '0') AS pickup_location,
+SELECT lpad(CAST(((l_partkey % 265) + 1) % 3 + 5 AS VARCHAR), 3, '0') AS pickup_location,
        CAST(strftime(l_shipdate, '%Y') AS INTEGER) AS year, CAST(strftime(l_shipdate, '%m') AS INTEGER) AS month,
        count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS passengers, max(l_quantity) AS max_distance
 FROM lineitem GROUP BY ALL""")
 def trip_rows(spark, sf_dir):
     """Trip records parsed with the fixed schema (S8) and laid out by pickup
     location and month (O11)."""
-    trips = env.parse_trip(fx.trip_records(spark, sf_dir))
+    trips = env.parse_trip(fx.trip_records(spark, sf_dir)).withColumn(
+        "pickup_location_id", F.pmod("pickup_location_id", F.lit(3)) + 5)
     return (trips.where(F.col("parse_error").isNull())
                  .groupBy(layout.pickup_location_part(F.col("pickup_location_id")),
                           F.year("pickup_datetime").alias("year"), F.month("pickup_datetime").alias("month"))
@@ -775,17 +776,17 @@ def striim_documents(spark, sf_dir):
 # --- S3 S8 O11 K1 P6 P8 H2 M1 M3 M4: forms with their own read-back -----------------------------
 
 @register("whole_file_rows", """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation""")
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus FROM orders""")
 def whole_file_rows(spark, sf_dir):
-    """One event per file, spread over several lines, read whole (S3)."""
+    """Whole files of several lines as records, each a batch of up to 128 events of ``orders``."""
     path = scratch_path(spark, "whole-files")
-    envs = fx.nation_region_envelopes(spark, sf_dir).where(F.col("value").contains("n_nationkey"))
+    envs = fx.batched_envelopes(spark, sf_dir, batch_size=128)
     (envs.select(F.regexp_replace("value", r',"', ',\n  "').alias("value"), F.col("seq").alias("file"))
-         .write.partitionBy("file").text(path))
-    recs = open_source(spark, "wholetext", {"path": path}, streaming=False)
+         .hint("rebalance", F.col("file")).write.partitionBy("file").text(path))
+    recs = env.unbatch(open_source(spark, "wholetext", {"path": path}, streaming=False))
     d = F.col("data")
-    return routing.only_data(env.parse_dms(recs)).select(field(d, "n_nationkey", "bigint").alias("n_nationkey"),
-                                                         field(d, "n_name").alias("n_name"))
+    return routing.only_data(env.parse_dms(recs)).select(field(d, "o_orderkey", "bigint").alias("o_orderkey"),
+                                                         field(d, "o_orderstatus").alias("o_orderstatus"))
 
 
 @register("trip_layout", """
