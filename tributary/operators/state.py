@@ -158,10 +158,11 @@ class StateStore:
         columns = [f.strip().split(" ")[0] for f in PART_SCHEMA.split(",")][:-2]
         folders = ["bucket", "index_name"] if buckets else ["index_name"]
         out = reduced.select("index_name", *columns, *([self._bucket(buckets)] if buckets else []))
-        # few folders a part, many documents a folder: split by what adaptive execution measures
-        out = out.hint("rebalance", *map(F.col, folders))
-        if buckets:  # sorted, so that row groups of a file have narrow key ranges
-            out = out.sortWithinPartitions(*folders, "doc_id")
+        if buckets:
+            # few folders a part, many documents a folder: split by what adaptive execution measures; sorted, so
+            # that row groups of a file have narrow key ranges. A delta is written as it was reduced, without
+            # another shuffle: its files are small and soon merged
+            out = out.hint("rebalance", *map(F.col, folders)).sortWithinPartitions(*folders, "doc_id")
         out.write.partitionBy(*folders).parquet(f"{self.path}/data/part={part}")
         written = self._files([f"part={part}"], bool(buckets))
         keys = written.groupBy("bucket").agg(  # a row per bucket
