@@ -1,8 +1,13 @@
 """Queries over rows of their own, where the driver's tables would not show what is missing."""
 
 import datetime as dt
+import pathlib
 
 import __spark_entry__ as E
+from tributary.operators import envelope as env
+from tributary.operators import mapping, state
+from tributary.plans.queries import routed
+from tributary.session import local_path, shared_root
 
 
 def test_trip_rows_keeps_every_location(spark, tmp_path):
@@ -13,3 +18,30 @@ def test_trip_rows_keeps_every_location(spark, tmp_path):
     got = E.queries()["trip_rows"](spark, str(tmp_path)).collect()
     assert {r["pickup_location"] for r in got} == {f"{k:03d}" for k in range(1, 266)}
     assert len(got) == 530 and sum(r["n"] for r in got) == 530
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_whole_files_lie_in_one_folder(spark, tmp_path):
+    rows = [(k, k, "FOP"[k % 3], 1.5, dt.datetime(2022, 1, 3), 'a,"b"') for k in range(300)] + [(None, 1, "F", 1.0, dt.datetime(2022, 1, 3), "x")]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    root = pathlib.Path(local_path(shared_root(spark)))
+    before = set(root.glob("whole-files-*"))
+    got = E.queries()["whole_file_rows"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r[0], r[2]) for r in rows), key=str)
+    (folder,) = set(root.glob("whole-files-*")) - before
+    assert not [p for p in folder.iterdir() if p.is_dir()]
+    assert len(list(folder.glob("part-*"))) == 4  # three batches, and the one of no key
+
+
+def test_a_batch_is_parsed_once(spark):
+    df = spark.createDataFrame([('[{"a":1},{"a":2}]',), ('{"data":[]}',), ("[]",), ('{"metadata":{},"data":[1]}',), ("7",), (None,), ("x",),
+                                ('{"metadata":null,"data":[1]}',), ('\n{"data":[{"a":[3]}]}',)], "value string")
+    out = env.unbatch(df)
+    assert _plan(out).lower().count("parsejson") == 1
+    assert sorted(((r["batch_pos"], r["value"]) for r in out.collect()), key=str) == sorted([
+        (0, '{"a":1}'), (1, '{"a":2}'), (0, '{"metadata":{},"data":[1]}'), (0, "7"), (0, None), (0, "x"),
+        (0, '{"metadata":null,"data":[1]}'), (0, '{"a":[3]}')], key=str)

@@ -43,8 +43,7 @@ def _is_object(v: Column) -> Column:
 
 
 def _is_container(v: Column) -> Column:
-    return (F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-            | F.try_variant_get(v, "$", "array<variant>").isNotNull())
+    return F.left(kind(v), F.lit(5)).isin("OBJEC", "ARRAY")
 
 
 def _dms_reason(value: Column, metadata: Column, data: Column, corrupt: Column) -> Column:
@@ -82,6 +81,14 @@ DMS_OUTPUT_COLUMNS = ("parse_error", "metadata", "data", "record_type", "operati
                       "partition_key_type", "schema_name", "table_name", "event_time")
 
 
+def _once(df: DataFrame, struct: Column) -> DataFrame:
+    """The fields of ``struct`` as columns that nothing above recomputes: a generator's output.
+
+    The struct is made in a projection below the generator, in generated code; a generator interprets what it is given.
+    """
+    return df.select("*", struct.alias("_struct")).select(*df.columns, F.inline(F.array("_struct")))
+
+
 def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse ``{metadata, data}`` change envelopes.
 
@@ -101,16 +108,14 @@ def parse_dms(df: DataFrame, value_col: str = "value") -> DataFrame:
     keep = [c for c in df.columns if c not in DMS_OUTPUT_COLUMNS + ("_raw_meta", "_raw_data", CORRUPT_COL)]
     value = F.col(value_col)
     env = F.from_json(value, DMS_ENVELOPE_DDL, STRICT_JSON_OPTIONS)
-    parsed = (df.select(*keep, F.inline(F.array(env)))
-                .withColumnsRenamed({"metadata": "_raw_meta", "data": "_raw_data"}))
+    parsed = _once(df.select(*keep), env).withColumnsRenamed({"metadata": "_raw_meta", "data": "_raw_data"})
     raw_meta, raw_data, corrupt = F.col("_raw_meta"), F.col("_raw_data"), F.col(CORRUPT_COL)
     reason = _dms_reason(value, raw_meta, raw_data, corrupt)
-    checked = parsed.select("*", F.inline(F.array(F.struct(reason.alias("parse_error")))))
+    checked = _once(parsed, F.struct(reason.alias("parse_error")))
     ok = F.col("parse_error").isNull()
     # third generator: the metadata text map, so filters on it or on the
     # promoted columns read a generator output instead of rebuilding the map
-    texted = checked.select("*", F.inline(F.array(F.struct(
-        F.when(ok, text_map(last_wins(raw_meta))).alias("metadata")))))
+    texted = _once(checked, F.struct(F.when(ok, text_map(last_wins(raw_meta))).alias("metadata")))
     maps = texted.select(
         *keep, "parse_error", "metadata",
         F.when(ok, F.coalesce(last_wins(raw_data), _empty_data())).alias("data"))
@@ -166,16 +171,17 @@ def unbatch(df: DataFrame, value_col: str = "value") -> DataFrame:
     and escaped key names make no difference.
     """
     value = F.col(value_col)
-    v = F.try_parse_json(value)
-    k = kind(v)
-    inner = F.try_variant_get(v, "$.data", "variant")
-    elems = (F.when(k.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-             .when(k.startswith("OBJECT") & F.try_variant_get(v, "$.metadata", "variant").isNull()
-                   & F.coalesce(kind(inner).startswith("ARRAY"), F.lit(False)),
-                   F.try_variant_get(v, "$.data", "array<variant>")))
-    texts = F.coalesce(F.transform(elems, lambda e: F.to_json(e)), F.array(value))
     others = [c for c in df.columns if c != value_col]
-    return df.select(*others, F.posexplode(texts).alias("batch_pos", value_col))
+    # parsed once, inside a generator; a read as an array is null for anything else
+    parsed = _once(df.select(*others, value_col), F.struct(F.try_parse_json(value).alias("_batch")))
+    v = F.col("_batch")
+    elems = F.coalesce(F.try_variant_get(v, "$", "array<variant>"),
+                       F.when(F.try_variant_get(v, "$.metadata", "variant").isNull(),
+                              F.try_variant_get(v, "$.data", "array<variant>")))
+    texts = F.coalesce(F.transform(elems, lambda e: F.to_json(e)), F.array(value))
+    # the outer form: for the other one Spark adds a filter on the size of the array, which reads the batch once more
+    return (parsed.select(*others, texts.alias("_texts")).select(*others, F.posexplode_outer("_texts").alias("batch_pos", value_col))
+                  .where(F.col("batch_pos").isNotNull()))
 
 
 def parse_striim(df: DataFrame, value_col: str = "value",

@@ -780,8 +780,9 @@ def whole_file_rows(spark, sf_dir):
     """Whole files of several lines as records, each a batch of up to 128 events of ``orders``."""
     path = scratch_path(spark, "whole-files")
     envs = fx.batched_envelopes(spark, sf_dir, batch_size=128)
-    (envs.select(F.regexp_replace("value", r',"', ',\n  "').alias("value"), F.col("seq").alias("file"))
-         .hint("rebalance", F.col("file")).write.partitionBy("file").text(path))
+    # a file for each batch, all in one folder, moved there by the tasks that wrote them: no folder to make and list per file
+    (envs.select(F.replace("value", F.lit(',"'), F.lit(',\n  "')).alias("value"))
+         .write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path))
     recs = env.unbatch(open_source(spark, "wholetext", {"path": path}, streaming=False))
     d = F.col("data")
     return routing.only_data(env.parse_dms(recs)).select(field(d, "o_orderkey", "bigint").alias("o_orderkey"),
