@@ -45,3 +45,16 @@ def test_a_batch_is_parsed_once(spark):
     assert sorted(((r["batch_pos"], r["value"]) for r in out.collect()), key=str) == sorted([
         (0, '{"a":1}'), (1, '{"a":2}'), (0, '{"metadata":{},"data":[1]}'), (0, "7"), (0, None), (0, "x"),
         (0, '{"metadata":null,"data":[1]}'), (0, '{"a":[3]}')], key=str)
+
+
+def test_a_version_is_sorted_with_one_copy_of_its_document(spark):
+    at = dt.datetime(2022, 1, 1)
+    rows = [("i", "a", "old", False, "update", at, 1), ("i", "a", "new", False, "update", at, 2), ("i", "b", None, True, "delete", None, 1),
+            ("i", "b", "x", False, "insert", at, None)]
+    df = spark.createDataFrame(rows, "index_name string, doc_id string, doc string, is_delete boolean, operation string, "
+                                     "event_time timestamp, seq long")
+    out = state.reduce_documents(df)
+    assert out.columns == ["index_name", "doc_id", *state.DOCUMENT_COLUMNS, "commit_no", "n_versions"]
+    assert _plan(out).count("doc, doc#") == 1
+    got = {r["doc_id"]: (r["doc"], r["is_delete"], r["seq"], r["n_versions"]) for r in out.collect()}
+    assert got == {"a": ("new", False, 2, 2), "b": ("x", False, None, 2)}

@@ -5,7 +5,7 @@ then source file and position in it. The original job knew arrival only; here
 two versions with one event time fall back to it. The document text breaks
 what is left, so the winner is deterministic.
 
-``reduce_documents`` is a ``max_by`` aggregation, which Spark runs with a
+``reduce_documents`` is a ``max`` aggregation, which Spark runs with a
 map-side partial step, so a document id holding a third of all rows is
 combined inside each input task before the shuffle.
 
@@ -74,12 +74,13 @@ def _with_defaults(docs: DataFrame) -> DataFrame:
 def reduce_documents(docs: DataFrame, order: Sequence[str] = VERSION_ORDER) -> DataFrame:
     """One row per ``(index_name, doc_id)``: the latest version, tombstones kept."""
     docs = _with_defaults(docs)
-    payload = F.struct(*DOCUMENT_COLUMNS, "commit_no")
-    ranked = F.struct(*order, "doc")
-    return (docs.select("index_name", "doc_id", payload.alias("_p"), ranked.alias("_o"), "n_versions")
+    columns = (*DOCUMENT_COLUMNS, "commit_no")
+    # one struct both ranks and carries a version, so its document is sorted and shuffled once
+    version = F.struct(*dict.fromkeys((*order, "doc", *columns)))
+    return (docs.select("index_name", "doc_id", version.alias("_v"), "n_versions")
                 .groupBy("index_name", "doc_id")
-                .agg(F.max_by("_p", "_o").alias("_w"), F.sum("n_versions").alias("n_versions"))
-                .select("index_name", "doc_id", "_w.*", "n_versions"))
+                .agg(F.max("_v").alias("_w"), F.sum("n_versions").alias("n_versions"))
+                .select("index_name", "doc_id", *[f"_w.{c}" for c in columns], "n_versions"))
 
 
 def latest_documents(docs: DataFrame, apply_deletes: bool = True,
