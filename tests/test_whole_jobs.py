@@ -58,3 +58,21 @@ def test_a_version_is_sorted_with_one_copy_of_its_document(spark):
     assert _plan(out).count("doc, doc#") == 1
     got = {r["doc_id"]: (r["doc"], r["is_delete"], r["seq"], r["n_versions"]) for r in out.collect()}
     assert got == {"a": ("new", False, 2, 2), "b": ("x", False, None, 2)}
+
+
+def test_field_types_read_each_value_once(spark):
+    rows = ['{"metadata":{"record-type":"data","table-name":"t","timestamp":"x"},"data":{"location":1,"s":"é","d":"2022-01-01T00:00:00Z"}}',
+            '{"metadata":{"table-name":"t","record-type":"data"},"data":{"s":null,"metadata.timestamp":2.5,"big":123456789012345678901}}',
+            '{"metadata":{"table-name":"t","record-type":"data"}}',
+            '{"metadata":{"table-name":"u","record-type":"data","extra":"1"},"data":{"d":"2022-01-01T00:00:00Z","s":"%s"}}' % ("x" * 257)]
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    flags = mapping.field_flags(routed(spark, df))
+    # the kind of a value in its cell, of a metadata value, and of data that is no object
+    assert _plan(flags).lower().count("schemaofvariant.schemaofvariant(") == 3
+    got = {(r["index_name"][-1], r["field"]): ("".join(c for c in mapping.FLAGS if r[c]), r["max_len"], r["n"]) for r in flags.collect()}
+    assert got == {
+        ("t", "location"): ("lg", 1, 4), ("t", "s"): ("x", 4, 2), ("t", "d"): ("d", 20, 1), ("t", "big"): ("x", 21, 1),
+        ("t", "metadata.timestamp"): ("fm", 3, 2), ("t", "metadata.record-type"): ("m", 0, 3), ("t", "metadata.table-name"): ("m", 0, 3),
+        ("u", "location"): ("g", 0, 1), ("u", "d"): ("d", 20, 1), ("u", "s"): ("x", 257, 1), ("u", "metadata.extra"): ("m", 0, 1),
+        ("u", "metadata.record-type"): ("m", 0, 1), ("u", "metadata.table-name"): ("m", 0, 1)}
+    assert mapping.field_types(routed(spark, df), include_envelope=False).where("field = 'location'").first()["es_type"] == "long"

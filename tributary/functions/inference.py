@@ -29,8 +29,11 @@ def es_type(v: Column) -> Column:
     ``text``, as does anything not recognised. A JSON null is ``null``: it says
     nothing about its field.
     """
-    k = kind(v)
-    text = as_text(v)
+    return type_of(kind(v), as_text(v))
+
+
+def type_of(k: Column, text: Column) -> Column:
+    """:func:`es_type` of a value of this kind and text."""
     big_integer = k.rlike(r"^DECIMAL\((19|[2-9][0-9]|[1-9][0-9]{2,}),0\)$")
     return (F.when((k == "STRING") & is_iso_instant(text), F.lit("date"))
             .when(k == "BIGINT", F.lit("long"))

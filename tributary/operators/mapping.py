@@ -13,8 +13,8 @@ from fnmatch import fnmatchcase
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.inference import KEYWORD_IGNORE_ABOVE, es_type
-from tributary.functions.variants import as_text
+from tributary.functions.inference import KEYWORD_IGNORE_ABOVE, type_of
+from tributary.functions.variants import as_text, kind
 
 # Field names of the envelope parts in a document.
 LOCATION_FIELD = "location"
@@ -22,19 +22,25 @@ METADATA_PREFIX = "metadata."
 
 
 def _cells(routed: DataFrame, include_envelope: bool) -> DataFrame:
-    """One row per (document, field): row values plus, optionally, the
-    envelope's metadata keys and location, all from a single pass."""
-    def cell(field, t, length):
-        return F.struct(field.alias("field"), t.alias("t"), length.alias("len"))
+    """One row per (document, row field) with the value's type and the length of its text, plus, optionally, one per
+    document with its metadata keys (``keys``, null in the others), all from a single pass.
 
-    parts = [F.transform(F.map_entries("data"), lambda e: cell(
-        e["key"], es_type(e["value"]), F.length(F.coalesce(as_text(e["value"]), F.lit("null")))))]
+    A value's kind and text are read once. The cells are made below the generator and typed above it, so that both
+    run in generated code."""
+    def cell(field, k, text, keys):
+        return F.struct(field.alias("field"), k.alias("k"), text.alias("text"), keys.alias("keys"))
+
+    no_text, no_keys = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    cells = F.transform(F.map_entries("data"), lambda e: cell(e["key"], kind(e["value"]), as_text(e["value"]), no_keys))
     if include_envelope:
-        parts.append(F.transform(F.map_keys("metadata"), lambda k: cell(
-            F.concat(F.lit(METADATA_PREFIX), k), F.lit("meta"), F.lit(0))))
-        parts.append(F.array(cell(F.lit(LOCATION_FIELD), F.lit("geo"), F.lit(0))))
-    arr = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return routed.select("index_name", F.inline(arr))
+        keys = F.map_keys("metadata")
+        cells = F.when(keys.isNotNull(), F.concat(cells, F.array(cell(no_text, no_text, no_text, keys))))
+    k, text = F.col("k"), F.col("text")
+    # the outer form: for the other one Spark adds a filter on the size of the array, which makes the cells once more
+    return (routed.select("index_name", cells.alias("_cells")).select("index_name", F.inline_outer("_cells"))
+                  .where("k is not null or keys is not null")
+                  .select("index_name", "field", "keys", F.when(k.isNotNull(), type_of(k, text)).alias("t"),
+                          F.when(k.isNull(), F.lit(0)).otherwise(F.length(F.coalesce(text, F.lit("null")))).alias("len")))
 
 
 def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
@@ -45,8 +51,8 @@ def field_types(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
     with nulls only is ``text``. Metadata keys are ``text`` with a 256 keyword
     limit and ``location`` is a ``geo_point``. ``n`` is the number of documents
     with the field. ``ignore_above`` (256) is set on ``text`` fields whose
-    values are all at most 256 characters long. One pass over the input, one
-    aggregation with map-side partial aggregation.
+    values are all at most 256 characters long. One pass over the input, map-side
+    partial aggregation, and a second aggregation of what is left, a few rows per field.
     """
     return types_of(field_flags(routed, include_envelope))
 
@@ -59,10 +65,21 @@ def field_flags(routed: DataFrame, include_envelope: bool = True) -> DataFrame:
     """``(index_name, field, d, l, f, x, m, g, max_len, n)``: whether a date, long, float, text, metadata or location
     value has been seen, the longest text and the number of documents with the field."""
     t = F.col("t")
-    kinds = zip(FLAGS, ("date", "long", "float", "text", "meta", "geo"))
-    return (_cells(routed, include_envelope).groupBy("index_name", "field")
+    kinds = list(zip(FLAGS, ("date", "long", "float", "text")))
+    # the metadata keys of a document are counted as one, and told apart when a row per set of keys is left
+    seen = (_cells(routed, include_envelope).groupBy("index_name", "field", "keys")
             .agg(*[F.bool_or(t == k).alias(c) for c, k in kinds], F.max("len").alias("max_len"), F.count("*").alias("n")))
 
+    def named(field, m=False, g=False):
+        return F.struct(field.alias("field"), F.lit(m).alias("m"), F.lit(g).alias("g"))
+
+    envelope = F.concat(F.transform("keys", lambda k: named(F.concat(F.lit(METADATA_PREFIX), k), m=True)),
+                        F.array(named(F.lit(LOCATION_FIELD), g=True)))
+    fields = F.when(F.col("keys").isNull(), F.array(named(F.col("field")))).otherwise(envelope)
+    return (seen.select("index_name", *[F.coalesce(c, F.lit(False)).alias(c) for c, _ in kinds], "max_len", "n", F.inline(fields))
+                .groupBy("index_name", "field")
+                .agg(*[F.bool_or(c).alias(c) for c in FLAGS], F.max("max_len").alias("max_len"), F.sum("n").alias("n")))
+
 
 def _type_of(unknown: str) -> Column:
     return (F.when(F.col("g"), F.lit("geo_point"))
