@@ -31,7 +31,7 @@ def _document(data: Column, location_json: Column, metadata: Column, empty: str
     tail = F.concat(F.lit('"location":'), F.coalesce(location_json, F.lit("null")),
                     F.lit(',"metadata":'), F.coalesce(F.to_json(metadata), F.lit("null")), F.lit("}"))
     return F.when(F.size(rows) == 0, F.concat(F.lit("{" + empty), tail)).otherwise(
-        F.concat(F.left(body, F.length(body) - 1), F.lit(","), tail))
+        F.concat(F.regexp_replace(body, r"\}$", ","), tail))  # names ``body`` once: it is serialised per mention
 
 
 def search_document(data: Column, location: Column, metadata: Column) -> Column:
