@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,25 @@ def test_edge_rows(spark):
     df = spark.createDataFrame(rows, schema)
     assert got(ph.collocations(df, least=3)) == brute([(r[1], r[2]) for r in rows], least=3)
     assert ph.collocations(df.limit(0)).count() == 0
+
+
+def test_tasks_hand_on_groups_not_phrases(spark):
+    """Rows that are shuffled are as many for any number of frequent phrases."""
+    known = spark.sparkContext.broadcast(np.full(1 << 10, 255, np.uint8))
+    text = " . ".join(f"a{i} b{i} c{i}" for i in range(4 * ph.GROUPS))
+    docs = spark.createDataFrame([("en", text)] * 3, "lang string, text string").select("text", "lang").repartition(3)
+    handed = ph._stripes(docs, 5, [known, known])
+    assert handed.count() <= 3 * ph.GROUPS
+    merged = {(r.k, r.phrase): r.n for r in ph._merged(handed, 5, 3).collect()}
+    assert len(merged) == 1 + 6 * 4 * ph.GROUPS and merged.pop((0, None)) == 9 * 4 * ph.GROUPS
+    assert set(merged.values()) == {3}
+
+
+@pytest.mark.parametrize("longest", [2, 3, 5])
+def test_groups_handed_on_unfinished(spark, monkeypatch, longest):
+    monkeypatch.setattr(ph, "MERGE_ENTRIES", 60)
+    monkeypatch.setattr(ph, "FLUSH_ENTRIES", 10)
+    rng = random.Random(9)
+    rows = [(rng.choice(["en", "de", None]), " ".join(rng.choice(["a", "b", "cc", "é", "d."]) for _ in range(80))) for _ in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string").repartition(4)
+    assert got(ph.collocations(df, least=5, longest=longest)) == brute(rows, least=5, longest=longest)

@@ -1,31 +1,33 @@
 """Phrase collocation mining by stripes (operator 11).
 
-A stripe is an associative counter: prefix -> {next word: occurrences}. The
-empty prefix's stripe counts single words, a stripe of k words the phrases of
-k + 1. Tasks fill stripes over blocks of text, stripes of one prefix are merged
-elementwise, and the merged structure answers everything: an entry is a
-phrase's frequency, the entry of the shorter stripe is its prefix total, and the
-largest entries on either side of a phrase decide subsumption.
+A stripe is an associative counter: prefix -> {continuation: occurrences}. The
+empty prefix's stripe counts single words. The stripe of a pair of words counts
+what follows it, up to the longest phrase: each occurrence of the pair is in it
+once, so the stripe holds the frequencies of all phrases that begin with the
+pair. Tasks fill stripes over blocks of text and stripes of one prefix are merged
+elementwise.
 
 1. What can be frequent is found first, by 64-bit hashes only: words, then
-   pairs of such words, then triples of such pairs, and so on. A phrase of
-   ``least`` occurrences consists of such shorter ones, so none is lost.
-   Tasks know them by bitmaps of fixed size (``BITS``): what is collected and
-   broadcast is bounded, and a false hit only counts a phrase in vain.
-2. Stripes with their words, for what is left. Only these counts decide, so
-   results are exact at any size of the bitmaps.
-3. Every cut of a candidate looks up both parts; the lowest score stays. The
+   pairs of such words. A phrase of ``least`` occurrences consists of such
+   pairs, so none is lost. Tasks know them by bitmaps of fixed size (``BITS``):
+   what is collected and broadcast is bounded, and a false hit only counts a
+   phrase in vain.
+2. Stripes with their words, for what is left. A continuation ends where a pair
+   is not frequent. Only these counts decide, so results are exact at any size
+   of the bitmaps.
+3. A task hands on the stripes of one language in at most ``GROUPS`` rows, by a
+   hash of their prefix; equal groups meet, and the phrases are told apart after
+   their stripes are merged. Shuffled rows follow the hand-overs, not the
+   phrases in them. What a group counts beyond ``MERGE_ENTRIES`` is handed on
+   unfinished and summed by Spark.
+4. Every cut of a candidate looks up both parts; the lowest score stays. The
    products are DECIMAL(38, 0): exact while 1000 * a * n is under 10^38.
-4. A phrase lies inside a longer candidate of (almost) its frequency only if a
+5. A phrase lies inside a longer candidate of (almost) its frequency only if a
    candidate one word longer has it too, since frequencies fall with length:
-   one maximum over both ends of the next longer stripes decides.
-5. The first ``top`` of a language come from the first ``top`` of each of its
+   one maximum over both ends of the next longer phrases decides.
+6. The first ``top`` of a language come from the first ``top`` of each of its
    salted parts, so no task sorts a whole language.
 
-Entries of a stripe are rows ``(lang, prefix, next, n)`` while they are merged,
-so the stripe of a frequent prefix is summed in many tasks; map-side sums leave
-one row per entry and task.
-
 Defined results: a null text is empty; a null lang is ``und`` (together with
 rows whose lang is ``und``); ids are not read; repeated rows count as often as
 they occur; an empty table gives none; other columns are not read.
@@ -34,9 +36,11 @@ they occur; an empty table gives none; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,9 +55,13 @@ UNKNOWN = "und"
 # Bits of each bitmap (a power of two), 8 MB: fixed, so broadcasts are too.
 BITS = 1 << 26
 # Bytes of text whose stripes a task fills before it hands them on.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Entries a task sums before it hands them on.
 MERGE_ENTRIES = 1 << 20
+# Entries of whole groups whose phrases are told apart at once, at least.
+FLUSH_ENTRIES = 1 << 17
+# Groups of the prefixes of a language (a power of two); all stripes of a group meet in one task.
+GROUPS = 1 << 11
 # Parts of a language whose first phrases are found apart, at most.
 PARTS = 256
 
@@ -66,7 +74,8 @@ _FOLD[[ord(c) for c in ".,;:!?\x0A\x0B\x0C\x0D"]] = 0x0A
 SCORE = ("(cast(1000 as decimal(4,0)) * cast(a as decimal(17,0)) * cast(n as decimal(17,0))) "
          "div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))")
 
-_STRIPES = "lang string, prefix string, nexts array<string>, counts array<bigint>"
+_STRIPES = "lang string, part int, phrases array<string>, counts array<bigint>"
+_COUNTED = "lang string, k int, phrase string, n bigint"
 
 
 class Block:
@@ -187,6 +196,16 @@ def _frequent(docs: DataFrame, k: int, bitmaps: list, least: int, bits: int):
     return docs.sparkSession.sparkContext.broadcast(out)
 
 
+def _sizes(levels: list[np.ndarray], longest: int) -> np.ndarray:
+    """Per word: words of the longest phrase from it on, up to ``longest``, whose words and pairs are known."""
+    size = levels[0].astype(np.int64)
+    pairs = alive = levels[1]
+    for j in range(1, longest):
+        size += alive
+        alive = alive & np.concatenate([pairs[j:], np.zeros(min(j, len(pairs)), bool)])
+    return size
+
+
 class Stripes:
     """Stripes a task fills: entries by phrase hash, with their words."""
 
@@ -197,57 +216,59 @@ class Stripes:
         """The block's phrases of k words with hashes ``h`` and first words ``at``."""
         h, first, n = np.unique(h, return_index=True, return_counts=True)
         at = at[first]
-        if k == 1:  # one stripe a language
-            key = block.salt[block.doc[at]]
-        else:
-            prefix, starts = block.windows(k - 1)
-            where = np.full(block.n, -1, np.int64)
-            where[starts] = np.arange(len(starts))
-            key = prefix[where[at]]
-        self._put(h, key, n, langs.take(pa.array(block.doc[at])), block.phrases(at, k - 1), block.phrases(at + k - 1, 1))
+        prefix, starts = block.windows(min(k, 2))
+        key = prefix[np.searchsorted(starts, at)]
+        self._put(h, key, n, langs.take(pa.array(block.doc[at])), block.phrases(at, k))
 
     def add_totals(self, block: Block, langs: pa.Array) -> None:
-        """All words of each language, under a null prefix."""
+        """All words of each language, as a null phrase."""
         salts, first, of = np.unique(block.salt, return_index=True, return_inverse=True)
         n = np.bincount(of[block.doc], minlength=len(salts))
         h = ragged.mix64(salts + np.uint64(1))
-        self._put(h, h, n, langs.take(pa.array(first)), pa.nulls(len(salts), pa.string()), pa.array([""] * len(salts)))
+        self._put(h, h, n, langs.take(pa.array(first)), pa.nulls(len(salts), pa.string()))
 
-    def _put(self, h, key, n, *words) -> None:
+    def _put(self, h, key, n, lang, phrase) -> None:
         if len(h):
-            self.parts.append((h, key, n, *words))
+            self.parts.append((h, key, n, lang, phrase))
             self.size += len(h)
 
     def merge(self) -> None:
         """Sum what has been added elementwise."""
-        h, key, n = (np.concatenate(x) for x in list(zip(*self.parts))[:3])
-        words = [pa.concat_arrays(x) for x in list(zip(*self.parts))[3:]]
-        h, first, of = np.unique(h, return_index=True, return_inverse=True)
-        n = np.bincount(of, n).astype(np.int64)  # exact: a task has fewer than 2^53 words
-        self.parts = [(h, key[first], n, *(w.take(pa.array(first)) for w in words))]
+        columns, self.parts = [list(x) for x in zip(*self.parts)], []  # one after the other, to hold little at once
+        h, first, of = np.unique(np.concatenate(columns.pop(0)), return_index=True, return_inverse=True)
+        key = np.concatenate(columns.pop(0))[first]
+        n = np.bincount(of, np.concatenate(columns.pop(0))).astype(np.int64)  # exact: a task has fewer than 2^53 words
+        words = [pa.concat_arrays(columns.pop(0)).take(pa.array(first)) for _ in range(2)]
+        self.parts = [(h, key, n, *words)]
         self.size = len(h)
 
     def take(self) -> pa.RecordBatch:
-        """One row per stripe; empties the task's stripes."""
+        """One row per language and group of prefixes; empties the task's stripes."""
         self.merge()
-        (_, key, n, lang, prefix, word), self.parts, self.size = self.parts[0], [], 0
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        offsets, at = pa.array(np.append(heads, len(key)), pa.int32()), pa.array(order[heads])
+        (_, key, n, lang, phrase), self.parts, self.size = self.parts[0], [], 0
+        part = (key & np.uint64(GROUPS - 1)).astype(np.int32)
+        of = lang.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        order = np.lexsort((key, part, of))
+        part, of = part[order], of[order]
+        heads = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (of[1:] != of[:-1])]))
+        offsets, at = pa.array(np.append(heads, len(part)), pa.int32()), pa.array(order)
         return pa.RecordBatch.from_arrays(
-            [lang.take(at), prefix.take(at), pa.ListArray.from_arrays(offsets, word.take(pa.array(order))),
-             pa.ListArray.from_arrays(offsets, pa.array(n[order]))], ["lang", "prefix", "nexts", "counts"])
+            [lang.take(pa.array(order[heads])), pa.array(part[heads]), pa.ListArray.from_arrays(offsets, phrase.take(at)),
+             pa.ListArray.from_arrays(offsets, pa.array(n[order]))], ["lang", "part", "phrases", "counts"])
 
 
 def _stripes(docs: DataFrame, longest: int, bitmaps: list) -> DataFrame:
-    """Stripes of all phrases that can be frequent, merged per task; a null prefix counts all words."""
+    """Stripes of all phrases that can be frequent, merged per task; a null phrase counts all words."""
     def task(batches):
         own = Stripes()
         for block, langs in _blocks(batches):
             levels = _known(block, bitmaps)
-            for k in range(1, longest + 1):
-                own.add(block, langs, *_possible(block, levels, k), k)
+            size = _sizes(levels, longest)
+            own.add(block, langs, *_possible(block, levels, 1), 1)
+            for k in range(2, longest + 1):
+                h, at = block.windows(k)
+                whole = size[at] == k
+                own.add(block, langs, h[whole], at[whole], k)
             own.add_totals(block, langs)
             if own.size > MERGE_ENTRIES:
                 own.merge()
@@ -255,9 +276,83 @@ def _stripes(docs: DataFrame, longest: int, bitmaps: list) -> DataFrame:
                     yield own.take()
         if own.parts:
             yield own.take()
+        pa.default_memory_pool().release_unused()  # workers are used again
     return docs.mapInArrow(task, _STRIPES)
 
 
+def _summed(entries: pa.Table) -> pa.Table:
+    """One row per lang and phrase."""
+    out = entries.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return out.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"])
+
+
+def _shorter(entries: pa.Table) -> pa.Table:
+    """Entries of two words or more without their last word."""
+    buf, offs = ragged.utf8(ragged.texts_of(entries["phrase"]))
+    blanks = np.flatnonzero(buf == 0x20)
+    lo, size = offs[:-1], blanks[np.searchsorted(blanks, offs[1:]) - 1] - offs[:-1]
+    ends = np.cumsum(size)
+    data = buf[np.arange(size.sum()) + np.repeat(lo - ends + size, size)]
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    phrase = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data))
+    return entries.set_column(1, "phrase", phrase.cast(pa.string()))
+
+
+def _counted(entries: pa.Table, longest: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Merged stripes told apart: phrases of 1 to ``longest`` words and their occurrences, of ``least`` or more."""
+    def batches(rows: pa.Table, k: int):
+        k = pa.array(np.full(len(rows), k, np.int32))
+        yield from pa.table([rows["lang"], k, rows["phrase"], rows["n"]], ["lang", "k", "phrase", "n"]).to_batches()
+    own = _summed(entries)
+    words = pc.add(pc.count_substring(own["phrase"], " "), 1)
+    yield from batches(own.filter(pc.is_null(words)), 0)
+    yield from batches(own.filter(pc.and_(pc.equal(words, 1), pc.greater_equal(own["n"], least))), 1)
+    level = own.slice(0, 0)
+    for k in range(longest, 1, -1):  # what begins with a phrase is an occurrence of it
+        level = _summed(pa.concat_tables([own.filter(pc.equal(words, k)), _shorter(level)]))
+        yield from batches(level.filter(pc.greater_equal(level["n"], least)), k)
+
+
+def _merged(stripes: DataFrame, longest: int, least: int) -> DataFrame:
+    """``(lang, k, phrase, n)`` of the stripes merged elementwise; k is 0 for the words of a language. Only
+    a group handed on unfinished has phrases in several rows, and some of less than ``least``."""
+    def table(pending):
+        return pa.table({name: pa.concat_arrays(x) for name, x in zip(("lang", "phrase", "n"), zip(*pending))})
+
+    def task(batches):
+        pending, size, last, partial = [], 0, None, False
+        for batch in batches:
+            lang, part, phrases, counts = (batch.column(c) for c in ("lang", "part", "phrases", "counts"))
+            names = lang.cast(pa.string()).dictionary_encode()
+            of, names = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
+            group = part.to_numpy()
+            cut = np.flatnonzero((group[1:] != group[:-1]) | (of[1:] != of[:-1])) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(group)]):
+                if lo == hi:
+                    continue
+                key = (names[of[lo]], int(group[lo]))
+                if key != last and (partial or size > FLUSH_ENTRIES):
+                    if pending:
+                        yield from _counted(table(pending), longest, 0 if partial else least)
+                    pending, size, partial = [], 0, False
+                last = key
+                n = counts.slice(lo, hi - lo).flatten()
+                pending.append((pa.array([key[0]], pa.string()).take(pa.array(np.zeros(len(n), np.int32))),
+                                phrases.slice(lo, hi - lo).flatten().cast(pa.string()), n))
+                size += len(n)
+                if size > MERGE_ENTRIES:
+                    merged = _summed(table(pending))
+                    pending, size = [tuple(merged[c].combine_chunks() for c in ("lang", "phrase", "n"))], len(merged)
+                    if size > MERGE_ENTRIES // 2:
+                        yield from _counted(merged, longest, 0)
+                        pending, size, partial = [], 0, True
+        if pending:
+            yield from _counted(table(pending), longest, 0 if partial else least)
+        pending.clear()
+        pa.default_memory_pool().release_unused()  # workers are used again
+    return stripes.repartition("lang", "part").sortWithinPartitions("lang", "part").mapInArrow(task, _COUNTED)
+
+
 def _first_of(phrases: DataFrame, top: int, parts: int) -> DataFrame:
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
@@ -275,19 +370,16 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     docs = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"))
     bitmaps = []
-    for k in range(1, max(longest, 2)):
+    for k in (1, 2):
         bitmaps.append(_frequent(docs, k, bitmaps, least, bits))
-    # stripes of one prefix summed elementwise
-    entries = (_stripes(docs, longest, bitmaps)
-               .select("lang", "prefix", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-               .groupBy("lang", "prefix", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
-               .where((F.col("n") >= least) | F.col("prefix").isNull()))
+    entries = (_merged(_stripes(docs, longest, bitmaps), longest, least)
+               .groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+               .where((F.col("n") >= least) | F.col("phrase").isNull()))
     entries = written(entries, "stripes")
-    totals = entries.where("prefix is null").select("lang", "n")
-    k = F.when(F.col("prefix") == "", F.lit(1)).otherwise(F.size(F.split("prefix", " ")) + 1)
-    phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-    return (entries.where("prefix is not null").select("lang", k.alias("k"), phrase.alias("phrase"), "prefix", "next",
-                                                      F.col("n").alias("a")), totals)
+    totals = entries.where("phrase is null").select("lang", "n")
+    return (entries.where("phrase is not null")
+                   .select("lang", "k", "phrase", F.expr("substring_index(phrase, ' ', k - 1)").alias("prefix"),
+                           F.expr("substring_index(phrase, ' ', -1)").alias("next"), F.col("n").alias("a")), totals)
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, least: int = LEAST, top: int = TOP,
