@@ -87,3 +87,25 @@ def test_edge_rows(frame):
     df = frame([t for _, t in rows], [d for d, _ in rows]).selectExpr("*", "1 as digest", "2 as rep", "3 as n_bytes", "'k' as key")
     assert got(substrings.remove_repeats(df)) == brute(rows, 400)
     assert substrings.remove_repeats(frame([])).count() == 0
+
+
+def test_groups_stay_whole_when_a_join_is_replanned(spark):
+    """The group sizes turn out small enough to broadcast, so the shuffle of the spans by their key is read locally."""
+    rng = random.Random(12)
+    rows = []
+    for key in range(400):
+        part = rng.randbytes(150)
+        rows += [(key, b"%d" % i, key, 0, 1, 0, True, rng.randbytes(40) + part + rng.randbytes(800)) for i in range(4)]
+    spans = spark.createDataFrame(spark.sparkContext.parallelize(rows[::4] + rows[1::4] + rows[2::4] + rows[3::4], 4), substrings._SPANS)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "256k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sized = spans.join(spans.groupBy("key").count(), "key").where("count <= 2000")
+        marks = substrings._indexed(sized, 150).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    covered = {(m.rep, m.digest) for m in marks if m.s <= 40 and m.e >= 190}
+    assert covered == {(r[2], r[1]) for r in rows}
